@@ -1,0 +1,2 @@
+"""Empty on purpose: every input of this library is bounded, so there is no
+stream operator to provide."""
