@@ -75,6 +75,13 @@ def init_ranks(nodes: DataFrame, sources: Sequence[int]) -> DataFrame:
     return here.select(F.col("id").alias("source"), "id", F.lit(1.0).alias("p"))
 
 
+def _unique(nodes: DataFrame) -> DataFrame:
+    """The node ids; a node listed twice fails the job that reads them."""
+    message = F.concat(F.lit("node listed twice: "), F.col("id").cast("string"))
+    checked = F.when(F.col("n") > 1, F.raise_error(message).cast("bigint")).otherwise(F.col("id"))
+    return nodes.groupBy("id").agg(F.count("*").alias("n")).select(checked.alias("id"))
+
+
 def _multiplicities(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, m, known): parallel edges merged; known if dst is a node."""
     merged = edges.groupBy("src", "dst").agg(F.count("*").alias("m"))
@@ -106,7 +113,7 @@ def transitions(nodes: DataFrame, edges: DataFrame, alpha: float = ALPHA) -> Tra
     )
     kept_share = F.coalesce(F.col("kept") / F.col("outdegree"), F.lit(0.0))
     restarts = (
-        nodes.withColumnRenamed("id", "src").join(stats, "src", "left")
+        _unique(nodes).withColumnRenamed("id", "src").join(stats, "src", "left")
         .select("src", F.lit(None).cast("bigint").alias("dst"), (1.0 - follow * kept_share).alias("weight"))
     )
     hot = checkpointed(hot_keys(stats, ["src"]))
