@@ -12,9 +12,16 @@ MARGINAL = "*"
 
 
 def bigram_counts(lines: DataFrame, min_tokens: int = 3, text: str = "text") -> DataFrame:
-    """(a, b, n) over lines with at least ``min_tokens`` tokens."""
-    token_rows = lines.select(tokens(text).alias("t")).where(F.size("t") >= max(min_tokens, 2))
-    pairs = token_rows.select(F.inline(bigrams("t")).alias("a", "b"))
+    """(a, b, n) over lines with at least ``min_tokens`` tokens.
+
+    Short lines give an empty array instead of being filtered: a filter would
+    move below the projection and tokenise every line twice.  Words are never
+    null; saying so keeps this plan identical wherever it is joined, so Spark
+    shuffles the counts once for all their uses.
+    """
+    enough = F.when(F.size("t") >= min_tokens, F.col("t")).otherwise(F.array())
+    token_rows = lines.select(tokens(text).alias("t")).select(enough.alias("t"))
+    pairs = token_rows.select(F.inline(bigrams("t")).alias("a", "b")).where("a is not null")
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 

@@ -30,9 +30,21 @@ def top_counts(counts: DataFrame, key: str, k: int = 3, n: str = "n") -> DataFra
     return counts.orderBy(F.desc(n), F.asc(key)).limit(k)
 
 
+def line_words(
+    lines: DataFrame, *carried: str, max_tokens: int = 100, text: str = "text"
+) -> DataFrame:
+    """(carried..., w): the first-token set of every line, a row per word.
+
+    The array is a projected column before it is exploded, so that Spark
+    evaluates the shared parts of its expression once per line.
+    """
+    sets = lines.select(*carried, first_distinct_tokens(text, max_tokens).alias("ws"))
+    return sets.select(*carried, F.explode("ws").alias("w"))
+
+
 def line_df(lines: DataFrame, max_tokens: int = 100, text: str = "text") -> DataFrame:
     """(w, n): number of lines whose first-token set holds w."""
-    words = lines.select(F.explode(first_distinct_tokens(text, max_tokens)).alias("w"))
+    words = line_words(lines, max_tokens=max_tokens, text=text)
     return words.groupBy("w").agg(F.count("*").alias("n"))
 
 

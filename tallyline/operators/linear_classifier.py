@@ -122,15 +122,15 @@ def train_batch(docs: DataFrame, delta: float = DELTA, epochs: int = 1) -> DataF
     if epochs <= 1:
         return start.groupBy("model_id", "feature").agg(weight)
 
-    by_doc = checkpointed_by(occurrences, ["model_id", "doc_id"])
     key = ["model_id", "feature"]
-    counts = by_doc.groupBy(*key).agg(F.count("*").alias("n"))
-    hot = checkpointed(hot_keys(counts, key))
+    by_doc = checkpointed_by(checkpointed(occurrences), ["model_id", "doc_id"])
+    halves = by_doc.withColumn("residual", F.col("y") - F.lit(0.5))
+    first = checkpointed(halves.groupBy(*key).agg(weight, F.count("*").alias("n")))
+    hot = checkpointed(hot_keys(first, key))
     by_feature = checkpointed_by(
         salt_many(by_doc.drop("y"), hot, key, ["doc_id"]), [*key, "slot"]
     )
-    residual = F.col("y") - F.lit(0.5)
-    model = checkpointed(by_doc.withColumn("residual", residual).groupBy(*key).agg(weight))
+    model = first.drop("n")
     for _ in range(epochs - 1):
         scores = (
             by_feature.join(salt_one(model, hot, key), [*key, "slot"])

@@ -104,21 +104,21 @@ def transitions(nodes: DataFrame, edges: DataFrame, alpha: float = ALPHA) -> Tra
     Rows are partitioned and sorted once, in the checkpoint folder, and every
     iteration reads them in place.  A hub's rows are spread over slots.
     """
-    flagged = _multiplicities(nodes, edges)
-    stats = _out_stats(flagged)
+    flagged = checkpointed(_multiplicities(nodes, edges))
+    stats = checkpointed(_out_stats(flagged))
+    hot = checkpointed(hot_keys(stats, ["src"]))
     follow = F.lit(1.0 - alpha)
     links = (
-        flagged.where("known").join(stats, "src")
-        .select("src", "dst", (follow * F.col("m") / F.col("outdegree")).alias("weight"))
+        salt_many(flagged.where("known"), hot, ["src"], ["dst"])
+        .join(salt_one(stats, hot, ["src"]), ["src", "slot"])
+        .select("src", "slot", "dst", (follow * F.col("m") / F.col("outdegree")).alias("weight"))
     )
     kept_share = F.coalesce(F.col("kept") / F.col("outdegree"), F.lit(0.0))
-    restarts = (
-        _unique(nodes).withColumnRenamed("id", "src").join(stats, "src", "left")
-        .select("src", F.lit(None).cast("bigint").alias("dst"), (1.0 - follow * kept_share).alias("weight"))
+    restarts = _unique(nodes).withColumnRenamed("id", "src").join(stats, "src", "left").select(
+        "src", F.lit(0).alias("slot"), F.lit(None).cast("bigint").alias("dst"),
+        (1.0 - follow * kept_share).alias("weight"),
     )
-    hot = checkpointed(hot_keys(stats, ["src"]))
-    rows = salt_many(links.unionByName(restarts), hot, ["src"], ["dst"])
-    return Transitions(checkpointed_by(rows, ["src", "slot"]), hot)
+    return Transitions(checkpointed_by(links.unionByName(restarts), ["src", "slot"]), hot)
 
 
 def iterate(ranks: DataFrame, graph: Transitions) -> DataFrame:

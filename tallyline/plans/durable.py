@@ -40,8 +40,10 @@ def checkpointed_by(
 ) -> DataFrame:
     """Checkpoint hash-partitioned and sorted by ``keys``.
 
-    Loops join against the result without shuffling or sorting it again.  The
-    known partitioning is kept only when this one plan is built without AQE.
+    Loops join against the result without shuffling or sorting it again.
+    Spark keeps the partitioning only if this plan is built without AQE, so
+    ``df`` should be stored already, or use joins that are salted: no skewed
+    partition is split here.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

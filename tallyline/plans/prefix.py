@@ -56,9 +56,18 @@ def score_splits(df: DataFrame, score: str, blocks: int = BLOCKS) -> list[float]
     return sorted(set(cuts or []))
 
 
-def split_block(score: Column | str, cuts: Sequence[float]) -> Column:
-    """Number of cut points below the score."""
+def split_block(score: Column | str, cuts: Sequence[float], step: int = 32) -> Column:
+    """Number of cut points below the score.
+
+    Every ``step``-th cut finds the group of cuts that holds the answer, so a
+    row is compared with about 2 * step of up to step * step cuts.
+    """
     score = F.col(score) if isinstance(score, str) else score
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.lit(list(cuts)), lambda cut: cut < score))
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda cut: cut < score))
+
+    group = below(F.lit(list(cuts[step - 1 :: step]))) if len(cuts) >= step else F.lit(0)
+    return group * step + below(F.slice(F.lit(list(cuts)), group * step + 1, F.lit(step)))
