@@ -16,6 +16,7 @@ def session():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyline-test-"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

@@ -1,0 +1,140 @@
+import math
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.operators import linear_classifier as lc
+
+DOC = "model_id string, doc_id long, label string, features array<int>"
+
+
+def made(n, seed=1, models=("m",)):
+    rng = random.Random(seed)
+    return [(rng.choice(models), i, rng.choice(["spam", "ham"]),
+             [rng.randrange(20) for _ in range(rng.randint(0, 12))]) for i in range(n)]
+
+
+def sequential(docs, delta=0.002):
+    w = {}
+    for _, _, label, features in docs:
+        p = 1 / (1 + math.exp(-sum(w.get(f, 0.0) for f in features)))
+        for f in features:
+            w[f] = w.get(f, 0.0) + ((label == "spam") - p) * delta
+    return w
+
+
+def batch(docs, epochs, delta=0.002):
+    w = defaultdict(float)
+    for _ in range(epochs):
+        step = defaultdict(float)
+        for _, _, label, features in docs:
+            p = 1 / (1 + math.exp(-sum(w[f] for f in features)))
+            for f in features:
+                step[f] += ((label == "spam") - p) * delta
+        for f, g in step.items():
+            w[f] += g
+    return dict(w)
+
+
+def weights(df):
+    models = defaultdict(dict)
+    for r in df.collect():
+        models[r.model_id][r.feature] = r.weight
+    return dict(models)
+
+
+def test_sgd_against_a_plain_loop(spark):
+    docs = made(50, models=("a", "b"))
+    got = weights(lc.train_sgd(spark.createDataFrame(docs, DOC).repartition(5), delta=0.1))
+    for m in ("a", "b"):
+        assert got[m] == pytest.approx(sequential([d for d in docs if d[0] == m], 0.1), abs=1e-12)
+
+
+def test_sgd_visits_documents_in_the_given_order(spark):
+    docs = made(40)
+    df = spark.createDataFrame(docs, DOC).withColumn("turn", -F.col("doc_id"))
+    got = weights(lc.train_sgd(df, delta=0.1, order=("turn",)))["m"]
+    assert got == pytest.approx(sequential(docs[::-1], 0.1), abs=1e-12)
+
+
+def test_sgd_over_many_arrow_batches(spark):
+    docs = made(300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = weights(lc.train_sgd(spark.createDataFrame(docs, DOC), delta=0.1))["m"]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == pytest.approx(sequential(docs, 0.1), abs=1e-11)
+
+
+def test_shards_are_trained_apart_and_averaged(spark):
+    docs = made(60)
+    df = spark.createDataFrame(docs, DOC)
+    shard = {r.doc_id: r.s for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("s")).collect()}
+    want = defaultdict(float)
+    for s in range(3):
+        for f, w in sequential([d for d in docs if shard[d[1]] == s], 0.1).items():
+            want[f] += w / 3
+    got = weights(lc.train_sgd(df, delta=0.1, shard_docs=20))["m"]
+    assert got == pytest.approx(dict(want), abs=1e-12)
+
+
+def test_runs_are_repeatable_and_differ_by_seed(spark):
+    df = spark.createDataFrame(made(40), DOC).drop("model_id")
+    first = weights(lc.train_runs(df, [1, 2], delta=0.5))
+    again = weights(lc.train_runs(df.repartition(7), [1, 2], delta=0.5))
+    assert first.keys() == {1, 2} and first[1] != first[2]
+    for seed in first:
+        assert first[seed] == pytest.approx(again[seed], abs=1e-15)
+
+
+@pytest.mark.parametrize("epochs", [1, 2, 4])
+def test_batch_training(spark, epochs):
+    docs = made(60, models=("a", "b"))
+    got = weights(lc.train_batch(spark.createDataFrame(docs, DOC), 0.1, epochs))
+    for m in ("a", "b"):
+        assert got[m] == pytest.approx(batch([d for d in docs if d[0] == m], epochs, 0.1), abs=1e-12)
+
+
+def test_batch_training_with_a_feature_in_every_document(spark):
+    docs = [(m, i, label, [0, *fs]) for m, i, label, fs in made(120)]
+    got = weights(lc.train_batch(spark.createDataFrame(docs, DOC), 0.1, 3))["m"]
+    assert got == pytest.approx(batch(docs, 3, 0.1), abs=1e-12)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(1, "spam", [1, 1, 2]), (2, "ham", []), (3, "ham", [1, 3]), (4, "spam", [9])]
+    return spark.createDataFrame(rows, "doc_id long, label string, features array<int>")
+
+
+def model(spark, rows):
+    return spark.createDataFrame(rows, "model_id string, feature int, weight double")
+
+
+def test_score_counts_occurrences_and_zero_is_ham(spark, docs):
+    scored = lc.score(docs, model(spark, [("m", 1, 0.5), ("m", 2, -0.25), ("m", 3, -0.5)]))
+    got = {r.doc_id: (r.label, r.score, r.pred) for r in scored.collect()}
+    assert got == {1: ("spam", 0.75, "spam"), 2: ("ham", 0.0, "ham"), 3: ("ham", 0.0, "ham"),
+                   4: ("spam", 0.0, "ham")}
+
+
+def test_ensemble_methods_disagree(spark, docs):
+    models = model(spark, [("a", 1, 4.0), ("b", 1, -1.0), ("c", 1, -1.0), ("c", 2, -0.5)])
+    average = {r.doc_id: (r.score, r.mean, r.pred) for r in lc.score_ensemble(docs, models, "average").collect()}
+    assert average[1] == (3.5, pytest.approx(3.5 / 3), "spam") and average[2] == (0.0, 0.0, "ham")
+    vote = {r.doc_id: (r.score, r.pred) for r in lc.score_ensemble(docs, models, "vote").collect()}
+    assert vote == {1: (-1, "ham"), 2: (0, "ham"), 3: (-1, "ham"), 4: (0, "ham")}
+    with pytest.raises(ValueError):
+        lc.score_ensemble(docs, models, "median")
+
+
+def test_ensemble_of_one_model_is_that_model(spark, docs):
+    one = model(spark, [("m", 1, 0.5), ("m", 2, -0.25), ("m", 3, -0.9)])
+    single = sorted(tuple(r) for r in lc.score(docs, one).collect())
+    average = lc.score_ensemble(docs, one, "average")
+    assert sorted(tuple(r) for r in average.drop("mean").collect()) == single
+    votes = {r.doc_id: r.pred for r in lc.score_ensemble(docs, one, "vote").collect()}
+    assert votes == {r[0]: r[3] for r in single}
