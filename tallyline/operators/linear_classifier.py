@@ -62,23 +62,24 @@ def train_sgd(
 ) -> DataFrame:
     """(model_id, feature, weight): one pass of stochastic gradient descent per model.
 
-    ``docs`` also has model_id.  Documents are visited by ``order``; ties go by
-    doc_id.  A model of up to ``shard_docs`` documents is trained in sequence,
+    ``docs`` may have a model_id; without one, all train the model 'all'.
+    Documents are visited by ``order``; ties go by doc_id.  A model of up to ``shard_docs`` documents is trained in sequence,
     in exactly that order.  A larger one is hashed into shards of about that
     size, trained in parallel, and the weights are averaged (parameter mixing),
     because one sequence over unlimited documents cannot be spread over tasks.
     Rows stream through a task; only the weights of one shard are held.
     """
-    sizes = docs.groupBy("model_id").agg(
-        F.ceil(F.count("*") / F.lit(shard_docs)).cast("int").alias("shards")
-    )
-    shard = F.pmod(F.xxhash64("doc_id"), F.col("shards")).cast("int")
-    placed = docs.join(sizes, "model_id").withColumn("shard", shard)
+    shards = F.ceil(F.count("*") / F.lit(shard_docs)).cast("int").alias("shards")
+    if "model_id" in docs.columns:
+        placed = docs.join(docs.groupBy("model_id").agg(shards), "model_id")
+    else:
+        placed = docs.withColumns({"model_id": F.lit("all"), "shards": docs.agg(shards).scalar()})
+    placed = placed.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.col("shards")).cast("int"))
     ordered = placed.repartition("model_id", "shard").sortWithinPartitions(
         "model_id", "shard", *order, "doc_id"
     )
     rows = ordered.select("model_id", "shard", "shards", _is_spam().alias("y"), "features")
-    types = dict(docs.dtypes)
+    types = dict(placed.dtypes)
     feature_type = types["features"].removeprefix("array<").removesuffix(">")
     schema = (
         f"model_id {types['model_id']}, shard int, shards int, feature {feature_type}, weight double"

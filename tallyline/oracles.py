@@ -150,6 +150,9 @@ WHERE {SHIPPED_15} ORDER BY l_orderkey, p_name, s_name LIMIT 20""",
 JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey WHERE {SHIPPED} GROUP BY ALL ORDER BY n_nationkey""",
     "q5_monthly_shipments": f"WITH {MONTHLY} SELECT month, n, nation FROM monthly ORDER BY month, nation",
+    "q5_relabelled": f"""WITH {MONTHLY} SELECT month, n,
+  CASE nation WHEN 'NATION_3' THEN 'CANADA' ELSE 'UNITED STATES' END AS nation
+FROM monthly ORDER BY month, nation""",
     "q5_pivot": f"""WITH {MONTHLY} SELECT month,
   coalesce(sum(n) FILTER (nation = 'NATION_3'), 0)::BIGINT AS "NATION_3",
   coalesce(sum(n) FILTER (nation = 'NATION_24'), 0)::BIGINT AS "NATION_24"
@@ -234,6 +237,8 @@ SELECT (SELECT count(*) FROM goods) AS nodes, count(*) AS edges, count(*) AS mas
   count(*) AS mass_received, count(DISTINCT dst) FILTER (dst NOT IN (SELECT id FROM goods))
   AS missing_structure FROM edges""",
     "graph_parts": f"WITH {GRAPH} SELECT src, count(*) AS n, 1::BIGINT AS parts FROM edges GROUP BY src",
+    "ppr_start": f"WITH {_ranks((4, 13), 0)} SELECT source::BIGINT AS source, id, p FROM r0",
+    "ppr_resume": f"WITH {_ranks((4, 8, 13), 3)} SELECT source::BIGINT AS source, id, round(p, 10) AS p FROM r3",
     "ppr_single": f"WITH {_ranks((4,), 3)} SELECT source::BIGINT AS source, id, round(p, 10) AS p FROM r3",
     "ppr_multi": f"WITH {_ranks((4, 8, 13), 3)} SELECT source::BIGINT AS source, id, round(p, 10) AS p FROM r3",
     "ppr_top": f"""WITH {_ranks((4, 13), 3)}, numbered AS (

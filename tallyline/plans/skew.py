@@ -1,9 +1,11 @@
 """Spreading hot join keys over several partitions, exactly.
 
-A key is hot when it holds more than 1/fan of all rows.  There can be at most
-``fan`` such keys, whatever the data, so the table of hot keys has a proven
-size bound and may be broadcast.  Rows of a hot key are spread over numbered
-slots; the matching row on the other side is copied once per slot.
+A key is hot when it holds more than 1/fan of all rows.  There can be fewer
+than ``fan`` such keys, whatever the data, so the table of hot keys has a
+proven size bound and may be broadcast.  Rows of a hot key are spread over
+numbered slots; the matching row on the other side is copied once per slot,
+at most 2 * fan copies in all.  ``fan`` follows the number of shuffle
+partitions, so that no slot outweighs an even partition.
 """
 
 from __future__ import annotations
@@ -13,11 +15,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FAN = 256
+MIN_FAN = 256
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", fan: int = FAN) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], n: str = "n", fan: int | None = None
+) -> DataFrame:
     """Hot keys of a per-key count table, with the number of slots for each."""
+    if fan is None:
+        partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        fan = max(MIN_FAN, partitions)
     total = counts.agg(F.sum(n)).scalar()
     share = F.col(n) * F.lit(float(fan)) / total
     return counts.where(share > 1.0).select(*keys, F.ceil(share).cast("int").alias("slots"))

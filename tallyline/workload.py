@@ -6,6 +6,7 @@ a sum, or the last bit of a logarithm, may differ between engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from .operators import (
     bigrams, boolean_search, cooccurrence, counting, evaluation, inverted_index,
     linear_classifier, pagerank, reconcile, star,
 )
-from .plans.durable import checkpointed
+from .plans.durable import checkpointed, ensure_checkpoint_dir
 from .sources.documents import document_lines
 from .sources.tables import balanced, load_tables
 
@@ -191,6 +192,16 @@ def _ppr(sources: list[int], iterations: int) -> Query:
     return query
 
 
+def _ppr_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """Two iterations stored as snapshots, then resumed for a third."""
+    nodes, edges = supply_graph(spark, sf)
+    sources = [SUPPLIER_1, SUPPLIER_2, PART_3]
+    base = f"{ensure_checkpoint_dir(spark)}/ranks-{uuid.uuid4().hex}"
+    pagerank.pagerank(nodes, edges, sources, 2, base=base)
+    ranks = pagerank.pagerank(nodes, edges, sources, 3, start=2, base=base)
+    return _round(pagerank.dense_ranks(ranks, nodes, sources), 10, "p")
+
+
 def _ppr_top(spark: SparkSession, sf: str) -> DataFrame:
     nodes, edges = supply_graph(spark, sf)
     ranks = pagerank.pagerank(nodes, edges, [SUPPLIER_1, PART_3], 3)
@@ -237,7 +248,7 @@ def _train_sgd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train_sgd_sharded(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _one_model(labelled(spark, sf))
+    docs = labelled(spark, sf).drop("model_id")
     return _round(linear_classifier.train_sgd(docs, shard_docs=100), 9, "weight")
 
 
@@ -295,6 +306,8 @@ QUERIES: dict[str, Query] = {
     "q3_part_supplier": lambda s, d: star.parts_and_suppliers(_star(s, d), "1998-03-15"),
     "q4_orders_by_nation": lambda s, d: star.orders_by_nation(_star(s, d), "1998-03"),
     "q5_monthly_shipments": lambda s, d: star.monthly_shipments(_star(s, d)),
+    "q5_relabelled": lambda s, d: star.monthly_shipments(
+        _star(s, d), (3, 24), {3: "CANADA", 24: "UNITED STATES"}),
     "q5_pivot": lambda s, d: star.monthly_shipments_pivot(_star(s, d), LABELS),
     "q6_pricing": _q6,
     "q7_top_revenue": _q7,
@@ -334,6 +347,8 @@ QUERIES: dict[str, Query] = {
     "graph_validate": _graph_validate,
     "graph_counters": _graph_counters,
     "graph_parts": _graph_parts,
+    "ppr_start": _ppr([SUPPLIER_1, PART_3], 0),
+    "ppr_resume": _ppr_resume,
     "ppr_single": _ppr([SUPPLIER_1], 3),
     "ppr_multi": _ppr([SUPPLIER_1, SUPPLIER_2, PART_3], 3),
     "ppr_top": _ppr_top,

@@ -79,6 +79,8 @@ def test_shards_are_trained_apart_and_averaged(spark):
             want[f] += w / 3
     got = weights(lc.train_sgd(df, delta=0.1, shard_docs=20))["m"]
     assert got == pytest.approx(dict(want), abs=1e-12)
+    unnamed = weights(lc.train_sgd(df.drop("model_id"), delta=0.1, shard_docs=20))
+    assert unnamed == {"all": pytest.approx(dict(want), abs=1e-12)}
 
 
 def test_runs_are_repeatable_and_differ_by_seed(spark):
