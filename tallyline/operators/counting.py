@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import first_distinct_tokens, prefix, tokens
+from ..plans.rows import explode_once
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -39,7 +40,7 @@ def line_words(
     evaluates the shared parts of its expression once per line.
     """
     sets = lines.select(*carried, first_distinct_tokens(text, max_tokens).alias("ws"))
-    return sets.select(*carried, F.explode("ws").alias("w"))
+    return explode_once(sets, "ws", "w", *carried)
 
 
 def line_df(lines: DataFrame, max_tokens: int = 100, text: str = "text") -> DataFrame:

@@ -10,18 +10,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import sigmoid, sign_vote
 from ..plans.durable import checkpointed, checkpointed_by
+from ..plans.rows import explode_once
 from ..plans.skew import hot_keys, salt_many, salt_one
 
 DELTA = 0.002
 SHARD_DOCS = 20_000
 
 
-def _is_spam():
+def _is_spam() -> Column:
     return (F.col("label") == "spam").cast("double")
 
 
@@ -106,44 +107,47 @@ def train_runs(
 # --- batch training ------------------------------------------------------
 
 
+def _gradient(docs: DataFrame, delta: float, *extra: Column) -> DataFrame:
+    """(model_id, feature, weight): delta * residual summed over occurrences."""
+    seen = explode_once(docs, "features", "feature", "model_id", "residual")
+    step = F.sum(F.lit(delta) * F.col("residual")).alias("weight")
+    return seen.groupBy("model_id", "feature").agg(step, *extra)
+
+
 def train_batch(docs: DataFrame, delta: float = DELTA, epochs: int = 1) -> DataFrame:
     """(model_id, feature, weight) by full-batch gradient steps per model.
 
     Each epoch adds delta * sum of (y - p) over the occurrences of a feature,
     with p from the weights of the previous epoch.  The first epoch needs no
-    scores: every p is one half.  Later epochs read two layouts of the
-    occurrences, by feature to score and by document to update, so that only
-    weights, partial scores and partial gradients are shuffled.
+    scores: every p is one half.  Later epochs read two stored layouts, the
+    documents to update and their features (a hot one salted) to score, so
+    that only weights, partial scores and partial gradients are shuffled.
     """
-    occurrences = docs.select(
-        "model_id", "doc_id", _is_spam().alias("y"), F.explode("features").alias("feature")
-    ).groupBy("model_id", "doc_id", "y", "feature").agg(F.count("*").alias("k"))
-    weight = F.sum(F.lit(delta) * F.col("k") * F.col("residual")).alias("weight")
-    start = occurrences.withColumn("residual", F.col("y") - F.lit(0.5))
+    labelled = docs.select("model_id", "doc_id", _is_spam().alias("y"), "features")
+    half = (F.col("y") - F.lit(0.5)).alias("residual")
     if epochs <= 1:
-        return start.groupBy("model_id", "feature").agg(weight)
+        return _gradient(labelled.select("model_id", "features", half), delta)
 
-    key = ["model_id", "feature"]
-    by_doc = checkpointed_by(checkpointed(occurrences), ["model_id", "doc_id"])
-    halves = by_doc.withColumn("residual", F.col("y") - F.lit(0.5))
-    first = checkpointed(halves.groupBy(*key).agg(weight, F.count("*").alias("n")))
+    doc_key, key = ["model_id", "doc_id"], ["model_id", "feature"]
+    by_doc = checkpointed_by(checkpointed(labelled), doc_key)
+    first = checkpointed(
+        _gradient(by_doc.select("*", half), delta, F.count("*").alias("n"))
+    )
     hot = checkpointed(hot_keys(first, key))
-    by_feature = checkpointed_by(
-        salt_many(by_doc.drop("y"), hot, key, ["doc_id"]), [*key, "slot"]
+    counted = (
+        explode_once(by_doc, "features", "feature", *doc_key)
+        .groupBy(*doc_key, "feature").agg(F.count("*").alias("k"))
     )
+    by_feature = checkpointed_by(salt_many(counted, hot, key, ["doc_id"]), [*key, "slot"])
     model = first.drop("n")
     for _ in range(epochs - 1):
         scores = (
             by_feature.join(salt_one(model, hot, key), [*key, "slot"])
-            .groupBy("model_id", "doc_id").agg(F.sum(F.col("k") * F.col("weight")).alias("score"))
-        )
-        gradient = (
-            by_doc.join(scores, ["model_id", "doc_id"])
-            .withColumn("residual", F.col("y") - sigmoid("score")).groupBy(*key).agg(weight)
-        )
-        model = checkpointed(
-            model.unionByName(gradient).groupBy(*key).agg(F.sum("weight").alias("weight"))
+            .groupBy(*doc_key).agg(F.sum(F.col("k") * F.col("weight")).alias("score"))
         )
+        scored = by_doc.join(scores, doc_key).withColumn("residual", F.col("y") - sigmoid("score"))
+        steps = model.unionByName(_gradient(scored, delta))
+        model = checkpointed(steps.groupBy(*key).agg(F.sum("weight").alias("weight")))
     return model
 
 
@@ -154,7 +158,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "label", F.explode_outer("features").alias("feature"))
 
 
-def _pred():
+def _pred() -> Column:
     return F.when(F.col("score") > 0, F.lit("spam")).otherwise(F.lit("ham")).alias("pred")
 
 

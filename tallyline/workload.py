@@ -18,6 +18,7 @@ from .operators import (
     linear_classifier, pagerank, reconcile, star,
 )
 from .plans.durable import checkpointed, ensure_checkpoint_dir
+from .plans.rows import explode_once
 from .sources.documents import document_lines
 from .sources.tables import balanced, load_tables
 
@@ -256,7 +257,7 @@ def _train_runs(spark: SparkSession, sf: str) -> DataFrame:
     """1-ROCA over ten models trained in different random orders."""
     docs = labelled(spark, sf)
     models = linear_classifier.train_runs(docs, range(10))
-    occurrences = docs.select("doc_id", "label", F.explode("features").alias("feature"))
+    occurrences = explode_once(docs, "features", "feature", "doc_id", "label")
     preds = (
         occurrences.join(models, "feature").groupBy("model_id", "doc_id", "label")
         .agg(F.round(F.sum("weight"), 9).alias("score"))
