@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bigrams, tokens
+from ..plans.durable import checkpointed
 from ..plans.stripes import STRIPE_WIDTH, to_stripes
 
 MARGINAL = "*"
@@ -48,5 +49,5 @@ def bigram_stripes(
     lines: DataFrame, min_tokens: int = 2, width: int = STRIPE_WIDTH, text: str = "text"
 ) -> DataFrame:
     """(a, part, stripe map<b, f>)."""
-    rows = bigram_freq(lines, min_tokens, with_marginal=False, text=text)
+    rows = checkpointed(bigram_freq(lines, min_tokens, with_marginal=False, text=text))
     return to_stripes(rows, "a", "b", "f", width=width)

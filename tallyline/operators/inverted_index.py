@@ -3,6 +3,9 @@
 Postings are flat rows (term, docno, tf).  Lists are kept in blocks of
 document numbers, so the list of a term found in most documents is many rows
 of bounded size and never one.
+
+Lists and gaps read the postings more than once: pass stored ones, such as an
+index read back, rather than a pipeline that tokenises anew.
 """
 
 from __future__ import annotations
@@ -38,11 +41,18 @@ def build_index(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
 
     A block covers ``span`` document numbers, so no list exceeds ``span``
     entries; the lists of a term in block order are its whole postings list.
+    Frequencies are brought to (term, block) as small rows and hashed there:
+    the lists are neither shuffled by term nor sorted.
     """
-    lists = _with_block(postings, span).groupBy("term", "block").agg(
+    blocked = _with_block(postings, span)
+    lists = blocked.groupBy("term", "block").agg(
         F.array_sort(F.collect_list(F.struct("docno", "tf"))).alias("postings")
     )
-    return lists.join(document_frequency(postings), "term").select("term", "df", "block", "postings")
+    sizes = blocked.groupBy("term", "block").agg(F.count("*").alias("n"))
+    frequency = sizes.groupBy("term").agg(F.sum("n").alias("df"))
+    per_block = sizes.select("term", "block").join(frequency, "term")
+    joined = lists.join(per_block.hint("shuffle_hash"), ["term", "block"])
+    return joined.select("term", "df", "block", "postings")
 
 
 def encode_gaps(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:

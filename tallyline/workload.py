@@ -73,6 +73,11 @@ def _pmi(spark: SparkSession, sf: str, min_count: int = 10) -> DataFrame:
     return cooccurrence.pmi(_lines(spark, sf), min_count)
 
 
+def _pmi_stripes(spark: SparkSession, sf: str) -> DataFrame:
+    stripes = cooccurrence.pmi_stripes(checkpointed(_pmi(spark, sf)), width=1000)
+    return _round(cooccurrence.flatten_stripes(stripes), 9, "pmi")
+
+
 def _pmi_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     rows = checkpointed(_pmi(spark, sf))
     stripes = cooccurrence.pmi_stripes(rows.where("n >= 20"), width=1000)
@@ -110,8 +115,12 @@ def _postings(spark: SparkSession, sf: str) -> DataFrame:
     return inverted_index.term_freq(_docs(spark, sf))
 
 
+def _stored_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return checkpointed(_postings(spark, sf))
+
+
 def _index(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = inverted_index.build_index(_postings(spark, sf), INDEX_SPAN)
+    blocks = inverted_index.build_index(_stored_postings(spark, sf), INDEX_SPAN)
     return blocks.select("term", "df", "block", F.inline("postings"))
 
 
@@ -324,8 +333,7 @@ QUERIES: dict[str, Query] = {
     "bigram_reconcile": _bigram_reconcile,
     "cooccur": lambda s, d: cooccurrence.cooccur(_lines(s, d), 5),
     "pmi_pairs": lambda s, d: _round(_pmi(s, d), 9, "pmi"),
-    "pmi_stripes": lambda s, d: _round(
-        cooccurrence.flatten_stripes(cooccurrence.pmi_stripes(_pmi(s, d), width=1000)), 9, "pmi"),
+    "pmi_stripes": _pmi_stripes,
     "pmi_top": lambda s, d: _round(cooccurrence.top_pairs(_pmi(s, d)), 9, "pmi"),
     "pmi_neighbors": lambda s, d: _round(cooccurrence.neighbors(_pmi(s, d), "the", k=20), 9, "pmi"),
     "pmi_neighbors_right": lambda s, d: _round(
@@ -334,9 +342,9 @@ QUERIES: dict[str, Query] = {
     "pmi_reconcile": _pmi_reconcile,
     "term_freq": _postings,
     "postings": _index,
-    "posting_gaps": lambda s, d: inverted_index.encode_gaps(_postings(s, d), INDEX_SPAN),
+    "posting_gaps": lambda s, d: inverted_index.encode_gaps(_stored_postings(s, d), INDEX_SPAN),
     "posting_roundtrip": lambda s, d: inverted_index.decode_gaps(
-        inverted_index.encode_gaps(_postings(s, d), INDEX_SPAN)),
+        checkpointed(inverted_index.encode_gaps(_stored_postings(s, d), INDEX_SPAN))),
     "bool_term": _search("the"),
     "bool_and": _search("the of AND"),
     "bool_or": _search("the de OR"),
