@@ -7,6 +7,8 @@ operator without two operands is an error.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,41 +47,84 @@ def search(postings: DataFrame, query: str) -> DataFrame:
     return hits.where(condition).select("docno")
 
 
-def _top_of_stack(query: Column, present: Column) -> Column:
-    """The query's truth value given the array of its terms that occur."""
+def _top_of_stack(
+    query: Column, kind: str, operand: Callable[[Column], Column],
+    both: Callable[[Column, Column], Column], either: Callable[[Column, Column], Column],
+) -> Column:
+    """The value a postfix query leaves, for values of type ``kind``."""
     size = F.size
 
     def push(stack: Column, word: Column) -> Column:
         kept = F.slice(stack, 1, F.greatest(size(stack) - 2, F.lit(0)))
-        right, left = F.get(stack, size(stack) - 1), F.get(stack, size(stack) - 2)
+        left, right = F.get(stack, size(stack) - 2), F.get(stack, size(stack) - 1)
+        applied = F.when(word == "AND", both(left, right)).otherwise(either(left, right))
         short = F.raise_error(F.concat(word, F.lit(" needs two operands")))
-        applied = F.when(word == "AND", left & right).otherwise(left | right)
-        operated = F.when(size(stack) < 2, short.cast("array<boolean>")).otherwise(
+        operated = F.when(size(stack) < 2, short.cast(f"array<{kind}>")).otherwise(
             F.concat(kept, F.array(applied))
         )
-        operand = F.concat(stack, F.array(F.array_contains(present, word)))
-        return F.when(word.isin("AND", "OR"), operated).otherwise(operand)
+        pushed = F.concat(stack, F.array(operand(word).cast(kind)))
+        return F.when(word.isin("AND", "OR"), operated).otherwise(pushed)
+
+    empty = F.array().cast(f"array<{kind}>")
+    return F.aggregate(_words(query), empty, push, lambda s: F.get(s, size(s) - 1))
+
+
+def _words(query: Column) -> Column:
+    return F.split(F.trim(query), r"\s+")
+
+
+def _holds(query: Column, present: Column) -> Column:
+    """Whether a document with the ``present`` terms satisfies the query."""
+    return _top_of_stack(
+        query, "boolean", lambda word: F.array_contains(present, word),
+        lambda a, b: a & b, lambda a, b: a | b,
+    )
+
 
-    empty = F.array().cast("array<boolean>")
-    return F.aggregate(F.split(F.trim(query), r"\s+"), empty, push, lambda s: F.get(s, size(s) - 1))
+def _anchors(query: Column, sizes: Column) -> Column:
+    """Terms of which every answer holds at least one: for AND those of the
+    side with fewer postings, for OR those of both sides."""
+    top = _top_of_stack(
+        query, "struct<n:bigint,terms:array<string>>",
+        lambda word: F.struct(F.coalesce(sizes[word], F.lit(0)).alias("n"), F.array(word).alias("terms")),
+        lambda a, b: F.when(a["n"] <= b["n"], a).otherwise(b),
+        lambda a, b: F.struct(
+            (a["n"] + b["n"]).alias("n"), F.array_union(a["terms"], b["terms"]).alias("terms")
+        ),
+    )
+    return top["terms"]
 
 
 def search_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, docno) for a table of queries (query_id, query), in one job.
 
-    Postings meet the queries on their terms; a (query, document) group holds
-    at most the terms of one query.
+    A query's candidates come from the postings of its anchor terms; the other
+    terms are looked up for candidates only, by (term, document).  A word found
+    everywhere is thus not multiplied by the queries that AND it with a rare
+    one.  The postings are read three times: pass stored ones.
     """
-    words = F.split(F.trim("query"), r"\s+")
+    operators = F.array(F.lit("AND"), F.lit("OR"))
     wanted = queries.select(
-        "query_id", F.explode(F.array_except(words, F.array(F.lit("AND"), F.lit("OR")))).alias("term")
+        "query_id", F.explode(F.array_except(_words(F.col("query")), operators)).alias("term")
+    )
+    entries = postings.select("term", "docno")
+    frequency = (
+        entries.join(wanted.select("term").distinct(), "term", "left_semi")
+        .groupBy("term").agg(F.count("*").alias("n"))
+    )
+    sizes = wanted.join(frequency, "term").groupBy("query_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "n"))).alias("sizes")
+    )
+    anchors = queries.join(sizes, "query_id", "left").select(
+        "query_id", F.explode(_anchors(F.col("query"), F.col("sizes"))).alias("term")
     )
+    candidates = entries.join(anchors, "term").select("query_id", "docno").distinct()
     hits = (
-        postings.select("term", "docno").join(wanted, "term")
+        candidates.join(wanted, "query_id").join(entries, ["term", "docno"], "left_semi")
         .groupBy("query_id", "docno").agg(F.collect_set("term").alias("present"))
     )
     judged = hits.join(queries.select("query_id", "query"), "query_id")
-    return judged.where(_top_of_stack(F.col("query"), F.col("present"))).select("query_id", "docno")
+    return judged.where(_holds(F.col("query"), F.col("present"))).select("query_id", "docno")
 
 
 def fetch(hits: DataFrame, docs: DataFrame, docno: str = "docno", text: str = "text") -> DataFrame:

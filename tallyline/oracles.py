@@ -255,21 +255,22 @@ step AS (
   FROM occ JOIN scored USING (model_id, doc_id) GROUP BY ALL)
 SELECT model_id, feature, round(weight + g, 9) AS weight FROM w1 JOIN step USING (model_id, feature)""",
     "score": f"""WITH {ONE_SCORE} SELECT doc_id, label, round(score, 6) AS score,
-  CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS pred FROM scored""",
+  CASE WHEN round(score, 12) > 0 THEN 'spam' ELSE 'ham' END AS pred FROM scored""",
     "ensemble_average": f"""WITH {EPOCH_1}, scored AS (
   SELECT d.doc_id, label, coalesce(sum(k * weight), 0.0) AS score
   FROM labelled d LEFT JOIN occ o ON o.doc_id = d.doc_id LEFT JOIN w1 m ON m.feature = o.feature GROUP BY ALL)
 SELECT doc_id, label, round(score, 6) AS score,
   round(score / (SELECT count(DISTINCT model_id) FROM w1), 6) AS mean,
-  CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS pred FROM scored""",
+  CASE WHEN round(score / (SELECT count(DISTINCT model_id) FROM w1), 12) > 0
+    THEN 'spam' ELSE 'ham' END AS pred FROM scored""",
     "ensemble_vote": f"""WITH {EPOCH_1}, spine AS (
   SELECT doc_id, label, m.model_id FROM labelled d, (SELECT DISTINCT model_id FROM w1) m),
 scored AS (
   SELECT s.doc_id, label, s.model_id, coalesce(sum(k * weight), 0.0) AS score
   FROM spine s LEFT JOIN occ o ON o.doc_id = s.doc_id
   LEFT JOIN w1 m ON m.feature = o.feature AND m.model_id = s.model_id GROUP BY ALL)
-SELECT doc_id, label, sum(sign(score))::BIGINT AS score,
-  CASE WHEN sum(sign(score)) > 0 THEN 'spam' ELSE 'ham' END AS pred FROM scored GROUP BY doc_id, label""",
+SELECT doc_id, label, sum(sign(round(score, 12)))::BIGINT AS score,
+  CASE WHEN sum(sign(round(score, 12))) > 0 THEN 'spam' ELSE 'ham' END AS pred FROM scored GROUP BY doc_id, label""",
     "one_minus_roca": f"WITH {LENGTH}, {_roca('preds')}".replace("DIGITS", "9"),
     "one_minus_roca_by_language": f"WITH {LENGTH}, {_roca('preds', 'lang')}".replace("DIGITS", "9"),
     "one_minus_roca_model": (

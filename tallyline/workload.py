@@ -130,7 +130,7 @@ def _search(query: str) -> Query:
 
 def _search_batch(spark: SparkSession, sf: str) -> DataFrame:
     queries = spark.createDataFrame(list(SEARCH_BATCH), "query_id string, query string")
-    return boolean_search.search_batch(_postings(spark, sf), queries)
+    return boolean_search.search_batch(_stored_postings(spark, sf), queries)
 
 
 def _search_benchmark(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,7 +142,7 @@ def _search_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     queries = items.where(F.size("words") > 0).select(
         "query_id", F.concat(F.array_join("words", " "), operators).alias("query")
     )
-    return boolean_search.search_batch(_postings(spark, sf), queries)
+    return boolean_search.search_batch(_stored_postings(spark, sf), queries)
 
 
 def _search_fetch(spark: SparkSession, sf: str) -> DataFrame:
