@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans import (
-    checkpointed_by, ensure_checkpoint_dir, running_before, salted_join, score_splits, split_block,
-    to_stripes,
+    checkpointed_by, ensure_checkpoint_dir, explode_once, running_before, salted_join, score_splits,
+    split_block, to_stripes,
 )
 
 
@@ -69,3 +69,13 @@ def test_stripes_are_bounded(spark):
     stripes = to_stripes(df, "k", "y", "v", width=50)
     sizes = [len(r.stripe) for r in stripes.collect()]
     assert sum(sizes) == 1_000 and len(sizes) == 20 and max(sizes) < 100
+
+
+def test_computed_arrays_are_evaluated_once(spark):
+    from tallyline.functions import tokens
+
+    docs = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "id long, text string")
+    df = explode_once(docs.select("id", tokens("text").alias("ws")), "ws", "w", "id")
+    assert [tuple(r) for r in df.collect()] == [(1, "a"), (1, "b")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

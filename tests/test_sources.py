@@ -13,7 +13,7 @@ def test_adjacency(spark):
     nodes, edges = sources.parse_adjacency(lines(spark, "1 2 3", " 2\t3  3 ", "4", ""))
     assert sorted(r.id for r in nodes.collect()) == [1, 2, 4]
     assert sorted((r.src, r.dst) for r in edges.collect()) == [(1, 2), (1, 3), (2, 3), (2, 3)]
-    assert sources.read_sources("6139,7") == [6139, 7]
+    assert sources.read_sources("17,7") == [17, 7]
 
 
 def test_labelled_documents(spark):
