@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..plans.prefix import running_before
+from ..plans.rows import explode_counts
 
 BLOCK_SPAN = 65_536
 
 
 def term_freq(docs: DataFrame, docno: str = "docno", text: str = "text") -> DataFrame:
-    """(term, docno, tf): token counts of every document."""
-    words = docs.select(F.col(docno).alias("docno"), F.explode(tokens(text)).alias("term"))
-    return words.groupBy("docno", "term").agg(F.count("*").cast("int").alias("tf")).select(
-        "term", "docno", "tf"
-    )
+    """(term, docno, tf): token counts of every document, one row of ``docs`` each.
+
+    The terms of a document are counted inside its row, without a shuffle.
+    """
+    words = docs.select(F.col(docno).alias("docno"), tokens(text).alias("words"))
+    return explode_counts(words, "words", "term", "tf", "docno").select("term", "docno", "tf")
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import sigmoid, sign_vote
 from ..plans.durable import checkpointed, checkpointed_by
-from ..plans.rows import explode_once
+from ..plans.rows import explode_counts, explode_once
 from ..plans.skew import hot_keys, salt_many, salt_one
 
 DELTA = 0.002
@@ -134,10 +134,7 @@ def train_batch(docs: DataFrame, delta: float = DELTA, epochs: int = 1) -> DataF
         _gradient(by_doc.select("*", half), delta, F.count("*").alias("n"))
     )
     hot = checkpointed(hot_keys(first, key))
-    counted = (
-        explode_once(by_doc, "features", "feature", *doc_key)
-        .groupBy(*doc_key, "feature").agg(F.count("*").alias("k"))
-    )
+    counted = explode_counts(by_doc, "features", "feature", "k", *doc_key)
     by_feature = checkpointed_by(salt_many(counted, hot, key, ["doc_id"]), [*key, "slot"])
     model = first.drop("n")
     for _ in range(epochs - 1):
@@ -155,7 +152,13 @@ def train_batch(docs: DataFrame, delta: float = DELTA, epochs: int = 1) -> DataF
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "label", F.explode_outer("features").alias("feature"))
+    """(doc_id, label, feature, k): counted in the row, so that each feature of a
+    document travels once; a document without features keeps one row."""
+    return explode_counts(docs, "features", "feature", "k", "doc_id", "label", keep_empty=True)
+
+
+def _total() -> Column:
+    return F.sum(F.coalesce(F.col("k") * F.col("weight"), F.lit(0.0))).alias("score")
 
 
 def _settled(score: str) -> Column:
@@ -176,9 +179,7 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     and documents without features give 0, and 0 is ham.
     """
     weighted = _occurrences(docs).join(model.select("feature", "weight"), "feature", "left")
-    summed = weighted.groupBy("doc_id", "label").agg(
-        F.sum(F.coalesce("weight", F.lit(0.0))).alias("score")
-    )
+    summed = weighted.groupBy("doc_id", "label").agg(_total())
     return summed.select("doc_id", "label", "score", _pred())
 
 
@@ -196,8 +197,8 @@ def score_ensemble(docs: DataFrame, models: DataFrame, method: str) -> DataFrame
         return total.select("doc_id", "label", "score", "mean", _pred("mean"))
     if method == "vote":
         per_model = (
-            _occurrences(docs).join(models, "feature", "left").groupBy("doc_id", "label", "model_id")
-            .agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("score"))
+            _occurrences(docs).join(models, "feature", "left")
+            .groupBy("doc_id", "label", "model_id").agg(_total())
         )
         vote = sign_vote(_settled("score"))
         votes = per_model.groupBy("doc_id", "label").agg(F.sum(vote).alias("score"))

@@ -2,12 +2,12 @@
 
 from .durable import checkpointed, checkpointed_by, ensure_checkpoint_dir
 from .prefix import running_before, score_splits, split_block
-from .rows import explode_once
+from .rows import explode_counts, explode_once
 from .skew import hot_keys, salt_many, salt_one, salted_join
 from .stripes import to_stripes
 
 __all__ = [
-    "checkpointed", "checkpointed_by", "ensure_checkpoint_dir", "explode_once", "hot_keys",
-    "running_before", "salt_many", "salt_one", "salted_join", "score_splits",
+    "checkpointed", "checkpointed_by", "ensure_checkpoint_dir", "explode_counts",
+    "explode_once", "hot_keys", "running_before", "salt_many", "salt_one", "salted_join", "score_splits",
     "split_block", "to_stripes",
 ]

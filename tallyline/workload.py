@@ -18,7 +18,7 @@ from .operators import (
     linear_classifier, pagerank, reconcile, star,
 )
 from .plans.durable import checkpointed, ensure_checkpoint_dir
-from .plans.rows import explode_once
+from .plans.rows import explode_counts, explode_once
 from .sources.documents import document_lines
 from .sources.tables import balanced, load_tables
 
@@ -98,10 +98,8 @@ def _bigram_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 def _map_sum(spark: SparkSession, sf: str) -> DataFrame:
     """Term counts of each document, as maps, summed per source of documents."""
     docs = balanced(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text"))
-    freq = (
-        docs.select("doc_id", "source", F.explode(tokens("text")).alias("term"))
-        .groupBy("source", "doc_id", "term").agg(F.count("*").alias("tf"))
-    )
+    words = docs.select("doc_id", "source", tokens("text").alias("words"))
+    freq = explode_counts(words, "words", "term", "tf", "source", "doc_id")
     maps = freq.groupBy("source", "doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("stripe")
     )

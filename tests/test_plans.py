@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans import (
-    checkpointed_by, ensure_checkpoint_dir, explode_once, running_before, salted_join, score_splits,
-    split_block, to_stripes,
+    checkpointed_by, ensure_checkpoint_dir, explode_counts, explode_once, running_before, salted_join,
+    score_splits, split_block, to_stripes,
 )
 
 
@@ -79,3 +79,17 @@ def test_computed_arrays_are_evaluated_once(spark):
     assert [tuple(r) for r in df.collect()] == [(1, "a"), (1, "b")]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_elements_are_counted_in_the_row(spark):
+    from collections import Counter
+
+    rng = random.Random(4)
+    rows = [(i, [rng.choice("abcd") for _ in range(rng.randrange(12))]) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, xs array<string>")
+    counted = explode_counts(df, "xs", "x", "n", "i")
+    want = {(i, x): n for i, xs in rows for x, n in Counter(xs or []).items()}
+    assert {(r.i, r.x): r.n for r in counted.collect()} == want
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    kept = explode_counts(df, "xs", "x", "n", "i", keep_empty=True).where("x is null").collect()
+    assert {r.i for r in kept} == {i for i, xs in rows if not xs} and all(r.n is None for r in kept)
