@@ -4,10 +4,11 @@ from .durable import checkpointed, checkpointed_by, ensure_checkpoint_dir
 from .prefix import running_before, score_splits, split_block
 from .rows import explode_counts, explode_once
 from .skew import hot_keys, salt_many, salt_one, salted_join
+from .staging import Staging, shared_folder
 from .stripes import to_stripes
 
 __all__ = [
-    "checkpointed", "checkpointed_by", "ensure_checkpoint_dir", "explode_counts",
+    "Staging", "checkpointed", "checkpointed_by", "ensure_checkpoint_dir", "explode_counts",
     "explode_once", "hot_keys", "running_before", "salt_many", "salt_one", "salted_join", "score_splits",
-    "split_block", "to_stripes",
+    "shared_folder", "split_block", "to_stripes",
 ]
