@@ -28,14 +28,16 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(text)), F.lit(TOKEN), F.lit(0))
 
 
-def first_distinct_tokens(text: Column | str, max_tokens: int = 100) -> Column:
-    """The distinct tokens among the first ``max_tokens`` raw tokens.
+def first_distinct_tokens(text: Column | str, max_tokens: int | None = None) -> Column:
+    """The distinct tokens of a text, or among its first ``max_tokens`` raw tokens.
 
-    Raw tokens are counted before stripping, and the raw token that reaches
+    With a limit, raw tokens are counted before stripping, and the raw token that reaches
     the limit only ends the scan if it yields a token.  The set is therefore:
     tokens at raw positions 1 .. max_tokens-1, plus the first token found at
     position max_tokens or later.  At most ``max_tokens`` elements.
     """
+    if max_tokens is None:
+        return F.array_distinct(tokens(text))
     if max_tokens < 1:
         raise ValueError("max_tokens must be at least 1")
     low = F.lower(_col(text))

@@ -101,12 +101,13 @@ def search_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
     A query's candidates come from the postings of its anchor terms; the other
     terms are looked up for candidates only, by (term, document).  A word found
     everywhere is thus not multiplied by the queries that AND it with a rare
-    one.  The postings are read three times: pass stored ones.
+    one.  Candidates carry their query's text, and nothing is joined or grouped
+    by query alone, so a broad query is spread over all its documents.  The
+    postings are read three times: pass stored ones.
     """
     operators = F.array(F.lit("AND"), F.lit("OR"))
-    wanted = queries.select(
-        "query_id", F.explode(F.array_except(_words(F.col("query")), operators)).alias("term")
-    )
+    words = F.array_except(_words(F.col("query")), operators)
+    wanted = queries.select("query_id", F.explode(words).alias("term"))
     entries = postings.select("term", "docno")
     frequency = (
         entries.join(wanted.select("term").distinct(), "term", "left_semi")
@@ -116,15 +117,15 @@ def search_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("term", "n"))).alias("sizes")
     )
     anchors = queries.join(sizes, "query_id", "left").select(
-        "query_id", F.explode(_anchors(F.col("query"), F.col("sizes"))).alias("term")
+        "query_id", "query", F.explode(_anchors(F.col("query"), F.col("sizes"))).alias("term")
     )
-    candidates = entries.join(anchors, "term").select("query_id", "docno").distinct()
+    candidates = entries.hint("merge").join(anchors, "term").select("docno", "query_id", "query").distinct()
+    looked_up = candidates.select("docno", "query_id", "query", F.explode(words).alias("term"))
     hits = (
-        candidates.join(wanted, "query_id").join(entries, ["term", "docno"], "left_semi")
-        .groupBy("query_id", "docno").agg(F.collect_set("term").alias("present"))
+        looked_up.join(entries.hint("merge"), ["docno", "term"], "left_semi")
+        .groupBy("docno", "query_id", "query").agg(F.collect_set("term").alias("present"))
     )
-    judged = hits.join(queries.select("query_id", "query"), "query_id")
-    return judged.where(_holds(F.col("query"), F.col("present"))).select("query_id", "docno")
+    return hits.where(_holds(F.col("query"), F.col("present"))).select("query_id", "docno")
 
 
 def fetch(hits: DataFrame, docs: DataFrame, docno: str = "docno", text: str = "text") -> DataFrame:

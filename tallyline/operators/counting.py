@@ -32,9 +32,9 @@ def top_counts(counts: DataFrame, key: str, k: int = 3, n: str = "n") -> DataFra
 
 
 def line_words(
-    lines: DataFrame, *carried: str, max_tokens: int = 100, text: str = "text"
+    lines: DataFrame, *carried: str, max_tokens: int | None = None, text: str = "text"
 ) -> DataFrame:
-    """(carried..., w): the first-token set of every line, a row per word.
+    """(carried..., w): the token set of every line, a row per word.
 
     The array is a projected column before it is exploded, so that Spark
     evaluates the shared parts of its expression once per line.
@@ -43,8 +43,8 @@ def line_words(
     return explode_once(sets, "ws", "w", *carried)
 
 
-def line_df(lines: DataFrame, max_tokens: int = 100, text: str = "text") -> DataFrame:
-    """(w, n): number of lines whose first-token set holds w."""
+def line_df(lines: DataFrame, max_tokens: int | None = None, text: str = "text") -> DataFrame:
+    """(w, n): number of lines whose token set holds w; with ``max_tokens``, the set of the first ones."""
     words = line_words(lines, max_tokens=max_tokens, text=text)
     return words.groupBy("w").agg(F.count("*").alias("n"))
 

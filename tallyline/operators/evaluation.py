@@ -7,28 +7,26 @@ input more than once: pass a stored table, not a pipeline that scores anew.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import RATE_EDGES, guarded_rate, logit, rate_bucket, sigmoid
-from ..plans.prefix import BLOCKS, running_before, score_splits, split_block
+from ..plans.prefix import running_before, with_score_block
 
 
 def _spam() -> Column:
     return F.col("label") == "spam"
 
 
-def _per_score(preds: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
+def _per_score(preds: DataFrame, by: Sequence[str], blocks: int | None) -> DataFrame:
     """(by..., block, score, s, h): spam and ham documents per distinct score."""
-    cuts = score_splits(preds, "score", blocks)
     counted = preds.groupBy(*by, "score").agg(
         F.count_if(_spam()).alias("s"), F.count_if(~_spam()).alias("h")
     )
-    return counted.withColumn("block", split_block("score", cuts))
+    return with_score_block(counted, "score", by, blocks)
 
 
 def _inversion_rate(inversions: Column, h: Column, s: Column) -> Column:
@@ -37,15 +35,13 @@ def _inversion_rate(inversions: Column, h: Column, s: Column) -> Column:
     return F.when(inversions == 0, F.lit(0.5)).otherwise(inversions) / pairs
 
 
-def one_minus_roca(preds: DataFrame, by: Sequence[str] = (), blocks: int = BLOCKS) -> DataFrame:
-    """(by..., hams, spams, one_minus_roca): the percentage of (spam, ham) pairs
-    where the spam scores below the ham, equal scores counting one half.
+def _inversions(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., hams, spams, inversions) from (by..., block, score, s, h).
 
     Inside a block, hams are matched with the spams scoring lower; between
     blocks, all hams of one with all spams of the earlier ones.
     """
     by = list(by)
-    rows = _per_score(preds, by, blocks)
     earlier = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*by, "block").orderBy("score").rowsBetween(*earlier)
     below = F.coalesce(F.sum("s").over(inside), F.lit(0)).cast("double") + F.col("s") / F.lit(2.0)
@@ -56,9 +52,16 @@ def one_minus_roca(preds: DataFrame, by: Sequence[str] = (), blocks: int = BLOCK
     across = Window.partitionBy(*by).orderBy("block").rowsBetween(*earlier)
     before = F.coalesce(F.sum("s").over(across), F.lit(0)).cast("double")
     total = per_block.withColumn("inversions", F.col("inversions") + F.col("h") * before)
-    sums = total.groupBy(*by).agg(
+    return total.groupBy(*by).agg(
         F.sum("h").alias("hams"), F.sum("s").alias("spams"), F.sum("inversions").alias("inversions")
     )
+
+
+def one_minus_roca(preds: DataFrame, by: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+    """(by..., hams, spams, one_minus_roca): the percentage of (spam, ham) pairs
+    where the spam scores below the ham, equal scores counting one half."""
+    by = list(by)
+    sums = _inversions(_per_score(preds, by, blocks), by)
     rate = _inversion_rate(F.col("inversions"), F.col("hams"), F.col("spams"))
     return sums.select(*by, "hams", "spams", (F.lit(100.0) * rate).alias("one_minus_roca"))
 
@@ -74,7 +77,7 @@ def lam(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("lam", F.lit(100.0) * sigmoid(mean))
 
 
-def operating_points(preds: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def operating_points(preds: DataFrame, blocks: int | None = None) -> DataFrame:
     """(kind, bucket, edge, rate) along the ascending scores.
 
     ``fp_at_fn``: in each bucket of the false-negative rate, the false-positive
@@ -102,96 +105,41 @@ def operating_points(preds: DataFrame, blocks: int = BLOCKS) -> DataFrame:
 
 # --- bootstrap -----------------------------------------------------------
 
-GROUPS = ("s_ok", "s_bad", "h_ok", "h_bad")
-
-
-def _uniform(key: np.ndarray, reps: int, stream: int) -> np.ndarray:
-    """(rows, reps) uniforms in [0, 1) that depend on key, repetition and stream only."""
-    x = key[:, None] + np.arange(1, reps + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = x ^ np.uint64((stream + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
-
-
-def _poisson(n: np.ndarray, key: np.ndarray, reps: int, stream: int) -> np.ndarray:
-    """(rows, reps) Poisson(n) draws: by inversion for small n, else by the
-    skew-corrected normal approximation."""
-    u = _uniform(key, reps, stream)
-    out = np.zeros(u.shape)
-    for mean in np.unique(n[(n > 0) & (n <= 64)]):
-        top = np.arange(1, int(mean + 12 * np.sqrt(mean) + 20))
-        cdf = np.cumsum(np.exp(-mean) * np.concatenate([[1.0], np.cumprod(mean / top)]))
-        rows = n == mean
-        out[rows] = np.searchsorted(cdf, u[rows], side="right")
-    big = n > 64
-    if big.any():
-        v = _uniform(key[big], reps, stream + len(GROUPS))
-        z = np.sqrt(-2.0 * np.log(1.0 - u[big])) * np.cos(2.0 * np.pi * v)
-        mean = n[big][:, None].astype(float)
-        out[big] = np.maximum(0.0, np.rint(mean + np.sqrt(mean) * z + (z * z - 1.0) / 6.0))
-    return out
-
-
-def _resample(batches: Iterator[pd.DataFrame], reps: int) -> Iterator[pd.DataFrame]:
-    """Per (block, rep): drawn spams, hams, errors and inversions inside the block."""
-    block, sums = None, None
-
-    def finished() -> pd.DataFrame:
-        s, h, fn, fp, inversions = sums
-        return pd.DataFrame({
-            "block": block, "rep": np.arange(reps), "s": s, "h": h, "fn": fn, "fp": fp,
-            "inversions": inversions,
-        })
-
-    for batch in batches:
-        for here, rows in batch.groupby("block", sort=True):
-            if here != block:
-                if block is not None:
-                    yield finished()
-                block, sums = here, np.zeros((5, reps))
-            key = rows["key"].to_numpy().astype(np.uint64)
-            s_ok, s_bad, h_ok, h_bad = (
-                _poisson(rows[g].to_numpy(), key, reps, i) for i, g in enumerate(GROUPS)
-            )
-            s, h = s_ok + s_bad, h_ok + h_bad
-            below = sums[0] + np.cumsum(s, axis=0) - s / 2.0
-            sums += np.stack([s.sum(0), h.sum(0), s_bad.sum(0), h_bad.sum(0), (h * below).sum(0)])
-    if block is not None:
-        yield finished()
-
-
-def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int = BLOCKS) -> DataFrame:
+# How often a document is drawn: k if the uniform is at least the first k of these.
+POISSON_1 = tuple(math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(17))
+
+
+def _times(doc_id: Column, rep: Column, seed: int) -> Column:
+    """A Poisson(1) draw that depends on document, repetition and seed only."""
+    key = F.concat_ws(":", doc_id.cast("string"), rep.cast("string"), F.lit(str(seed)))
+    uniform = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+    return F.size(F.filter(F.lit(list(POISSON_1)), lambda c: c <= uniform)).cast("bigint")
+
+
+def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None) -> DataFrame:
     """(metric, estimate, low, high): 95 % bootstrap intervals of 1-ROCA and LAM, percent.
 
-    Poisson bootstrap: how often a document is drawn is Poisson(1), so how
-    often the n equal documents of one score are drawn is Poisson(n).  Draws
-    are a hash of score, repetition and seed, the same in every run.  The
-    rows travel once, for all repetitions together, and stream through the
-    tasks in score order.
+    Poisson bootstrap: every document is drawn Poisson(1) times in every
+    repetition.  Draws are a hash of document, repetition and seed, the same in
+    every run, and are summed per repetition and score in the tasks that make
+    them.
     """
-    cuts = score_splits(preds, "score", blocks)
-    ok = F.col("pred") == F.col("label")
-    counted = preds.groupBy("score").agg(
-        F.count_if(_spam() & ok).alias("s_ok"), F.count_if(_spam() & ~ok).alias("s_bad"),
-        F.count_if(~_spam() & ok).alias("h_ok"), F.count_if(~_spam() & ~ok).alias("h_bad"),
-    )
-    placed = counted.select(
-        split_block("score", cuts).alias("block"), "score",
-        F.xxhash64("score", F.lit(seed)).alias("key"), *GROUPS,
-    )
-    ordered = placed.repartition("block").sortWithinPartitions("block", "score")
-    schema = "block int, rep int, s double, h double, fn double, fp double, inversions double"
-    drawn = ordered.drop("score").mapInPandas(lambda batches: _resample(batches, reps), schema)
-
-    across = Window.partitionBy("rep").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("s").over(across), F.lit(0.0))
-    sums = (
-        drawn.withColumn("inversions", F.col("inversions") + F.col("h") * before)
-        .groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("s", "h", "fn", "fp", "inversions")])
+    wrong = F.col("pred") != F.col("label")
+    drawn = preds.select(
+        "score", _spam().alias("spam"), wrong.alias("wrong"), "doc_id", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")
+    ).withColumn("n", _times(F.col("doc_id"), F.col("rep"), seed)).where("n > 0")
+
+    def times(condition: str) -> Column:
+        return F.sum(F.when(F.expr(condition), F.col("n")).otherwise(0))
+
+    counted = drawn.groupBy("rep", "score").agg(
+        times("spam").alias("s"), times("NOT spam").alias("h"),
+        times("spam AND wrong").alias("fn"), times("NOT spam AND wrong").alias("fp"),
     )
-    roca = logit(_inversion_rate(F.col("inversions"), F.col("h"), F.col("s")))
-    average = (logit(guarded_rate("fn", "s")) + logit(guarded_rate("fp", "h"))) / F.lit(2.0)
+    errors = counted.groupBy("rep").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"))
+    sums = _inversions(with_score_block(counted, "score", ["rep"], blocks), ["rep"]).join(errors, "rep")
+    roca = logit(_inversion_rate(F.col("inversions"), F.col("hams"), F.col("spams")))
+    average = (logit(guarded_rate("fn", "spams")) + logit(guarded_rate("fp", "hams"))) / F.lit(2.0)
     spread = sums.select(roca.alias("roca"), average.alias("lam")).agg(
         F.stddev_samp("roca").alias("one_minus_roca"), F.stddev_samp("lam").alias("lam")
     ).unpivot([], ["one_minus_roca", "lam"], "metric", "sd")

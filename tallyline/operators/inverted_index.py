@@ -4,8 +4,8 @@ Postings are flat rows (term, docno, tf).  Lists are kept in blocks of
 document numbers, so the list of a term found in most documents is many rows
 of bounded size and never one.
 
-Lists and gaps read the postings more than once: pass stored ones, such as an
-index read back, rather than a pipeline that tokenises anew.
+Lists are made and stored once; document frequencies and gaps come from the
+stored lists.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..plans.durable import checkpointed
 from ..plans.prefix import running_before
 from ..plans.rows import explode_counts
 
@@ -34,8 +35,13 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _with_block(postings: DataFrame, span: int) -> DataFrame:
-    return postings.withColumn("block", F.floor(F.col("docno") / F.lit(span)))
+def _blocks(postings: DataFrame, span: int) -> DataFrame:
+    """(term, block, postings sorted by docno), stored; blocks by whole-number division."""
+    block = F.expr(f"(docno - pmod(docno, {int(span)})) div {int(span)}")
+    lists = postings.withColumn("block", block).groupBy("term", "block").agg(
+        F.array_sort(F.collect_list(F.struct("docno", "tf"))).alias("postings")
+    )
+    return checkpointed(lists)
 
 
 def build_index(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
@@ -43,39 +49,36 @@ def build_index(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
 
     A block covers ``span`` document numbers, so no list exceeds ``span``
     entries; the lists of a term in block order are its whole postings list.
-    Frequencies are brought to (term, block) as small rows and hashed there:
-    the lists are neither shuffled by term nor sorted.
+    The postings are read and shuffled once.
     """
-    blocked = _with_block(postings, span)
-    lists = blocked.groupBy("term", "block").agg(
-        F.array_sort(F.collect_list(F.struct("docno", "tf"))).alias("postings")
-    )
-    sizes = blocked.groupBy("term", "block").agg(F.count("*").alias("n"))
-    frequency = sizes.groupBy("term").agg(F.sum("n").alias("df"))
-    per_block = sizes.select("term", "block").join(frequency, "term")
-    joined = lists.join(per_block.hint("shuffle_hash"), ["term", "block"])
-    return joined.select("term", "df", "block", "postings")
+    lists = _blocks(postings, span)
+    frequency = lists.groupBy("term").agg(F.sum(F.size("postings").cast("bigint")).alias("df"))
+    return lists.join(frequency, "term").select("term", "df", "block", "postings")
 
 
 def encode_gaps(postings: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     """(term, block, pos, gap, tf): gaps between document numbers of a term.
 
-    The first gap of a term is its first document number.  Windows run inside
-    (term, block); the first posting of a block continues from the last
+    The first gap of a term is its first document number.  Gaps are taken
+    inside each list; the first posting of a block continues from the last
     document number of the term's previous block.
     """
-    blocked = _with_block(postings, span)
-    inside = Window.partitionBy("term", "block").orderBy("docno")
-    last = blocked.groupBy("term", "block").agg(F.max("docno").alias("last"))
-    start = last.select(
-        "term", "block",
-        F.lag("last", 1, 0).over(Window.partitionBy("term").orderBy("block")).alias("start"),
+    lists = _blocks(postings, span)
+    last = F.element_at("postings", -1)["docno"]
+    by_term = Window.partitionBy("term").orderBy("block")
+    starts = lists.select("term", "block", last.alias("last")).select(
+        "term", "block", F.lag("last", 1, 0).over(by_term).alias("start")
+    )
+    gaps = F.transform(
+        "postings",
+        lambda p, i: F.struct(
+            (p["docno"] - F.coalesce(F.get("postings", i - 1)["docno"], F.col("start"))).alias("gap"), p["tf"].alias("tf")
+        ),
     )
-    placed = blocked.select(
-        "*", F.row_number().over(inside).alias("pos"), F.lag("docno").over(inside).alias("previous")
+    rows = lists.join(starts, ["term", "block"]).select("term", "block", gaps.alias("gaps"))
+    return rows.select("term", "block", F.posexplode("gaps").alias("at", "p")).select(
+        "term", "block", (F.col("at") + 1).alias("pos"), "p.gap", "p.tf"
     )
-    gap = F.col("docno") - F.coalesce("previous", "start")
-    return placed.join(start, ["term", "block"]).select("term", "block", "pos", gap.alias("gap"), "tf")
 
 
 def decode_gaps(encoded: DataFrame) -> DataFrame:

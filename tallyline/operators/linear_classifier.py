@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import sigmoid, sign_vote
@@ -19,7 +19,6 @@ from ..plans.rows import explode_counts, explode_once
 from ..plans.skew import hot_keys, salt_many, salt_one
 
 DELTA = 0.002
-SHARD_DOCS = 20_000
 
 
 def _is_spam() -> Column:
@@ -57,25 +56,8 @@ def _fold(batches: Iterator[pd.DataFrame], delta: float) -> Iterator[pd.DataFram
         yield finished()
 
 
-def train_sgd(
-    docs: DataFrame, delta: float = DELTA, order: Sequence[str] = ("doc_id",),
-    shard_docs: int = SHARD_DOCS,
-) -> DataFrame:
-    """(model_id, feature, weight): one pass of stochastic gradient descent per model.
-
-    ``docs`` may have a model_id; without one, all train the model 'all'.
-    Documents are visited by ``order``; ties go by doc_id.  A model of up to ``shard_docs`` documents is trained in sequence,
-    in exactly that order.  A larger one is hashed into shards of about that
-    size, trained in parallel, and the weights are averaged (parameter mixing),
-    because one sequence over unlimited documents cannot be spread over tasks.
-    Rows stream through a task; only the weights of one shard are held.
-    """
-    shards = F.ceil(F.count("*") / F.lit(shard_docs)).cast("int").alias("shards")
-    if "model_id" in docs.columns:
-        placed = docs.join(docs.groupBy("model_id").agg(shards), "model_id")
-    else:
-        placed = docs.withColumns({"model_id": F.lit("all"), "shards": docs.agg(shards).scalar()})
-    placed = placed.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.col("shards")).cast("int"))
+def _trained(placed: DataFrame, delta: float, order: Sequence[str]) -> DataFrame:
+    """(model_id, shard, shards, feature, weight): every shard in its own sequence."""
     ordered = placed.repartition("model_id", "shard").sortWithinPartitions(
         "model_id", "shard", *order, "doc_id"
     )
@@ -85,23 +67,64 @@ def train_sgd(
     schema = (
         f"model_id {types['model_id']}, shard int, shards int, feature {feature_type}, weight double"
     )
-    partial = rows.mapInPandas(lambda batches: _fold(batches, delta), schema)
-    return partial.groupBy("model_id", "feature").agg(
-        (F.sum("weight") / F.max("shards")).alias("weight")
-    )
+    return rows.mapInPandas(lambda batches: _fold(batches, delta), schema)
+
+
+def _with_model(docs: DataFrame) -> DataFrame:
+    return docs if "model_id" in docs.columns else docs.withColumn("model_id", F.lit("all"))
+
+
+def _bounded(docs: DataFrame, max_docs: int | None, order: Sequence[str]) -> DataFrame:
+    """The first ``max_docs`` labelled documents of every model, in training order."""
+    if max_docs is None:
+        return docs
+    first = Window.partitionBy("model_id").orderBy(*order, "doc_id")
+    return docs.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= max_docs).drop("_nth")
+
+
+def train_sgd(
+    docs: DataFrame, delta: float = DELTA, order: Sequence[str] = ("doc_id",), max_docs: int | None = None,
+) -> DataFrame:
+    """(model_id, feature, weight): one pass of stochastic gradient descent per model.
+
+    ``docs`` may have a model_id; without one, all train the model 'all'.
+    Documents are visited by ``order``; ties go by doc_id.  One model is one
+    sequence and so one task, at any size: rows stream through it and only the
+    weights are held.  ``max_docs`` bounds the labelled documents a model is
+    fitted on; ``train_sgd_sharded`` and ``train_batch`` train in parallel.
+    """
+    chosen = _bounded(_with_model(docs), max_docs, order)
+    placed = chosen.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
+    return _trained(placed, delta, order).select("model_id", "feature", "weight")
+
 
+def shard_of(doc_id: Column, shards: int) -> Column:
+    """A document's shard, from the first 15 hex digits of the md5 of its id."""
+    digits = F.substring(F.md5(doc_id.cast("string")), 1, 15)
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(shards)).cast("int")
 
-def train_runs(
-    docs: DataFrame, seeds: Sequence[int], delta: float = DELTA, shard_docs: int = SHARD_DOCS
+
+def train_sgd_sharded(
+    docs: DataFrame, shards: int, delta: float = DELTA, order: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
+    """(model_id, feature, weight): ``shards`` sequences per model, their weights averaged.
+
+    Parameter mixing: a feature that a shard has not seen counts as 0 there.
+    """
+    placed = _with_model(docs).withColumns({"shard": shard_of(F.col("doc_id"), shards), "shards": F.lit(shards)})
+    mean = (F.sum("weight") / F.max("shards")).alias("weight")
+    return _trained(placed, delta, order).groupBy("model_id", "feature").agg(mean)
+
+
+def train_runs(docs: DataFrame, seeds: Sequence[int], delta: float = DELTA) -> DataFrame:
     """One model per seed, each trained in its own shuffled order, in one job.
 
-    The order is a hash of document and seed, so a seed always gives the same
+    The order is an md5 of document and seed, so a seed always gives the same
     model.
     """
     runs = docs.withColumn("model_id", F.explode(F.lit([int(s) for s in seeds])))
-    shuffled = runs.withColumn("turn", F.xxhash64("doc_id", "model_id"))
-    return train_sgd(shuffled, delta, order=("turn",), shard_docs=shard_docs)
+    turn = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("model_id").cast("string")))
+    return train_sgd(runs.withColumn("turn", turn), delta, order=("turn",))
 
 
 # --- batch training ------------------------------------------------------
@@ -157,19 +180,23 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return explode_counts(docs, "features", "feature", "k", "doc_id", "label", keep_empty=True)
 
 
-def _total() -> Column:
-    return F.sum(F.coalesce(F.col("k") * F.col("weight"), F.lit(0.0))).alias("score")
+ERROR = 2.0**-40
+
 
+def _totals() -> list[Column]:
+    """The score, and the sum of its terms' sizes."""
+    term = F.coalesce(F.col("k") * F.col("weight"), F.lit(0.0))
+    return [F.sum(term).alias("score"), F.sum(F.abs(term)).alias("_size")]
 
-def _settled(score: str) -> Column:
-    """A score without its last bits: weights that cancel out give exactly 0,
-    in whatever order the tasks added them."""
-    return F.round(score, 12)
 
+def _sign(score: Column, size: Column) -> Column:
+    """-1, 0 or 1; 0 if the score is within the float error of its terms' sum,
+    so that weights that cancel out give 0 in whatever order tasks add them."""
+    return F.when(F.abs(score) <= F.lit(ERROR) * size, F.lit(0)).otherwise(sign_vote(score))
 
-def _pred(score: str = "score") -> Column:
-    spam = _settled(score) > 0
-    return F.when(spam, F.lit("spam")).otherwise(F.lit("ham")).alias("pred")
+
+def _label(sign: Column) -> Column:
+    return F.when(sign > 0, F.lit("spam")).otherwise(F.lit("ham")).alias("pred")
 
 
 def score(docs: DataFrame, model: DataFrame) -> DataFrame:
@@ -179,8 +206,30 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     and documents without features give 0, and 0 is ham.
     """
     weighted = _occurrences(docs).join(model.select("feature", "weight"), "feature", "left")
-    summed = weighted.groupBy("doc_id", "label").agg(_total())
-    return summed.select("doc_id", "label", "score", _pred())
+    summed = weighted.groupBy("doc_id", "label").agg(*_totals())
+    return summed.select("doc_id", "label", "score", _label(_sign(F.col("score"), F.col("_size"))))
+
+
+def score_models(docs: DataFrame, models: DataFrame) -> DataFrame:
+    """(model_id, doc_id, label, score, pred): every document by every model.
+
+    Features travel once for all models; a document without a known feature
+    of a model scores 0 there.
+    """
+    known = (
+        _occurrences(docs).join(models, "feature")
+        .groupBy("model_id", "doc_id", "label").agg(*_totals())
+    )
+    names = models.select("model_id").distinct()
+    zero = F.lit(0.0)
+    each = names.agg(F.collect_list("model_id")).scalar()  # one value per model
+    spine = docs.select("doc_id", "label", F.explode(each).alias("model_id")).select(
+        "model_id", "doc_id", "label", zero.alias("score"), zero.alias("_size")
+    )
+    summed = known.unionByName(spine).groupBy("model_id", "doc_id", "label").agg(
+        F.sum("score").alias("score"), F.sum("_size").alias("_size")
+    )
+    return summed.select("model_id", "doc_id", "label", "score", _label(_sign(F.col("score"), F.col("_size"))))
 
 
 def score_ensemble(docs: DataFrame, models: DataFrame, method: str) -> DataFrame:
@@ -190,17 +239,17 @@ def score_ensemble(docs: DataFrame, models: DataFrame, method: str) -> DataFrame
     'vote' emits the sum of the signs of the model scores.
     """
     if method == "average":
-        # The sum over models commutes with the sum over occurrences.
-        joint = models.groupBy("feature").agg(F.sum("weight").alias("weight"))
         number = models.select("model_id").distinct().agg(F.count("*")).scalar()
-        total = score(docs, joint).drop("pred").withColumn("mean", F.col("score") / number)
-        return total.select("doc_id", "label", "score", "mean", _pred("mean"))
+        weighted = _occurrences(docs).join(models.select("feature", "weight"), "feature", "left")
+        total = weighted.groupBy("doc_id", "label").agg(*_totals())
+        pred = _label(_sign(F.col("score"), F.col("_size")))
+        return total.select("doc_id", "label", "score", (F.col("score") / number).alias("mean"), pred)
     if method == "vote":
         per_model = (
             _occurrences(docs).join(models, "feature", "left")
-            .groupBy("doc_id", "label", "model_id").agg(_total())
+            .groupBy("doc_id", "label", "model_id").agg(*_totals())
         )
-        vote = sign_vote(_settled("score"))
+        vote = _sign(F.col("score"), F.col("_size"))
         votes = per_model.groupBy("doc_id", "label").agg(F.sum(vote).alias("score"))
-        return votes.select("doc_id", "label", "score", _pred())
+        return votes.select("doc_id", "label", "score", _label(F.col("score")))
     raise ValueError("method must be 'average' or 'vote'")

@@ -53,22 +53,6 @@ def validate_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def iteration_counters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(nodes, edges, mass_sent, mass_received, missing_structure) of one iteration.
-
-    Every out-edge carries a message whatever its mass, so the counters are
-    the same in every iteration.
-    """
-    targets = edges.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"))
-    absent = targets.join(nodes, "id", "left_anti").agg(F.count("*")).scalar()
-    sent = F.coalesce(F.sum("n"), F.lit(0))
-    return targets.agg(
-        nodes.agg(F.count("*")).scalar().alias("nodes"),
-        sent.alias("edges"), sent.alias("mass_sent"), sent.alias("mass_received"),
-        absent.alias("missing_structure"),
-    )
-
-
 def init_ranks(nodes: DataFrame, sources: Sequence[int]) -> DataFrame:
     """(source, id, p): probability 1 at each source that is a node."""
     here = nodes.where(F.col("id").isin(list(sources)))
@@ -170,7 +154,7 @@ def pagerank(
 
 def dense_ranks(ranks: DataFrame, nodes: DataFrame, sources: Sequence[int]) -> DataFrame:
     """(source, id, p) with a row for every node, 0 where no probability arrived."""
-    each = F.explode(F.lit([int(s) for s in sources]).cast("array<bigint>"))
+    each = F.explode(F.lit([int(s) for s in dict.fromkeys(sources)]).cast("array<bigint>"))
     spine = nodes.select(each.alias("source"), "id")
     filled = spine.join(ranks, ["source", "id"], "left")
     return filled.select("source", "id", F.coalesce("p", F.lit(0.0)).alias("p"))
@@ -187,22 +171,15 @@ def mass_balance(ranks: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFr
     return mass.select("source", "mass", F.greatest(1.0 - F.col("mass"), F.lit(0.0)).alias("missing"))
 
 
-def top_nodes(ranks: DataFrame, n: int, decimals: int = 12) -> DataFrame:
+def top_nodes(ranks: DataFrame, n: int, digits: int = 10) -> DataFrame:
     """(source, rank, id, p): the ``n`` most probable nodes of each source.
 
-    Probabilities equal to ``decimals`` places tie and go by id.  Filtering on
-    the row number lets Spark drop rows below the n-th before the shuffle.
+    Probabilities equal in their first ``digits`` significant digits tie and go
+    by id: sums that differ only in the order of their terms do not decide, and
+    probabilities of any size are told apart.  Filtering on the row number lets
+    Spark drop rows below the n-th before the shuffle.
     """
-    order = Window.partitionBy("source").orderBy(F.desc(F.round("p", decimals)), F.asc("id"))
+    comparable = F.format_string(f"%.{digits - 1}e", "p").cast("double")
+    order = Window.partitionBy("source").orderBy(comparable.desc(), F.asc("id"))
     numbered = ranks.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
     return numbered.select("source", "rank", "id", "p")
-
-
-def partition_graph(edges: DataFrame, parts: int) -> DataFrame:
-    """(src, dst, part): every node's out-edges share one part number.
-
-    Rows are laid out by ranges of (part, src, dst), so the tasks stay even
-    when one node owns most edges of its part.
-    """
-    placed = edges.withColumn("part", F.pmod(F.xxhash64("src"), F.lit(parts)).cast("int"))
-    return placed.repartitionByRange("part", "src", "dst").sortWithinPartitions("part", "src", "dst")

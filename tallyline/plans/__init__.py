@@ -1,14 +1,14 @@
 """Plan shapes shared by the operators: durable cuts, salting, prefix sums."""
 
-from .durable import checkpointed, checkpointed_by, ensure_checkpoint_dir
-from .prefix import running_before, score_splits, split_block
+from .durable import checkpointed, checkpointed_by
+from .prefix import running_before, with_score_block
 from .rows import explode_counts, explode_once
 from .skew import hot_keys, salt_many, salt_one, salted_join
 from .staging import Staging, shared_folder
 from .stripes import to_stripes
 
 __all__ = [
-    "Staging", "checkpointed", "checkpointed_by", "ensure_checkpoint_dir", "explode_counts",
-    "explode_once", "hot_keys", "running_before", "salt_many", "salt_one", "salted_join", "score_splits",
-    "shared_folder", "split_block", "to_stripes",
+    "Staging", "checkpointed", "checkpointed_by", "explode_counts",
+    "explode_once", "hot_keys", "running_before", "salt_many", "salt_one", "salted_join", "shared_folder",
+    "to_stripes", "with_score_block",
 ]

@@ -1,55 +1,35 @@
-"""Cutting lineage in storage that outlives any executor."""
+"""Cutting lineage in storage that outlives any executor.
+
+Tables are Parquet in the shared folder (see ``staging``): they have their
+true size for the planner, and are read with column pruning and filters.
+"""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
-
-    The folder named by the cluster in ``spark.checkpoint.dir`` is used.  Only
-    a local-mode session that names none gets a temporary folder; a cluster
-    without a shared folder is an error.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get(
-        "spark.checkpoint.dir", ""
-    )
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tallyline-checkpoint-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+from .staging import Staging
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return Staging(df.sparkSession, "table").keep(df)
 
 
 def checkpointed_by(
     df: DataFrame, keys: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
-    """Checkpoint hash-partitioned and sorted by ``keys``.
+    """Stored as a table bucketed and sorted by ``keys``.
 
-    Loops join against the result without shuffling or sorting it again.
-    Spark keeps the partitioning only if this plan is built without AQE, so
-    ``df`` should be stored already, or use joins that are salted: no skewed
-    partition is split here.
+    Loops join against the result without shuffling or sorting it again.  The
+    files are in the shared folder; the session's catalog has the table's name.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return checkpointed(df.repartition(n, *keys).sortWithinPartitions(*keys))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    name = f"tallyline_{uuid.uuid4().hex}"
+    folder = Staging(spark, "buckets").folder(name)
+    dealt = df.repartition(n, *keys)
+    dealt.write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", folder).saveAsTable(name)
+    return spark.read.table(name)

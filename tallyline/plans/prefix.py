@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKS = 1024
+STEP = 32
 
 
 def running_before(
@@ -44,30 +44,42 @@ def running_before(
     return summed.drop(*[f"_i_{v}" for v in values], *[f"_o_{v}" for v in values])
 
 
-def score_splits(df: DataFrame, score: str, blocks: int = BLOCKS) -> list[float]:
-    """At most ``blocks - 1`` cut points that share the rows evenly.
+def score_cuts(rows: DataFrame, score: str, by: Sequence[str], blocks: int) -> DataFrame:
+    """(by..., _cuts, _coarse): at most ``blocks - 1`` cut points that share a group's rows evenly.
 
-    The cut points are read to the driver (a fixed number of doubles) so that
-    every branch of a plan cuts the scores at the same places.  They only
-    decide which task handles a row, never a result.
+    They only decide which task handles a row, never a result.  ``_coarse`` has
+    every ``STEP``-th of them.
     """
-    points = [i / blocks for i in range(1, blocks)]
-    cuts = df.agg(F.percentile_approx(score, points, 10 * blocks).alias("cuts")).first()["cuts"]
-    return sorted(set(cuts or []))
+    points = [i / blocks for i in range(1, blocks)] or [0.5]
+    cuts = F.array_sort(F.array_distinct(F.percentile_approx(score, points, 10 * blocks)))
+    coarse = F.filter("_cuts", lambda c, i: i % STEP == STEP - 1)
+    return rows.groupBy(*by).agg(cuts.alias("_cuts")).select(*by, "_cuts", coarse.alias("_coarse"))
 
 
-def split_block(score: Column | str, cuts: Sequence[float], step: int = 32) -> Column:
-    """Number of cut points below the score.
+def with_score_block(rows: DataFrame, score: str, by: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+    """Adds ``block``: the number of the group's cut points below the score.
 
-    Every ``step``-th cut finds the group of cuts that holds the answer, so a
-    row is compared with about 2 * step of up to step * step cuts.
+    There are as many blocks as shuffle partitions unless told otherwise.
+    """
+    by = list(by)
+    n = blocks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = score_cuts(rows, score, by, max(n, 2))
+    if by:
+        placed = rows.join(cuts, by)
+    else:
+        placed = rows.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")})
+    return placed.withColumn("block", split_block(F.col(score))).drop("_cuts", "_coarse")
+
+
+def split_block(score: Column) -> Column:
+    """Number of ``_cuts`` below the score.
+
+    The coarse cuts find the group of cuts that holds the answer, so a row is
+    compared with few of many cuts.
     """
-    score = F.col(score) if isinstance(score, str) else score
-    if not cuts:
-        return F.lit(0)
 
     def below(some: Column) -> Column:
         return F.size(F.filter(some, lambda cut: cut < score))
 
-    group = below(F.lit(list(cuts[step - 1 :: step]))) if len(cuts) >= step else F.lit(0)
-    return group * step + below(F.slice(F.lit(list(cuts)), group * step + 1, F.lit(step)))
+    group = below(F.col("_coarse")) * STEP
+    return group + below(F.slice("_cuts", group + 1, F.lit(STEP)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.durable import checkpointed
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(text): one row per line of the files."""
@@ -12,16 +14,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_lines(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """(docno, text): lines of text files with a document number each.
+    """(docno, text): lines of text files, numbered from 0 in the order of file path and line.
 
-    Numbers are drawn once and written with the text to ``out``, replacing
-    what is there; everything downstream reads that table.  They are unique
-    over any number of files, ordered within a file split, not consecutive.
+    The numbers do not depend on how the files are split: lines are counted per
+    split, and a line's number is its place in its split after all lines of
+    earlier splits.  They are written with the text to ``out``, replacing what
+    is there; everything downstream reads that table.
     """
-    numbered = read_lines(spark, path).select(
-        F.monotonically_increasing_id().alias("docno"), "text"
-    )
-    numbered.write.mode("overwrite").parquet(out)
+    tagged = checkpointed(spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"),
+    ))
+    sizes = tagged.groupBy("file", "start").agg(F.count("*").alias("n"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    offsets = sizes.select("file", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("file", "start").orderBy("at")) - 1
+    numbered = tagged.withColumn("place", place).join(offsets, ["file", "start"])
+    numbered.select((F.col("before") + F.col("place")).alias("docno"), "text").write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 

@@ -55,16 +55,6 @@ def load_tables(
     return {n: read_table(spark, f"{folder}/{n}.tbl", n) for n in names}
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    Large inputs already have more splits than cores and are left alone, so
-    this never shuffles them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a result, replacing what is at ``path``; ``tsv`` gives text."""
     writer = df.write.mode("overwrite")

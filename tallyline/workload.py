@@ -6,10 +6,9 @@ a sum, or the last bit of a logarithm, may differ between engines.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import tokens
@@ -17,10 +16,14 @@ from .operators import (
     bigrams, boolean_search, cooccurrence, counting, evaluation, inverted_index,
     linear_classifier, pagerank, reconcile, star,
 )
-from .plans.durable import checkpointed, ensure_checkpoint_dir
-from .plans.rows import explode_counts, explode_once
-from .sources.documents import document_lines
-from .sources.tables import balanced, load_tables
+from .plans import Staging
+from .plans.durable import checkpointed
+from .plans.rows import explode_counts
+from .sources.documents import document_lines, number_lines, read_labeled, read_lines
+from .sources.graphs import read_adjacency
+from .sources.index_store import read_index, write_index
+from .sources.models import read_models, write_model
+from .sources.tables import SCHEMAS, load_tables, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,7 @@ SEARCH_BATCH = (
 )
 SUPPLIER_1, SUPPLIER_2, PART_3 = 4, 8, 13
 INDEX_SPAN = 256
+SHARDS, RUNS = 4, 10
 
 
 def _round(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -53,15 +57,28 @@ def _q6(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _q7(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(star.top_revenue(_star(spark, sf), "1998-03-15", "o_orderpriority"), 4, "revenue")
+def _q7(date: str) -> Query:
+    return lambda spark, sf: _round(star.top_revenue(_star(spark, sf), date, "o_orderpriority"), 4, "revenue")
+
+
+def _q3_delimited(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables written as delimited files, read back, then Q3."""
+    folder = Staging(spark, "delimited").folder("tables")
+    for name in ("lineitem", "part", "supplier"):
+        table = spark.read.parquet(f"{sf}/{name}.parquet")
+        fields = [f.strip().split(" ") for f in SCHEMAS[name].split(",")]
+        columns = [
+            (F.col(c) if c in table.columns else F.lit(None)).cast(kind).alias(c) for c, kind in fields
+        ]
+        table.select(*columns).write.csv(f"{folder}/{name}.tbl", sep="|")
+    return star.parts_and_suppliers(load_tables(spark, folder, ("lineitem", "part", "supplier"), "tbl"), "1998-03-15")
 
 
 # --- text ----------------------------------------------------------------
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = balanced(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     return docs.withColumnRenamed("doc_id", "docno")
 
 
@@ -69,8 +86,36 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return document_lines(_docs(spark, sf))
 
 
-def _pmi(spark: SparkSession, sf: str, min_count: int = 10) -> DataFrame:
-    return cooccurrence.pmi(_lines(spark, sf), min_count)
+def _pmi(spark: SparkSession, sf: str, max_tokens: int | None = None) -> DataFrame:
+    return cooccurrence.pmi(_lines(spark, sf), 10, max_tokens)
+
+
+def _pmi_rows(pmi: DataFrame) -> DataFrame:
+    return _round(pmi.select("x", "y", "n", "pmi"), 9, "pmi")
+
+
+def _text_lines(spark: SparkSession, sf: str) -> str:
+    """The documents' lines as text files; their folder."""
+    folder = Staging(spark, "lines").folder("text")
+    _lines(spark, sf).select("text").write.text(folder)
+    return folder
+
+
+def _line_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of text files by length, written as tab-separated text and read back."""
+    lines = read_lines(spark, _text_lines(spark, sf))
+    folder = Staging(spark, "lengths").folder("tsv")
+    write_table(lines.groupBy(F.length("text").alias("chars")).agg(F.count("*").alias("n")), folder, "tsv")
+    return read_table(spark, folder, schema="chars int, n bigint", sep="\t")
+
+
+def _numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """(n, numbers, first, last) of the numbers given to the lines of text files."""
+    docs = number_lines(spark, _text_lines(spark, sf), Staging(spark, "numbered").folder("lines"))
+    return docs.agg(
+        F.count("*").alias("n"), F.count_distinct("docno").alias("numbers"),
+        F.min("docno").alias("first"), F.max("docno").alias("last"),
+    )
 
 
 def _pmi_stripes(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,12 +124,19 @@ def _pmi_stripes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pmi_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs against stripes: no row, as both forms hold the same."""
     rows = checkpointed(_pmi(spark, sf))
-    stripes = cooccurrence.pmi_stripes(rows.where("n >= 20"), width=1000)
+    stripes = cooccurrence.pmi_stripes(rows, width=1000)
     compared = reconcile.reconcile(rows, cooccurrence.flatten_stripes(stripes), ["x", "y"], "pmi")
     return _round(compared, 9, "value_a", "value_b")
 
 
+def _pmi_reconcile_first100(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole lines against their first 100 tokens."""
+    whole, first = (_pmi(spark, sf, n).withColumn("pmi", F.round("pmi", 9)) for n in (None, 100))
+    return reconcile.reconcile(whole, first, ["x", "y"], "pmi")
+
+
 def _bigram_stripes(spark: SparkSession, sf: str) -> DataFrame:
     return bigrams.bigram_stripes(_lines(spark, sf), width=1000)
 
@@ -97,7 +149,7 @@ def _bigram_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 def _map_sum(spark: SparkSession, sf: str) -> DataFrame:
     """Term counts of each document, as maps, summed per source of documents."""
-    docs = balanced(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text")
     words = docs.select("doc_id", "source", tokens("text").alias("words"))
     freq = explode_counts(words, "words", "term", "tf", "source", "doc_id")
     maps = freq.groupBy("source", "doc_id").agg(
@@ -114,16 +166,19 @@ def _postings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return checkpointed(_postings(spark, sf))
+    """The postings of an index that was written and read back."""
+    path = Staging(spark, "index").folder("postings")
+    write_index(_postings(spark, sf), path)
+    return read_index(spark, path)
 
 
 def _index(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = inverted_index.build_index(_stored_postings(spark, sf), INDEX_SPAN)
+    blocks = inverted_index.build_index(_postings(spark, sf), INDEX_SPAN)
     return blocks.select("term", "df", "block", F.inline("postings"))
 
 
 def _search(query: str) -> Query:
-    return lambda spark, sf: boolean_search.search(_postings(spark, sf), query)
+    return lambda spark, sf: boolean_search.search(_stored_postings(spark, sf), query)
 
 
 def _search_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,9 +198,12 @@ def _search_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return boolean_search.search_batch(_stored_postings(spark, sf), queries)
 
 
-def _search_fetch(spark: SparkSession, sf: str) -> DataFrame:
-    hits = boolean_search.search(_postings(spark, sf), "the of AND de OR")
-    return boolean_search.result_lines(boolean_search.fetch(hits, _docs(spark, sf)), 80)
+def _search_fetch(limit: int | None) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        hits = boolean_search.search(_stored_postings(spark, sf), "the of AND de OR")
+        return boolean_search.result_lines(boolean_search.fetch(hits, _docs(spark, sf)), limit)
+
+    return query
 
 
 # --- graph ---------------------------------------------------------------
@@ -187,10 +245,6 @@ def _graph_validate(spark: SparkSession, sf: str) -> DataFrame:
     return pagerank.validate_graph(listed, supply_graph(spark, sf)[1])
 
 
-def _graph_counters(spark: SparkSession, sf: str) -> DataFrame:
-    return pagerank.iteration_counters(_goods_nodes(spark, sf), supply_graph(spark, sf)[1])
-
-
 def _ppr(sources: list[int], iterations: int) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         nodes, edges = supply_graph(spark, sf)
@@ -204,7 +258,7 @@ def _ppr_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Two iterations stored as snapshots, then resumed for a third."""
     nodes, edges = supply_graph(spark, sf)
     sources = [SUPPLIER_1, SUPPLIER_2, PART_3]
-    base = f"{ensure_checkpoint_dir(spark)}/ranks-{uuid.uuid4().hex}"
+    base = Staging(spark, "ranks").folder("snapshots")
     pagerank.pagerank(nodes, edges, sources, 2, base=base)
     ranks = pagerank.pagerank(nodes, edges, sources, 3, start=2, base=base)
     return _round(pagerank.dense_ranks(ranks, nodes, sources), 10, "p")
@@ -222,31 +276,50 @@ def _ppr_mass(spark: SparkSession, sf: str) -> DataFrame:
     return _round(pagerank.mass_balance(ranks, nodes, edges), 10, "mass", "missing")
 
 
-def _graph_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Edges per node after partitioning, with the number of parts each is in."""
-    placed = pagerank.partition_graph(supply_graph(spark, sf)[1], 16)
-    return placed.groupBy("src").agg(
-        F.count("*").alias("n"), F.count_distinct("part").alias("parts")
+def _ppr_adjacency(spark: SparkSession, sf: str) -> DataFrame:
+    """The graph written as adjacency lists, read back, then ranked."""
+    nodes, edges = supply_graph(spark, sf)
+    out = edges.groupBy(F.col("src").alias("id")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("dst")), lambda d: d.cast("string")), " ").alias("to")
     )
+    line = F.concat_ws(" ", F.col("id").cast("string"), "to")
+    folder = Staging(spark, "adjacency").folder("lists")
+    nodes.join(out, "id", "left").select(line.alias("value")).write.text(folder)
+    nodes, edges = read_adjacency(spark, folder)
+    ranks = pagerank.pagerank(nodes, edges, [SUPPLIER_1], 3)
+    return _round(pagerank.dense_ranks(ranks, nodes, [SUPPLIER_1]), 10, "p")
 
 
 # --- classifier ----------------------------------------------------------
 
 
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, label, features, model_id): low quality is spam, one model per language."""
+def every_document(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, label, features, model_id): low quality is spam, one model per language.
+
+    The label is null where no one has judged the document.
+    """
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
-    return balanced(docs).join(labels, "doc_id").select(
-        "doc_id", F.when(F.col("quality") == 0, "spam").otherwise("ham").alias("label"),
-        tokens("text").alias("features"), F.col("lang").alias("model_id"),
+    judged = F.when(F.col("quality") == 0, "spam").when(F.col("quality").isNotNull(), "ham")
+    return docs.join(labels, "doc_id", "left").select(
+        "doc_id", judged.alias("label"), tokens("text").alias("features"), F.col("lang").alias("model_id"),
     )
 
 
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The judged documents, to train on and to evaluate with."""
+    return every_document(spark, sf).where("label IS NOT NULL")
+
+
 def _one_model(docs: DataFrame) -> DataFrame:
     return docs.withColumn("model_id", F.lit("all"))
 
 
+def _comparable(score: str) -> Column:
+    """A score in 12 significant digits: the order of a sum's terms does not tell equal scores apart."""
+    return F.format_string("%.11e", score).cast("double").alias("score")
+
+
 def _train_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _round(linear_classifier.train_batch(labelled(spark, sf), epochs=2), 9, "weight")
 
@@ -257,37 +330,57 @@ def _train_sgd(spark: SparkSession, sf: str) -> DataFrame:
 
 def _train_sgd_sharded(spark: SparkSession, sf: str) -> DataFrame:
     docs = labelled(spark, sf).drop("model_id")
-    return _round(linear_classifier.train_sgd(docs, shard_docs=100), 9, "weight")
+    return _round(linear_classifier.train_sgd_sharded(docs, SHARDS), 9, "weight")
 
 
 def _train_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """1-ROCA over ten models trained in different random orders."""
+    """1-ROCA over models trained in different random orders."""
     docs = labelled(spark, sf)
-    models = linear_classifier.train_runs(docs, range(10))
-    occurrences = explode_once(docs, "features", "feature", "doc_id", "label")
-    preds = (
-        occurrences.join(models, "feature").groupBy("model_id", "doc_id", "label")
-        .agg(F.round(F.sum("weight"), 9).alias("score"))
+    models = checkpointed(linear_classifier.train_runs(docs, range(RUNS)))
+    preds = linear_classifier.score_models(docs, models)
+    rocas = evaluation.one_minus_roca(
+        checkpointed(preds.select("model_id", "label", _comparable("score"))), by=["model_id"]
     )
-    rocas = evaluation.one_minus_roca(checkpointed(preds), by=["model_id"])
     return _round(evaluation.run_summary(rocas), 6, "low", "high", "mean")
 
 
+def _score_unrounded(spark: SparkSession, sf: str) -> DataFrame:
+    model = linear_classifier.train_batch(_one_model(labelled(spark, sf)))
+    return linear_classifier.score(every_document(spark, sf), model)
+
+
 def _score(spark: SparkSession, sf: str) -> DataFrame:
-    docs = labelled(spark, sf)
-    model = linear_classifier.train_batch(_one_model(docs))
-    return _round(linear_classifier.score(docs, model), 6, "score")
+    return _round(_score_unrounded(spark, sf), 6, "score")
 
 
 def _ensemble(method: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        docs = labelled(spark, sf)
-        scored = linear_classifier.score_ensemble(docs, linear_classifier.train_batch(docs), method)
+        models = linear_classifier.train_batch(labelled(spark, sf))
+        scored = linear_classifier.score_ensemble(every_document(spark, sf), models, method)
         return _round(scored, 6, *(["score", "mean"] if method == "average" else []))
 
     return query
 
 
+def _labelled_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Judged documents written as lines of id, label and features, read back, then one model."""
+    line = F.concat_ws(" ", F.col("doc_id").cast("string"), "label", "features")
+    folder = Staging(spark, "labelled").folder("text")
+    labelled(spark, sf).select(line.alias("value")).write.text(folder)
+    docs = read_labeled(read_lines(spark, folder), "string")
+    return _round(linear_classifier.train_batch(_one_model(docs)), 9, "weight")
+
+
+def _model_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Models written as tuple lines, read back, then the vote on every document."""
+    models = checkpointed(linear_classifier.train_batch(labelled(spark, sf)))
+    folder = Staging(spark, "models").folder("text")
+    write_model(models, folder, "text")
+    names = [r[0] for r in models.select("model_id").distinct().collect()]  # a handful of models
+    read = read_models(spark, {m: f"{folder}/model_id={m}" for m in names})
+    return linear_classifier.score_ensemble(every_document(spark, sf), read, "vote")
+
+
 # --- evaluation ----------------------------------------------------------
 
 
@@ -303,7 +396,8 @@ def by_length(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _roca_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(evaluation.one_minus_roca(checkpointed(_score(spark, sf))), 6, "one_minus_roca")
+    judged = _score_unrounded(spark, sf).where("label IS NOT NULL").select("label", _comparable("score"))
+    return _round(evaluation.one_minus_roca(checkpointed(judged)), 6, "one_minus_roca")
 
 
 QUERIES: dict[str, Query] = {
@@ -318,55 +412,62 @@ QUERIES: dict[str, Query] = {
         _star(s, d), (3, 24), {3: "CANADA", 24: "UNITED STATES"}),
     "q5_pivot": lambda s, d: star.monthly_shipments_pivot(_star(s, d), LABELS),
     "q6_pricing": _q6,
-    "q7_top_revenue": _q7,
+    "q3_delimited": _q3_delimited,
+    "q7_top_revenue": _q7("1998-03-15"),
+    "q7_top_revenue_month": _q7("1998-03"),
     "word_count": lambda s, d: counting.word_count(_docs(s, d)),
     "prefix_count": lambda s, d: counting.prefix_count(_docs(s, d)),
     "prefix_lookup": lambda s, d: counting.lookup(counting.prefix_count(_docs(s, d)), "prefix", "li"),
     "top_prefixes": lambda s, d: counting.top_counts(counting.prefix_count(_docs(s, d)), "prefix"),
     "line_df": lambda s, d: counting.line_df(_lines(s, d)),
+    "line_df_first100": lambda s, d: counting.line_df(_lines(s, d), 100),
+    "line_lengths": _line_lengths,
+    "line_numbers": _numbered,
     "line_count": lambda s, d: counting.line_count(_lines(s, d)),
     "map_sum": _map_sum,
     "bigram_pairs": lambda s, d: bigrams.bigram_freq(_lines(s, d)),
     "bigram_stripes": lambda s, d: _bigram_stripes(s, d).select("a", F.explode("stripe").alias("b", "f")),
     "bigram_reconcile": _bigram_reconcile,
     "cooccur": lambda s, d: cooccurrence.cooccur(_lines(s, d), 5),
-    "pmi_pairs": lambda s, d: _round(_pmi(s, d), 9, "pmi"),
+    "pmi_pairs": lambda s, d: _pmi_rows(_pmi(s, d)),
+    "pmi_pairs_first100": lambda s, d: _pmi_rows(_pmi(s, d, 100)),
     "pmi_stripes": _pmi_stripes,
-    "pmi_top": lambda s, d: _round(cooccurrence.top_pairs(_pmi(s, d)), 9, "pmi"),
-    "pmi_neighbors": lambda s, d: _round(cooccurrence.neighbors(_pmi(s, d), "the", k=20), 9, "pmi"),
-    "pmi_neighbors_right": lambda s, d: _round(
-        cooccurrence.neighbors(_pmi(s, d), "of", "right", k=20), 9, "pmi"),
+    "pmi_top": lambda s, d: _pmi_rows(cooccurrence.top_pairs(_pmi(s, d))),
+    "pmi_neighbors": lambda s, d: _pmi_rows(cooccurrence.neighbors(_pmi(s, d), "the", k=20)),
+    "pmi_neighbors_right": lambda s, d: _pmi_rows(
+        cooccurrence.neighbors(_pmi(s, d), "of", "right", k=20)),
     "pair_stats": lambda s, d: cooccurrence.pair_stats(_pmi(s, d)),
     "pmi_reconcile": _pmi_reconcile,
+    "pmi_reconcile_first100": _pmi_reconcile_first100,
     "term_freq": _postings,
     "postings": _index,
-    "posting_gaps": lambda s, d: inverted_index.encode_gaps(_stored_postings(s, d), INDEX_SPAN),
-    "posting_roundtrip": lambda s, d: inverted_index.decode_gaps(
-        checkpointed(inverted_index.encode_gaps(_stored_postings(s, d), INDEX_SPAN))),
+    "posting_gaps": lambda s, d: inverted_index.encode_gaps(_postings(s, d), INDEX_SPAN),
     "bool_term": _search("the"),
     "bool_and": _search("the of AND"),
     "bool_or": _search("the de OR"),
     "bool_nested": _search("the of AND de OR"),
     "bool_batch": _search_batch,
     "bool_batch_passages": _search_benchmark,
-    "bool_fetch": _search_fetch,
+    "bool_fetch": _search_fetch(80),
+    "bool_fetch_whole": _search_fetch(None),
     "graph_stats": lambda s, d: pagerank.graph_stats(*supply_graph(s, d)),
     "graph_validate": _graph_validate,
-    "graph_counters": _graph_counters,
-    "graph_parts": _graph_parts,
     "ppr_start": _ppr([SUPPLIER_1, PART_3], 0),
     "ppr_resume": _ppr_resume,
     "ppr_single": _ppr([SUPPLIER_1], 3),
     "ppr_multi": _ppr([SUPPLIER_1, SUPPLIER_2, PART_3], 3),
+    "ppr_adjacency": _ppr_adjacency,
     "ppr_top": _ppr_top,
     "ppr_mass": _ppr_mass,
     "train_batch": _train_batch,
     "train_sgd": _train_sgd,
     "train_sgd_sharded": _train_sgd_sharded,
     "train_runs": _train_runs,
+    "train_batch_text": _labelled_text,
     "score": _score,
     "ensemble_average": _ensemble("average"),
     "ensemble_vote": _ensemble("vote"),
+    "ensemble_vote_text": _model_text,
     "one_minus_roca": lambda s, d: _round(
         evaluation.one_minus_roca(by_length(s, d)), 9, "one_minus_roca"),
     "one_minus_roca_by_language": lambda s, d: _round(

@@ -72,17 +72,24 @@ def test_sgd_over_many_arrow_batches(spark):
 def test_shards_are_trained_apart_and_averaged(spark):
     docs = made(60)
     df = spark.createDataFrame(docs, DOC)
-    shard = {r.doc_id: r.s for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("s")).collect()}
+    shard = {r.doc_id: r.s for r in df.select("doc_id", lc.shard_of(F.col("doc_id"), 3).alias("s")).collect()}
     want = defaultdict(float)
     for s in range(3):
         for f, w in sequential([d for d in docs if shard[d[1]] == s], 0.1).items():
             want[f] += w / 3
-    got = weights(lc.train_sgd(df, delta=0.1, shard_docs=20))["m"]
-    assert got == pytest.approx(dict(want), abs=1e-12)
-    unnamed = weights(lc.train_sgd(df.drop("model_id"), delta=0.1, shard_docs=20))
+    got = weights(lc.train_sgd_sharded(df, 3, delta=0.1))["m"]
+    assert got == pytest.approx(dict(want), abs=1e-12) and set(shard.values()) == {0, 1, 2}
+    unnamed = weights(lc.train_sgd_sharded(df.drop("model_id"), 3, delta=0.1))
     assert unnamed == {"all": pytest.approx(dict(want), abs=1e-12)}
 
 
+def test_fitting_on_a_bounded_number_of_documents(spark):
+    docs = made(50, models=("a", "b"))
+    got = weights(lc.train_sgd(spark.createDataFrame(docs, DOC), delta=0.1, max_docs=10))
+    for m in ("a", "b"):
+        assert got[m] == pytest.approx(sequential([d for d in docs if d[0] == m][:10], 0.1), abs=1e-12)
+
+
 def test_runs_are_repeatable_and_differ_by_seed(spark):
     df = spark.createDataFrame(made(40), DOC).drop("model_id")
     first = weights(lc.train_runs(df, [1, 2], delta=0.5))
@@ -140,3 +147,22 @@ def test_ensemble_of_one_model_is_that_model(spark, docs):
     assert sorted(tuple(r) for r in average.drop("mean").collect()) == single
     votes = {r.doc_id: r.pred for r in lc.score_ensemble(docs, one, "vote").collect()}
     assert votes == {r[0]: r[3] for r in single}
+
+
+def test_small_scores_decide(spark, docs):
+    for weight in (4e-13, 1e-300):
+        scored = {r.doc_id: r.pred for r in lc.score(docs, model(spark, [("m", 1, weight)])).collect()}
+        assert scored == {1: "spam", 2: "ham", 3: "spam", 4: "ham"}
+        votes = lc.score_ensemble(docs, model(spark, [("a", 1, weight), ("b", 1, weight), ("c", 1, -1.0)]), "vote")
+        assert {r.doc_id: r.score for r in votes.collect()}[3] == 1
+    cancelling = [("m", 1, 0.1), ("m", 2, -0.2), ("m", 3, -0.1)]
+    assert {r.pred for r in lc.score(docs, model(spark, cancelling)).collect()} == {"ham"}
+
+
+def test_many_models_score_every_document(spark, docs):
+    models = model(spark, [("a", 1, 0.5), ("b", 9, -1.0)])
+    got = {(r.model_id, r.doc_id): (r.score, r.pred) for r in lc.score_models(docs, models).collect()}
+    assert got == {
+        ("a", 1): (1.0, "spam"), ("a", 2): (0.0, "ham"), ("a", 3): (0.5, "spam"), ("a", 4): (0.0, "ham"),
+        ("b", 1): (0.0, "ham"), ("b", 2): (0.0, "ham"), ("b", 3): (0.0, "ham"), ("b", 4): (-1.0, "ham"),
+    }

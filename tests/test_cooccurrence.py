@@ -23,7 +23,7 @@ def brute_pmi(given, min_count, limit):
     }
 
 
-@pytest.mark.parametrize("min_count, limit", [(1, 100), (10, 100), (10, 4)])
+@pytest.mark.parametrize("min_count, limit", [(1, 100), (10, 100), (10, 4), (1, None)])
 def test_pmi_against_brute_force(spark, min_count, limit):
     given = texts(200)
     want = brute_pmi(given, min_count, limit)
@@ -56,7 +56,7 @@ def test_pmi_is_symmetric_and_stripes_hold_the_same(spark):
 
 def test_neighbors_and_top(spark):
     rows = [("a", "b", 1, 2.0), ("b", "a", 1, 2.0), ("a", "c", 1, 3.0), ("c", "a", 1, 3.0), ("a", "d", 1, 2.0)]
-    pmi = spark.createDataFrame(rows, "x string, y string, n long, pmi double")
+    pmi = spark.createDataFrame([(x, y, n, v, v) for x, y, n, v in rows], "x string, y string, n long, lift double, pmi double")
     assert [r.y for r in cooccurrence.neighbors(pmi, "a", "left", 2).collect()] == ["c", "b"]
     assert [r.x for r in cooccurrence.neighbors(pmi, "a", "right", 5).collect()] == ["c", "b"]
     assert [(r.x, r.y) for r in cooccurrence.top_pairs(pmi, 2).collect()] == [("a", "c"), ("a", "b")]
@@ -91,3 +91,17 @@ def test_bigram_counts_are_shuffled_once(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan or "ReusedQueryStage" in plan
+
+
+def test_long_lines_are_cut_into_blocks(spark):
+    words = [chr(97 + i % 26) + chr(97 + i // 26 % 26) + chr(97 + i // 676) for i in range(600)]
+    given = [" ".join(words), " ".join(words[:300]), " ".join(words[200:]), "aaa"]
+    got = {(r.x, r.y): r.n for r in cooccurrence.cooccur(as_lines(spark, given)).collect()}
+    want = Counter(p for t in given for p in permutations(set(t.split()), 2))
+    assert got == want
+
+
+def test_close_pairs_are_told_apart(spark):
+    rows = [("a", y, 1, 1.0 + i * 1e-12, 0.0) for i, y in enumerate("bcd")]
+    pmi = spark.createDataFrame(rows, "x string, y string, n long, lift double, pmi double")
+    assert [r.y for r in cooccurrence.top_pairs(pmi, 3).collect()] == ["d", "c", "b"]

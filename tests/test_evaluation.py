@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.functions.numeric import RATE_EDGES
 from tallyline.operators import evaluation as ev
@@ -113,12 +114,30 @@ def test_intervals_hold_the_estimate_and_do_not_depend_on_the_layout(spark):
     assert width == pytest.approx(sd, rel=0.35)
 
 
-@pytest.mark.parametrize("mean", [1, 7, 64, 65, 5_000])
-def test_poisson_draws(mean):
-    key = np.arange(400, dtype=np.uint64) * np.uint64(7919)
-    draws = ev._poisson(np.full(400, mean), key, 100, 0)
-    assert draws.shape == (400, 100) and (draws >= 0).all() and (draws == np.rint(draws)).all()
-    assert draws.mean() == pytest.approx(mean, abs=4 * math.sqrt(mean / 40_000))
-    assert draws.var() == pytest.approx(mean, rel=0.05)
-    assert (ev._poisson(np.zeros(3), key[:3], 5, 0) == 0).all()
-    assert (ev._poisson(np.full(9, mean), key[:9], 100, 0) == draws[:9]).all()
+def test_draws_are_poisson(spark):
+    n = 200_000
+    draws = spark.range(n).select(ev._times(F.col("id"), F.lit(3), 7).alias("n"))
+    counts = {r.n: r["count"] for r in draws.groupBy("n").count().collect()}
+    for k in range(6):
+        share = math.exp(-1) / math.factorial(k)
+        assert counts[k] / n == pytest.approx(share, abs=4 * math.sqrt(share / n))
+    assert max(counts) < 12
+
+
+def test_weights_of_draws_follow_a_plain_loop(spark):
+    rows = made(60)
+    reps = 20
+    drawn = {
+        (r.doc_id, r.rep): r.n for r in spark.createDataFrame(rows, SCHEMA)
+        .select("doc_id", F.explode(F.lit(list(range(reps)))).alias("rep"))
+        .select("doc_id", "rep", ev._times(F.col("doc_id"), F.col("rep"), 5).alias("n")).collect()
+    }
+    logits = []
+    for rep in range(reps):
+        sample = [r for r in rows for _ in range(drawn[r[0], rep])]
+        x = brute_roca(sample) / 100
+        logits.append(math.log(x / (1 - x)))
+    sd = np.std(logits, ddof=1)
+    got = {r.metric: r for r in ev.roca_ci(spark.createDataFrame(rows, SCHEMA), reps=reps, seed=5).collect()}["one_minus_roca"]
+    centre = math.log(got.estimate / (100 - got.estimate))
+    assert math.log(got.low / (100 - got.low)) == pytest.approx(centre - 1.96 * sd)

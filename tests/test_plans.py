@@ -1,12 +1,12 @@
-import bisect
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans import (
-    checkpointed_by, ensure_checkpoint_dir, explode_counts, explode_once, running_before, salted_join,
-    score_splits, split_block, to_stripes,
+    Staging, checkpointed, checkpointed_by, explode_counts, explode_once, running_before, salted_join,
+    shared_folder, to_stripes, with_score_block,
 )
 
 
@@ -41,27 +41,45 @@ def test_running_before(spark, group):
         assert r.v_before == sum(x[2] for x in earlier) and r.w_before == sum(x[3] for x in earlier)
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 31, 33, 64, 1024])
-def test_split_block(spark, blocks):
+@pytest.mark.parametrize("blocks", [2, 31, 33, 64, 1024])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_score_blocks(spark, blocks, by):
     rng = random.Random(blocks)
-    scores = [rng.choice([rng.gauss(0, 1), 0.0, 1.0]) for _ in range(3_000)]
-    df = spark.createDataFrame([(s,) for s in scores], "score double")
-    cuts = score_splits(df, "score", blocks)
-    assert len(cuts) < max(blocks, 1)
-    for r in df.select("score", split_block("score", cuts).alias("b")).distinct().collect():
-        assert r.b == bisect.bisect_left(cuts, r.score)
-
-
-def test_checkpoint_keeps_the_layout(spark):
+    scores = sorted({("ab"[i % 2], rng.choice([rng.gauss(0, 1 + i % 2), 0.0, 1.0])) for i in range(3_000)})
+    df = spark.createDataFrame(scores, "g string, score double")
+    rows = with_score_block(df, "score", by, blocks).collect()
+    assert len(rows) == len(scores)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.g if by else "", []).append((r.score, r.block))
+    for placed in groups.values():
+        placed.sort()
+        assert all(a[1] <= b[1] and (a[0] < b[0] or a[1] == b[1]) for a, b in zip(placed, placed[1:]))
+        sizes = {}
+        for score, block in set(placed):
+            sizes[block] = sizes.get(block, 0) + 1
+        assert len(sizes) <= blocks and max(sizes.values()) <= 3 * len(set(placed)) / blocks + 3
+
+
+def test_bucketed_tables_keep_the_layout(spark):
     df = checkpointed_by(spark.range(100).withColumn("k", F.col("id") % 7), ["k"])
     plan = df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
-def test_checkpoint_folder_is_the_configured_one(spark):
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert configured in ensure_checkpoint_dir(spark)
+def test_tables_are_staged_in_the_shared_folder(spark):
+    folder = shared_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir")
+    stored = checkpointed(spark.range(10).withColumn("v", F.lit(None).cast("string")))
+    assert all(f.removeprefix("file://").startswith(folder) for f in stored.inputFiles())
+    assert stored.count() == 10 and stored.columns == ["id", "v"]
+    staging = Staging(spark, "test")
+    kept = staging.keep(spark.range(5))
+    (file, *_) = kept.inputFiles()
+    assert os.path.exists(file.removeprefix("file://"))
+    staging.drop(kept)
+    assert not os.path.exists(file.removeprefix("file://"))
 
 
 def test_stripes_are_bounded(spark):

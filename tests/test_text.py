@@ -12,20 +12,19 @@ def raw_tokens(text):
 
 
 def strip(word):
-    return re.sub(r"^[^a-z]+|[^a-z]+$", "", word.lower())
+    """From the first to the last of the characters that are letters a to z."""
+    low = word.lower()
+    letters = [k for k, c in enumerate(low) if "a" <= c <= "z"]
+    return low[letters[0] : letters[-1] + 1] if letters else ""
 
 
 def first_set(text, limit):
-    """The counting rule, word by word."""
-    seen = set()
-    for i, w in enumerate(raw_tokens(text), start=1):
-        w = strip(w)
-        if not w:
-            continue
-        seen.add(w)
-        if i >= limit:
-            break
-    return seen
+    """Tokens at word positions below the limit, and the first token at or after it."""
+    found = [strip(w) for w in raw_tokens(text)]
+    if limit is None:
+        return set(found) - {""}
+    late = [w for w in found[limit - 1 :] if w][:1]
+    return set(found[: limit - 1] + late) - {""}
 
 
 def texts(n=400, seed=7):
@@ -57,7 +56,7 @@ def test_the_hundredth_raw_token(spark):
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(105)]
     numeric = words[:99] + ["123"] + words[100:]
     df = spark.createDataFrame([(" ".join(words),), (" ".join(numeric),)], "text string")
-    plain, skipped = (set(r[0]) for r in df.select(first_distinct_tokens("text")).collect())
+    plain, skipped = (set(r[0]) for r in df.select(first_distinct_tokens("text", 100)).collect())
     assert plain == set(words[:100])
     assert skipped == set(words[:99]) | {words[100]}
 
