@@ -6,8 +6,8 @@ inserted, deleted or replaced words.  It is cut into one piece more than that;
 if it occurs within its budget, at least one piece occurs unchanged.
 
 1. The first ``ANCHOR`` words of every piece (fewer, if it has fewer) are
-   hashed.  A bitmap of ``BITS`` bits of those hashes, of fixed size whatever
-   the benchmark, goes to the tasks.
+   hashed.  A bitmap of those hashes, of fixed size whatever the benchmark, goes
+   to the tasks.
 2. A task hashes the document's runs of those lengths and keeps the documents
    where the bitmap allows a hit, as word hashes, with the hits' positions.
 3. Hits are joined with the pieces on the 64-bit hash, and grouped by document
@@ -35,12 +35,11 @@ from pyspark.sql import functions as F
 
 from ..plans import Staging
 from . import words as W
+from .bitmaps import bitmap_of, maybe_in
 from .rows import join_null_safe, keyed
 
 ERROR_RATE = 0.1
 ANCHOR = 5
-BITS = 1 << 25
-_ROWS = 1 << 10  # the bitmap comes in so many rows
 
 _PIECES = pa.schema([
     ("item_id", pa.int64()), ("item", pa.binary()), ("budget", pa.int32()),
@@ -75,41 +74,6 @@ def _cut_items(rate: float) -> Callable:
     return cut
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.astype(np.uint64) >> np.uint64(20)) % np.uint64(BITS)
-
-
-def _bitmap(pieces: DataFrame) -> np.ndarray:
-    """One byte per eight bits, put together from _ROWS rows of fixed size."""
-    per_row = BITS // _ROWS
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS, bool)
-        for batch in batches:
-            bits[_bits(batch.column("hash").to_numpy()).astype(np.int64)] = True
-        packed = np.packbits(bits).reshape(_ROWS, -1)
-        some = np.flatnonzero(packed.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array([packed[i].tobytes() for i in some], pa.binary())], names=["row", "bits"]
-        )
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row, cell in zip(batch.column("row").to_pylist(), batch.column("bits")):
-                bits = np.frombuffer(cell.as_buffer(), np.uint8)
-                held[row] = held[row] | bits if row in held else bits
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), pa.array([b.tobytes() for b in held.values()], pa.binary())], names=["row", "bits"]
-        )
-
-    united = pieces.select("hash").mapInArrow(pack, "row long, bits binary").repartition("row").mapInArrow(unite, "row long, bits binary")
-    whole = np.zeros(BITS // 8, np.uint8)
-    for row, bits in united.collect():  # at most _ROWS rows, BITS / 8 bytes in all
-        whole[row * per_row // 8 : (row + 1) * per_row // 8] = np.frombuffer(bits, np.uint8)
-    return whole
-
-
 def _hits(bitmap, lengths: list[int]) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
@@ -119,8 +83,7 @@ def _hits(bitmap, lengths: list[int]) -> Callable:
                 places, hashes = [], []
                 for n in lengths:
                     starts, h = W.windows(block.hashes, block.first, n, seed=30 + n)
-                    bit = _bits(h)
-                    hit = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (7 - (bit & np.uint64(7)).astype(np.uint8))) & 1 == 1
+                    hit = maybe_in(bits, h)
                     places.append(starts[hit])
                     hashes.append(h[hit].astype(np.int64))
                 place, h = np.concatenate(places), np.concatenate(hashes)
@@ -211,7 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> Da
     schema = "item_id long, item binary, budget int, hash long, length int, offset int"
     pieces = staging.keep(items.mapInArrow(_cut_items(rate), schema).distinct(), "pieces")
     lengths = sorted(r[0] for r in pieces.select("length").distinct().collect())  # at most ANCHOR numbers
-    bitmap = spark.sparkContext.broadcast(_bitmap(pieces))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(pieces.select("hash")))
     schema = "doc_id long, version long, words binary, hashes array<long>, places array<int>"
     found = staging.keep(keyed(docs).mapInArrow(_hits(bitmap, lengths or [ANCHOR]), schema), "found")
     hits = found.select("doc_id", "version", F.explode(F.arrays_zip("hashes", "places")).alias("h")).select(

@@ -125,6 +125,6 @@ def mix(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     times = F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))
     return (
         docs.join(targets, docs["source"].eqNullSafe(targets["_source"]), "left")
-        .select(*[docs[c] for c in docs.columns], F.explode(times).alias("_copy"))
-        .drop("_copy")
+        .select(*[docs[c] for c in docs.columns], F.explode(times).alias("__copy_number"))
+        .drop("__copy_number")
     )
