@@ -132,7 +132,7 @@ def test_dedup_documents_keeps_columns(spark, corpus):
             assert d not in rows
 
 
-@pytest.mark.parametrize("small,depth", [(16, 6), (2, 6), (2, 1)])
+@pytest.mark.parametrize("small,depth", [(1024, 6), (2, 6), (2, 1)])
 def test_near(spark, corpus, small, depth, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", small)
     monkeypatch.setattr(near_dedup, "DEPTH", depth)
