@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 
 from ..plans import Staging
 from . import words as W
-from .packed import gather, group_starts, part_count, parts_of, split_rows
+from .packed import deal, gather, group_starts, part_count, parts_of, split_rows
 from .shards import Table, write_shard
 
 START, END = np.uint64(0x5EED0000000000A1), np.uint64(0x5EED0000000000B2)
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 
 PAIRS = "part long, first binary, second binary, counts binary"
 _PAIRS = pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in ("first", "second", "counts")]])
@@ -223,10 +223,10 @@ def train(docs: DataFrame, staging: Staging) -> Model:
     """Counts the texts of ``docs`` and stores the arrays."""
     parts = part_count(docs.sparkSession)
     folder = staging.folder("model")
-    sent = docs.select("text").mapInArrow(_send_pairs(parts), PAIRS).repartition("part")
+    sent = deal(docs.select("text").mapInArrow(_send_pairs(parts), PAIRS), parts)
     stored = staging.keep(sent.mapInArrow(_store_pairs(folder, parts), WORDS), "words")
     pairs = stored.where("kind = 'pairs'").select("part", "file", "c1", "c2", "c3", "c4").collect()  # a row per range
-    words = stored.where("kind = 'words'").repartition("part").mapInArrow(_store_words(folder, parts), TOTALS).collect()
+    words = deal(stored.where("kind = 'words'"), parts).mapInArrow(_store_words(folder, parts), TOTALS).collect()
     staging.drop(stored)
     c2 = [sum(r[f"c{i}"] for r in pairs) for i in (1, 2, 3, 4)]
     c1 = [sum(r[f"c{i}"] for r in words) for i in (1, 2, 3, 4)]
@@ -247,7 +247,7 @@ def _scorer(model: Model) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for block in W.blocks(batch.column("text"), W.LOWER, size=8 * W.BLOCK):
+            for block in W.blocks(batch.column("text"), W.LOWER, size=4 * W.BLOCK):
                 before, token, first = tokens(block)
                 log_p, log_base, known = model.score(before, token)
                 at = first[:-1]

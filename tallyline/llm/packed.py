@@ -4,7 +4,7 @@ An entry is a hash with some numbers.  A task sorts what it has by part and
 sends one row per part with the entries as byte strings: far fewer rows than
 entries.  Entries of one hash meet in one part; a task merges equal hashes
 before it sends them, so a frequent hash has one entry per task and not one
-per occurrence.
+per occurrence.  There is a part for every shuffle partition.
 """
 
 from __future__ import annotations
@@ -13,12 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-
-PARTS_PER_PARTITION = 8
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def part_count(spark) -> int:
-    return PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def deal(packed: DataFrame, parts: int) -> DataFrame:
+    """Every part in a partition of its own; parts are ranges of hashes and so even."""
+    return packed.repartitionById(parts, F.col("part").cast("int"))
 
 
 def parts_of(hashes: np.ndarray, parts: int) -> np.ndarray:
