@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import Staging
+from ..plans import Staging, explode_once
 from .rows import join_null_safe, keyed
 
 RUN = 2
@@ -40,22 +40,26 @@ def _numbered(lines: str):
 
 
 def _runs(docs: DataFrame, run: int) -> DataFrame:
-    """(doc_id, version, at array of lines, print, w1, w2): a row per run of lines."""
+    """(doc_id, version, at array of lines, print, w1, w2): a row per run of lines.
+
+    All runs of a document are made inside its row, and a run carries its own
+    lines only.
+    """
     items = docs.select("doc_id", "version", F.split("text", "\n").alias("_lines")).select(
         "doc_id", "version", _numbered("_lines").alias("_items")
     )
-    starts = F.sequence(F.lit(0), F.size("_items") - run)
-    rows = items.where(F.size("_items") >= run).select(
-        "doc_id", "version", "_items", F.explode(starts).alias("_start")
-    )
-    lines = F.slice("_items", F.col("_start") + 1, run)
-    hashes = F.transform("_run", lambda x: x["h"])
-    smallest = F.array_min(hashes)
-    return rows.select("doc_id", "version", lines.alias("_run")).select(
-        "doc_id", "version", F.transform("_run", lambda x: x["at"]).alias("at"),
-        smallest.alias("print"),
-        F.xxhash64(F.lit(1), hashes).alias("w1"), F.xxhash64(F.lit(2), hashes).alias("w2"),
-    )
+
+    def one(i):
+        lines = F.slice("_items", i + 1, F.lit(run))
+        hashes = F.transform(lines, lambda x: x["h"])
+        return F.struct(
+            F.transform(lines, lambda x: x["at"]).alias("at"), F.array_min(hashes).alias("print"),
+            F.xxhash64(F.lit(1), hashes).alias("w1"), F.xxhash64(F.lit(2), hashes).alias("w2"),
+        )
+
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_items") - run, F.lit(0)))
+    runs = items.select("doc_id", "version", F.when(F.size("_items") >= run, F.transform(starts, one)).alias("_runs"))
+    return explode_once(runs, "_runs", "_run", "doc_id", "version").select("doc_id", "version", "_run.*")
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, staging: Staging | None = None) -> DataFrame:
