@@ -39,6 +39,7 @@ QUERY_BITS = 6
 FIRST = 32
 CODE_ROWS = 8192
 QUERY_ROWS = 512
+QUERIES_AT_ONCE = 64
 
 CODES = "dim int, key binary, ids array<long>, code binary, correction double"
 
@@ -49,15 +50,29 @@ def rotation(dim: int, seed: int = 0) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def exact_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each row of ``a`` with the same row of ``b``; sums run from the first component on."""
-    dot, na, nb = (np.zeros(len(a)) for _ in range(3))
-    for i in range(a.shape[1]):
-        x, y = a[:, i], b[:, i]
-        dot += x * y
-        na += x * x
-        nb += y * y
-    return np.clip(dot / np.sqrt(na * nb), -1.0, 1.0)
+def _squares(x: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(x))
+    for i in range(x.shape[1]):
+        total += x[:, i] * x[:, i]
+    return total
+
+
+class Cosines:
+    """Exact cosines of queries and vectors; sums run from the first component on."""
+
+    def __init__(self, queries: np.ndarray, vectors: np.ndarray):
+        self.q, self.v = np.ascontiguousarray(queries.T), np.ascontiguousarray(vectors.T)
+        self.qq, self.vv = _squares(queries), _squares(vectors)
+
+    def __call__(self, qi: np.ndarray, vi: np.ndarray) -> np.ndarray:
+        out = np.empty(len(qi))
+        for low in range(0, len(qi), 1 << 14):
+            a, b = qi[low : low + (1 << 14)], vi[low : low + (1 << 14)]
+            dot = np.zeros(len(a))
+            for x, y in zip(self.q, self.v):
+                dot += x[a] * y[b]
+            out[low : low + (1 << 14)] = dot / np.sqrt(self.qq[a] * self.vv[b])
+        return np.clip(out, -1.0, 1.0)
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -117,6 +132,14 @@ def build_index(vectors: DataFrame, k: int, id_col: str, vector_col: str, stagin
     return staging.keep(distinct.mapInArrow(_encode, CODES), "codes")
 
 
+def _words(packed: np.ndarray) -> np.ndarray:
+    """Packed bits as 64-bit words, filled up with zeros."""
+    width = -(-packed.shape[-1] // 8) * 8
+    out = np.zeros((*packed.shape[:-1], width), np.uint8)
+    out[..., : packed.shape[-1]] = packed
+    return out.view("<u8")
+
+
 def estimates(queries: np.ndarray, codes: np.ndarray, correction: np.ndarray, epsilon: float):
     """(estimated cosines, error bounds), a row per query, from packed codes and popcounts."""
     dim = queries.shape[1]
@@ -125,26 +148,21 @@ def estimates(queries: np.ndarray, codes: np.ndarray, correction: np.ndarray, ep
     low = turned.min(axis=1, keepdims=True)
     step = np.maximum((turned.max(axis=1, keepdims=True) - low) / ((1 << QUERY_BITS) - 1), 1e-300)
     level = np.rint((turned - low) / step).astype(np.uint8)
-    width = -(-codes.shape[1] // 8) * 8
-    words = np.zeros((len(codes), width), np.uint8)
-    words[:, : codes.shape[1]] = codes
-    words = words.view("<u8")
-    ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-    planes = np.zeros((QUERY_BITS, len(queries), width), np.uint8)
-    for b in range(QUERY_BITS):
-        planes[b, :, : codes.shape[1]] = np.packbits((level >> b) & 1, axis=1)
-    planes = planes.view("<u8")
-    total = np.zeros((len(queries), len(codes)), np.int64)
+    words = np.ascontiguousarray(_words(codes).T)
+    ones = np.bitwise_count(words).sum(axis=0, dtype=np.int64)
+    total = np.zeros((len(queries), len(codes)), np.int32)
     for b in range(QUERY_BITS):
-        for w in range(words.shape[1]):
-            total += np.bitwise_count(planes[b, :, w, None] & words[None, :, w]).astype(np.int64) << b
+        plane = _words(np.packbits((level >> b) & 1, axis=1))
+        for w, code in enumerate(words):
+            count = np.bitwise_count(plane[:, w, None] & code[None, :])
+            total += np.left_shift(count, b, dtype=np.int32)
     # sum over coordinates of sign * (low + step * level), signs from the bits
     level_sum = level.sum(axis=1, dtype=np.int64)[:, None]
     dot = (step * (2 * total - level_sum) + low * (2 * ones - dim)[None, :]) / np.sqrt(dim)
-    rounding = step / 2  # |rounded query - query| per coordinate, over a unit code
-    spread = np.sqrt(np.maximum(1 - correction**2, 0)) / correction / np.sqrt(max(dim - 1, 1))
-    bound = epsilon * spread[None, :] + rounding * np.sqrt(dim) / correction[None, :]
-    return dot / correction[None, :], bound
+    # errors of the code, and of rounding the query, which are independent of each other
+    spread = (1 - correction**2) / correction**2 / max(dim - 1, 1)
+    rounding = (step / correction[None, :]) ** 2 / 12
+    return dot / correction[None, :], epsilon * np.sqrt(np.maximum(spread[None, :], 0) + rounding)
 
 
 FOUND = "query_id long, vec_id long, score double"
@@ -161,12 +179,13 @@ def _top(query_ids, vec_ids, scores, k: int):
     return query_ids[best], vec_ids[best], scores[best]
 
 
-def _reached(queries: np.ndarray, vectors: np.ndarray, guess: np.ndarray, need: int) -> np.ndarray:
+def _reached(cosines: Cosines, guess: np.ndarray, first_query: int, need: int) -> np.ndarray:
     """Each query's exact ``need``-th best cosine among the best estimates: others must be able to beat it."""
-    n = len(vectors)
+    n = guess.shape[1]
     first = min(n, max(need, FIRST))
     top = np.argpartition(guess, n - first, axis=1)[:, n - first :]
-    scores = exact_cosines(np.repeat(queries, first, axis=0), vectors[top.ravel()]).reshape(len(queries), first)
+    query = np.repeat(np.arange(first_query, first_query + len(guess)), first)
+    scores = cosines(query, top.ravel()).reshape(len(guess), first)
     need = min(need, first)
     return np.partition(scores, first - need, axis=1)[:, first - need]
 
@@ -181,17 +200,25 @@ def _search(k: int, epsilon: float) -> Callable:
                 dim = value("dim")
                 queries, vectors = (_matrix(value(c)).reshape(-1, dim) for c in ("query_keys", "keys"))
                 codes = np.frombuffer(b"".join(value("codes")), np.uint8).reshape(len(vectors), -1)
+                correction, cosines = np.array(value("corrections")), Cosines(queries, vectors)
                 ids, query_ids = value("ids"), np.array(value("query_ids"), np.int64)
-                guess, bound = estimates(queries, codes, np.array(value("corrections")), epsilon)
-                least = _reached(queries, vectors, guess, k + 1)
-                qi, vi = np.nonzero(guess + bound >= least[:, None])
-                many = np.array([len(x) for x in ids])[vi]
-                flat = np.array([i for v in vi.tolist() for i in ids[v]], np.int64)
-                scores = np.concatenate([exact_cosines(queries[qi[s : s + 65536]], vectors[vi[s : s + 65536]]) for s in range(0, len(qi), 65536)] or [np.zeros(0)])
-                q, score = np.repeat(query_ids[qi], many), np.repeat(scores, many)
-                other = q != flat
-                found = _top(q[other], flat[other], score[other], k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, _FOUND.types)], schema=_FOUND)
+                sizes = np.array([len(x) for x in ids])
+                starts, flat = np.cumsum(sizes) - sizes, np.array([i for x in ids for i in x], np.int64)
+                for low in range(0, len(queries), QUERIES_AT_ONCE):
+                    some = queries[low : low + QUERIES_AT_ONCE]
+                    guess, bound = estimates(some, codes, correction, epsilon)
+                    least = _reached(cosines, guess, low, k + 1)
+                    qi, vi = np.nonzero(guess + bound >= least[:, None])
+                    qi += low
+                    score = cosines(qi, vi)
+                    # the ids of each vector that was scored
+                    many = sizes[vi]
+                    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    vec = flat[np.repeat(starts[vi], many) + within]
+                    q, score = np.repeat(query_ids[qi], many), np.repeat(score, many)
+                    other = q != vec
+                    found = _top(q[other], vec[other], score[other], k)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, _FOUND.types)], schema=_FOUND)
 
     return search
 
