@@ -27,12 +27,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import Staging
 from . import words as W
-from .packed import gather, group_starts, part_count, parts_of, split_rows
+from .packed import deal, gather, group_starts, part_count, parts_of, split_rows
 from .rows import keyed
 
 WINDOW = 13
@@ -42,6 +43,7 @@ ANCHOR = WINDOW - PERIOD + 1
 CHUNK_WORDS = 3_000_000
 
 PACKED = "part long, known boolean, hashes binary, hashes2 binary, docs binary, versions binary, places binary"
+FOUND = "part long, docs binary, versions binary, places binary"
 HITS = "doc_id long, version long, places binary"
 
 
@@ -62,15 +64,15 @@ class _Chunk:
         return out
 
 
-def _rows_by_doc(doc, version, place):
-    """One (doc, version, places) per run of one document; entries are sorted by document first."""
+def _doc_parts(doc: np.ndarray, version: np.ndarray, parts: int) -> np.ndarray:
+    return parts_of(W.mix(W.mix(doc.astype(np.uint64)) ^ version.astype(np.uint64)), parts)
+
+
+def _packed_by_doc(doc, version, place, parts: int) -> Iterator[tuple[int, list[bytes]]]:
+    """One row per part of documents; entries of a document are together."""
     order = np.lexsort((place, version, doc))
     doc, version, place = doc[order], version[order], place[order]
-    new = np.flatnonzero((doc[1:] != doc[:-1]) | (version[1:] != version[:-1])) + 1
-    bounds = np.concatenate([[0], new, [len(doc)]])
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        if high > low:
-            yield int(doc[low]), int(version[low]), place[low:high].astype("<i4").tobytes()
+    return split_rows(_doc_parts(doc, version, parts), [doc, version, place.astype("<i4")])
 
 
 def _same(h1: np.ndarray, h2: np.ndarray):
@@ -89,6 +91,8 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _PACKED = pa.schema([("part", pa.int64()), ("known", pa.bool_()), *[(n, pa.binary()) for n in ("hashes", "hashes2", "docs", "versions", "places")]])
+_ENTRY = (("docs", "<i8"), ("versions", "<i8"), ("places", "<i4"))
+_FOUND = pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n, _ in _ENTRY]])
 _HITS = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("places", pa.binary())])
 
 
@@ -118,8 +122,8 @@ def _send(chunk: _Chunk, parts: int, first_only: bool) -> Iterator[pa.RecordBatc
         go[marker] = True
     place = place.copy()
     rows = []
-    for d, v, p in _rows_by_doc(doc[settled], version[settled], place[settled]):
-        rows.append(((d ^ v) % parts, True, None, None, np.int64(d).tobytes(), np.int64(v).tobytes(), p))
+    for part, cells in _packed_by_doc(doc[settled], version[settled], place[settled], parts):
+        rows.append((part, True, None, None, *cells))
     if not first_only:
         place[marker] = -1
     second = [h2[go]] if len(h2) else []
@@ -130,39 +134,53 @@ def _send(chunk: _Chunk, parts: int, first_only: bool) -> Iterator[pa.RecordBatc
         yield _batch(rows[i : i + 2000], _PACKED)
 
 
-def _receiver(first_only: bool) -> Callable:
+def _receiver(parts: int, first_only: bool) -> Callable:
+    """Matches of all tasks, and the settled ones, packed by document."""
+
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            known = batch.column("known")
-            done = batch.filter(known)
-            if done.num_rows:
-                number = lambda name: pa.array([int(np.frombuffer(x.as_buffer(), "<i8")[0]) for x in done.column(name)], pa.int64())
-                yield pa.RecordBatch.from_arrays([number("docs"), number("versions"), done.column("places")], schema=_HITS)
-            held.append(batch.filter(pa.compute.invert(known)))
-        column = lambda name, kind: gather([b.column(name) for b in held], kind)
-        h1, h2 = column("hashes", "<u8"), column("hashes2", "<u8")
-        doc, version, place = column("docs", "<i8"), column("versions", "<i8"), column("places", "<i4")
-        del held
-        if not len(h1):
-            return
-        order, group = _same(h1, h2)
-        heads = group_starts(group)
-        low = np.minimum.reduceat(doc[order], heads)[group]
-        if first_only:
-            hit = doc[order] > low
-        else:
-            high = np.maximum.reduceat(doc[order], heads)[group]
-            marked = np.minimum.reduceat(place[order], heads)[group] < 0
-            hit = ((high > low) | marked) & (place[order] >= 0)
-        at = order[hit]
-        rows = list(_rows_by_doc(doc[at], version[at], place[at]))
-        for i in range(0, len(rows), 5000):
-            yield _batch(rows[i : i + 5000], _HITS)
+        held = list(batches)
+        known = [b.filter(b.column("known")) for b in held]
+        held = [b.filter(pc.invert(b.column("known"))) for b in held]
+        column = lambda name, kind, rows: gather([b.column(name) for b in rows], kind)
+        done = [column(name, kind, known) for name, kind in _ENTRY]
+        h1, h2 = column("hashes", "<u8", held), column("hashes2", "<u8", held)
+        doc, version, place = (column(name, kind, held) for name, kind in _ENTRY)
+        del held, known
+        if len(h1):
+            order, group = _same(h1, h2)
+            heads = group_starts(group)
+            low = np.minimum.reduceat(doc[order], heads)[group]
+            if first_only:
+                hit = doc[order] > low
+            else:
+                high = np.maximum.reduceat(doc[order], heads)[group]
+                marked = np.minimum.reduceat(place[order], heads)[group] < 0
+                hit = ((high > low) | marked) & (place[order] >= 0)
+            at = order[hit]
+            done = [np.concatenate(x) for x in zip(done, (doc[at], version[at], place[at]))]
+        rows = [(part, *cells) for part, cells in _packed_by_doc(*done, parts)]
+        for i in range(0, len(rows), 1000):
+            yield _batch(rows[i : i + 1000], _FOUND)
 
     return receive
 
 
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, version, places), one row per document: all its entries are in one part."""
+    held = list(batches)
+    doc, version, place = (gather([b.column(name) for b in held], kind) for name, kind in _ENTRY)
+    del held
+    order = np.lexsort((place, version, doc))
+    doc, version, place = doc[order], version[order], place[order]
+    new = np.flatnonzero((doc[1:] != doc[:-1]) | (version[1:] != version[:-1])) + 1
+    bounds = np.concatenate([[0], new, [len(doc)]]).tolist()
+    rows = [
+        (int(doc[low]), int(version[low]), place[low:high].tobytes()) for low, high in zip(bounds[:-1], bounds[1:]) if high > low
+    ]
+    for i in range(0, len(rows), 5000):
+        yield _batch(rows[i : i + 5000], _HITS)
+
+
 def _anchors(parts: int) -> Callable:
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
@@ -187,12 +205,10 @@ def _anchors(parts: int) -> Callable:
     return send
 
 
-def _places(cells: pa.Scalar) -> np.ndarray:
-    values = cells.values
-    if values is None:
+def _places(cell: pa.Scalar) -> np.ndarray:
+    if not cell.is_valid:
         return np.zeros(0, np.int64)
-    parts = [np.frombuffer(x.as_buffer(), "<i4") for x in values if x.is_valid]
-    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+    return np.frombuffer(cell.as_buffer(), "<i4").astype(np.int64)
 
 
 def _windows(parts: int) -> Callable:
@@ -256,17 +272,19 @@ def substring_dedup(docs: DataFrame, staging: Staging | None = None) -> DataFram
     parts = part_count(spark)
     rows = keyed(docs)
     numbered = rows.where(F.col("doc_id").isNotNull())
-    sent = numbered.mapInArrow(_anchors(parts), PACKED).repartition("part")
-    anchors = staging.keep(sent.mapInArrow(_receiver(first_only=False), HITS), "anchors")
 
-    def with_hits(hits: DataFrame, how: str, base: DataFrame) -> DataFrame:
-        found = hits.groupBy("doc_id", "version").agg(F.collect_list("places").alias("found"))
-        return base.join(found.hint("shuffle_hash"), ["doc_id", "version"], how)
+    def match(packed: DataFrame, first_only: bool, name: str) -> DataFrame:
+        found = deal(packed, parts).mapInArrow(_receiver(parts, first_only), FOUND)
+        return staging.keep(deal(found, parts).mapInArrow(_by_document, HITS), name)
+
+    def with_hits(base: DataFrame, hits: DataFrame, how: str) -> DataFrame:
+        found = hits.withColumnRenamed("places", "found").hint("shuffle_hash")
+        return base.join(found, ["doc_id", "version"], how)
 
-    extended = with_hits(anchors, "inner", numbered).mapInArrow(_windows(parts), PACKED).repartition("part")
-    repeats = staging.keep(extended.mapInArrow(_receiver(first_only=True), HITS), "repeats")
+    anchors = match(numbered.mapInArrow(_anchors(parts), PACKED), False, "anchors")
+    repeats = match(with_hits(numbered, anchors, "inner").mapInArrow(_windows(parts), PACKED), True, "repeats")
     schema = "doc_id long, version long, n_words long, n_removed long, text string"
     return (
-        with_hits(repeats, "left", rows).mapInArrow(_cut, schema)
+        with_hits(rows, repeats, "left").mapInArrow(_cut, schema)
         .select("doc_id", "text", "n_words", "n_removed")
     )
