@@ -13,6 +13,9 @@ compared by a 128-bit hash.  Every line of a run that appeared before (in the
 order of document id, then line) is deleted, so longer repeats go as a whole.
 Each occurrence is compared with the first one only; no pairs are made.
 
+With ``run`` 1 every line is a run and a fingerprint of its own: all later
+appearances of a line go, whatever stands beside them.
+
 Nulls and edges: a null text is empty; texts of fewer than ``run`` lines stay
 as they are; null ids come first; identical rows are one document that is
 repeated and stay or go alike; equal ids with other texts are ordered by a

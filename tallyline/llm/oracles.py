@@ -141,7 +141,21 @@ SELECT split.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_lines, coalesce(cuts.n, 0
 FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN sizes USING (doc_id) LEFT JOIN cuts USING (doc_id)
 """
 
+# Its own rule, in content: it knows nothing of runs or of line_dedup.RUN.
+_OP10_SINGLE = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), {_NL}) AS l FROM documents
+), lines AS (
+  SELECT doc_id, raw, i, trim(raw, {_BLANK}) AS line
+  FROM (SELECT doc_id, unnest(l) AS raw, unnest(range(1, len(l) + 1)) AS i FROM split)
+), marked AS (
+  SELECT *, line <> '' AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS again FROM lines
+)
+SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (again) AS n_removed,
+  sha256(coalesce(string_agg(raw, {_NL} ORDER BY i) FILTER (NOT again), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat": _OP1, "op2_near_dedup": _OP2, "op4_warc": _OP4, "op6_substrings": _OP6, "op8_nearest": _OP8,
-    "op9_mixing": _OP9, "op10_line_dedup": _OP10,
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op10_single_lines": _OP10_SINGLE,
 }

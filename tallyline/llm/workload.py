@@ -87,10 +87,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_single_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that appeared before goes, whatever is beside it."""
+    return line_dedup.line_dedup(_read(spark, sf_dir, "documents"), run=1).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat, op2_near_dedup, op3_decontaminate, op4_warc, op5_quality, op6_substrings, op7_language_model,
-        op8_nearest, op9_mixing, op10_line_dedup,
+        op8_nearest, op9_mixing, op10_line_dedup, op10_single_lines,
     )
 }

@@ -1,5 +1,6 @@
 """Substring, line and near dedup, decontamination: against brute force."""
 
+import hashlib
 import random
 
 import brute
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyline.llm import components, decontaminate, line_dedup, near_dedup, substring_dedup, words
+from tallyline.llm.workload import QUERIES
 from tallyline.plans import Staging
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -117,6 +119,26 @@ def test_line_edges(spark):
     ])
 
 
+def test_single_lines(spark, corpus, tmp_path):
+    """Lines between unlike neighbours, and texts of one line, by a rule without runs."""
+    rng = random.Random(8)
+    passage, notice = sentence(rng, 60), "All rights reserved by the makers of this."
+    rows = [*corpus, (200, f"a1\n{passage}\nb1"), (201, f"a2\n {passage}\nb2"), (202, passage), (203, f"{notice}\nc1\n\n{notice}\nc2")]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    seen, want = set(), {}
+    for d, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            bare = line.strip(" \t\r\v\f")
+            if not bare or bare not in seen:
+                kept.append(line)
+            seen.add(bare)
+        want[d] = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+    got = {r.doc_id: r for r in QUERIES["op10_single_lines"](spark, str(tmp_path)).collect()}
+    assert {d: r.kept_sha256 for d, r in got.items()} == want
+    assert [got[d].n_removed for d in (200, 201, 202, 203)] == [0, 1, 1, 1]
+
+
 def test_dedup_documents_keeps_columns(spark, corpus):
     docs = frame(spark, corpus).withColumn("removed", F.lit(7)).withColumn("version", F.lit("v")).withColumn("n_lines", F.lit(1))
     out = line_dedup.dedup_documents(docs)
