@@ -15,7 +15,7 @@ from tallyline.plans import Staging
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws."""
-    return quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), drop_toxic=True)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,9 +16,18 @@ target model, sets the cut.  Raw counts, weights, k and the draw cover all
 documents.  The k-th key is found exactly by counting key prefixes, 16 bits at
 a time; rows equal to it are all taken.
 
+With ``drop_toxic`` a labelled document is good only if it is not toxic as
+well, and a toxic target model joins the weight.  Rare insults drown in a sum
+over all n-grams, so this model keeps the words alone that stand out: words
+(``TOXIC_BUCKETS`` buckets) in more toxic than good documents of the first
+half, with a likelihood ratio G2 over ``TOXIC_G2``.  A document's toxic score
+is the sum of their log odds, each word once; the cut comes from the other
+half, and past it the target's density is 0 and the log weight minus infinity.
+
 Nulls and edges: a null or empty text has log weight 0; labels that are null,
 or without a document, count as none; of several labels of an id the worst
-counts; without labels of both kinds, every document is kept.  Rows with equal
+counts; without labels of both kinds, every document is kept, and without toxic
+and good labels in both halves none is dropped as toxic.  Rows with equal
 ids share their noise.
 """
 
@@ -37,6 +46,8 @@ from . import words as W
 BUCKETS = 1 << 14
 FIT_ROWS = 20_000
 PRIOR = 0.5
+TOXIC_BUCKETS = 1 << 20
+TOXIC_G2 = 10.0
 
 
 def _buckets(block: W.Block) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +74,61 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _word_rows(block: W.Block) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the words of a block, each bucket once a row."""
+    bucket = (W.mix(block.hashes) >> np.uint64(32)).astype(np.int64) % TOXIC_BUCKETS
+    both = np.unique(block.row_of_word.astype(np.int64) * TOXIC_BUCKETS + bucket)
+    return both // TOXIC_BUCKETS, both % TOXIC_BUCKETS
+
+
+def _count_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and clean documents by word bucket; bucket -1 counts all of them."""
+    found = np.zeros((2, TOXIC_BUCKETS), np.int64)
+    rows = np.zeros(2, np.int64)
+    for batch in batches:
+        toxic = batch.column("_toxic").to_numpy(zero_copy_only=False)
+        rows += np.bincount(toxic, minlength=2)
+        for block in W.blocks(batch.column("text"), W.LOWER, classes=W.MARKS_APART):
+            row, bucket = _word_rows(block)
+            of = toxic[block.rows.start : block.rows.stop][row]
+            for k in (0, 1):
+                found[k] += np.bincount(bucket[of == k], minlength=TOXIC_BUCKETS)
+    seen = np.flatnonzero(found.sum(axis=0))
+    cells = [np.concatenate([[-1], seen]), *(np.concatenate([[rows[k]], found[k][seen]]) for k in (1, 0))]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cells], names=["bucket", "toxic", "clean"])
+
+
+def toxic_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, log odds) of the words that stand out in toxic documents, by bucket.
+
+    ``counts`` has (bucket, toxic, clean), with all documents in bucket -1.
+    """
+    everything = counts.where("bucket = -1").first()
+    if everything is None or not everything["toxic"] or not everything["clean"]:
+        return np.zeros(0, np.int64), np.zeros(0)
+    t, c = float(everything["toxic"]), float(everything["clean"])
+
+    def term(seen: Column, share: float, of: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * (t + c) / (of * share))).otherwise(0.0)
+
+    a, b = F.col("toxic"), F.col("clean")
+    n = a + b
+    g2 = 2 * (term(a, t, n) + term(b, c, n) + term(t - a, t, t + c - n) + term(c - b, c, t + c - n))
+    rows = counts.where((F.col("bucket") >= 0) & (a * c > b * t) & (g2 > TOXIC_G2)).orderBy("bucket").collect()
+    bucket, toxic, clean = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    return bucket, np.log((toxic + PRIOR) / (t + 2 * PRIOR)) - np.log((clean + PRIOR) / (c + 2 * PRIOR))
+
+
+def _toxic_scores(block: W.Block, words: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    buckets, odds = words
+    if not len(buckets):
+        return np.zeros(len(block.rows))
+    row, bucket = _word_rows(block)
+    at = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
+    hit = buckets[at] == bucket
+    return np.bincount(row[hit], weights=odds[at[hit]], minlength=len(block.rows))
+
+
 def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log p_target - log p_raw per bucket, both with an additive prior."""
     p = (target + PRIOR) / (target.sum() + PRIOR * BUCKETS)
@@ -75,16 +141,20 @@ def _weights(block: W.Block, ratio: np.ndarray) -> np.ndarray:
     return np.bincount(row, weights=ratio[bucket], minlength=len(block.rows))
 
 
-def _scorer(ratio: np.ndarray) -> Callable:
-    """Adds ``_weight`` to every row; the rows' own columns pass through."""
+def _scorer(ratio: np.ndarray, words: tuple[np.ndarray, np.ndarray]) -> Callable:
+    """Adds ``_ratio`` and ``_toxic`` to every row; the rows' own columns pass through."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_weights(b, ratio) for b in W.blocks(batch.column("_text"), W.LOWER, classes=W.MARKS_APART)]
-            weight = np.concatenate(found) if found else np.zeros(0)
+            found = [
+                (_weights(b, ratio), _toxic_scores(b, words))
+                for b in W.blocks(batch.column("_text"), W.LOWER, classes=W.MARKS_APART)
+            ]
+            scores = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0)] * 2
             names = [n for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(weight, pa.float64())], names=[*names, "_weight"]
+                [*[batch.column(n) for n in names], *[pa.array(x, pa.float64()) for x in scores]],
+                names=[*names, "_ratio", "_toxic"],
             )
 
     return score
@@ -132,47 +202,78 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
 
 
 def fitting_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, quality) of at most ``fit_rows`` labelled ids."""
+    """(doc_id, quality, toxic) of at most ``fit_rows`` labelled ids; the worst label of an id in both."""
     worst = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(
-        F.min("quality").cast("int").alias("quality")
+        F.min("quality").cast("int").alias("quality"),
+        F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"),
     )
     return worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
 
+def _possible() -> Column:
+    return F.col("_weight") > F.lit(-np.inf)
+
+
 class Resampler:
     """The fitted models, the cut, k and the k-th key of one table of documents."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, seed: int = 0, fit_rows: int = FIT_ROWS):
+    def __init__(
+        self, docs: DataFrame, labels: DataFrame, seed: int = 0, fit_rows: int = FIT_ROWS, drop_toxic: bool = False
+    ):
         self.seed = seed
         self.staging = Staging(docs.sparkSession, "quality")
         fit = self.staging.keep(fitting_labels(labels, fit_rows), "fit").withColumnsRenamed(
-            {"doc_id": "_id", "quality": "_quality"}
+            {"doc_id": "_id", "quality": "_quality", "toxic": "_toxic"}
         )
+        if drop_toxic:
+            fit = fit.withColumn("_quality", F.col("_quality") * (1 - F.col("_toxic")))
+        else:
+            fit = fit.withColumn("_toxic", F.lit(0))
         first_half = F.xxhash64(F.lit(1), F.col("_id")) % 2 == 0
-        target = F.broadcast(fit.where(first_half))  # at most fit_rows rows of two numbers
-        judges = F.broadcast(fit.where(~first_half))
+        target = F.broadcast(fit.where(first_half))  # at most fit_rows rows of three numbers
+        judges = F.broadcast(fit.where(~first_half).withColumnRenamed("_toxic", "_is_toxic"))
         texts = docs.select(F.col("doc_id").cast("long"), "text")
         labelled = texts.join(target, texts["doc_id"] == target["_id"], "left").select("text", "_quality")
         counts = labelled.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(
             F.sum("raw").alias("raw"), F.sum("target").alias("target")
         )
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, good_counts = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for bucket, n, m in counts.collect():  # at most BUCKETS rows
-            raw[bucket], target[bucket] = n, m
-        self.ratio = log_ratio(raw, target)
-        scored = self.staging.keep(self._weighted(docs.select("doc_id", "text")).select("doc_id", "_weight", "_key"), "scores")
-        sample = scored.join(judges, scored["doc_id"] == judges["_id"]).select("_weight", "_quality").collect()
-        weights, good = (np.array(c) for c in zip(*sample)) if sample else (np.zeros(0), np.zeros(0))
-        self.cut = best_cut(weights, good) if 0 < good.sum() < len(good) else -np.inf
-        self.k = scored.where(F.col("_weight") >= F.lit(float(self.cut))).count()
-        self.least = kth_largest(scored.select(F.col("_key").alias("key")), self.k) if self.k else np.inf
+            raw[bucket], good_counts[bucket] = n, m
+        self.ratio = log_ratio(raw, good_counts)
+        self.words = self._toxic_model(texts, target) if drop_toxic else (np.zeros(0, np.int64), np.zeros(0))
+        scored = self.staging.keep(self._scored(docs.select("doc_id", "text")).select("doc_id", "_ratio", "_toxic"), "scores")
+        sample = scored.join(judges, scored["doc_id"] == judges["_id"]).select(
+            "_ratio", "_toxic", "_quality", "_is_toxic"
+        ).collect()
+        weights, toxic, good, is_toxic = (np.array(c) for c in zip(*sample)) if sample else [np.zeros(0)] * 4
+        clean = is_toxic == 0
+        self.cut = best_cut(weights[clean], good[clean]) if 0 < good[clean].sum() < clean.sum() else -np.inf
+        told = (good == 1) | ~clean
+        self.toxic_cut = best_cut(-toxic[told], good[told]) if 0 < good[told].sum() < told.sum() else -np.inf
+        scored = self._keyed(scored)
+        self.k = scored.where((F.col("_weight") >= F.lit(float(self.cut))) & _possible()).count()
+        keys = scored.where(_possible()).select(F.col("_key").alias("key"))
+        self.least = kth_largest(keys, self.k) if self.k else np.inf
         self.scored = scored
 
-    def _weighted(self, docs: DataFrame) -> DataFrame:
-        """Rows with ``_weight`` and ``_key``; ``_text`` is the text without nulls."""
+    def _toxic_model(self, texts: DataFrame, target: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        told = texts.join(target, texts["doc_id"] == target["_id"]).where("_quality = 1 OR _toxic = 1")
+        counts = told.select("text", "_toxic").mapInArrow(_count_toxic, "bucket long, toxic long, clean long")
+        return toxic_words(self.staging.keep(
+            counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic"
+        ))
+
+    def _scored(self, docs: DataFrame) -> DataFrame:
+        """Rows with ``_ratio`` and ``_toxic``; ``_text`` is the text without nulls."""
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
         rows = docs.select("*", F.col("text").alias("_text"))
-        weighted = rows.mapInArrow(_scorer(self.ratio), ", ".join([*fields, "_weight double"]))
+        return rows.mapInArrow(_scorer(self.ratio, self.words), ", ".join([*fields, "_ratio double", "_toxic double"]))
+
+    def _keyed(self, scored: DataFrame) -> DataFrame:
+        """Scored rows with ``_weight`` and ``_key``."""
+        clean = -F.col("_toxic") >= F.lit(float(self.toxic_cut))
+        weighted = scored.withColumn("_weight", F.when(clean, F.col("_ratio")).otherwise(F.lit(-np.inf)))
         return weighted.withColumn("_key", F.col("_weight") + gumbel(F.col("doc_id"), self.seed))
 
     def decisions(self) -> DataFrame:
@@ -187,9 +288,11 @@ class Resampler:
         renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
         at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
         rows = renamed.withColumns({"doc_id": F.col(at["doc_id"]), "text": F.col(at["text"])})
-        kept = self._weighted(rows).where(F.col("_key") >= F.lit(float(self.least)))
+        kept = self._keyed(self._scored(rows)).where(F.col("_key") >= F.lit(float(self.least)))
         return kept.select(*[F.col(at[c]).alias(c) for c in docs.columns])
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 0, fit_rows: int = FIT_ROWS) -> DataFrame:
-    return Resampler(docs, labels, seed, fit_rows).drawn(docs)
+def resample(
+    docs: DataFrame, labels: DataFrame, seed: int = 0, fit_rows: int = FIT_ROWS, drop_toxic: bool = False
+) -> DataFrame:
+    return Resampler(docs, labels, seed, fit_rows, drop_toxic).drawn(docs)

@@ -53,7 +53,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.Resampler(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).decisions()
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return quality.Resampler(docs, labels, drop_toxic=True).decisions()
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

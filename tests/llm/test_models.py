@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyline.llm import archives, chat, language_model, mixing, nearest, packed, quality, shards
+from tallyline.llm.workload import QUERIES
 from tallyline.plans import Staging
 
 SF_DIR, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -188,6 +189,29 @@ def test_quality_edges(spark):
     assert quality.fitting_labels(both, 1).count() == 1
 
 
+def test_quality_drops_toxic(spark, tmp_path):
+    """Rare insults in texts of good quality: rows of the judging half, unseen by the models."""
+    rng = random.Random(6)
+    insults = ["idiot", "clown", "pathetic"]
+    rows, labels = [], []
+    for d in range(900):
+        w = [f"w{rng.randrange(300)}" for _ in range(80)]
+        poor, toxic = d % 5 == 0, d % 6 == 1
+        if poor:
+            w = [f"junk{rng.randrange(40)}" for _ in range(80)]
+        if toxic:
+            w[rng.randrange(80)], w[rng.randrange(80)] = rng.sample(insults, 2)
+        rows.append((d, " ".join(w), "en", "s", 1))
+        labels.append((d, int(not poor), int(toxic)))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in QUERIES["op5_quality"](spark, str(tmp_path)).where("kept").collect()}
+    share = lambda ids: np.mean([d in kept for d in ids])
+    good = [d for d, q, t in labels if q and not t]
+    assert share([d for d, q, t in labels if t]) <= 0.05 and share(good) >= 0.95
+    assert share([d for d, q, t in labels if not q]) <= 0.05
+
+
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40), st.data())
 @settings(max_examples=6, deadline=None)
 def test_kth_largest(spark, values, data):
