@@ -1,28 +1,31 @@
 """Interpolated modified Kneser-Ney scores.
 
-The model has order 2.  Words are lower-cased (A-Z); each document ends with
-an end token, which is counted as a token, and begins after a start mark,
-which is not.
+The model has any order n from 2 on.  Words are lower-cased (A-Z); each
+document ends with an end token, which is counted as a token, and begins after
+n - 1 start marks, which are not.
 
-Counting.  Tasks count the distinct bigrams of what they read and send them
-packed, by ranges of the bigram's 64-bit hash; receivers merge them.  From the
-merged bigrams, again packed and by ranges, come per word: its count, the
-number of different words before it, and what it has as a context (sum and
-number of bigrams seen once, twice, more often).
+Counting.  Tasks count the distinct n-grams of what they read and send them
+packed, by ranges of the n-gram's 64-bit hash; receivers merge them.  Every
+distinct n-gram then counts once for its last n - 1 words, again packed and by
+ranges, and so on down to words.  On the way come, per context, the sum and
+the number of n-grams seen once, twice, more often; per word, its count too.
 
-Storing.  Bigrams and words are sorted hash arrays in the shared folder (see
-``shards``); workers map them into memory and look sorted batches of n-grams
-up.  The arrays and every shuffle grow with the training texts; the driver
-sees file names and a few totals.
+Storing.  The n-grams and contexts of each order and the words are sorted hash
+arrays in the shared folder (see ``shards``); workers map them into memory and
+look sorted batches up.  The arrays and every shuffle grow with the training
+texts; the driver sees file names and a few totals.
 
-Scoring.  With discounts D from the counts of counts (Chen and Goodman, 1998):
+Scoring.  With discounts D from the counts of counts of each order (Chen and
+Goodman, 1998), h a context of k - 1 words and h' without its first word:
 
     p(w)     = max(a(w) - D1(a), 0) / A + g0 / (V + 1)
-    p(w | v) = max(c(vw) - D2(c), 0) / S(v) + g(v) p(w)
+    p(w | h) = max(c(hw) - Dk(c), 0) / S(h) + g(h) p(w | h')
 
 a(w): different words before w; A: their sum; V: distinct training tokens; one
-more stands for every unknown word; S(v), g(v): sum and freed mass of context
-v.  An unknown context leaves p(w).  Probabilities of a context sum to 1.
+more stands for every unknown word; c: the count of an n-gram of the highest
+order, the number of different words before it in lower ones; S(h), g(h): sum
+and freed mass of context h.  An unknown context leaves p(w | h').
+Probabilities of a context sum to 1.
 
 Nulls and edges: a null or empty text is the end token only; without training
 texts every count is 0 and p is 1; identical rows are scored alike and count
@@ -32,6 +35,7 @@ as often as they occur.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,20 +44,22 @@ from pyspark.sql import functions as F
 
 from ..plans import Staging
 from . import words as W
-from .packed import deal, gather, group_starts, part_count, parts_of, split_rows
+from .packed import deal, group_starts, part_count, parts_of, split_rows
 from .shards import Table, write_shard
 
 START, END = np.uint64(0x5EED0000000000A1), np.uint64(0x5EED0000000000B2)
 CHUNK_TOKENS = 2_000_000
 
-PAIRS = "part long, first binary, second binary, counts binary"
-_PAIRS = pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in ("first", "second", "counts")]])
+GRAMS = "part long, cells array<binary>"
+_GRAMS = pa.schema([("part", pa.int64()), ("cells", pa.list_(pa.binary()))])
 _FIELDS = ("count", "before", "total", "ones", "twos", "more")
-WORDS = "kind string, part long, file string, words binary, " + ", ".join(f"{n} binary" for n in _FIELDS) + ", c1 long, c2 long, c3 long, c4 long"
-_WORDS = pa.schema([
-    ("kind", pa.string()), ("part", pa.int64()), ("file", pa.string()), ("words", pa.binary()),
-    *[(n, pa.binary()) for n in _FIELDS], *[(f"c{i}", pa.int64()) for i in (1, 2, 3, 4)],
+ROWS = "kind string, part long, file string, cells array<binary>, c1 long, c2 long, c3 long, c4 long"
+_ROWS = pa.schema([
+    ("kind", pa.string()), ("part", pa.int64()), ("file", pa.string()), ("cells", pa.list_(pa.binary())),
+    *[(f"c{i}", pa.int64()) for i in (1, 2, 3, 4)],
 ])
+_CONTEXT = ["<u8", "<u8", "<u4", "<u4", "<u4"]  # hash, sum, n-grams seen once, twice, more often
+_FILES = pa.schema([("part", pa.int64()), ("file", pa.string())])
 _TOTALS = pa.schema([
     ("part", pa.int64()), ("file", pa.string()), ("tokens", pa.int64()), ("types", pa.int64()),
     ("before", pa.int64()), *[(f"c{i}", pa.int64()) for i in (1, 2, 3, 4)],
@@ -61,8 +67,8 @@ _TOTALS = pa.schema([
 TOTALS = "part long, file string, tokens long, types long, before long, c1 long, c2 long, c3 long, c4 long"
 
 
-def tokens(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token before, token, first token of each row) with the marks put in."""
+def grams(block: W.Block, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the words of the n-gram that ends at each token, first token of each row) with the marks put in."""
     counts = block.counts
     first = np.concatenate([[0], np.cumsum(counts + 1)])
     token = np.empty(first[-1], np.uint64)
@@ -70,43 +76,65 @@ def tokens(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(token), bool)
     inner[ends] = False
     token[inner], token[ends] = block.hashes, END
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[first[:-1]] = START
-    return before, token, first
+    columns = [token]
+    for _ in range(order - 1):
+        before = np.empty_like(token)
+        before[1:] = columns[0][:-1]
+        before[first[:-1]] = START
+        columns.insert(0, before)
+    return columns, first
 
 
 def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return W.mix((before * np.uint64(0x9E3779B97F4A7C15)) ^ W.mix(token))
 
 
-def _merge(first: np.ndarray, second: np.ndarray, counts: np.ndarray):
-    """Distinct pairs by ascending hash: (hash, first, second, summed counts)."""
-    key = pair_hash(first, second)
+def gram_hash(words: list[np.ndarray]) -> np.ndarray:
+    return reduce(pair_hash, words)
+
+
+def _merge(words: list[np.ndarray], counts: np.ndarray):
+    """Distinct n-grams by ascending hash: (hash, words, summed counts)."""
+    key = gram_hash(words)
     order = np.argsort(key, kind="stable")
     heads = group_starts(key[order])
     at = order[heads]
     total = np.add.reduceat(counts[order], heads) if len(heads) else counts
-    return key[at], first[at], second[at], total
+    return key[at], [w[at] for w in words], total
+
+
+def _packed_grams(key: np.ndarray, words: list[np.ndarray], counts: np.ndarray, parts: int) -> list:
+    part = parts_of(key, parts)
+    order = np.lexsort((words[0], part))  # runs of one first word pack well
+    return list(split_rows(part[order], [*[w[order] for w in words], counts[order].astype("<u4")]))
+
+
+def _batches(rows: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 500):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 500]), schema.types)], schema=schema)
 
 
-def _send_pairs(parts: int) -> Callable:
+def _entries(held: list[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
+    """The entries of each of the binary cells in the rows of ``held``."""
+    flat = [b.column("cells").flatten() for b in held]
+    return [
+        np.concatenate([np.zeros(0, kind), *(np.frombuffer(cells[i].as_buffer(), kind) for cells in flat for i in range(at, len(cells), len(kinds)))])
+        for at, kind in enumerate(kinds)
+    ]
+
+
+def _send_grams(parts: int, order: int) -> Callable:
     def flush(held: list, n: list) -> Iterator[pa.RecordBatch]:
-        before, token = (np.concatenate(x) for x in zip(*held))
+        words = [np.concatenate(x) for x in zip(*held)]
         held.clear()
         n[0] = 0
-        key, first, second, counts = _merge(before, token, np.ones(len(token), np.int64))
-        part = parts_of(key, parts)
-        order = np.lexsort((first, part))  # runs of one context pack well
-        rows = [(p, *cells) for p, cells in split_rows(part[order], [first[order], second[order], counts[order].astype("<u4")])]
-        for i in range(0, len(rows), 1000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 1000]), _PAIRS.types)], schema=_PAIRS)
+        yield from _batches(_packed_grams(*_merge(words, np.ones(len(words[0]), np.int64)), parts), _GRAMS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], [0]
         for batch in batches:
             for block in W.blocks(batch.column("text"), W.LOWER):
-                held.append(tokens(block)[:2])
+                held.append(grams(block, order)[0])
                 n[0] += len(held[-1][0])
                 if n[0] >= CHUNK_TOKENS:
                     yield from flush(held, n)
@@ -120,40 +148,57 @@ def _counts_of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == i).sum()) for i in (1, 2, 3, 4)]
 
 
-def _store_pairs(folder: str, parts: int) -> Callable:
-    """Writes the shards of a task's ranges; sends on what its words add up to."""
+def _store_grams(folder: str, parts: int, width: int, highest: bool) -> Callable:
+    """Writes the shards of a task's n-grams of ``width`` words; sends on what they add up to."""
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        *words, counts = _entries(list(batches), ["<u8"] * width + ["<u4"])
+        if not len(counts):
+            return
+        key, words, counts = _merge(words, counts.astype(np.int64))
+        part = parts_of(key, parts)
+        rows = []
+        for p in np.unique(part):
+            low, high = np.searchsorted(part, [p, p + 1])
+            name = write_shard(folder, f"grams{width}-{p}", key[low:high], [counts[low:high].astype("<u4")])
+            rows.append(("shard", int(p), name, None, *_counts_of_counts(counts[low:high])))
+        yield from _batches(rows, _ROWS)
+        del key, part
+
+        def sent(kind: str, packed: Iterator) -> Iterator[pa.RecordBatch]:
+            yield from _batches([(kind, p, None, cells, None, None, None, None) for p, cells in packed], _ROWS)
+
+        zero = np.zeros(len(counts), np.int64)
+        of_context = [counts, *(x.astype(np.int64) for x in (counts == 1, counts == 2, counts > 2))]
+        if width == 2:
+            word = np.concatenate([words[0], words[1]])
+            columns = [np.concatenate(x) for x in ((zero, counts if highest else zero), (zero, zero + 1), *((c, zero) for c in of_context))]
+        else:
+            context, columns = _sum_words(gram_hash(words[:-1]), of_context)
+            cells = [c.astype(t) for c, t in zip([context, *columns], _CONTEXT)]
+            yield from sent("contexts", split_rows(parts_of(context, parts), cells))
+            yield from sent("grams", _packed_grams(*_merge(words[1:], zero + 1), parts))
+            word, columns = (words[-1], [counts, *[zero] * 5]) if highest else (None, None)
+        if word is not None:
+            word, columns = _sum_words(word, columns)
+            yield from sent("words", split_rows(parts_of(word, parts), [word, *[c.astype("<u8") for c in columns]]))
+
+    return store
+
 
+def _store_contexts(folder: str, parts: int, width: int) -> Callable:
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        column = lambda name, kind: gather([b.column(name) for b in held], kind)
-        first, second = column("first", "<u8"), column("second", "<u8")
-        counts = column("counts", "<u4").astype(np.int64)
-        del held
-        if not len(first):
+        key, *columns = _entries(list(batches), _CONTEXT)
+        if not len(key):
             return
-        key, first, second, counts = _merge(first, second, counts)
+        key, columns = _sum_words(key, [c.astype(np.int64) for c in columns])
         part = parts_of(key, parts)
         rows = []
         for p in np.unique(part):
             low, high = np.searchsorted(part, [p, p + 1])
-            name = write_shard(folder, f"pairs-{p}", key[low:high], [counts[low:high].astype("<u4")])
-            rows.append(("pairs", int(p), name, *[None] * 7, *_counts_of_counts(counts[low:high])))
-        word = np.concatenate([first, second])
-        size, zero = len(first), np.zeros(len(first), np.int64)
-        one = zero + 1
-        columns = [
-            np.concatenate(x) for x in (
-                (zero, counts), (zero, one), (counts, zero),
-                ((counts == 1).astype(np.int64), zero), ((counts == 2).astype(np.int64), zero),
-                ((counts > 2).astype(np.int64), zero),
-            )
-        ]
-        assert len(word) == 2 * size
-        word, columns = _sum_words(word, columns)
-        for p, cells in split_rows(parts_of(word, parts), [word, *[c.astype("<u8") for c in columns]]):
-            rows.append(("words", p, None, *cells, None, None, None, None))
-        for i in range(0, len(rows), 500):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 500]), _WORDS.types)], schema=_WORDS)
+            name = write_shard(folder, f"contexts{width}-{p}", key[low:high], [c[low:high].astype(t) for c, t in zip(columns, _CONTEXT[1:])])
+            rows.append((int(p), name))
+        yield from _batches(rows, _FILES)
 
     return store
 
@@ -166,12 +211,10 @@ def _sum_words(word: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray,
 
 def _store_words(folder: str, parts: int) -> Callable:
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        column = lambda name, kind: gather([b.column(name) for b in held], kind)
-        word = column("words", "<u8")
+        word, *columns = _entries(list(batches), ["<u8"] * (1 + len(_FIELDS)))
         if not len(word):
             return
-        word, columns = _sum_words(word, [column(n, "<u8").astype(np.int64) for n in _FIELDS])
+        word, columns = _sum_words(word, [c.astype(np.int64) for c in columns])
         part = parts_of(word, parts)
         rows = []
         for p in np.unique(part):
@@ -194,48 +237,80 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.array([0.0, *[min(max(d, 0.0), i + 1) for i, d in enumerate(found)]])
 
 
+class Level:
+    """The n-grams of one order, their contexts (none at two words: those are in the words), and discounts."""
+
+    def __init__(self, width: int, grams: Table, contexts: Table | None, d: np.ndarray):
+        self.width, self.grams, self.contexts, self.d = width, grams, contexts, d
+
+
 class Model:
-    """What a worker needs: where the shards are, and totals."""
+    """What a worker needs: where the shards are, and totals; ``levels`` from two words up."""
 
-    def __init__(self, pairs: Table, words: Table, tokens: int, types: int, before: int, d1: np.ndarray, d2: np.ndarray, c1: list[int], more: int):
-        self.pairs, self.words = pairs, words
-        self.tokens, self.types, self.before, self.d1, self.d2 = tokens, types, before, d1, d2
+    def __init__(self, levels: list[Level], words: Table, tokens: int, types: int, before: int, d1: np.ndarray, c1: list[int], more: int):
+        self.levels, self.words, self.order = levels, words, len(levels) + 1
+        self.tokens, self.types, self.before, self.d1 = tokens, types, before, d1
         freed = d1[1] * c1[0] + d1[2] * c1[1] + d1[3] * more
         self.backoff = freed / before if before else 1.0
 
-    def score(self, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(log10 p(token | before), log10 base probability, known) of every token."""
+    def score(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 p, log10 base probability, known) of the last word of every n-gram."""
+        before, token = columns[-2:]
         word, at = np.unique(np.concatenate([before, token]), return_inverse=True)
         of_before, of_token = at[: len(before)], at[len(before) :]
-        count, left, total, ones, twos, more = self.words.look_up(word)
+        count, left, *of_word = self.words.look_up(word)
         lower = np.maximum(left - self.d1[np.minimum(left, 3)], 0) / max(self.before, 1) + self.backoff / (self.types + 1)
-        context = np.maximum(total, 1)
-        freed = np.where(total > 0, (self.d2[1] * ones + self.d2[2] * twos + self.d2[3] * more) / context, 1.0)
-        key, back = np.unique(pair_hash(before, token), return_inverse=True)
-        seen = self.pairs.look_up(key)[0].astype(np.int64)
-        held = np.maximum(seen - self.d2[np.minimum(seen, 3)], 0)[back]
-        p = held / context[of_before] + freed[of_before] * lower[of_token]
+        p = lower[of_token]
+        for level in self.levels:
+            words = columns[-level.width :]
+            if level.contexts is None:
+                found, place = of_word, of_before
+            else:
+                key, place = np.unique(gram_hash(words[:-1]), return_inverse=True)
+                found = level.contexts.look_up(key)
+            total, ones, twos, more = (x.astype(np.int64) for x in found)
+            context = np.maximum(total, 1)
+            freed = np.where(total > 0, (level.d[1] * ones + level.d[2] * twos + level.d[3] * more) / context, 1.0)
+            key, back = np.unique(gram_hash(words), return_inverse=True)
+            seen = level.grams.look_up(key)[0].astype(np.int64)
+            held = np.maximum(seen - level.d[np.minimum(seen, 3)], 0)[back]
+            p = held / context[place] + freed[place] * p
         base = (count + 1.0) / (self.tokens + self.types + 1.0)
         return np.log10(p), np.log10(base)[of_token], (count > 0)[of_token]
 
 
-def train(docs: DataFrame, staging: Staging) -> Model:
+def train(docs: DataFrame, staging: Staging, order: int = 2) -> Model:
     """Counts the texts of ``docs`` and stores the arrays."""
+    if order < 2:
+        raise ValueError(f"order must be 2 or more, not {order}")
     parts = part_count(docs.sparkSession)
     folder = staging.folder("model")
-    sent = deal(docs.select("text").mapInArrow(_send_pairs(parts), PAIRS), parts)
-    stored = staging.keep(sent.mapInArrow(_store_pairs(folder, parts), WORDS), "words")
-    pairs = stored.where("kind = 'pairs'").select("part", "file", "c1", "c2", "c3", "c4").collect()  # a row per range
-    words = deal(stored.where("kind = 'words'"), parts).mapInArrow(_store_words(folder, parts), TOTALS).collect()
-    staging.drop(stored)
-    c2 = [sum(r[f"c{i}"] for r in pairs) for i in (1, 2, 3, 4)]
+    sent = deal(docs.select("text").mapInArrow(_send_grams(parts, order), GRAMS), parts)
+    levels, kept = [], []
+    for width in range(order, 1, -1):
+        stored = staging.keep(sent.mapInArrow(_store_grams(folder, parts, width, width == order), ROWS), f"grams{width}")
+        kept.append(stored)
+
+        def of(kind: str, rows: DataFrame = stored) -> DataFrame:
+            return rows.where(F.col("kind") == kind).select("part", "cells")
+
+        shards = stored.where("kind = 'shard'").select("part", "file", "c1", "c2", "c3", "c4").collect()  # a row per range
+        contexts = None
+        if width > 2:
+            files = deal(of("contexts"), parts).mapInArrow(_store_contexts(folder, parts, width), "part long, file string").collect()
+            contexts = Table(folder, {r["part"]: r["file"] for r in files}, parts, _CONTEXT[1:])
+        d = discounts([sum(r[f"c{i}"] for r in shards) for i in (1, 2, 3, 4)])
+        levels.insert(0, Level(width, Table(folder, {r["part"]: r["file"] for r in shards}, parts, ["<u4"]), contexts, d))
+        sent = deal(of("grams"), parts)
+    packed = reduce(DataFrame.unionAll, [s.where("kind = 'words'").select("part", "cells") for s in kept])
+    words = deal(packed, parts).mapInArrow(_store_words(folder, parts), TOTALS).collect()
+    for stored in kept:
+        staging.drop(stored)
     c1 = [sum(r[f"c{i}"] for r in words) for i in (1, 2, 3, 4)]
     types = sum(r["types"] for r in words)
     return Model(
-        Table(folder, {r["part"]: r["file"] for r in pairs}, parts, ["<u4"]),
-        Table(folder, {r["part"]: r["file"] for r in words}, parts, ["<i8"] * len(_FIELDS)),
-        sum(r["tokens"] for r in words), types, sum(r["before"] for r in words),
-        discounts(c1), discounts(c2), c1, types - c1[0] - c1[1],
+        levels, Table(folder, {r["part"]: r["file"] for r in words}, parts, ["<i8"] * len(_FIELDS)),
+        sum(r["tokens"] for r in words), types, sum(r["before"] for r in words), discounts(c1), c1, types - c1[0] - c1[1],
     )
 
 
@@ -248,8 +323,8 @@ def _scorer(model: Model) -> Callable:
         for batch in batches:
             ids = batch.column("doc_id")
             for block in W.blocks(batch.column("text"), W.LOWER, size=4 * W.BLOCK):
-                before, token, first = tokens(block)
-                log_p, log_base, known = model.score(before, token)
+                columns, first = grams(block, model.order)
+                log_p, log_base, known = model.score(columns)
                 at = first[:-1]
                 rows = ids.slice(block.rows.start, len(block.rows))
                 yield pa.RecordBatch.from_arrays([
@@ -262,10 +337,10 @@ def _scorer(model: Model) -> Callable:
     return score
 
 
-def score_documents(docs: DataFrame, training: Column, staging: Staging | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, training: Column, staging: Staging | None = None, order: int = 2) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score, train_tokens, perplexity), learning from rows where ``training`` holds."""
     staging = staging or Staging(docs.sparkSession, "language-model")
-    model = train(docs.where(training), staging)
+    model = train(docs.where(training), staging, order)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return (
         rows.mapInArrow(_scorer(model), SCORES)

@@ -69,7 +69,7 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     def held_out(doc_id):
         return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 7 == 2
 
-    scored = language_model.score_documents(docs, ~held_out(F.col("doc_id")))
+    scored = language_model.score_documents(docs, ~held_out(F.col("doc_id")), order=3)
     return scored.withColumn("held_out", held_out(F.col("doc_id")))
 
 

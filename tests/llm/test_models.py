@@ -90,6 +90,45 @@ def test_language_model(spark, train_all, monkeypatch):
             assert sum(p2(a, w) for w in unigrams) + p2(a, "unknown") == pytest.approx(1)
 
 
+@pytest.mark.parametrize("order", [3])
+def test_language_model_of_higher_order(spark, order, monkeypatch):
+    """Longer contexts by recursion over dictionaries; a shared passage gets likelier with the order."""
+    monkeypatch.setattr(language_model, "CHUNK_TOKENS", 300)
+    rng = random.Random(3)
+    passage = " ".join(f"w{rng.randrange(12)}" for _ in range(30))
+    rows = [(d, " ".join(f"W{int(rng.expovariate(0.2))}" for _ in range(rng.randrange(50)))) for d in range(70)]
+    rows += [(100 + d, passage) for d in range(5)] + [(200, None), (201, "never w1 w2")]
+    held = lambda d: d % 7 == 2
+    padded = lambda t: ["<s>"] * (order - 1) + lm_tokens(t)
+    tables = {order: Counter(tuple(x[i : i + order]) for d, t in rows if not held(d) for x in [padded(t)] for i in range(len(x) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    d, total, seen = {}, Counter(), defaultdict(Counter)
+    for k, table in tables.items():
+        d[k] = language_model.discounts([Counter(table.values())[i] for i in (1, 2, 3, 4)])
+        for g, c in table.items():
+            total[k, g[:-1]] += c
+            seen[k, g[:-1]][min(c, 3)] += 1
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / (len(tables[1]) + 1)
+        h = (k, g[:-1])
+        if not total[h]:
+            return p(g[1:])
+        c = tables[k][g]
+        return max(c - d[k][min(c, 3)], 0) / total[h] + sum(d[k][i] * n for i, n in seen[h].items()) / total[h] * p(g[1:])
+
+    want = {i: sum(math.log10(p(tuple(x[j : j + order]))) for x in [padded(t)] for j in range(len(x) - order + 1)) for i, t in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    training = F.col("doc_id") % 7 != 2
+    got = {r.doc_id: r.score for r in language_model.score_documents(docs, training, order=order).collect()}
+    assert got == pytest.approx(want, abs=1e-7)
+    lower = {r.doc_id: r.score for r in language_model.score_documents(docs, training, order=order - 1).collect()}
+    assert got[100] > lower[100]
+
+
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=20), st.integers(1, 9))
 @settings(max_examples=30, deadline=None)
 def test_shards(tmp_path_factory, keys, others, parts):
