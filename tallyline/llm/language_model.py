@@ -229,12 +229,17 @@ def _store_words(folder: str, parts: int) -> Callable:
 
 
 def discounts(n: list[int]) -> np.ndarray:
-    """Discounts for counts 0, 1, 2 and 3 or more; 0.5, 1, 1.5 where counts of counts are missing."""
+    """Discounts for counts 0, 1, 2 and 3 or more.
+
+    0.5, 1, 1.5 where counts of counts are missing, and in place of an estimate
+    that is not above 0 (copies make such): a context that frees nothing would
+    leave unseen words a probability of 0.
+    """
     if min(n) <= 0:
         return np.array([0.0, 0.5, 1.0, 1.5])
     y = n[0] / (n[0] + 2 * n[1])
     found = [i + 1 - (i + 2) * y * n[i + 1] / n[i] for i in range(3)]
-    return np.array([0.0, *[min(max(d, 0.0), i + 1) for i, d in enumerate(found)]])
+    return np.array([0.0, *[d if 0 < d < i + 1 else (i + 1) / 2 for i, d in enumerate(found)]])
 
 
 class Level:

@@ -90,7 +90,7 @@ def test_language_model(spark, train_all, monkeypatch):
             assert sum(p2(a, w) for w in unigrams) + p2(a, "unknown") == pytest.approx(1)
 
 
-@pytest.mark.parametrize("order", [3])
+@pytest.mark.parametrize("order", [3, 4])
 def test_language_model_of_higher_order(spark, order, monkeypatch):
     """Longer contexts by recursion over dictionaries; a shared passage gets likelier with the order."""
     monkeypatch.setattr(language_model, "CHUNK_TOKENS", 300)
@@ -129,6 +129,27 @@ def test_language_model_of_higher_order(spark, order, monkeypatch):
     assert got[100] > lower[100]
 
 
+def test_discounts_free_some_mass():
+    assert language_model.discounts([100, 10, 30, 1])[2] == 1.0
+    assert language_model.discounts([100, 50, 20, 10]).tolist() == pytest.approx([0, 0.5, 1.4, 2.0])
+    for n in ([1, 1, 9, 9], [5, 90, 1, 60], [3, 3, 3, 90]):
+        assert all(0 < d < i + 1 for i, d in enumerate(language_model.discounts(n)[1:]))
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_triple_copies_leave_no_word_impossible(spark, order):
+    """Few texts twice, most three times: the estimated D2 is below 0."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(12)) for _ in range(50)]
+    copies = [1] * 20 + [2] * 6 + [3] * 20 + [4] * 4
+    rows = [(7 * i, t) for i, t in enumerate(t for t, n in zip(texts, copies) for _ in range(n))]
+    words = [t.split() for t, n in zip(texts, copies) if n == 2]
+    rows += [(1, f"{words[0][3]} {words[1][3]} unheard {words[2][5]} {words[0][6]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = language_model.score_documents(docs, F.col("doc_id") % 7 == 0, order=order).collect()
+    assert all(math.isfinite(r.score) and math.isfinite(r.perplexity) for r in got)
+
+
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=20), st.integers(1, 9))
 @settings(max_examples=30, deadline=None)
 def test_shards(tmp_path_factory, keys, others, parts):
