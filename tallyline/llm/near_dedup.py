@@ -387,28 +387,43 @@ class _Join:
         return stars
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, n_shingles, component_id, kept), a row per document."""
+def _decided(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, n_shingles, component_id, survives), a row per document.
+
+    The row of a component with the smallest (doc_id, version) survives, null
+    ids last; rows without shingles survive all.
+    """
     join = _Join(docs)
     stars = join.components()
     rows = join.signed.select("doc_id", "version", "n", "cls")
     full = rows.where("n > 0").join(
         stars.select(F.col("v").alias("cls"), F.col("u").alias("_root")), "cls", "left"
     ).withColumn("comp", F.coalesce("_root", "cls"))
-    smallest = full.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = full.join(smallest, "comp").select("doc_id", "version", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.where("n = 0").select("doc_id", "version", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return named.unionAll(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("version").alias("v"))
+    smallest = full.groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("_least"))
+    survives = F.col("doc_id").eqNullSafe(F.col("_least.id")) & (F.col("version") == F.col("_least.v"))
+    named = full.join(smallest, "comp").select(
+        "doc_id", "version", F.col("n").alias("n_shingles"), "component_id", survives.alias("survives")
+    )
+    empty = rows.where("n = 0").select(
+        "doc_id", "version", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("survives")
+    )
+    return named.unionAll(empty)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, n_shingles, component_id, kept), a row per document."""
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return _decided(docs).drop("survives").withColumn("kept", kept)
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with its smallest id, all columns kept.
+    """One document of each component, that with its smallest (id, version), all columns kept.
 
-    Rows that repeat it wholly are dropped too; rows that share its id but not
-    its text stay.
+    Null ids come last.  Rows that repeat it wholly are dropped too.
     """
-    decided = near_duplicates(docs).select(
-        F.col("doc_id").alias("_d"), F.col("version").alias("_v"), F.col("kept").alias("_kept")
+    decided = _decided(docs).select(
+        F.col("doc_id").alias("_d"), F.col("version").alias("_v"), F.col("survives").alias("_kept")
     )
     decided = Staging(docs.sparkSession, "near").keep(
         decided.groupBy("_d", "_v").agg(F.first("_kept").alias("_kept"), F.count("*").alias("_n")), "decided"

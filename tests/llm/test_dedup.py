@@ -182,6 +182,18 @@ def test_keep_one_each(spark, corpus):
     assert out.columns == docs.drop("_v").columns and len(got) == len(set(got)) and set(got) == want
 
 
+def test_keep_one_each_of_null_and_shared_ids(spark):
+    rng = random.Random(12)
+    base = [sentence(rng, 100, 5000) for _ in range(3)]
+    rows = [(None, f"{base[0]} {end}") for end in ("x", "y", "z")]  # no id in the whole component
+    rows += [(5, f"{base[1]} {end}") for end in ("x", "y")] + [(9, base[1])]  # the smallest id twice
+    rows += [(None, f"{base[2]} x"), (7, base[2])]
+    rows += [(5, sentence(rng, 50, 5000)), (11, ""), (12, "")]
+    out = [(r.doc_id, r.text) for r in near_dedup.keep_one_each(frame(spark, rows)).collect()]
+    assert [sum(t.startswith(b) for _, t in out) for b in base] == [1, 1, 1] and len(out) == 6
+    assert {d for d, t in out if t.startswith(base[1])} == {5} and {d for d, t in out if t.startswith(base[2])} == {7}
+
+
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=25))
 @settings(max_examples=4, deadline=None)
 def test_components(spark, links):
