@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import Staging
-from . import archives, chat, decontaminate, language_model, line_dedup, mixing, near_dedup, nearest, quality, substring_dedup
+from . import (
+    alignment, archives, chat, decontaminate, language_model, line_dedup, mixing, near_dedup, nearest, packing, quality,
+    substring_dedup,
+)
 
 # The conversation that op1 adds: a user, then an assistant row, both saying this.
 EXTRA_ID, EXTRA_TEXT = -7, "\\### Assistant: </turn> ok"
@@ -95,10 +98,29 @@ def op10_single_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _vocabulary(name: str) -> str:
+    """The installed place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return alignment.Alignment(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model")).documents()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat, op2_near_dedup, op3_decontaminate, op4_warc, op5_quality, op6_substrings, op7_language_model,
-        op8_nearest, op9_mixing, op10_line_dedup, op10_single_lines,
+        op8_nearest, op9_mixing, op10_line_dedup, op10_single_lines, op11_packing, op12_alignment,
     )
 }
