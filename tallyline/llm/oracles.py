@@ -155,7 +155,47 @@ SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (again)
 FROM marked GROUP BY doc_id
 """
 
+_OP13 = """
+WITH ids AS (
+  SELECT conv_id, (xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda i: (ascii(c) >> i) & 1)))),
+    lambda crc, bit: xor(crc >> 1, CASE WHEN xor(crc & 1, bit) = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 6) AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+), numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS at
+  FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT i.conv_id, 0 AS part, n.at, n.role, n.text FROM ids i
+  JOIN numbered n ON n.conv_id = i.conv_id - i.conv_id % 100 AND n.at <= i.h
+  UNION ALL SELECT i.conv_id, 1, n.at, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND n.at > i.h
+), placed AS (
+  SELECT conv_id, text, length(text) AS chars, row_number() OVER w AS d,
+    string_agg(sha256(length(role) || ':' || role || text), '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), members AS (
+  SELECT conv_id, d, sha256(path) AS node, chars FROM placed UNION ALL SELECT conv_id, 0, '', 0 FROM ids
+), deepest AS (SELECT conv_id, max(d) AS last FROM members GROUP BY 1
+), nodes AS (
+  SELECT node, any_value(m.d) AS d, any_value(chars) AS chars, count(*) AS n, min(conv_id) AS least,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (m.d = last), '')) AS ends
+  FROM members m JOIN deepest USING (conv_id) GROUP BY 1
+), steps AS (
+  SELECT DISTINCT a.node AS above, b.node AS below FROM members a JOIN members b ON a.conv_id = b.conv_id AND b.d = a.d + 1
+), reach AS (
+  SELECT DISTINCT a.node AS above, b.node AS below FROM members a JOIN members b ON a.conv_id = b.conv_id AND b.d >= a.d
+), subtrees AS (
+  SELECT r.above AS node, sum((n.n - 1) * n.chars)::BIGINT AS saved,
+    count(*) FILTER (NOT EXISTS (SELECT 1 FROM steps s WHERE s.above = r.below)) AS leaves
+  FROM reach r JOIN nodes n ON n.node = r.below GROUP BY 1
+)
+SELECT n.least AS conv_id, n.d AS depth, p.least AS parent_conv_id, n.n AS n_convs,
+  (SELECT count(*) FROM steps s WHERE s.above = n.node) AS n_children, t.leaves AS n_leaves, t.saved AS saved_tokens,
+  n.ends AS ends_sha256
+FROM nodes n JOIN subtrees t USING (node) LEFT JOIN steps u ON u.below = n.node LEFT JOIN nodes p ON p.node = u.above
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat": _OP1, "op2_near_dedup": _OP2, "op4_warc": _OP4, "op6_substrings": _OP6, "op8_nearest": _OP8,
-    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op10_single_lines": _OP10_SINGLE,
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op10_single_lines": _OP10_SINGLE, "op13_prefix_trie": _OP13,
 }

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..plans import Staging
 from . import (
-    alignment, archives, chat, decontaminate, language_model, line_dedup, mixing, near_dedup, nearest, packing, quality,
-    substring_dedup,
+    alignment, archives, chat, decontaminate, language_model, line_dedup, mixing, near_dedup, nearest, packing,
+    prefix_trie, quality, substring_dedup,
 )
 
 # The conversation that op1 adds: a user, then an assistant row, both saying this.
@@ -117,10 +117,15 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.Alignment(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model")).documents()
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.PrefixTrie(prefix_trie.rebuilt_turns(_read(spark, sf_dir, "conversations"))).rows()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat, op2_near_dedup, op3_decontaminate, op4_warc, op5_quality, op6_substrings, op7_language_model,
         op8_nearest, op9_mixing, op10_line_dedup, op10_single_lines, op11_packing, op12_alignment,
+        op13_prefix_trie,
     )
 }
