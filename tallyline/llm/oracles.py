@@ -163,16 +163,16 @@ WITH ids AS (
   FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
 ), numbered AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
-    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS at
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
   FROM conversations WHERE conv_id IS NOT NULL
 ), rebuilt AS (
-  SELECT i.conv_id, 0 AS part, n.at, n.role, n.text FROM ids i
-  JOIN numbered n ON n.conv_id = i.conv_id - i.conv_id % 100 AND n.at <= i.h
-  UNION ALL SELECT i.conv_id, 1, n.at, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND n.at > i.h
+  SELECT i.conv_id, 0 AS part, n.k, n.role, n.text FROM ids i
+  JOIN numbered n ON n.conv_id = i.conv_id - i.conv_id % 100 AND n.k <= i.h
+  UNION ALL SELECT i.conv_id, 1, n.k, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND n.k > i.h
 ), placed AS (
   SELECT conv_id, text, length(text) AS chars, row_number() OVER w AS d,
     string_agg(sha256(length(role) || ':' || role || text), '') OVER w AS path
-  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), members AS (
   SELECT conv_id, d, sha256(path) AS node, chars FROM placed UNION ALL SELECT conv_id, 0, '', 0 FROM ids
 ), deepest AS (SELECT conv_id, max(d) AS last FROM members GROUP BY 1
