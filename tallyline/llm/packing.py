@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from ..plans import Staging
 
 WIDTH, END = 2048, 1
-BLOCK_CHARS = 2 << 20  # texts encoded together
+BLOCK_CHARS = 1 << 20  # texts encoded together
 CACHED_WORDS = 400_000
 LAYER = 8  # equal lengths are laid in one step into at most this part of a pack's room
 
@@ -47,8 +48,10 @@ LAYER = 8  # equal lengths are laid in one step into at most this part of a pack
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")
+# Texts whose characters every edition of Unicode classes and lowers alike, and the words of such that are
+# letters and then punctuation.
+_NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÿ]")
+_LETTERS_MARKS = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
 
 _PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, task long, nth long"
 _PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -57,91 +60,98 @@ _PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id lo
 class Encoder:
     """Token ids of texts, as bytes of little-endian unsigned numbers.
 
-    Where the tokenizer's file says that words between blanks are encoded
-    independently, each distinct word of a task is encoded once.  Its letters
-    and the punctuation after them are words of their own to the tokenizer.
+    ``last`` tells for each id whether it ends a word (see ``word_ends``).  If
+    it is given, each distinct word of a task's plain texts is encoded once:
+    its letters, and the punctuation after them, are words of their own to the
+    tokenizer.
     """
 
-    def __init__(self, path: str, kind: str = "<u4"):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    def __init__(self, path: str, last: np.ndarray | None, kind: str = "<u4"):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one it has
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.kind = kind
+        self.kind, self.last = kind, last
         self.whole = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            told = json.load(file)
-        self.by_word = _splits_at_blanks(told)
-        if self.by_word:
-            self.letters = Tokenizer.from_file(path)
-            self.letters.normalizer = normalizers.Sequence([])
-            self.letters.pre_tokenizer = pre_tokenizers.Sequence([
-                pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-            ])
-            vocabulary = self.letters.get_vocab()
-            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.last[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # words of ASCII letters are written in the vocabulary as they are, others byte by byte
+        self.ascii, self.letters = Tokenizer(self.whole.model), Tokenizer(self.whole.model)
+        apart = pre_tokenizers.Split(" ", "removed")
+        self.ascii.pre_tokenizer = apart
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([apart, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.cache: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        simple, other, new = [], [], set()
-        for word in words:
-            parts = _SIMPLE.fullmatch(word)
-            if parts is None:
-                other.append(word)
-            else:
-                letters, marks = parts[1].lower(), parts[2]
-                simple.append((word, letters, marks))
-                new.add(letters)
-                if marks and marks not in self.cache:
-                    self.cache[marks] = self._bytes(self.whole.encode(marks, add_special_tokens=False).ids)
-        fresh = [w for w in new if w not in self.cache]
-        groups = [fresh[k : k + 100] for k in range(0, len(fresh), 100)]
+        cache = self.cache
+        fresh = {w for w in words if w.isalpha()}
+        others = words - fresh
+        marked = [m for m in map(_LETTERS_MARKS.fullmatch, others) if m]
+        fresh.update(m[1] for m in marked if m[1] not in cache)
+        plain = [w for w in fresh if w.isascii()]
+        self._learn_letters(self.ascii, plain)
+        self._learn_letters(self.letters, list(fresh.difference(plain)))
+        whole = {m[2] for m in marked if m[2] not in cache} | others.difference(m[0] for m in marked)
+        for word in whole:
+            cache[word] = self._bytes(self.whole.encode(word, add_special_tokens=False).ids)
+        cache.update((m[0], cache[m[1]] + cache[m[2]]) for m in marked)
+
+    def _learn_letters(self, tokenizer, words: list[str]) -> None:
         size = np.dtype(self.kind).itemsize
-        for group, done in zip(groups, self.letters.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(done.ids, self.kind)
-            ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(group, ends, strict=True):
-                self.cache[word] = data[begin:end]
-                begin = end
-        for word, done in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
-            self.cache[word] = self._bytes(done.ids)
-        for word, letters, marks in simple:
-            if marks or word != letters:
-                self.cache[word] = self.cache[letters] + self.cache[marks] if marks else self.cache[letters]
+        for k in range(0, len(words), 20_000):
+            groups = [words[i : i + 100] for i in range(k, min(k + 20_000, len(words)), 100)]
+            for group, done in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(done.ids, self.kind)
+                ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
+                data = ids.tobytes()
+                self.cache.update(zip(group, [data[b:e] for b, e in zip([0, *ends], ends)], strict=True))
+
+    def _words(self, text: str) -> list[str] | None:
+        if self.last is None or _NOT_PLAIN.search(text):
+            return None
+        lowered = text.lower()
+        return None if any(s in lowered for s in self.special) else lowered.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return [self._bytes(e.ids) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-        odd = [bool(_ODD_BLANKS.search(t)) for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd)]
-        words = set().union(*split)
+        split = [self._words(t) for t in texts]
+        words = set().union(*(s for s in split if s))
+        words.difference_update(self.cache.keys() & words)
         if len(self.cache) + len(words) > CACHED_WORDS:
             self.cache.clear()
-        self._learn(words - self.cache.keys())
+            words = set().union(*(s for s in split if s))
+        self._learn(words)
         known = self.cache.__getitem__
         return [
-            self._bytes(self.whole.encode(t, add_special_tokens=False).ids) if o else b"".join(map(known, w))
-            for t, o, w in zip(texts, odd, split)
+            self._bytes(self.whole.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(known, s))
+            for t, s in zip(texts, split)
         ]
 
 
-def _splits_at_blanks(told: dict) -> bool:
-    """Whether a tokenizer's file is of the kind that ``Encoder`` may feed word by word."""
+def word_ends(path: str) -> np.ndarray | None:
+    """For each id whether it ends a word, if a tokenizer's file encodes words between blanks independently."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
     normal = told.get("normalizer") or {}
     kinds = [n.get("type") for n in normal.get("normalizers", [])]
     steps = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
     split = steps[0] if steps else {}
-    return (
+    apart = (
         kinds == ["NFC", "Replace", "Lowercase"]
         and normal["normalizers"][1].get("pattern") == {"Regex": r"\s+"}
         and split.get("pattern") == {"Regex": SPLIT} and split.get("behavior") == "Removed" and split.get("invert") is True
         and [s.get("type") for s in steps[1:]] == ["ByteLevel"] and steps[1].get("use_regex") is False
         and told["model"].get("end_of_word_suffix") == WORD_END and not told["model"].get("dropout")
-        and not any(" " in t["content"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in told["added_tokens"])
+        and not any(re.search(r"[\sA-Z]", t["content"]) or t["single_word"] or t["lstrip"] or t["rstrip"] for t in told["added_tokens"])
     )
+    if not apart:
+        return None
+    vocabulary = Tokenizer.from_file(path).get_vocab()
+    last = np.zeros(max(vocabulary.values()) + 1, bool)
+    last[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
+    return last
 
 
 def id_kind(path: str, end: int) -> str:
@@ -151,9 +161,9 @@ def id_kind(path: str, end: int) -> str:
     return "<u2" if max(end, *Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
-def _cut_texts(path: str, kind: str, width: int, end: int):
+def _cut_texts(path: str, kind: str, last_of_word: np.ndarray | None, width: int, end: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, kind)
+        encoder = Encoder(path, last_of_word, kind)
         seen = np.zeros(width + 1, np.int64)
         task = TaskContext.get().partitionId()
         last = np.array([end], encoder.kind).tobytes()
@@ -295,7 +305,7 @@ def pack_documents(
     staging = Staging(spark, "packing")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = id_kind(tokenizer, end)
-    pieces = staging.keep(texts.mapInArrow(_cut_texts(tokenizer, kind, width, end), _PIECES), "pieces")
+    pieces = staging.keep(texts.mapInArrow(_cut_texts(tokenizer, kind, word_ends(tokenizer), width, end), _PIECES), "pieces")
     counts = staging.keep(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     # no more rows than lengths reach the driver
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
