@@ -1,11 +1,11 @@
 """The operators, by subject."""
 
 from . import (
-    bigrams, boolean_search, cooccurrence, counting, evaluation, inverted_index,
+    bigrams, bitmap_search, boolean_search, cooccurrence, counting, evaluation, inverted_index,
     linear_classifier, pagerank, reconcile, star,
 )
 
 __all__ = [
-    "bigrams", "boolean_search", "cooccurrence", "counting", "evaluation",
+    "bigrams", "bitmap_search", "boolean_search", "cooccurrence", "counting", "evaluation",
     "inverted_index", "linear_classifier", "pagerank", "reconcile", "star",
 ]

@@ -13,20 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _terms(query: str) -> list[str]:
+def query_terms(query: str) -> list[str]:
     return list(dict.fromkeys(w for w in query.split() if w not in ("AND", "OR")))
 
 
-def _condition(query: str, holds: dict[str, Column]) -> Column:
-    stack: list[Column] = []
+def evaluate(query: str, operands: dict, both: Callable, either: Callable):
+    """The top of the stack after a postfix query over any kind of operands."""
+    stack: list = []
     for word in query.split():
         if word in ("AND", "OR"):
             if len(stack) < 2:
                 raise ValueError(f"{word} needs two operands: {query!r}")
             right, left = stack.pop(), stack.pop()
-            stack.append(left & right if word == "AND" else left | right)
+            stack.append(both(left, right) if word == "AND" else either(left, right))
         else:
-            stack.append(holds[word])
+            stack.append(operands[word])
     if not stack:
         raise ValueError("empty query")
     return stack[-1]
@@ -38,9 +39,9 @@ def search(postings: DataFrame, query: str) -> DataFrame:
     One pass: only postings of the query's terms are read, each document
     becomes one row of term flags, and the query is a filter on those flags.
     """
-    terms = _terms(query)
+    terms = query_terms(query)
     flags = [f"t{i}" for i in range(len(terms))]
-    condition = _condition(query, {t: F.col(f) for t, f in zip(terms, flags)})
+    condition = evaluate(query, {t: F.col(f) for t, f in zip(terms, flags)}, lambda a, b: a & b, lambda a, b: a | b)
     hits = postings.where(F.col("term").isin(terms)).groupBy("docno").agg(
         *[F.bool_or(F.col("term") == t).alias(f) for t, f in zip(terms, flags)]
     )

@@ -1,7 +1,7 @@
 """Evaluation of predictions (doc_id, label, score, pred).
 
 Scores are first counted per distinct value; ordered statistics then run over
-blocks of scores, so no task sorts all documents.  The functions read their
+ranges of scores, so no task sorts all documents.  The functions read their
 input more than once: pass a stored table, not a pipeline that scores anew.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import RATE_EDGES, guarded_rate, logit, rate_bucket, sigmoid
+from ..plans.durable import checkpointed
 from ..plans.prefix import running_before, with_score_block
 
 
@@ -38,8 +39,8 @@ def _inversion_rate(inversions: Column, h: Column, s: Column) -> Column:
 def _inversions(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """(by..., hams, spams, inversions) from (by..., block, score, s, h).
 
-    Inside a block, hams are matched with the spams scoring lower; between
-    blocks, all hams of one with all spams of the earlier ones.
+    Inside a range of scores, hams are matched with the spams scoring lower;
+    between ranges, all hams of one with all spams of the earlier ones.
     """
     by = list(by)
     earlier = (Window.unboundedPreceding, -1)
@@ -77,6 +78,34 @@ def lam(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("lam", F.lit(100.0) * sigmoid(mean))
 
 
+def _points(counted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., kind, bucket, rate) from (by..., block, score, s, h)."""
+    by = list(by)
+    rows = running_before(counted, ["s", "h"], "block", "score", by)
+    totals = counted.groupBy(*by).agg(F.sum("s").cast("double").alias("_spams"), F.sum("h").cast("double").alias("_hams"))
+    if by:
+        rows = rows.join(totals, by)
+    else:
+        rows = rows.withColumns({c: totals.select(c).scalar() for c in ("_spams", "_hams")})
+    seen_s, seen_h = F.col("s_before") + F.col("s"), F.col("h_before") + F.col("h")
+    rates = rows.select(
+        *by, "block",
+        (F.greatest(seen_s.cast("double"), F.lit(0.5)) / F.nullif(F.col("_spams"), F.lit(0.0))).alias("fn"),
+        (F.greatest(F.col("_hams") - seen_h, F.lit(0.5)) / F.nullif(F.col("_hams"), F.lit(0.0))).alias("fp"),
+    )
+    # both rates are monotone in a range, so its share of a bucket is one value; then the ranges are merged
+    both = [
+        rates.groupBy(*by, "block", rate_bucket(of).alias("bucket")).agg(F.min(rate).alias("rate")).withColumn("kind", F.lit(kind))
+        for kind, of, rate in (("fp_at_fn", "fn", "fp"), ("fn_at_fp", "fp", "fn"))
+    ]
+    return both[0].unionByName(both[1]).groupBy(*by, "kind", "bucket").agg(F.min("rate").alias("rate"))
+
+
+def _with_edge(points: DataFrame) -> DataFrame:
+    edge = F.element_at(F.lit(list(RATE_EDGES)), F.col("bucket") + 1)
+    return points.select("kind", "bucket", edge.alias("edge"), *[c for c in points.columns if c not in ("kind", "bucket")])
+
+
 def operating_points(preds: DataFrame, blocks: int | None = None) -> DataFrame:
     """(kind, bucket, edge, rate) along the ascending scores.
 
@@ -86,58 +115,110 @@ def operating_points(preds: DataFrame, blocks: int | None = None) -> DataFrame:
     second rises with the score, so both are the smallest rate of the bucket.
     Counts of 0 become one half.  Buckets no score falls into have no row.
     """
-    rows = running_before(_per_score(preds, [], blocks), ["s", "h"], "block", "score")
-    totals = preds.agg(F.count_if(_spam()).alias("spams"), F.count_if(~_spam()).alias("hams"))
-    spams, hams = (totals.select(c).scalar().cast("double") for c in ("spams", "hams"))
-    seen_s, seen_h = F.col("s_before") + F.col("s"), F.col("h_before") + F.col("h")
-    rates = rows.select(
-        (F.greatest(seen_s.cast("double"), F.lit(0.5)) / F.nullif(spams, F.lit(0.0))).alias("fn"),
-        (F.greatest(hams - seen_h, F.lit(0.5)) / F.nullif(hams, F.lit(0.0))).alias("fp"),
-    )
-    points = rates.select(F.inline(F.array(
-        F.struct(F.lit("fp_at_fn").alias("kind"), rate_bucket("fn").alias("bucket"), F.col("fp").alias("rate")),
-        F.struct(F.lit("fn_at_fp").alias("kind"), rate_bucket("fp").alias("bucket"), F.col("fn").alias("rate")),
-    )))
-    best = points.groupBy("kind", "bucket").agg(F.min("rate").alias("rate"))
-    edge = F.element_at(F.lit(list(RATE_EDGES)), F.col("bucket") + 1)
-    return best.select("kind", "bucket", edge.alias("edge"), "rate")
+    return _with_edge(_points(_per_score(preds, [], blocks), []))
 
 
 # --- bootstrap -----------------------------------------------------------
 
-# How often a document is drawn: k if the uniform is at least the first k of these.
-POISSON_1 = tuple(math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(17))
+PARTS = 12  # a group is drawn in parts of a power of two documents, up to 2 ** PARTS
+_COARSE = 32
 
 
-def _times(doc_id: Column, rep: Column, seed: int) -> Column:
-    """A Poisson(1) draw that depends on document, repetition and seed only."""
-    key = F.concat_ws(":", doc_id.cast("string"), rep.cast("string"), F.lit(str(seed)))
-    uniform = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
-    return F.size(F.filter(F.lit(list(POISSON_1)), lambda c: c <= uniform)).cast("bigint")
+def poisson_steps(mean: int) -> list[float]:
+    """How often something is drawn: k if the uniform is at least the first k of these.
 
+    Sums of the probabilities of 0, 1, 2, ...; they end where 1 - sum is too
+    small for the draws' 52 bits.
+    """
+    steps, total, k = [], 0.0, 0
+    while k <= mean or total < 1 - 2.0**-52:
+        term = math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        if k > mean and term < 2.0**-60:
+            break
+        total += term
+        steps.append(total)
+        k += 1
+    return steps
 
-def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None) -> DataFrame:
-    """(metric, estimate, low, high): 95 % bootstrap intervals of 1-ROCA and LAM, percent.
 
-    Poisson bootstrap: every document is drawn Poisson(1) times in every
-    repetition.  Draws are a hash of document, repetition and seed, the same in
-    every run, and are summed per repetition and score in the tasks that make
-    them.
+def _uniform(key: Column) -> Column:
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+
+
+def _drawn(uniform: Column, mean: int) -> Column:
+    """The number of steps up to the uniform; every 32nd step tells which 32 to look at."""
+    steps = poisson_steps(mean)
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda step: step <= uniform))
+
+    if len(steps) <= 2 * _COARSE:
+        return below(F.lit(steps)).cast("bigint")
+    start = below(F.lit(steps[_COARSE - 1 :: _COARSE])) * _COARSE
+    return (start + below(F.slice(F.lit(steps), start + 1, F.lit(_COARSE)))).cast("bigint")
+
+
+def poisson_draws(groups: DataFrame, n: str, key: Column) -> DataFrame:
+    """The groups with ``drawn``, Poisson-distributed with mean ``n``, a row for each part.
+
+    A sum of Poisson numbers is one: n documents are drawn at once, in parts of
+    2 ** PARTS and one for each lower bit of n, and the parts' draws add up to
+    the group's.  A part's draw comes from the md5 of the key and the part.
+    """
+    large = F.expr(f"{n} div {1 << PARTS}")
+    parts = F.concat(
+        F.transform(
+            F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.col(n).bitwiseAND(F.pow(F.lit(2), i).cast("bigint")) != 0),
+            lambda i: F.struct(i.cast("bigint").alias("bit"), F.lit(0).cast("bigint").alias("nth")),
+        ),
+        F.transform(
+            F.when(large > 0, F.sequence(F.lit(1).cast("bigint"), large)).otherwise(F.array().cast("array<bigint>")),
+            lambda j: F.struct(F.lit(PARTS).cast("bigint").alias("bit"), j.alias("nth")),
+        ),
+    )
+    each = groups.withColumn("_part", F.explode(parts)).withColumn(
+        "_u", _uniform(F.concat_ws(":", key, F.col("_part")["bit"].cast("string"), F.col("_part")["nth"].cast("string")))
+    )
+    draw = F.lit(None).cast("bigint")
+    for bit in range(PARTS + 1):
+        draw = F.when(F.col("_part")["bit"] == bit, _drawn(F.col("_u"), 1 << bit)).otherwise(draw)
+    return each.withColumn("drawn", draw).drop("_part", "_u")
+
+
+def _resampled(preds: DataFrame, reps: int, seed: int, blocks: int | None) -> DataFrame:
+    """(rep, block, score, s, h, fn, fp): drawn documents per score, of each repetition.
+
+    Documents with the same score, label and prediction are counted first, and
+    drawn together.
     """
     wrong = F.col("pred") != F.col("label")
-    drawn = preds.select(
-        "score", _spam().alias("spam"), wrong.alias("wrong"), "doc_id", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")
-    ).withColumn("n", _times(F.col("doc_id"), F.col("rep"), seed)).where("n > 0")
+    groups = preds.groupBy("score", _spam().alias("spam"), wrong.alias("wrong")).agg(F.count("*").alias("n"))
+    groups = checkpointed(groups)
+    each = groups.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("score", "spam", "wrong", "rep")], F.lit(str(seed)))
+    drawn = poisson_draws(each, "n", key).where("drawn > 0")
 
     def times(condition: str) -> Column:
-        return F.sum(F.when(F.expr(condition), F.col("n")).otherwise(0))
+        return F.sum(F.when(F.expr(condition), F.col("drawn")).otherwise(0))
 
     counted = drawn.groupBy("rep", "score").agg(
         times("spam").alias("s"), times("NOT spam").alias("h"),
         times("spam AND wrong").alias("fn"), times("NOT spam AND wrong").alias("fp"),
     )
+    return with_score_block(counted, "score", ["rep"], blocks)
+
+
+def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None) -> DataFrame:
+    """(metric, estimate, low, high): 95 % bootstrap intervals of 1-ROCA and LAM, percent.
+
+    Poisson bootstrap: every document counts Poisson(1) times in every
+    repetition, documents that are alike Poisson(n) times together.  Draws
+    depend on the group, repetition and seed only.  The work grows with the
+    distinct groups, not with the documents.
+    """
+    counted = _resampled(preds, reps, seed, blocks)
     errors = counted.groupBy("rep").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"))
-    sums = _inversions(with_score_block(counted, "score", ["rep"], blocks), ["rep"]).join(errors, "rep")
+    sums = _inversions(counted, ["rep"]).join(errors, "rep")
     roca = logit(_inversion_rate(F.col("inversions"), F.col("hams"), F.col("spams")))
     average = (logit(guarded_rate("fn", "spams")) + logit(guarded_rate("fp", "hams"))) / F.lit(2.0)
     spread = sums.select(roca.alias("roca"), average.alias("lam")).agg(
@@ -154,6 +235,19 @@ def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None
     )
 
 
+def resampled_points(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None) -> DataFrame:
+    """(kind, bucket, edge, reps, rate): both rate curves averaged over the bootstrap's repetitions.
+
+    Rates are averaged as logits; ``reps`` counts the repetitions with a score
+    in the bucket.
+    """
+    points = _points(_resampled(preds, reps, seed, blocks), ["rep"])
+    # a rate of 1 has no finite logit
+    inside = points.withColumn("rate", F.least("rate", F.lit(1 - 1e-9)))
+    mean = inside.groupBy("kind", "bucket").agg(F.count("*").alias("reps"), sigmoid(F.avg(logit(F.col("rate")))).alias("rate"))
+    return _with_edge(mean)
+
+
 def run_summary(rocas: DataFrame) -> DataFrame:
     """(runs, low, high, mean) of 1-ROCA over repeated runs."""
     return rocas.agg(

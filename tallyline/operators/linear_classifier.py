@@ -10,15 +10,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import sigmoid, sign_vote
+from ..plans.blocks import Blocks, write_blocks
 from ..plans.durable import checkpointed, checkpointed_by
+from ..plans.prefix import first_of_each, with_positions
 from ..plans.rows import explode_counts, explode_once
 from ..plans.skew import hot_keys, salt_many, salt_one
+from ..plans.staging import Staging
 
 DELTA = 0.002
+MAX_DOCS = 20_000  # labelled documents in one sequence of updates
+BLOCK_DOCS = 256
 
 
 def _is_spam() -> Column:
@@ -74,26 +80,20 @@ def _with_model(docs: DataFrame) -> DataFrame:
     return docs if "model_id" in docs.columns else docs.withColumn("model_id", F.lit("all"))
 
 
-def _bounded(docs: DataFrame, max_docs: int | None, order: Sequence[str]) -> DataFrame:
-    """The first ``max_docs`` labelled documents of every model, in training order."""
-    if max_docs is None:
-        return docs
-    first = Window.partitionBy("model_id").orderBy(*order, "doc_id")
-    return docs.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= max_docs).drop("_nth")
-
-
 def train_sgd(
-    docs: DataFrame, delta: float = DELTA, order: Sequence[str] = ("doc_id",), max_docs: int | None = None,
+    docs: DataFrame, delta: float = DELTA, order: Sequence[str] = ("doc_id",), max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """(model_id, feature, weight): one pass of stochastic gradient descent per model.
 
     ``docs`` may have a model_id; without one, all train the model 'all'.
     Documents are visited by ``order``; ties go by doc_id.  One model is one
-    sequence and so one task, at any size: rows stream through it and only the
-    weights are held.  ``max_docs`` bounds the labelled documents a model is
-    fitted on; ``train_sgd_sharded`` and ``train_batch`` train in parallel.
+    sequence and so one task, which is why a model is fitted on its first
+    ``max_docs`` labelled documents only; they are found by ranks in ranges of
+    the order, without a window over a model.  ``train_sgd_sharded`` and
+    ``train_batch`` train in parallel, on all documents.
     """
-    chosen = _bounded(_with_model(docs), max_docs, order)
+    key = list(dict.fromkeys([*order, "doc_id"]))
+    chosen = first_of_each(_with_model(docs), key, max_docs, ["model_id"])
     placed = chosen.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
     return _trained(placed, delta, order).select("model_id", "feature", "weight")
 
@@ -105,26 +105,91 @@ def shard_of(doc_id: Column, shards: int) -> Column:
 
 
 def train_sgd_sharded(
-    docs: DataFrame, shards: int, delta: float = DELTA, order: Sequence[str] = ("doc_id",)
+    docs: DataFrame, shards: int | None = None, delta: float = DELTA, order: Sequence[str] = ("doc_id",),
+    shard_docs: int = MAX_DOCS,
 ) -> DataFrame:
-    """(model_id, feature, weight): ``shards`` sequences per model, their weights averaged.
+    """(model_id, feature, weight): several sequences per model, their weights averaged.
 
+    There are enough ``shards``, unless given, for about ``shard_docs`` of all
+    documents in each, so a task's share stays the same as the input grows.
     Parameter mixing: a feature that a shard has not seen counts as 0 there.
     """
-    placed = _with_model(docs).withColumns({"shard": shard_of(F.col("doc_id"), shards), "shards": F.lit(shards)})
+    docs = _with_model(docs)
+    shards = shards or max(1, -(-docs.count() // shard_docs))
+    placed = docs.withColumns({"shard": shard_of(F.col("doc_id"), shards), "shards": F.lit(shards)})
     mean = (F.sum("weight") / F.max("shards")).alias("weight")
     return _trained(placed, delta, order).groupBy("model_id", "feature").agg(mean)
 
 
-def train_runs(docs: DataFrame, seeds: Sequence[int], delta: float = DELTA) -> DataFrame:
-    """One model per seed, each trained in its own shuffled order, in one job.
+# --- repeated runs -------------------------------------------------------
+
 
-    The order is an md5 of document and seed, so a seed always gives the same
-    model.
+def shuffled_order(docs: DataFrame, seeds: Sequence[int], id_col: str = "doc_id", carried: Sequence[str] = ()) -> DataFrame:
+    """(seed, doc_id, carried..., position): a random order of the rows for each seed.
+
+    The order is by md5 of document and seed, so a seed always gives the same
+    one; positions run from 0 on.  Nothing is sorted in one task.
+    """
+    each = docs.select(F.col(id_col).alias("doc_id"), *carried, F.explode(F.lit([int(s) for s in seeds])).alias("seed"))
+    turn = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("seed").cast("string")))
+    return with_positions(each, [turn, "doc_id"], ["seed"]).select("seed", "doc_id", *carried, "position")
+
+
+def _run(folder: str, files: list[str], words: int, delta: float):
+    """Trains on (seed, y, block, place) rows that come in order; features are read from the packed blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = Blocks(folder, files)
+        now, weights, seen = None, None, None
+
+        def finished() -> pa.RecordBatch:
+            some = np.flatnonzero(seen)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(some), now, np.int64)), pa.array(some), pa.array(weights[some])], names=["model_id", "code", "weight"]
+            )
+
+        for batch in batches:
+            for seed, y, block, place in zip(*(c.to_numpy() for c in batch.columns)):
+                if seed != now:
+                    if now is not None:
+                        yield finished()
+                    now, weights, seen = seed, np.zeros(words), np.zeros(words, bool)
+                features = blocks.row(block, place)
+                if len(features):
+                    p = 1.0 / (1.0 + np.exp(-weights[features].sum()))
+                    np.add.at(weights, features, (y - p) * delta)
+                    seen[features] = True
+        if now is not None:
+            yield finished()
+
+    return run
+
+
+def train_runs(docs: DataFrame, seeds: Sequence[int], delta: float = DELTA, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(model_id, feature, weight): one model per seed, each trained in its own shuffled order, in one job.
+
+    The runs share one stored copy of at most ``max_docs`` documents (the first
+    by md5 of their id), with features as numbers, in packed blocks.  What is
+    shuffled for a seed is a number and a label per document; its task reads
+    the features where they lie.
     """
-    runs = docs.withColumn("model_id", F.explode(F.lit([int(s) for s in seeds])))
-    turn = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("model_id").cast("string")))
-    return train_sgd(runs.withColumn("turn", turn), delta, order=("turn",))
+    staging = Staging(docs.sparkSession, "runs")
+    ranked = docs.select("doc_id", _is_spam().alias("y"), "features").withColumn("_md5", F.md5(F.col("doc_id").cast("string")))
+    sample = with_positions(first_of_each(ranked.withColumn("_all", F.lit(0)), ["_md5", "doc_id"], max_docs, ["_all"]), ["_md5", "doc_id"])
+    sample = staging.keep(sample.select("position", "doc_id", "y", F.coalesce("features", F.array().cast(dict(docs.dtypes)["features"])).alias("features")))
+    distinct = explode_once(sample, "features", "feature").distinct()
+    words = staging.keep(with_positions(distinct, ["feature"], name="code"), "words")
+    coded = explode_counts(sample, "features", "feature", "k", "position").join(words, "feature")
+    rows = sample.select("position").join(
+        coded.groupBy("position").agg(F.collect_list(F.struct("code", "k")).alias("ck")), "position", "left"  # a document's words
+    ).select("position", F.flatten(F.transform("ck", lambda x: F.array_repeat(x["code"], x["k"].cast("int")))).alias("codes"))
+    folder = staging.folder("blocks")
+    files = write_blocks(rows, "position", "codes", folder, BLOCK_DOCS)
+    turns = shuffled_order(sample.withColumnRenamed("position", "nth"), seeds, carried=["nth", "y"])
+    turns = turns.repartition("seed").sortWithinPartitions("seed", "position")
+    placed = turns.select("seed", "y", F.expr(f"nth div {BLOCK_DOCS}").alias("block"), (F.col("nth") % BLOCK_DOCS).alias("place"))
+    weights = placed.mapInArrow(_run(folder, files, words.count(), delta), "model_id long, code long, weight double")
+    return weights.join(words, "code").select(F.col("model_id").cast("int").alias("model_id"), "feature", "weight")
 
 
 # --- batch training ------------------------------------------------------

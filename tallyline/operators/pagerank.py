@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import checkpointed, checkpointed_by
 from ..plans.skew import hot_keys, salt_many, salt_one
+from ..plans.staging import Staging
 
 ALPHA = 0.15
 CHECKPOINT_EVERY = 5
@@ -140,6 +141,7 @@ def pagerank(
         raise ValueError("resuming needs the base folder of the snapshots")
     spark = nodes.sparkSession
     ranks = spark.read.parquet(snapshot_path(base, start)) if start else init_ranks(nodes, sources)
+    staging = Staging(spark, "ranks")
     if end > start:
         graph = transitions(nodes, edges, alpha)
     for done in range(start + 1, end + 1):
@@ -148,7 +150,8 @@ def pagerank(
             ranks.write.mode("overwrite").parquet(snapshot_path(base, done))
             ranks = spark.read.parquet(snapshot_path(base, done))
         elif done < end and done % checkpoint_every == 0:
-            ranks = checkpointed(ranks)
+            before, ranks = ranks, staging.keep(ranks, "ranks")
+            staging.drop(before)  # its only reader was the step just stored
     return ranks
 
 

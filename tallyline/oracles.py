@@ -7,8 +7,9 @@ jump-and-missing-mass formula, and retrieval by set operations.
 from __future__ import annotations
 
 from .functions.numeric import RATE_EDGES
-from .operators.evaluation import POISSON_1
-from .operators.linear_classifier import ERROR
+from .operators.evaluation import PARTS, poisson_steps
+from .operators.linear_classifier import ERROR, MAX_DOCS
+from .workload import SHARD_DOCS
 
 STRIP = "regexp_extract(lower(w), '(?s)[a-z](.*[a-z])?')"
 RAW = r"list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda w: w <> '')"
@@ -186,7 +187,22 @@ MONTHLY = """monthly AS (
 _T3, _T2 = _bigram("3", 3), _bigram("2", 2)
 _EDGES = str(list(RATE_EDGES)) + "::DOUBLE[]"
 _RATE_BUCKET = f"least(len(list_filter({_EDGES}, lambda e: e < {{r}})), {len(RATE_EDGES) - 1})::INTEGER"
-_DRAWS = str([repr(c) for c in POISSON_1]).replace("'", "") + "::DOUBLE[]"
+_TABLES = " ".join(f"WHEN {bit} THEN {poisson_steps(1 << bit)!r}" for bit in range(PARTS + 1))
+_DRAWN = f"""alike AS (SELECT score, label, pred, count(*) AS n FROM preds GROUP BY ALL),
+parts AS (
+  SELECT score, label, pred, range AS bit, 0 AS nth FROM alike, range({PARTS}) WHERE (n >> range) & 1 = 1
+  UNION ALL SELECT score, label, pred, {PARTS}, unnest(range(1, n // {1 << PARTS} + 1)) FROM alike),
+tables AS (SELECT range AS bit, CASE range {_TABLES} END AS steps FROM range({PARTS + 1})),
+keyed AS (
+  SELECT range AS rep, score, label, pred, bit, ('0x' || md5(concat_ws(':', score::VARCHAR, (label = 'spam')::VARCHAR,
+    (label <> pred)::VARCHAR, range::VARCHAR, '0', bit::VARCHAR, nth::VARCHAR))[1:13])::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+  FROM parts, range(100)),
+drawn AS (SELECT rep, score, label, pred, len(list_filter(steps, lambda c: c <= u)) AS n FROM keyed JOIN tables USING (bit)),
+per_score AS (
+  SELECT rep, score, coalesce(sum(n) FILTER (label = 'spam'), 0) AS s, coalesce(sum(n) FILTER (label = 'ham'), 0) AS h,
+    coalesce(sum(n) FILTER (label = 'spam' AND pred = 'ham'), 0) AS fn,
+    coalesce(sum(n) FILTER (label = 'ham' AND pred = 'spam'), 0) AS fp
+  FROM drawn WHERE n > 0 GROUP BY ALL)"""
 
 
 def _revenue(ordered: str, shipped: str) -> str:
@@ -208,11 +224,22 @@ scored AS (
   LEFT JOIN w1 m ON m.feature = o.feature AND m.model_id = s.model_id GROUP BY ALL),
 votes AS (SELECT doc_id, label, sum({_sign()})::BIGINT AS score FROM scored GROUP BY doc_id, label)
 SELECT doc_id, label, score, {_label('score')} FROM votes"""
-_SHARD = "(('0x' || md5(doc_id::VARCHAR)[1:15])::BIGINT % 4)"
-_RUNS = """SELECT range AS seq, doc_id, y, row_number() OVER (PARTITION BY range
-  ORDER BY md5(doc_id::VARCHAR || ':' || range::VARCHAR), doc_id) AS nth FROM labelled, range(10)"""
+_SHARDS = f"(SELECT greatest(1, (count(*) + {SHARD_DOCS - 1}) // {SHARD_DOCS}) FROM labelled)"
+_SHARD = f"(('0x' || md5(doc_id::VARCHAR)[1:15])::BIGINT % {_SHARDS})"
+_RUNS = f"""SELECT range AS seq, doc_id, y, row_number() OVER (PARTITION BY range
+  ORDER BY md5(doc_id::VARCHAR || ':' || range::VARCHAR), doc_id) AS nth
+  FROM (SELECT *, row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) AS place FROM labelled QUALIFY place <= {MAX_DOCS}), range(10)"""
 _MODEL_NUMBERS = "models AS (SELECT model_id, row_number() OVER (ORDER BY model_id) AS seq FROM (SELECT DISTINCT model_id FROM labelled))"
 
+_LAM = f"""WITH {LENGTH}, c AS (
+  SELECT count(*) FILTER (label = 'ham') AS hams, count(*) FILTER (label = 'spam') AS spams,
+    count(*) FILTER (label = 'ham' AND pred = 'spam') AS fp,
+    count(*) FILTER (label = 'spam' AND pred = 'ham') AS fn FROM preds),
+r AS (SELECT *, CASE WHEN fp = 0 THEN 0.5 WHEN fp = hams THEN hams - 0.5 ELSE fp END::DOUBLE / hams AS a,
+  CASE WHEN fn = 0 THEN 0.5 WHEN fn = spams THEN spams - 0.5 ELSE fn END::DOUBLE / spams AS b FROM c)
+SELECT hams, spams, fp, fn,
+  round(100.0 / (1.0 + exp(-(ln(a / (1 - a)) + ln(b / (1 - b))) / 2)), 9) AS lam FROM r"""
+
 ORACLES: dict[str, str] = {
     "q1_ship_count": f"SELECT count(*) AS n FROM lineitem WHERE {SHIPPED}",
     "q1_ship_count_year": "SELECT count(*) AS n FROM lineitem WHERE year(l_shipdate) = 1998",
@@ -287,6 +314,13 @@ SELECT * FROM compared WHERE status IS NOT NULL""",
     "posting_gaps": f"""WITH {INDEX} SELECT term, docno // 256 AS block,
   (row_number() OVER (PARTITION BY term, docno // 256 ORDER BY docno))::INTEGER AS pos,
   docno - lag(docno, 1, 0) OVER (PARTITION BY term ORDER BY docno) AS gap, tf FROM postings""",
+    "posting_gaps_decoded": f"WITH {INDEX} SELECT term, docno, tf FROM postings",
+    "index_build": f"WITH {INDEX} SELECT term, count(*) AS df FROM postings GROUP BY term",
+    "index_table": f"""WITH {INDEX}, listed AS (SELECT term FROM postings
+  UNION ALL SELECT unnest(list_distinct({_stripped(RAW)})) FROM benchmark)
+SELECT 1 AS version, term, count(*) AS df FROM postings GROUP BY term
+UNION ALL SELECT 2, term, count(*) FROM listed GROUP BY term""",
+    "bool_flat": f"WITH {INDEX} SELECT docno FROM ({NESTED})",
     "bool_term": f"WITH {INDEX} {_has('the')}",
     "bool_and": f"WITH {INDEX} ({_has('the')}) INTERSECT ({_has('of')})",
     "bool_or": f"WITH {INDEX} ({_has('the')}) UNION ({_has('de')})",
@@ -335,11 +369,14 @@ SELECT model_id, feature, round(weight + g, 9) AS weight FROM w1 JOIN step USING
     "train_batch_text": f"""WITH {LABELLED} SELECT 'all' AS model_id, feature,
   round(sum(0.002::DOUBLE * k * (y - 0.5)), 9) AS weight FROM occ GROUP BY feature""",
     "train_sgd": f"""WITH RECURSIVE {_sequence(f"""SELECT seq, doc_id, y,
-  row_number() OVER (PARTITION BY seq ORDER BY doc_id) AS nth FROM labelled JOIN models USING (model_id)""").replace("seqs AS (", _MODEL_NUMBERS + ", seqs AS (", 1)}
+  row_number() OVER (PARTITION BY seq ORDER BY doc_id) AS nth FROM labelled JOIN models USING (model_id)
+  QUALIFY nth <= {MAX_DOCS}""").replace("seqs AS (", _MODEL_NUMBERS + ", seqs AS (", 1)}
 SELECT model_id, feature, round(weight, 9) AS weight FROM weights JOIN models USING (seq)""",
     "train_sgd_sharded": f"""WITH RECURSIVE {_sequence(f"""SELECT {_SHARD} AS seq, doc_id, y,
   row_number() OVER (PARTITION BY {_SHARD} ORDER BY doc_id) AS nth FROM labelled""")}
-SELECT 'all' AS model_id, feature, round(sum(weight) / 4, 9) AS weight FROM weights GROUP BY feature""",
+SELECT 'all' AS model_id, feature, round(sum(weight) / {_SHARDS}, 9) AS weight FROM weights GROUP BY feature""",
+    "shuffled_order": """SELECT range AS seed, doc_id, row_number() OVER (
+  PARTITION BY range ORDER BY md5(doc_id::VARCHAR || ':' || range::VARCHAR), doc_id) - 1 AS position FROM documents, range(2)""",
     "train_runs": f"""WITH RECURSIVE {_sequence(_RUNS)}, preds AS (
   SELECT seq, label, printf('%.11e', sum(score))::DOUBLE AS score FROM (
     SELECT seq, doc_id, label, 0.0::DOUBLE AS score FROM labelled, (SELECT DISTINCT seq FROM weights)
@@ -362,14 +399,8 @@ SELECT doc_id, label, round(score, 6) AS score,
     "one_minus_roca_model": (
         f"WITH {ONE_SCORE}, preds AS (SELECT label, {COMPARABLE} FROM scored), {_roca('preds')}"
     ).replace("DIGITS", "6"),
-    "lam": f"""WITH {LENGTH}, c AS (
-  SELECT count(*) FILTER (label = 'ham') AS hams, count(*) FILTER (label = 'spam') AS spams,
-    count(*) FILTER (label = 'ham' AND pred = 'spam') AS fp,
-    count(*) FILTER (label = 'spam' AND pred = 'ham') AS fn FROM preds),
-r AS (SELECT *, CASE WHEN fp = 0 THEN 0.5 WHEN fp = hams THEN hams - 0.5 ELSE fp END::DOUBLE / hams AS a,
-  CASE WHEN fn = 0 THEN 0.5 WHEN fn = spams THEN spams - 0.5 ELSE fn END::DOUBLE / spams AS b FROM c)
-SELECT hams, spams, fp, fn,
-  round(100.0 / (1.0 + exp(-(ln(a / (1 - a)) + ln(b / (1 - b))) / 2)), 9) AS lam FROM r""",
+    "lam_text": _LAM,
+    "lam": _LAM,
     "operating_points": f"""WITH {LENGTH}, per_score AS (
   SELECT score, count(*) FILTER (label = 'spam') AS s, count(*) FILTER (label = 'ham') AS h
   FROM preds GROUP BY score),
@@ -383,15 +414,20 @@ points AS (
   UNION ALL SELECT 'fn_at_fp', {_RATE_BUCKET.format(r='fp')} AS bucket, arg_min(fn, score)
   FROM rates GROUP BY 1, 2)
 SELECT kind, bucket, ({_EDGES})[bucket + 1] AS edge, round(rate, 9) AS rate FROM points""",
-    "roca_ci": f"""WITH {LENGTH}, drawn AS (
-  SELECT rep, score, label, pred, len(list_filter({_DRAWS}, lambda c: c <= u)) AS n FROM (
-    SELECT range AS rep, score, label, pred,
-      ('0x' || md5(doc_id::VARCHAR || ':' || range::VARCHAR || ':0')[1:13])::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
-    FROM preds, range(100))),
-per_score AS (
-  SELECT rep, score, sum(n) FILTER (label = 'spam') AS s, sum(n) FILTER (label = 'ham') AS h,
-    sum(n) FILTER (label = 'spam' AND pred = 'ham') AS fn, sum(n) FILTER (label = 'ham' AND pred = 'spam') AS fp
-  FROM drawn WHERE n > 0 GROUP BY ALL),
+    "resampled_points": f"""WITH {LENGTH}, {_DRAWN},
+totals AS (SELECT rep, sum(s)::DOUBLE AS spams, sum(h)::DOUBLE AS hams FROM per_score GROUP BY rep),
+run AS (SELECT rep, score, sum(s) OVER w AS ss, sum(h) OVER w AS hh FROM per_score WINDOW w AS (PARTITION BY rep ORDER BY score)),
+rates AS (SELECT rep, score, CASE WHEN ss = 0 THEN 0.5 ELSE ss END::DOUBLE / spams AS fn,
+  CASE WHEN hams = hh THEN 0.5 ELSE hams - hh END::DOUBLE / hams AS fp FROM run JOIN totals USING (rep)),
+points AS (
+  SELECT rep, 'fp_at_fn' AS kind, {_RATE_BUCKET.format(r='fn')} AS bucket, arg_max(fp, score) AS rate
+  FROM rates GROUP BY ALL
+  UNION ALL SELECT rep, 'fn_at_fp', {_RATE_BUCKET.format(r='fp')} AS bucket, arg_min(fn, score)
+  FROM rates GROUP BY 1, 2, 3),
+logits AS (SELECT kind, bucket, ln(least(rate, 1 - 1e-9) / (1 - least(rate, 1 - 1e-9))) AS l FROM points)
+SELECT kind, bucket, ({_EDGES})[bucket + 1] AS edge, count(*) AS reps, round(1.0 / (1.0 + exp(-avg(l))), 9) AS rate
+FROM logits GROUP BY kind, bucket""",
+    "roca_ci": f"""WITH {LENGTH}, {_DRAWN},
 sums AS (SELECT rep, sum(s)::DOUBLE AS s, sum(h)::DOUBLE AS h, coalesce(sum(fn), 0)::DOUBLE AS fn, coalesce(sum(fp), 0)::DOUBLE AS fp
   FROM per_score GROUP BY rep),
 wrong AS (

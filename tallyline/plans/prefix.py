@@ -1,8 +1,10 @@
-"""Running sums over an order too long for one window partition.
+"""Orders and running sums too long for one window partition.
 
-Rows are cut into ordered blocks.  A window inside each block and a window
-over the block totals add up to the running sum, so no task sorts more than
-one block or more than the list of blocks.
+Rows are dealt into ranges of the order by Spark's range partitioner, which
+samples them; the number of the range is the number of the partition.  A
+window inside each range and a window over the ranges' totals add up to the
+running sum, so no task sorts more than one range or more than the list of
+ranges.  A group with nearly all rows lies in many ranges.
 """
 
 from __future__ import annotations
@@ -12,7 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 32
+from .staging import Staging
+
+
+def _ranges(df: DataFrame, blocks: int | None) -> int:
+    return blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def running_before(
@@ -44,42 +50,55 @@ def running_before(
     return summed.drop(*[f"_i_{v}" for v in values], *[f"_o_{v}" for v in values])
 
 
-def score_cuts(rows: DataFrame, score: str, by: Sequence[str], blocks: int) -> DataFrame:
-    """(by..., _cuts, _coarse): at most ``blocks - 1`` cut points that share a group's rows evenly.
-
-    They only decide which task handles a row, never a result.  ``_coarse`` has
-    every ``STEP``-th of them.
-    """
-    points = [i / blocks for i in range(1, blocks)] or [0.5]
-    cuts = F.array_sort(F.array_distinct(F.percentile_approx(score, points, 10 * blocks)))
-    coarse = F.filter("_cuts", lambda c, i: i % STEP == STEP - 1)
-    return rows.groupBy(*by).agg(cuts.alias("_cuts")).select(*by, "_cuts", coarse.alias("_coarse"))
-
-
 def with_score_block(rows: DataFrame, score: str, by: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
-    """Adds ``block``: the number of the group's cut points below the score.
+    """Adds ``block``: the number of the range of (by, score) that holds the row.
 
-    There are as many blocks as shuffle partitions unless told otherwise.
+    Equal keys are in one range, ranges rise with the score inside each group,
+    and there are as many as shuffle partitions unless told otherwise.  The
+    rows are stored, so that their numbers stay.
     """
-    by = list(by)
-    n = blocks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = score_cuts(rows, score, by, max(n, 2))
-    if by:
-        placed = rows.join(cuts, by)
-    else:
-        placed = rows.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")})
-    return placed.withColumn("block", split_block(F.col(score))).drop("_cuts", "_coarse")
+    placed = rows.repartitionByRange(_ranges(rows, blocks), *by, score).withColumn("block", F.spark_partition_id())
+    return Staging(rows.sparkSession, "ranges").keep(placed, "ranges")
 
 
-def split_block(score: Column) -> Column:
-    """Number of ``_cuts`` below the score.
+def with_positions(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "position") -> DataFrame:
+    """Adds the row's place in the order of its group, from 0 on without gaps.
 
-    The coarse cuts find the group of cuts that holds the answer, so a row is
-    compared with few of many cuts.
+    Rows are sorted inside ranges only and numbered there; the sizes of the
+    group's earlier ranges are added.  Rows that tie in ``order`` are numbered
+    one after the other.  Nulls come first.  The result is read from storage.
     """
-
-    def below(some: Column) -> Column:
-        return F.size(F.filter(some, lambda cut: cut < score))
-
-    group = below(F.col("_coarse")) * STEP
-    return group + below(F.slice("_cuts", group + 1, F.lit(STEP)))
+    by, order = list(by), [F.col(c) if isinstance(c, str) else c for c in order]
+    keys = [f"_order{i}" for i in range(len(order))]
+    keyed = df.withColumns(dict(zip(keys, order)))
+    in_order = keyed.repartitionByRange(_ranges(df, None), *by, *keys).sortWithinPartitions(*by, *keys).drop(*keys)
+    staging = Staging(df.sparkSession, "positions")
+    # the number of the partition in the upper bits, of the row inside it in the lower ones
+    placed = staging.keep(in_order.withColumn("_row", F.monotonically_increasing_id()).withColumn("_range", F.spark_partition_id()))
+    runs = placed.groupBy("_range", *by).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each range of each group, however many rows it has
+    offsets = runs.select("_range", *by, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    renamed = offsets.withColumnsRenamed({c: f"_r_{c}" for c in ["_range", *by]})
+    on = placed["_range"] == renamed["_r__range"]
+    for c in by:
+        on = on & placed[c].eqNullSafe(renamed[f"_r_{c}"])
+    return placed.join(renamed, on).withColumn(name, F.col("_row") + F.col("_shift")).select(*df.columns, name)
+
+
+def first_of_each(df: DataFrame, order: Sequence[str], n: int, by: Sequence[str]) -> DataFrame:
+    """The rows of each group up to its ``n``-th in the order; ties with that one stay too.
+
+    Only the order's columns are ranked.  Every group's ``n``-th key is its
+    threshold, a row a group, and the rows themselves are filtered by it.
+    """
+    by, order = list(by), list(order)
+    ranked = with_positions(df.select(*by, *order), order, by, "_nth")
+    last = ranked.where(F.col("_nth") == n - 1).select(
+        *[F.col(c).alias(f"_r_{c}") for c in by], F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)]).alias("_last")
+    )
+    on = F.lit(True)
+    for c in by:
+        on = on & df[c].eqNullSafe(last[f"_r_{c}"])
+    key = F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)])
+    return df.join(last, on, "left").where(F.col("_last").isNull() | (key <= F.col("_last"))).select(*df.columns)

@@ -19,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
@@ -36,14 +36,14 @@ class Staging:
         self.root = f"{shared_folder(spark)}/tallyline-{name}-{uuid.uuid4().hex}"
         self._made = 0
         self._paths: dict[int, str] = {}
-        files, path = _file_system(spark, self.root)
+        files, path = file_system(spark, self.root)
         files.mkdirs(path)
         files.deleteOnExit(path)
 
     def folder(self, name: str) -> str:
         """A fresh folder's path with its scheme, for writers of other formats."""
         self._made += 1
-        files, path = _file_system(self.spark, f"{self.root}/{self._made:03d}-{name}")
+        files, path = file_system(self.spark, f"{self.root}/{self._made:03d}-{name}")
         return files.makeQualified(path).toString()
 
     def keep(self, df: DataFrame, name: str = "table", partition_by: list[str] | None = None) -> DataFrame:
@@ -61,5 +61,5 @@ class Staging:
                 self.remove(path)
 
     def remove(self, path: str) -> None:
-        files, hadoop = _file_system(self.spark, path)
+        files, hadoop = file_system(self.spark, path)
         files.delete(hadoop, True)

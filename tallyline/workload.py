@@ -6,6 +6,7 @@ a sum, or the last bit of a logarithm, may differ between engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions.text import tokens
 from .operators import (
-    bigrams, boolean_search, cooccurrence, counting, evaluation, inverted_index,
+    bitmap_search, bigrams, boolean_search, cooccurrence, counting, evaluation, inverted_index,
     linear_classifier, pagerank, reconcile, star,
 )
 from .plans import Staging
@@ -22,7 +23,7 @@ from .plans.rows import explode_counts
 from .sources.documents import document_lines, number_lines, read_labeled, read_lines
 from .sources.graphs import read_adjacency
 from .sources.index_store import read_index, write_index
-from .sources.models import read_models, write_model
+from .sources.models import read_models, read_predictions, write_model
 from .sources.tables import SCHEMAS, load_tables, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +36,7 @@ SEARCH_BATCH = (
 )
 SUPPLIER_1, SUPPLIER_2, PART_3 = 4, 8, 13
 INDEX_SPAN = 256
-SHARDS, RUNS = 4, 10
+SHARD_DOCS, RUNS = 100, 10
 
 
 def _round(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -119,16 +120,14 @@ def _numbered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pmi_stripes(spark: SparkSession, sf: str) -> DataFrame:
-    stripes = cooccurrence.pmi_stripes(checkpointed(_pmi(spark, sf)), width=1000)
+    stripes = cooccurrence.pmi_stripes(_lines(spark, sf), width=1000)
     return _round(cooccurrence.flatten_stripes(stripes), 9, "pmi")
 
 
 def _pmi_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs against stripes: no row, as both forms hold the same."""
-    rows = checkpointed(_pmi(spark, sf))
-    stripes = cooccurrence.pmi_stripes(rows, width=1000)
-    compared = reconcile.reconcile(rows, cooccurrence.flatten_stripes(stripes), ["x", "y"], "pmi")
-    return _round(compared, 9, "value_a", "value_b")
+    """Pairs against stripes, two computations of their own: no row, as both hold the same."""
+    rows = _pmi(spark, sf).withColumn("pmi", F.round("pmi", 9))
+    return reconcile.reconcile(rows, _pmi_stripes(spark, sf), ["x", "y"], "pmi")
 
 
 def _pmi_reconcile_first100(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,11 +164,52 @@ def _postings(spark: SparkSession, sf: str) -> DataFrame:
     return inverted_index.term_freq(_docs(spark, sf))
 
 
-def _stored_postings(spark: SparkSession, sf: str) -> DataFrame:
-    """The postings of an index that was written and read back."""
-    path = Staging(spark, "index").folder("postings")
-    write_index(_postings(spark, sf), path)
-    return read_index(spark, path)
+# Indexes of this session that queries share, by application, kind and the files they are made of.
+_INDEXES: dict[tuple, str] = {}
+
+
+def _build(spark: SparkSession, sf: str, kind: str) -> str:
+    path = Staging(spark, "index").folder(kind)
+    postings = _postings(spark, sf)
+    if kind == "bitmaps":
+        return write_index(bitmap_search.bitmap_index(postings), path, key=("term", "range"))
+    return write_index(postings, path)
+
+
+def _stored(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The index of the documents, built by the first query that needs it."""
+    key = (spark.sparkContext.applicationId, kind, *sorted(_docs(spark, sf).inputFiles()))
+    if key not in _INDEXES:
+        _INDEXES[key] = _build(spark, sf, kind)
+    return read_index(spark, _INDEXES[key])
+
+
+def _index_build(spark: SparkSession, sf: str) -> DataFrame:
+    """(term, df) of a bitmap index built anew."""
+    return bitmap_search.document_frequency(read_index(spark, _build(spark, sf, "bitmaps")))
+
+
+def _index_table(spark: SparkSession, sf: str) -> DataFrame:
+    """(version, term, df): the index as a table, of the documents, then also of the benchmark's items.
+
+    The first version's reader is resolved before the second is written, and
+    read after it.
+    """
+    table = f"tallyline_index_{uuid.uuid4().hex}"
+    postings = _postings(spark, sf)
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select((-1 - F.col("item_id")).alias("docno"), "text")
+    write_index(postings, table=table, versions=Staging(spark, "index").folder("versions"))
+    first = read_index(spark, table=table)
+    write_index(postings.unionByName(inverted_index.term_freq(items)), table=table)
+    second = read_index(spark, table=table)
+    both = first.select(F.lit(1).alias("version"), "term").unionAll(second.select(F.lit(2).alias("version"), "term"))
+    spark.sql(f"DROP TABLE {table}")  # its files stay till the application ends
+    return both.groupBy("version", "term").agg(F.count("*").alias("df"))
+
+
+def _index_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """The postings, as gaps and back."""
+    return inverted_index.decode_gaps(checkpointed(inverted_index.encode_gaps(_postings(spark, sf), INDEX_SPAN)))
 
 
 def _index(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,12 +218,12 @@ def _index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _search(query: str) -> Query:
-    return lambda spark, sf: boolean_search.search(_stored_postings(spark, sf), query)
+    return lambda spark, sf: bitmap_search.search(_stored(spark, sf, "bitmaps"), query)
 
 
 def _search_batch(spark: SparkSession, sf: str) -> DataFrame:
     queries = spark.createDataFrame(list(SEARCH_BATCH), "query_id string, query string")
-    return boolean_search.search_batch(_stored_postings(spark, sf), queries)
+    return boolean_search.search_batch(_stored(spark, sf, "postings"), queries)
 
 
 def _search_benchmark(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,12 +235,12 @@ def _search_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     queries = items.where(F.size("words") > 0).select(
         "query_id", F.concat(F.array_join("words", " "), operators).alias("query")
     )
-    return boolean_search.search_batch(_stored_postings(spark, sf), queries)
+    return boolean_search.search_batch(_stored(spark, sf, "postings"), queries)
 
 
 def _search_fetch(limit: int | None) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        hits = boolean_search.search(_stored_postings(spark, sf), "the of AND de OR")
+        hits = bitmap_search.search(_stored(spark, sf, "bitmaps"), "the of AND de OR")
         return boolean_search.result_lines(boolean_search.fetch(hits, _docs(spark, sf)), limit)
 
     return query
@@ -330,7 +370,11 @@ def _train_sgd(spark: SparkSession, sf: str) -> DataFrame:
 
 def _train_sgd_sharded(spark: SparkSession, sf: str) -> DataFrame:
     docs = labelled(spark, sf).drop("model_id")
-    return _round(linear_classifier.train_sgd_sharded(docs, SHARDS), 9, "weight")
+    return _round(linear_classifier.train_sgd_sharded(docs, shard_docs=SHARD_DOCS), 9, "weight")
+
+
+def _shuffled_order(spark: SparkSession, sf: str) -> DataFrame:
+    return linear_classifier.shuffled_order(spark.read.parquet(f"{sf}/documents.parquet"), range(2))
 
 
 def _train_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -395,6 +439,14 @@ def by_length(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _lam_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions written as tuple lines, read back, then LAM."""
+    line = F.concat(F.lit("("), F.concat_ws(",", F.col("doc_id").cast("string"), "label", F.col("score").cast("string"), "pred"), F.lit(")"))
+    folder = Staging(spark, "predictions").folder("text")
+    by_length(spark, sf).select(line.alias("value")).write.text(folder)
+    return _round(evaluation.lam(read_predictions(read_lines(spark, folder))), 9, "lam")
+
+
 def _roca_model(spark: SparkSession, sf: str) -> DataFrame:
     judged = _score_unrounded(spark, sf).where("label IS NOT NULL").select("label", _comparable("score"))
     return _round(evaluation.one_minus_roca(checkpointed(judged)), 6, "one_minus_roca")
@@ -442,6 +494,10 @@ QUERIES: dict[str, Query] = {
     "term_freq": _postings,
     "postings": _index,
     "posting_gaps": lambda s, d: inverted_index.encode_gaps(_postings(s, d), INDEX_SPAN),
+    "posting_gaps_decoded": _index_decoded,
+    "index_build": _index_build,
+    "index_table": _index_table,
+    "bool_flat": lambda s, d: boolean_search.search(_stored(s, d, "postings"), "the of AND de OR"),
     "bool_term": _search("the"),
     "bool_and": _search("the of AND"),
     "bool_or": _search("the de OR"),
@@ -463,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "train_sgd": _train_sgd,
     "train_sgd_sharded": _train_sgd_sharded,
     "train_runs": _train_runs,
+    "shuffled_order": _shuffled_order,
     "train_batch_text": _labelled_text,
     "score": _score,
     "ensemble_average": _ensemble("average"),
@@ -473,8 +530,10 @@ QUERIES: dict[str, Query] = {
     "one_minus_roca_by_language": lambda s, d: _round(
         evaluation.one_minus_roca(by_length(s, d), by=["lang"]), 9, "one_minus_roca"),
     "one_minus_roca_model": _roca_model,
+    "lam_text": _lam_text,
     "lam": lambda s, d: _round(evaluation.lam(by_length(s, d)), 9, "lam"),
     "operating_points": lambda s, d: _round(evaluation.operating_points(by_length(s, d)), 9, "rate"),
     "roca_ci": lambda s, d: _round(
-        evaluation.roca_ci(by_length(s, d)), 6, "estimate", "low", "high"),
+        evaluation.roca_ci(checkpointed(by_length(s, d)), reps=100), 6, "estimate", "low", "high"),
+    "resampled_points": lambda s, d: _round(evaluation.resampled_points(by_length(s, d), reps=100), 9, "rate"),
 }

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 from collections import defaultdict
@@ -99,6 +100,54 @@ def test_runs_are_repeatable_and_differ_by_seed(spark):
         assert first[seed] == pytest.approx(again[seed], abs=1e-15)
 
 
+def turn(doc_id, seed):
+    return hashlib.md5(f"{doc_id}:{seed}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("max_docs", [1000, 12])
+def test_runs_against_a_plain_loop(spark, max_docs):
+    docs = made(60)
+    df = spark.createDataFrame(docs, DOC).drop("model_id").repartition(6)
+    got = weights(lc.train_runs(df, [3, 4, 5], delta=0.1, max_docs=max_docs))
+    sample = sorted(docs, key=lambda d: hashlib.md5(str(d[1]).encode()).hexdigest())[:max_docs]
+    for seed in (3, 4, 5):
+        want = sequential(sorted(sample, key=lambda d: turn(d[1], seed)), 0.1)
+        assert got[seed] == pytest.approx(want, abs=1e-12)
+
+
+def test_runs_share_the_features(spark):
+    """Seeds shuffle places and labels only, whatever the documents hold."""
+    df = spark.createDataFrame(made(40), DOC).drop("model_id")
+    plan = lc.train_runs(df, range(4))._jdf.queryExecution().optimizedPlan().toString()
+    assert "features" not in plan and "codes" not in plan
+
+
+def test_runs_of_repeated_and_empty_documents(spark):
+    rows = [(1, "spam", ["a", "b"]), (1, "spam", ["a", "b"]), (2, "ham", None), (3, "ham", []), (4, "ham", ["b"])]
+    df = spark.createDataFrame(rows, "doc_id long, label string, features array<string>")
+    got = weights(lc.train_runs(df, [0], delta=0.1))
+    order = sorted([(None, d, y, f or []) for d, y, f in rows], key=lambda d: turn(d[1], 0))
+    assert got == {0: pytest.approx(sequential(order, 0.1), abs=1e-12)}
+    assert lc.train_runs(df.limit(0), [0]).count() == 0
+
+
+def test_shuffled_order(spark):
+    ids = [3, 5, 5, *range(10, 200)]
+    rows = lc.shuffled_order(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(9), [1, 2]).collect()
+    for seed in (1, 2):
+        got = [d for _, d in sorted((r.position, r.doc_id) for r in rows if r.seed == seed)]
+        assert got == sorted(ids, key=lambda d: turn(d, seed))
+        assert sorted(r.position for r in rows if r.seed == seed) == list(range(len(ids)))
+
+
+def test_shards_follow_the_input(spark):
+    df = spark.createDataFrame(made(60), DOC)
+    three = weights(lc.train_sgd_sharded(df, 3, delta=0.1))
+    assert weights(lc.train_sgd_sharded(df, delta=0.1, shard_docs=25))["m"] == pytest.approx(three["m"], abs=1e-12)
+    one = weights(lc.train_sgd_sharded(df, delta=0.1, shard_docs=60))["m"]
+    assert one == pytest.approx(sequential(made(60), 0.1), abs=1e-12)
+
+
 @pytest.mark.parametrize("epochs", [1, 2, 4])
 def test_batch_training(spark, epochs):
     docs = made(60, models=("a", "b"))

@@ -40,11 +40,15 @@ def test_ten_lines_are_enough_nine_are_not(spark):
     assert rows[0].pmi == pytest.approx(math.log10(35 * rows[0].n / rows[0].n ** 2))
 
 
-def test_pmi_is_symmetric_and_stripes_hold_the_same(spark):
-    pmi = cooccurrence.pmi(as_lines(spark, texts(150)), 3).cache()
+@pytest.mark.parametrize("held,block", [(1 << 22, 256), (50, 3), (1, 1)])
+def test_pmi_is_symmetric_and_stripes_hold_the_same(spark, monkeypatch, held, block):
+    monkeypatch.setattr(cooccurrence, "HELD", held)
+    monkeypatch.setattr(cooccurrence, "BLOCK", block)
+    lines = as_lines(spark, texts(150))
+    pmi = cooccurrence.pmi(lines, 3).cache()
     rows = {(r.x, r.y): r.pmi for r in pmi.collect()}
     assert all(rows[y, x] == v for (x, y), v in rows.items())
-    stripes = cooccurrence.pmi_stripes(pmi, width=2)
+    stripes = cooccurrence.pmi_stripes(lines, 3, width=2)
     widest = max(len(r.stripe) for r in stripes.collect())
     assert widest < max(Counter(x for x, _ in rows).values())
     flat = cooccurrence.flatten_stripes(stripes)

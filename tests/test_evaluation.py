@@ -114,30 +114,78 @@ def test_intervals_hold_the_estimate_and_do_not_depend_on_the_layout(spark):
     assert width == pytest.approx(sd, rel=0.35)
 
 
-def test_draws_are_poisson(spark):
-    n = 200_000
-    draws = spark.range(n).select(ev._times(F.col("id"), F.lit(3), 7).alias("n"))
-    counts = {r.n: r["count"] for r in draws.groupBy("n").count().collect()}
-    for k in range(6):
-        share = math.exp(-1) / math.factorial(k)
-        assert counts[k] / n == pytest.approx(share, abs=4 * math.sqrt(share / n))
-    assert max(counts) < 12
+@pytest.mark.parametrize("n", [1, 6, 37])
+def test_draws_are_poisson(spark, n):
+    rows = 60_000
+    groups = spark.range(rows).withColumn("n", F.lit(n))
+    drawn = ev.poisson_draws(groups, "n", F.concat_ws(":", F.col("id").cast("string"), F.lit("7")))
+    counts = {r.n: r["count"] for r in drawn.groupBy("id").agg(F.sum("drawn").alias("n")).groupBy("n").count().collect()}
+    for k in range(3 * n + 5):
+        share = math.exp(k * math.log(n) - n - math.lgamma(k + 1))
+        assert counts.get(k, 0) / rows == pytest.approx(share, abs=4.5 * math.sqrt(share / rows) + 1e-9)
+    assert sum(counts.values()) == rows
+
+
+def test_large_groups_are_drawn_in_bounded_parts(spark):
+    n = 5 * 2**ev.PARTS + 2**11 + 1
+    drawn = ev.poisson_draws(spark.range(400).withColumn("n", F.lit(n)), "n", F.col("id").cast("string"))
+    assert drawn.count() == 400 * 7
+    totals = [r.n for r in drawn.groupBy("id").agg(F.sum("drawn").alias("n")).collect()]
+    assert np.mean(totals) == pytest.approx(n, abs=5 * math.sqrt(n / 400)) and np.var(totals) == pytest.approx(n, rel=0.35)
+
+
+def test_steps_of_a_poisson_number():
+    for mean in (1, 2, 64, 4096):
+        steps = ev.poisson_steps(mean)
+        assert steps == sorted(steps) and steps[-1] == pytest.approx(1, abs=1e-11) and len(steps) < 2 * mean + 60
+
+
+def sampled(spark, rows, reps, seed):
+    """The rows of each repetition: alike documents are drawn together, so any of them stands for all."""
+    alike = {}
+    for r in rows:
+        alike.setdefault((r[2], r[1] == "spam", r[3] != r[1]), []).append(r)
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("score", "spam", "wrong", "rep")], F.lit(str(seed)))
+    groups = spark.createDataFrame([(*k, len(v)) for k, v in alike.items()], "score double, spam boolean, wrong boolean, n long")
+    each = groups.withColumn("rep", F.explode(F.lit(list(range(reps)))))
+    samples = [[] for _ in range(reps)]
+    for d in ev.poisson_draws(each, "n", key).collect():
+        samples[d.rep] += [alike[d.score, d.spam, d.wrong][0]] * d.drawn
+    return samples
 
 
 def test_weights_of_draws_follow_a_plain_loop(spark):
     rows = made(60)
-    reps = 20
-    drawn = {
-        (r.doc_id, r.rep): r.n for r in spark.createDataFrame(rows, SCHEMA)
-        .select("doc_id", F.explode(F.lit(list(range(reps)))).alias("rep"))
-        .select("doc_id", "rep", ev._times(F.col("doc_id"), F.col("rep"), 5).alias("n")).collect()
-    }
     logits = []
-    for rep in range(reps):
-        sample = [r for r in rows for _ in range(drawn[r[0], rep])]
+    for sample in sampled(spark, rows, 20, 5):
         x = brute_roca(sample) / 100
         logits.append(math.log(x / (1 - x)))
     sd = np.std(logits, ddof=1)
-    got = {r.metric: r for r in ev.roca_ci(spark.createDataFrame(rows, SCHEMA), reps=reps, seed=5).collect()}["one_minus_roca"]
+    got = {r.metric: r for r in ev.roca_ci(spark.createDataFrame(rows, SCHEMA), reps=20, seed=5).collect()}["one_minus_roca"]
     centre = math.log(got.estimate / (100 - got.estimate))
     assert math.log(got.low / (100 - got.low)) == pytest.approx(centre - 1.96 * sd)
+
+
+def test_resampled_points_follow_a_plain_loop(spark):
+    rows = made(150)
+    logits = {}
+    for sample in sampled(spark, rows, 12, 0):
+        for at, rate in brute_points(sample).items():
+            rate = min(rate, 1 - 1e-9)
+            logits.setdefault(at, []).append(math.log(rate / (1 - rate)))
+    want = {at: (len(x), 1 / (1 + math.exp(-np.mean(x)))) for at, x in logits.items()}
+    got = {(r.kind, r.bucket): (r.reps, r.rate) for r in ev.resampled_points(spark.createDataFrame(rows, SCHEMA), reps=12, blocks=5).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[at][0] == want[at][0] and got[at][1] == pytest.approx(want[at][1]) for at in want)
+
+
+def test_one_group_with_nearly_all_scores(spark):
+    """It lies in many ranges, and no array is carried by the rows."""
+    rows = [("big", *r) for r in made(2_000, 3, distinct=100_000)] + [("small", *r) for r in made(20, 4)]
+    df = spark.createDataFrame(rows, "g string, " + SCHEMA)
+    counted = ev._per_score(df, ["g"], 16)
+    sizes = {(r.g, r.block): r.n for r in counted.groupBy("g", "block").agg(F.count("*").alias("n")).collect()}
+    assert len([k for k in sizes if k[0] == "big"]) >= 12 and max(sizes.values()) < 2_000 / 4
+    assert not [c for c, kind in counted.dtypes if kind.startswith("array")]
+    got = {r.g: r.one_minus_roca for r in ev.one_minus_roca(df, by=["g"], blocks=16).collect()}
+    assert got == pytest.approx({g: brute_roca([r[1:] for r in rows if r[0] == g]) for g in ("big", "small")})

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators import boolean_search, inverted_index
+from tallyline.operators import bitmap_search, boolean_search, inverted_index
 
 
 @pytest.fixture(scope="module")
@@ -60,10 +60,38 @@ def test_search_batch(spark, postings):
     assert got == CASES
 
 
+@pytest.fixture(scope="module")
+def bitmaps(postings):
+    return {dense: bitmap_search.bitmap_index(postings, dense).cache() for dense in (1, 2, 128)}
+
+
+@pytest.mark.parametrize("dense", [1, 2, 128])
+@pytest.mark.parametrize("query", CASES)
+def test_search_on_bitmaps(bitmaps, query, dense):
+    assert sorted(r.docno for r in bitmap_search.search(bitmaps[dense], query).collect()) == sorted(CASES[query])
+
+
+def test_bitmaps_of_many_ranges(spark):
+    """Numbers below 0 and at the ends of ranges, terms in every document, repeated postings."""
+    rng = random.Random(3)
+    span = bitmap_search.SPAN
+    numbers = {-2 * span, -span, 1 - span, -1, 0, 1, span - 1, span, span + 1, 5 * span} | {rng.randrange(-span, 4 * span) for _ in range(3_000)}
+    of = {"all": numbers, "half": {n for n in numbers if n % 2}, "few": set(rng.sample(sorted(numbers), 20)), "one": {span}}
+    rows = [(t, n, 1) for t, ns in of.items() for n in ns] + [("few", min(of["few"]), 1), ("all", None, 1)]
+    index = bitmap_search.bitmap_index(spark.createDataFrame(rows, "term string, docno long, tf int")).cache()
+    kinds = {(r.term, r.bits is not None) for r in index.collect()}
+    assert ("all", True) in kinds and ("one", False) in kinds and ("one", True) not in kinds
+    found = lambda q: {r.docno for r in bitmap_search.search(index, q).collect()}
+    assert found("all") == numbers and found("half few AND") == of["half"] & of["few"]
+    assert found("few one OR half AND all AND") == (of["few"] | of["one"]) & of["half"]
+    assert {r.term: r.df for r in bitmap_search.document_frequency(index).collect()} == {t: len(ns) for t, ns in of.items()}
+
+
 @pytest.mark.parametrize("query", ["AND", "a AND", "", "a b AND OR"])
-def test_malformed(postings, query):
-    with pytest.raises(ValueError):
-        boolean_search.search(postings, query)
+def test_malformed(postings, bitmaps, query):
+    for module, index in ((boolean_search, postings), (bitmap_search, bitmaps[2])):
+        with pytest.raises(ValueError):
+            module.search(index, query)
 
 
 def test_malformed_in_a_batch(spark, postings):

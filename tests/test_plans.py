@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans import (
-    Staging, checkpointed, checkpointed_by, explode_counts, explode_once, running_before, salted_join,
-    shared_folder, to_stripes, with_score_block,
+    Staging, checkpointed, checkpointed_by, explode_counts, explode_once, first_of_each, running_before, salted_join,
+    shared_folder, to_stripes, with_positions, with_score_block,
 )
+from tallyline.plans.blocks import Blocks, write_blocks
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -61,6 +62,44 @@ def test_score_blocks(spark, blocks, by):
         assert len(sizes) <= blocks and max(sizes.values()) <= 3 * len(set(placed)) / blocks + 3
 
 
+@pytest.mark.parametrize("by", [[], ["g"], ["g", "h"]])
+def test_positions(spark, by):
+    """One group holds most rows; there are nulls, ties and repeated rows."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["a"] * 8 + ["b", None]), rng.choice([1, 2, None]), rng.choice([None, rng.randrange(400)])) for _ in range(2_000)]
+    df = spark.createDataFrame(rows, "g string, h int, o int").repartition(7)
+    placed = with_positions(df, ["o"], by)
+    assert placed.columns == ["g", "h", "o", "position"]
+    groups = {}
+    for r in placed.collect():
+        groups.setdefault(tuple(r[c] for c in by), []).append((r.position, -1 if r.o is None else r.o))
+    for group in groups.values():
+        group.sort()
+        assert [p for p, _ in group] == list(range(len(group))) and [o for _, o in group] == sorted(o for _, o in group)
+    assert sum(map(len, groups.values())) == len(rows)
+    assert with_positions(df.limit(0), ["o"], by).count() == 0
+
+
+def test_first_of_each(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(300), i) for i in range(900)] + [("c", 1, 2_000), ("c", 1, 2_000)]
+    got = first_of_each(spark.createDataFrame(rows, "g string, o int, i int").repartition(5), ["o", "i"], 50, ["g"])
+    want = [r for g in ("a", "b", None) for r in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:])[:50]] + rows[-2:]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    tied = first_of_each(spark.createDataFrame(rows, "g string, o int, i int"), ["o"], 1, ["g"]).where("g = 'c'")
+    assert tied.count() == 2
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_blocks(spark):
+    rows = [(i, list(range(i % 5))) for i in range(50)] + [(50, None)]
+    folder = Staging(spark, "test").folder("blocks")
+    df = spark.createDataFrame(rows, "position long, numbers array<long>").repartition(6)
+    blocks = Blocks(folder, write_blocks(df, "position", "numbers", folder, 8))
+    assert [blocks.row(i // 8, i % 8).tolist() for i, _ in rows] == [x or [] for _, x in rows]
+
+
 def test_bucketed_tables_keep_the_layout(spark):
     df = checkpointed_by(spark.range(100).withColumn("k", F.col("id") % 7), ["k"])
     plan = df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()

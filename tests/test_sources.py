@@ -79,3 +79,32 @@ def test_tsv_sink_overwrites(spark, tmp_path):
     for n in (3, 2):
         sources.write_table(spark.range(n).withColumn("w", F.lit("x")), path, "tsv")
     assert sorted(r.text for r in sources.read_lines(spark, path).collect()) == ["0\tx", "1\tx"]
+
+
+def test_versions_of_an_index_table(spark, tmp_path):
+    """A reader keeps its files while, and after, the next version is written."""
+    table = "tallyline_test_versions"
+    made = lambda word: spark.createDataFrame([(word, 1, 1), ("common", 2, 1)], "term string, docno long, tf int")
+    one = sources.write_index(made("one"), table=table, versions=f"{tmp_path}/versions")
+    try:
+        reader = sources.read_index(spark, table=table)
+        two = sources.write_index(made("two"), table=table)
+        assert one != two and {r.term for r in reader.collect()} == {"one", "common"}
+        assert {r.term for r in sources.read_index(spark, table=table).collect()} == {"two", "common"}
+        assert {r.term for r in spark.table(table).collect()} == {"two", "common"}
+        assert sources.drop_versions(spark, table) == 1
+        assert {r.term for r in sources.read_index(spark, table=table).collect()} == {"two", "common"}
+        assert sources.drop_versions(spark, table) == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_index_files_have_bloom_filters(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = sources.write_index(spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], "term string, docno long, tf int"), str(tmp_path / "index"))
+    files = [str(f) for f in (tmp_path / "index").glob("*.parquet")]
+    sizes = [pq.ParquetFile(f).metadata.serialized_size for f in files if pq.ParquetFile(f).metadata.num_rows]
+    plain = tmp_path / "plain"
+    sources.read_index(spark, path).write.parquet(str(plain))
+    assert sizes and sum(f.stat().st_size for f in (tmp_path / "index").glob("*.parquet")) > sum(f.stat().st_size for f in plain.glob("*.parquet"))
