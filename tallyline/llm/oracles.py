@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from . import chat, line_dedup, substring_dedup
+from . import chat, substring_dedup
 from .workload import EXTRA_ID, EXTRA_TEXT
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -119,31 +119,8 @@ FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source
 """
 
 _BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
-_R = line_dedup.RUN
 _OP10 = f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), {_NL}) AS l FROM documents
-), lines AS (
-  SELECT doc_id, raw, i, trim(raw, {_BLANK}) AS line
-  FROM (SELECT doc_id, unnest(l) AS raw, unnest(range(1, len(l) + 1)) AS i FROM split)
-), full_lines AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE line <> ''
-), runs AS (
-  SELECT doc_id, k, list(line) OVER w AS x, list(i) OVER w AS spots FROM full_lines
-  WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND {_R - 1} FOLLOWING)
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY x ORDER BY doc_id, k) AS nth FROM runs WHERE len(x) = {_R}
-), gone AS (SELECT DISTINCT doc_id, unnest(spots) AS i FROM ranked WHERE nth > 1
-), kept AS (
-  SELECT doc_id, string_agg(raw, {_NL} ORDER BY i) AS t FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
-), sizes AS (SELECT doc_id, count(*) AS n FROM full_lines GROUP BY doc_id
-), cuts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
-SELECT split.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_lines, coalesce(cuts.n, 0)::BIGINT AS n_removed,
-  sha256(coalesce(t, '')) AS kept_sha256
-FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN sizes USING (doc_id) LEFT JOIN cuts USING (doc_id)
-"""
-
-# Its own rule, in content: it knows nothing of runs or of line_dedup.RUN.
-_OP10_SINGLE = f"""
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), {_NL}) AS l FROM documents
 ), lines AS (
   SELECT doc_id, raw, i, trim(raw, {_BLANK}) AS line
   FROM (SELECT doc_id, unnest(l) AS raw, unnest(range(1, len(l) + 1)) AS i FROM split)
@@ -197,5 +174,5 @@ FROM nodes n JOIN subtrees t USING (node) LEFT JOIN steps u ON u.below = n.node
 
 ORACLES: dict[str, str] = {
     "op1_chat": _OP1, "op2_near_dedup": _OP2, "op4_warc": _OP4, "op6_substrings": _OP6, "op8_nearest": _OP8,
-    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op10_single_lines": _OP10_SINGLE, "op13_prefix_trie": _OP13,
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op10_single_lines": _OP10, "op13_prefix_trie": _OP13,
 }

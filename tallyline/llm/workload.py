@@ -92,10 +92,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_single_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line that appeared before goes, whatever is beside it."""
-    return line_dedup.line_dedup(_read(spark, sf_dir, "documents"), run=1).select(
-        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
-    )
+    """The earlier name of the same rule, of which op10_line_dedup once kept a part only."""
+    return op10_line_dedup(spark, sf_dir)
 
 
 def _vocabulary(name: str) -> str:

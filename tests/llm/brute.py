@@ -3,6 +3,8 @@
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 PLAIN = bytes(32 if c < 128 and not chr(c).isalnum() else LOWER[c] for c in range(256))
 
@@ -60,20 +62,62 @@ def near(rows):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-def line_runs(rows, run=2):
-    """{row number: text without repeated runs}, rows in the order they come."""
-    seen, gone = set(), defaultdict(set)
+BLANKS = " \t\r\v\f"
+
+
+def line_repeats(rows):
+    """{row number: text without lines that appeared before}, rows in the order they come."""
+    seen, out = set(), {}
     for n, (_, text) in enumerate(rows):
-        lines = [(i, x.strip(" \t\r\v\f")) for i, x in enumerate((text or "").split("\n"))]
-        lines = [(i, x) for i, x in lines if x]
-        for k in range(len(lines) - run + 1):
-            key = tuple(x for _, x in lines[k : k + run])
-            if key in seen:
-                gone[n].update(i for i, _ in lines[k : k + run])
-            seen.add(key)
-    return {
-        n: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[n]) for n, (_, t) in enumerate(rows)
-    }
+        kept = []
+        for line in (text or "").split("\n"):
+            bare = line.strip(BLANKS)
+            if not bare or bare not in seen:
+                kept.append(line)
+            seen.add(bare)
+        out[n] = "\n".join(kept)
+    return out
+
+
+def winnowed(rows, single_words, window):
+    """The rule for short lines too: they go with the windows of lines that hold them.
+
+    Rows in the order they come; hashes as Spark makes them, for the choice of fingerprints.
+    """
+    docs = []
+    for _, text in rows:
+        lines = [(at, x.strip(BLANKS)) for at, x in enumerate((text or "").split("\n"))]
+        docs.append([(at, x, xxhash.xxh64_intdigest(x.encode(), seed=42)) for at, x in lines if x])
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    chosen = []
+    for n, doc in enumerate(docs):
+        ks = set()
+        for k in range(max(len(doc) - window, 0) + 1):
+            some = range(k, min(k + window, len(doc)))
+            if some:
+                ks.add(min(some, key=lambda i: (signed(doc[i][2]), -i)))
+        chosen += [(doc[k][1], n, k) for k in sorted(ks)]
+    first, gone = {}, defaultdict(set)
+    for line, n, k in chosen:
+        if line not in first:
+            first[line] = (n, k)
+            continue
+        m, j = first[line]
+        for step in (1, -1):
+            for far in range(window):
+                a, b = k + step * far, j + step * far
+                if not (0 <= a < len(docs[n]) and 0 <= b < len(docs[m]) and docs[n][a][1] == docs[m][b][1]):
+                    break
+                gone[n].add(docs[n][a][0])
+    seen = set()
+    for n, doc in enumerate(docs):
+        for at, line, _ in doc:
+            if at in gone[n] or len(words(line)) < single_words:
+                continue
+            if line in seen:
+                gone[n].add(at)
+            seen.add(line)
+    return {n: "\n".join(x for at, x in enumerate((t or "").split("\n")) if at not in gone[n]) for n, (_, t) in enumerate(rows)}
 
 
 def fewest_edits(pattern, text):

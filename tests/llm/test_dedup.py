@@ -104,7 +104,7 @@ def test_substrings_null_and_repeated_ids(spark):
 
 
 def test_lines(spark, corpus):
-    want = brute.line_runs(corpus)
+    want = brute.line_repeats(corpus)
     got = {r.doc_id: r for r in line_dedup.line_dedup(frame(spark, corpus)).collect()}
     assert {d: got[d].text for d, _ in corpus} == {d: want[n] for n, (d, _) in enumerate(corpus)}
     assert sum(r.n_removed for r in got.values()) > 30
@@ -114,36 +114,50 @@ def test_line_edges(spark):
     rows = [(None, "a\nb"), (1, "a\n\n b "), (1, "a\n\n b "), (2, "b\na\nb\nc"), (3, None), (4, "a"), (5, "c\nd\nc\nd\nc\nd")]
     got = sorted((str(r.doc_id), r.text, r.n_lines, r.n_removed) for r in line_dedup.line_dedup(frame(spark, rows)).collect())
     assert got == sorted([
-        ("None", "a\nb", 2, 0), ("1", "", 2, 2), ("1", "", 2, 2), ("2", "b\nc", 4, 2), ("3", "", 0, 0), ("4", "a", 1, 0),
-        ("5", "c\nd", 6, 4),
+        ("None", "a\nb", 2, 0), ("1", "", 2, 2), ("1", "", 2, 2), ("2", "c", 4, 3), ("3", "", 0, 0), ("4", "", 1, 1),
+        ("5", "d", 6, 5),
     ])
 
 
+@pytest.mark.parametrize("single_words,window", [(1, 4), (1, 1), (3, 4), (3, 2), (1000, 3)])
+def test_winnowing(spark, single_words, window, monkeypatch):
+    """Runs of short lines, alone or among others, copies, hot lines and one long text."""
+    monkeypatch.setattr(line_dedup, "WINDOW", window)
+    rng = random.Random(window)
+    lines = [" ".join(rng.choice("pqrst") for _ in range(rng.choice([1, 1, 2, 3, 5]))) for _ in range(30)]
+    rows = []
+    for d in range(60):
+        text = [rng.choice(lines) if rng.random() < 0.5 else f"own {d} {i} words" for i in range(rng.randrange(12))]
+        if d % 3 == 0:
+            at = rng.randrange(len(lines) - 8)
+            text[2:2] = lines[at : at + 8]
+        rows.append((d, "\n".join([*text, "hot"])))
+    rows += [(60, "\n".join(lines * 40)), (61, rows[7][1]), (62, rows[7][1] + "\nmore"), (63, None), (64, "\n \n")]
+    want = brute.winnowed(rows, single_words, window)
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(frame(spark, rows).repartition(7), single_words).collect()}
+    assert got == {d: want[n] for n, (d, _) in enumerate(rows)}
+    if single_words == 1:
+        assert want == brute.line_repeats(rows)
+
+
 def test_single_lines(spark, corpus, tmp_path):
-    """Lines between unlike neighbours, and texts of one line, by a rule without runs."""
+    """Lines between unlike neighbours, and texts of one line."""
     rng = random.Random(8)
     passage, notice = sentence(rng, 60), "All rights reserved by the makers of this."
     rows = [*corpus, (200, f"a1\n{passage}\nb1"), (201, f"a2\n {passage}\nb2"), (202, passage), (203, f"{notice}\nc1\n\n{notice}\nc2")]
     frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
-    seen, want = set(), {}
-    for d, text in rows:
-        kept = []
-        for line in (text or "").split("\n"):
-            bare = line.strip(" \t\r\v\f")
-            if not bare or bare not in seen:
-                kept.append(line)
-            seen.add(bare)
-        want[d] = hashlib.sha256("\n".join(kept).encode()).hexdigest()
-    got = {r.doc_id: r for r in QUERIES["op10_single_lines"](spark, str(tmp_path)).collect()}
-    assert {d: r.kept_sha256 for d, r in got.items()} == want
-    assert [got[d].n_removed for d in (200, 201, 202, 203)] == [0, 1, 1, 1]
+    want = {rows[n][0]: hashlib.sha256(t.encode()).hexdigest() for n, t in brute.line_repeats(rows).items()}
+    for query in ("op10_line_dedup", "op10_single_lines"):
+        got = {r.doc_id: r for r in QUERIES[query](spark, str(tmp_path)).collect()}
+        assert {d: r.kept_sha256 for d, r in got.items()} == want
+        assert [got[d].n_removed for d in (200, 201, 202, 203)] == [0, 1, 1, 1]
 
 
 def test_dedup_documents_keeps_columns(spark, corpus):
     docs = frame(spark, corpus).withColumn("removed", F.lit(7)).withColumn("version", F.lit("v")).withColumn("n_lines", F.lit(1))
     out = line_dedup.dedup_documents(docs)
     assert out.columns == docs.columns
-    want = brute.line_runs(corpus)
+    want = brute.line_repeats(corpus)
     rows = {r.doc_id: r for r in out.collect()}
     for n, (d, text) in enumerate(corpus):
         if want[n].strip(" \t\r\v\f\n") or not (text or "").strip(" \t\r\v\f\n"):

@@ -426,7 +426,7 @@ def test_pipeline_equals_brute_force(spark):
     assert out.columns == docs.columns
     kept = {r.doc_id for r in quality.Resampler(docs, labels).decisions().where("kept").collect()}
     rows = sorted((r.doc_id, r.text, r.source) for r in docs.collect() if r.doc_id in kept)
-    lines = brute.line_runs([r[:2] for r in rows])
+    lines = brute.line_repeats([r[:2] for r in rows])
     rows = [(d, lines[n], s) for n, (d, t, s) in enumerate(rows) if lines[n].strip() or not t.strip()]
     near = brute.near([r[:2] for r in rows])
     rows = [r for r in rows if near[r[0]][1] == r[0]]
