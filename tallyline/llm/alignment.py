@@ -45,6 +45,7 @@ from .words import mix
 
 BLOCK_CHARS = 1 << 20  # texts that advance together
 SPAN, TRIES = 1024, 64
+LINKS_AT_ONCE = 1 << 19  # looked up together
 PAIRS_HELD = 1 << 21  # distinct pairs that a task counts before it sends them
 
 # B's space and its byte pieces.
@@ -386,21 +387,31 @@ def _look_up(folder: str, names: dict[int, str], parts: int):
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(folder, names, parts, ["<i8", "u1"])
         for batch in batches:
-            links = [_unpacked(cell) for cell in batch.column("links")]
-            sizes = np.array([len(x) for x in links], np.int64)
-            pairs, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *links]), return_inverse=True)
-            hashes = mix(pairs.astype(np.uint64))
-            order = np.argsort(hashes)
-            counts, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-            counts[order], best[order] = table.look_up(hashes[order])
-            sums = [np.concatenate([[0], np.cumsum(x[inverse])]) for x in (best, counts)]
-            stop = np.cumsum(sizes)
-            own = [pa.array(s[stop] - s[stop - sizes]) for s in sums]
-            get = batch.column
-            yield pa.RecordBatch.from_arrays(
-                [get("doc_id"), get("n_a"), get("n_b"), get("n_groups"), pa.array(sizes), *own, get("groups_sha256")],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            )
+            sizes = np.array([(len(cell.as_buffer()) - 1) // (2 * cell.as_buffer()[0]) for cell in batch.column("links")], np.int64)
+            begin = 0
+            while begin < batch.num_rows:
+                # some documents with about LINKS_AT_ONCE links, or one with more
+                held = np.searchsorted(np.cumsum(sizes[begin:]), LINKS_AT_ONCE, "right")
+                some = batch.slice(begin, max(1, int(held)))
+                begin += some.num_rows
+                yield counted(table, some)
+
+    def counted(table: Table, batch: pa.RecordBatch) -> pa.RecordBatch:
+        links = [_unpacked(cell) for cell in batch.column("links")]
+        sizes = np.array([len(x) for x in links], np.int64)
+        pairs, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *links]), return_inverse=True)
+        hashes = mix(pairs.astype(np.uint64))
+        order = np.argsort(hashes)
+        counts, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        counts[order], best[order] = table.look_up(hashes[order])
+        sums = [np.concatenate([[0], np.cumsum(x[inverse])]) for x in (best, counts)]
+        stop = np.cumsum(sizes)
+        own = [pa.array(s[stop] - s[stop - sizes]) for s in sums]
+        get = batch.column
+        return pa.RecordBatch.from_arrays(
+            [get("doc_id"), get("n_a"), get("n_b"), get("n_groups"), pa.array(sizes), *own, get("groups_sha256")],
+            names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+        )
 
     return look_up
 

@@ -7,8 +7,9 @@ Payloads shorter than ``min_bytes`` are always responses.
 
 Records are built as strings and written by Spark's text writer, whose line
 separator is the blank lines that end a WARC record, so a lost or repeated task
-leaves no half archive.  An archive holds the records of one task; Spark's
-``maxRecordsPerFile`` bounds it.  Record ids are made from page id and digest:
+leaves no half archive.  An archive holds records of one task; the number is
+bounded by the size of their payloads (``ARCHIVES``), and so are an archive's
+bytes.  Record ids are made from page id and digest:
 a rerun writes the same records.
 
 Reading goes by Content-Length, record by record, so payloads may hold
@@ -35,7 +36,8 @@ from ..plans import Staging
 SEPARATOR = "\r\n\r\n"
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS_PER_ARCHIVE = 2_000
+# An archive holds so many records whose payloads have at most so many bytes; larger ones are alone.
+ARCHIVES = ((1 << 16, 2_000), (1 << 20, 128), (1 << 24, 8))
 
 
 def base32(hex_digest: Column) -> Column:
@@ -67,7 +69,7 @@ def resolve(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_b
     ).select("*", base32(F.sha1(F.col("payload").cast("binary"))).alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
     headers = rows.where(F.col("bytes") >= min_bytes).select("digest", "page_id", "url")
     first = headers.groupBy("digest").agg(
-        F.min("page_id").alias("original"), F.min_by("url", F.struct("page_id", "url")).alias("original_url"),
+        F.min("page_id").alias("original"), F.min_by("url", F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("original_url"),
         F.count("*").alias("_n"),
     )
     several = first.where("_n > 1").drop("_n").withColumnRenamed("digest", "_digest")
@@ -109,9 +111,15 @@ def write_archives(
     pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
     min_bytes: int = 0, date: str = "2000-01-01T00:00:00Z", compression: str = "gzip",
 ) -> None:
-    lines = records(resolve(pages, id_col, url_col, payload_col, min_bytes), date)
-    options = {"lineSep": SEPARATOR, "compression": compression, "maxRecordsPerFile": RECORDS_PER_ARCHIVE}
-    lines.write.options(**options).text(folder)
+    """Writes each class of sizes by itself: equal payloads have equal sizes, so none refers to another class."""
+    size = F.coalesce(F.octet_length(F.col(payload_col).cast("string")), F.lit(0))
+    above = -1
+    for most, n in (*ARCHIVES, (None, 1)):
+        some = pages.where(size > above if most is None else size.between(above + 1, most))
+        lines = records(resolve(some, id_col, url_col, payload_col, min_bytes), date)
+        options = {"lineSep": SEPARATOR, "compression": compression, "maxRecordsPerFile": n}
+        lines.write.mode("append").options(**options).text(folder)
+        above = most
 
 
 def _records_of(content: pa.Buffer) -> Iterator[tuple[dict[str, str], bytes]]:

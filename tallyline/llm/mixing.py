@@ -120,11 +120,11 @@ def mix(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     targets = source_targets(staging, sized, **options).select(
         F.col("source").alias("_source"), F.col("rate").alias("_rate")
     )
+    # the table's own names are set aside, so that none of them clashes
+    renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
     whole = F.floor("_rate")
-    copies = whole + (draw(F.col("doc_id"), seed) < F.col("_rate") - whole).cast("long")
+    copies = whole + (draw(F.col(at["doc_id"]), seed) < F.col("_rate") - whole).cast("long")
     times = F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))
-    return (
-        docs.join(targets, docs["source"].eqNullSafe(targets["_source"]), "left")
-        .select(*[docs[c] for c in docs.columns], F.explode(times).alias("__copy_number"))
-        .drop("__copy_number")
-    )
+    joined = renamed.join(targets, renamed[at["source"]].eqNullSafe(targets["_source"]), "left")
+    return joined.select(*renamed.columns, F.explode(times).alias("_copy")).drop("_copy").toDF(*docs.columns)

@@ -50,7 +50,7 @@ from . import words as W
 from .bitmaps import bitmap_of, maybe_in
 from .components import star_forest
 from .packed import group_starts
-from .rows import keyed
+from .rows import free_name, keyed
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -58,6 +58,7 @@ TREES = 6
 COORDINATES = 64
 AGREE = 30
 SMALL = 4096
+MEAN_SHINGLES = 1024  # so a small node has at most SMALL times so many
 DEPTH = 6
 BLOCK_ROWS = 1024
 
@@ -274,22 +275,30 @@ class _Join:
         )
 
     def branch(self, members: DataFrame, level: int) -> DataFrame:
-        """(tree, node, cls, root) one level below members (tree, node, cls, minima); ``root`` numbers the roots."""
+        """(tree, node, cls, n, root) one level below members (tree, node, cls, n, minima); ``root`` numbers the roots."""
         table = F.array(*[F.array(*[F.lit(int(c)) for c in _coordinates(t)[2 * level : 2 * level + 2]]) for t in range(TREES)])
         chosen = F.explode(F.get(table, F.col("tree"))).alias("_c")
-        return members.select("tree", "node", "cls", "minima", chosen).select(
-            "tree", F.xxhash64("tree", "node", "_c", F.get("minima", F.col("_c"))).alias("node"), "cls",
+        return members.select("tree", "node", "cls", "n", "minima", chosen).select(
+            "tree", F.xxhash64("tree", "node", "_c", F.get("minima", F.col("_c"))).alias("node"), "cls", "n",
             (F.col("_c") if level == 0 else F.lit(-1)).alias("root"),
         )
 
     def roots(self) -> DataFrame:
         trees = F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree")
-        return self.branch(self.classes.select(trees, F.lit(0).cast("long").alias("node"), "cls", "minima"), 0)
+        return self.branch(self.classes.select(trees, F.lit(0).cast("long").alias("node"), "cls", "n", "minima"), 0)
 
     def shared(self, members: DataFrame) -> DataFrame:
-        """Members of nodes with more than one class, with the node's size and hub."""
-        nodes = members.groupBy("node").agg(F.count("*").alias("size"), F.min("cls").alias("hub")).where("size > 1")
-        return self.staging.keep(members.join(nodes, "node"), "nodes")
+        """Members of nodes with more than one class, with the node's size and hub.
+
+        The size is the number of members, or that of members of MEAN_SHINGLES
+        with as many shingles, if there are more of those: nodes of long texts
+        are large with fewer members.
+        """
+        nodes = members.groupBy("node").agg(
+            F.count("*").alias("_count"), F.sum(F.col("n").cast("long")).alias("_shingles"), F.min("cls").alias("hub")
+        ).where("_count > 1")
+        size = F.greatest("_count", F.expr(f"_shingles div {MEAN_SHINGLES}")).alias("size")
+        return self.staging.keep(members.drop("n").join(nodes.select("node", size, "hub"), "node"), "nodes")
 
     def described(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with both sides' sizes and sketches."""
@@ -382,7 +391,7 @@ class _Join:
             if level == DEPTH:
                 return self.connect(stars, self.confirm(self.large_pairs(large)))
             deeper = self.crossing(large.drop("comp"), stars).select("tree", "node", "cls")
-            members = self.shared(self.branch(deeper.join(self.classes.select("cls", "minima"), "cls"), level))
+            members = self.shared(self.branch(deeper.join(self.classes.select("cls", "n", "minima"), "cls"), level))
             stars = self.connect(stars, self.confirm(self.star_pairs(members.where(F.col("size") > SMALL))))
         return stars
 
@@ -436,6 +445,6 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
         return out
     version = F.xxhash64(F.coalesce(out["text"], F.lit("")))
     same = out["doc_id"].eqNullSafe(again["_d"]) & (version == again["_v"])
-    name = "__text_version"
+    name = free_name(docs.columns, "_text_version")
     once = out.join(again, same, "left_semi").withColumn(name, F.xxhash64(F.coalesce("text", F.lit(""))))
     return out.join(again, same, "left_anti").unionAll(once.dropDuplicates(["doc_id", name]).drop(name))

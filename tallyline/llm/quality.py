@@ -13,8 +13,8 @@ than the cut that tells good from poor labelled documents best.  At most
 ``FIT_ROWS`` labelled rows, the smallest by a hash of their ids, are used:
 good ones of one half are the target texts, the other half, unseen by the
 target model, sets the cut.  Raw counts, weights, k and the draw cover all
-documents.  The k-th key is found exactly by counting key prefixes, 16 bits at
-a time; rows equal to it are all taken.
+documents.  The k-th key is found exactly by counting keys in equal bins of the
+range that holds it, again and again; rows equal to it are all taken.
 
 With ``drop_toxic`` a labelled document is good only if it is not toxic as
 well, and a toxic target model joins the weight.  Rare insults drown in a sum

@@ -34,3 +34,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how:
     renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in names})
     on = reduce(lambda a, b: a & b, [left[n].eqNullSafe(renamed[f"_r_{n}"]) for n in names])
     return left.join(renamed, on, how).drop(*[f"_r_{n}" for n in names])
+
+
+def free_name(columns: Sequence[str], name: str) -> str:
+    """A column name that is not taken, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -1,6 +1,8 @@
 """The operators' results by plain loops over small lists."""
 
+import math
 import re
+import struct
 from collections import Counter, defaultdict
 
 import xxhash
@@ -143,3 +145,104 @@ def leaks(docs, items, rate=0.1):
                 if edits <= int(len(p) * rate):
                     out[d, item] = min(edits, out.get((d, item), edits))
     return out
+
+
+# --- quality: hashes, counts, weights and draw by plain integers
+
+
+M64 = (1 << 64) - 1
+
+
+def mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M64
+    return x ^ x >> 31
+
+
+def word_hash(word):
+    out = mix(len(word))
+    for i in range(0, len(word), 8):
+        out = mix((out * 0x9E3779B97F4A7C15 + int.from_bytes(word[i : i + 8], "little")) & M64)
+    return out
+
+
+def pair_hash(a, b):
+    total = (7 * 2 + 1) * 0x9E3779B97F4A7C15 & M64
+    for h in (a, b):
+        total = (total ^ h) * 0xD6E8FEB86659FD93 & M64
+        total ^= total >> 32
+    return mix(total)
+
+
+def spark_hash(*parts):
+    """Spark's xxhash64 of integers (kind i), longs (q) and strings."""
+    seed = 42
+    for kind, value in parts:
+        seed = xxhash.xxh64_intdigest(value.encode() if kind == "s" else struct.pack(f"<{kind}", value), seed=seed)
+    return seed
+
+
+def tokens_apart(text):
+    """Words and runs of ASCII punctuation, lower-cased."""
+    return re.findall(rb"[!-/:-@\[-`{-~]+|[^\x20\x09-\x0D!-/:-@\[-`{-~]+", (text or "").encode().translate(LOWER))
+
+
+def cut_of(weights, good):
+    """The lowest cut that leaves the fewest labelled rows on the wrong side."""
+    values = sorted(set(weights))
+    cuts = [-math.inf, *((a + b) / 2 for a, b in zip(values, values[1:])), values[-1] + 1]
+    wrong = [sum((w < c) == g for w, g in zip(weights, good)) for c in cuts]
+    return cuts[wrong.index(min(wrong))]
+
+
+def quality(docs, labels, drop_toxic, buckets, toxic_buckets, least_g2, prior=0.5):
+    """{doc_id: (log weight, kept)} for documents with different ids."""
+    grams, seen = {}, {}
+    for d, text in docs:
+        h = [word_hash(w) for w in tokens_apart(text)]
+        grams[d] = [(mix(x) >> 32) % buckets for x in h] + [(pair_hash(a, b) >> 32) % buckets for a, b in zip(h, h[1:])]
+        seen[d] = {(mix(x) >> 32) % toxic_buckets for x in h}
+    worst = {}
+    for d, q, t in labels:
+        if d is not None and q in (0, 1):
+            before = worst.get(d, (1, 0))
+            worst[d] = min(before[0], q), max(before[1], int(t == 1))
+    good = {d: q * (1 - t) if drop_toxic else q for d, (q, t) in worst.items()}
+    toxic = {d: t if drop_toxic else 0 for d, (_, t) in worst.items()}
+    first = {d for d in worst if spark_hash(("i", 1), ("q", d)) % 2 == 0}
+    raw, target = Counter(), Counter()
+    for d, _ in docs:
+        raw.update(grams[d])
+        if d in first and good[d]:
+            target.update(grams[d])
+    ratio = lambda b: (
+        math.log((target[b] + prior) / (target.total() + prior * buckets)) - math.log((raw[b] + prior) / (raw.total() + prior * buckets))
+    )
+    weight = {d: sum(map(ratio, grams[d])) for d, _ in docs}
+    bad = [d for d, _ in docs if d in first and toxic[d]]
+    clean = [d for d, _ in docs if d in first and good[d] and not toxic[d]]
+    odds = {}
+    if bad and clean:
+        counts = [Counter(b for d in some for b in seen[d]) for some in (bad, clean)]
+        t, c = len(bad), len(clean)
+        for b in counts[0]:
+            x, y = counts[0][b], counts[1][b]
+            cells = ((x, t, x + y), (y, c, x + y), (t - x, t, t + c - x - y), (c - y, c, t + c - x - y))
+            g2 = 2 * sum(n * math.log(n * (t + c) / (of * share)) for n, share, of in cells if n)
+            if x * c > y * t and g2 > least_g2:
+                odds[b] = math.log((x + prior) / (t + 2 * prior)) - math.log((y + prior) / (c + 2 * prior))
+    score = {d: sum(odds.get(b, 0) for b in seen[d]) for d, _ in docs}
+    judges = [d for d, _ in docs if d in worst and d not in first]
+    fair = [d for d in judges if not toxic[d]]
+    cut = cut_of([weight[d] for d in fair], [good[d] for d in fair]) if {good[d] for d in fair} == {0, 1} else -math.inf
+    told = [d for d in judges if good[d] or toxic[d]]
+    least = cut_of([-score[d] for d in told], [good[d] for d in told]) if {good[d] for d in told} == {0, 1} else -math.inf
+    final = {d: weight[d] if -score[d] >= least else -math.inf for d in weight}
+    k = sum(w >= cut and w > -math.inf for w in final.values())
+
+    def noise(d):
+        bits = spark_hash(("i", 0), ("s", str(d))) >> 11
+        return -math.log(-math.log((bits + 0.5) / (1 << 53)))
+
+    keys = sorted((w + noise(d) for d, w in final.items()), reverse=True)
+    return {d: (w, k > 0 and w + noise(d) >= keys[k - 1]) for d, w in final.items()}, odds

@@ -187,9 +187,29 @@ def test_near(spark, corpus, small, depth, monkeypatch):
     assert got == want and sum(not x[2] for x in want.values()) > 50
 
 
+def test_near_with_long_texts_in_a_node(spark, monkeypatch):
+    """A node of few members is large by their shingles, and is branched."""
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    monkeypatch.setattr(near_dedup, "MEAN_SHINGLES", 16)
+    rng = random.Random(4)
+    base = sentence(rng, 900, 9000).split(" ")
+    rows = []
+    for d in range(30):
+        w = list(base)
+        for _ in range(rng.randrange(25)):
+            w[rng.randrange(len(w))] = f"n{rng.random()}"
+        rows.append((d, " ".join(w[: 900 - 20 * (d % 7)])))
+    join = near_dedup._Join(frame(spark, rows))
+    sizes = {r["size"] for r in join.shared(join.roots()).select("size").distinct().collect()}
+    assert max(sizes) > 30 * 40
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {d: c for d, (_, c) in brute.near(rows).items()}
+
+
 def test_keep_one_each(spark, corpus):
     rows = corpus + [corpus[1], corpus[1], (100, None), (None, "some words of no id at all"), (None, "some words of no id at all")]
     docs = frame(spark, rows).withColumn("kept", F.lit(1)).withColumn("component_id", F.lit("c")).withColumn("_v", F.lit(1))
+    docs = docs.withColumn("_text_version", F.lit(2)).withColumn("__Text_version", F.lit(3))
     out = near_dedup.keep_one_each(docs.drop("_v"))
     want = {d for d, (_, c) in brute.near(corpus).items() if d == c} | {None}
     got = [r.doc_id for r in out.collect()]

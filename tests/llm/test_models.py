@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -249,8 +250,8 @@ def test_quality_edges(spark):
     assert quality.fitting_labels(both, 1).count() == 1
 
 
-def test_quality_drops_toxic(spark, tmp_path):
-    """Rare insults in texts of good quality: rows of the judging half, unseen by the models."""
+def insulting(spark, folder):
+    """Tables with poor texts and with rare insults in texts of good quality; their labels."""
     rng = random.Random(6)
     insults = ["idiot", "clown", "pathetic"]
     rows, labels = [], []
@@ -261,10 +262,50 @@ def test_quality_drops_toxic(spark, tmp_path):
             w = [f"junk{rng.randrange(40)}" for _ in range(80)]
         if toxic:
             w[rng.randrange(80)], w[rng.randrange(80)] = rng.sample(insults, 2)
-        rows.append((d, " ".join(w), "en", "s", 1))
-        labels.append((d, int(not poor), int(toxic)))
-    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+        rows.append((d, " ".join(w) + ("!!" if d % 4 else ", Why?"), "en", "s", 1))
+        if d % 7:
+            labels.append((d, int(not poor), int(toxic)))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "no such words in there")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return rows, labels
+
+
+def plain_quality(rows, labels, drop_toxic=True):
+    return brute.quality([r[:2] for r in rows], labels, drop_toxic, quality.BUCKETS, quality.TOXIC_BUCKETS, quality.TOXIC_G2)
+
+
+@pytest.mark.parametrize("drop_toxic", [True, False])
+def test_quality_equals_plain_counts(spark, tmp_path, drop_toxic):
+    """The whole method again: hashes, counts, ratio, both cuts, toxic words and the draw."""
+    rows, labels = insulting(spark, tmp_path)
+    want, odds = plain_quality(rows, labels, drop_toxic)
+    docs, told = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in quality.Resampler(docs, told, drop_toxic=drop_toxic).decisions().collect()}
+    assert len(got) == len(want) and bool(odds) == drop_toxic
+    assert {d: r.kept for d, r in got.items()} == {d: kept for d, (_, kept) in want.items()}
+    assert all(r.log_weight == pytest.approx(want[d][0], abs=1e-9) for d, r in got.items())
+    if drop_toxic:
+        query = {r.doc_id: r.kept for r in QUERIES["op5_quality"](spark, str(tmp_path)).collect()}
+        assert query == {d: r.kept for d, r in got.items()}
+
+
+def test_pipeline_drops_toxic(spark, tmp_path):
+    """The first stage equals the plain method with its toxic model, and so differs from that without."""
+    rows, labels = insulting(spark, tmp_path)
+    kept, without = ({d for d, (_, k) in plain_quality(rows, labels, drop)[0].items() if k} for drop in (True, False))
+    toxic = {r[0] for r in rows if r[0] % 6 == 1}
+    assert len(without & toxic) > 50 > len(kept & toxic)
+    name, stage = corpus_pipeline.STAGES[0]
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == kept
+    final = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert final <= kept and len(final) > 0.8 * len(kept)
+
+
+def test_quality_drops_toxic(spark, tmp_path):
+    """Rare insults in texts of good quality: rows of the judging half, unseen by the models."""
+    rows, labels = insulting(spark, tmp_path)
     kept = {r.doc_id for r in QUERIES["op5_quality"](spark, str(tmp_path)).where("kept").collect()}
     share = lambda ids: np.mean([d in kept for d in ids])
     good = [d for d, q, t in labels if q and not t]
@@ -320,6 +361,31 @@ def test_archives(spark, min_bytes, compression):
     assert len({r.record_id for r in read.collect()}) == len({(p, h or "") for p, _, h in rows})
 
 
+def test_archives_of_a_null_page_id(spark):
+    """It comes after all others: the response's own url is the one that revisits name."""
+    rows = [(None, "http://null/", "same"), (5, "http://five/", "same"), (7, "http://seven/", "same")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.original, r.original_url) for r in archives.resolve(df, "page_id", "url", "html").collect()}
+    assert got == {p: (5, "http://five/") for p in (None, 5, 7)}
+
+
+def test_archives_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(archives, "ARCHIVES", ((10, 50), (1_000, 4)))
+    sizes = [0, 5, 10, 11, 500, 1_000, 1_001, 9_000]
+    rows = [(i, "u", "x" * (sizes[i % 8] - 4 if sizes[i % 8] > 9 else 0) + f"{i:04}") for i in range(160)]
+    staging = Staging(spark, "test")
+    folder = staging.folder("archives")
+    archives.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    held = [
+        [len(block) for _, block in archives._records_of(pa.py_buffer(bytes(r.content)))]
+        for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).collect()
+    ]
+    assert sum(map(len, held)) == 160 and max(len(h) for h in held if h and max(h) > 1_081) == 1
+    assert max(len(h) for h in held if h and 120 < max(h) <= 1_081) == 4
+    read = archives.resolved_records(staging, archives.read_archives(spark, folder))
+    assert sorted((r.page_id, r.payload_bytes) for r in read.collect()) == [(i, len(t)) for i, _, t in rows]
+
+
 def test_archives_empty(spark):
     assert warc_rows(spark, [(1, "u", "x")])[0].limit(0).count() == 0
     staging = Staging(spark, "test")
@@ -416,6 +482,9 @@ def test_mix(spark):
     assert all(abs(taken[s] - target[s]) < 0.15 * target[s] for s in target if s)
     out = mixing.mix(docs)
     assert out.columns == docs.columns and out.count() == sum(r.copies for r in plan)
+    clash = docs.withColumns({c: F.lit(c) for c in ("_rate", "__copy_number", "_copy", "_source", "c0")})
+    again = mixing.mix(clash)
+    assert again.columns == clash.columns and again.where("_rate = '_rate' AND __copy_number = '__copy_number'").count() == out.count()
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
