@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import sigmoid, sign_vote
 from ..plans.blocks import Blocks, write_blocks
-from ..plans.durable import checkpointed, checkpointed_by
+from ..plans.durable import checkpointed, checkpointed_by, release
 from ..plans.prefix import first_of_each, with_positions
 from ..plans.rows import explode_counts, explode_once
 from ..plans.skew import hot_keys, salt_many, salt_one
@@ -232,7 +232,8 @@ def train_batch(docs: DataFrame, delta: float = DELTA, epochs: int = 1) -> DataF
         )
         scored = by_doc.join(scores, doc_key).withColumn("residual", F.col("y") - sigmoid("score"))
         steps = model.unionByName(_gradient(scored, delta))
-        model = checkpointed(steps.groupBy(*key).agg(F.sum("weight").alias("weight")))
+        before, model = model, checkpointed(steps.groupBy(*key).agg(F.sum("weight").alias("weight")))
+        release(before)
     return model
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans import (
-    Staging, checkpointed, checkpointed_by, explode_counts, explode_once, first_of_each, running_before, salted_join,
+    Staging, checkpointed, checkpointed_by, explode_counts, explode_once, first_of_each, release, running_before, salted_join,
     shared_folder, to_stripes, with_positions, with_score_block,
 )
 from tallyline.plans.blocks import Blocks, write_blocks
@@ -105,6 +105,17 @@ def test_bucketed_tables_keep_the_layout(spark):
     plan = df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert sorted(r["count"] for r in df.groupBy("k").count().collect()) == [14] * 5 + [15] * 2
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tallyline_")]
+
+
+def test_released_tables_are_deleted(spark):
+    stored = checkpointed(spark.range(10))
+    (file, *_) = [f.removeprefix("file://") for f in stored.inputFiles()]
+    assert os.path.exists(file)
+    release(stored)
+    assert not os.path.exists(file)
+    release(spark.range(3))  # nothing stored, nothing to do
 
 
 def test_tables_are_staged_in_the_shared_folder(spark):
