@@ -113,13 +113,15 @@ def write_archives(
 ) -> None:
     """Writes each class of sizes by itself: equal payloads have equal sizes, so none refers to another class."""
     size = F.coalesce(F.octet_length(F.col(payload_col).cast("string")), F.lit(0))
-    above = -1
-    for most, n in (*ARCHIVES, (None, 1)):
-        some = pages.where(size > above if most is None else size.between(above + 1, most))
-        lines = records(resolve(some, id_col, url_col, payload_col, min_bytes), date)
+    of = F.lit(len(ARCHIVES))
+    for i, (most, _) in reversed(list(enumerate(ARCHIVES))):
+        of = F.when(size <= most, F.lit(i)).otherwise(of)
+    there = sorted(r[0] for r in pages.select(of.alias("class")).distinct().collect())  # as many as there are classes
+    for i in there or [0]:
+        lines = records(resolve(pages.where(of == i), id_col, url_col, payload_col, min_bytes), date)
+        n = ARCHIVES[i][1] if i < len(ARCHIVES) else 1
         options = {"lineSep": SEPARATOR, "compression": compression, "maxRecordsPerFile": n}
         lines.write.mode("append").options(**options).text(folder)
-        above = most
 
 
 def _records_of(content: pa.Buffer) -> Iterator[tuple[dict[str, str], bytes]]:
