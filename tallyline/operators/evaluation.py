@@ -127,8 +127,8 @@ _COARSE = 32
 def poisson_steps(mean: int) -> list[float]:
     """How often something is drawn: k if the uniform is at least the first k of these.
 
-    Sums of the probabilities of 0, 1, 2, ...; they end where 1 - sum is too
-    small for the draws' 52 bits.
+    Sums of the probabilities of 0, 1, 2, ...; those that no draw of 52 bits
+    tells from 0 are 0, and they end where no draw tells the sum from 1.
     """
     steps, total, k = [], 0.0, 0
     while k <= mean or total < 1 - 2.0**-52:
@@ -136,7 +136,7 @@ def poisson_steps(mean: int) -> list[float]:
         if k > mean and term < 2.0**-60:
             break
         total += term
-        steps.append(total)
+        steps.append(total if total > 2.0**-53 else 0.0)
         k += 1
     return steps
 
@@ -148,14 +148,20 @@ def _uniform(key: Column) -> Column:
 def _drawn(uniform: Column, mean: int) -> Column:
     """The number of steps up to the uniform; every 32nd step tells which 32 to look at."""
     steps = poisson_steps(mean)
+    sure = steps.count(0.0)
+    steps = steps[sure:]
+
+    def table(some: list[float]) -> Column:
+        # one literal for Spark to fold, not one for each step
+        return F.split(F.lit(",".join(map(repr, some))), ",").cast("array<double>")
 
     def below(some: Column) -> Column:
         return F.size(F.filter(some, lambda step: step <= uniform))
 
     if len(steps) <= 2 * _COARSE:
-        return below(F.lit(steps)).cast("bigint")
-    start = below(F.lit(steps[_COARSE - 1 :: _COARSE])) * _COARSE
-    return (start + below(F.slice(F.lit(steps), start + 1, F.lit(_COARSE)))).cast("bigint")
+        return (below(table(steps)) + sure).cast("bigint")
+    start = below(table(steps[_COARSE - 1 :: _COARSE])) * _COARSE
+    return (start + below(F.slice(table(steps), start + 1, F.lit(_COARSE))) + sure).cast("bigint")
 
 
 def poisson_draws(groups: DataFrame, n: str, key: Column) -> DataFrame:

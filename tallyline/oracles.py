@@ -316,6 +316,7 @@ SELECT * FROM compared WHERE status IS NOT NULL""",
   docno - lag(docno, 1, 0) OVER (PARTITION BY term ORDER BY docno) AS gap, tf FROM postings""",
     "posting_gaps_decoded": f"WITH {INDEX} SELECT term, docno, tf FROM postings",
     "index_build": f"WITH {INDEX} SELECT term, count(*) AS df FROM postings GROUP BY term",
+    "index_build_postings": f"WITH {INDEX} SELECT term, count(*) AS df FROM postings GROUP BY term",
     "index_table": f"""WITH {INDEX}, listed AS (SELECT term FROM postings
   UNION ALL SELECT unnest(list_distinct({_stripped(RAW)})) FROM benchmark)
 SELECT 1 AS version, term, count(*) AS df FROM postings GROUP BY term

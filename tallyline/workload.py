@@ -176,17 +176,27 @@ def _build(spark: SparkSession, sf: str, kind: str) -> str:
     return write_index(postings, path)
 
 
+def _index_key(spark: SparkSession, sf: str, kind: str) -> tuple:
+    return (spark.sparkContext.applicationId, kind, *sorted(_docs(spark, sf).inputFiles()))
+
+
 def _stored(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """The index of the documents, built by the first query that needs it."""
-    key = (spark.sparkContext.applicationId, kind, *sorted(_docs(spark, sf).inputFiles()))
+    key = _index_key(spark, sf, kind)
     if key not in _INDEXES:
         _INDEXES[key] = _build(spark, sf, kind)
     return read_index(spark, _INDEXES[key])
 
 
-def _index_build(spark: SparkSession, sf: str) -> DataFrame:
-    """(term, df) of a bitmap index built anew."""
-    return bitmap_search.document_frequency(read_index(spark, _build(spark, sf, "bitmaps")))
+def _index_build(kind: str) -> Query:
+    """(term, df) of an index built anew, which later queries use."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        _INDEXES[_index_key(spark, sf, kind)] = _build(spark, sf, kind)
+        index = _stored(spark, sf, kind)
+        return (bitmap_search if kind == "bitmaps" else inverted_index).document_frequency(index)
+
+    return query
 
 
 def _index_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,7 +505,8 @@ QUERIES: dict[str, Query] = {
     "postings": _index,
     "posting_gaps": lambda s, d: inverted_index.encode_gaps(_postings(s, d), INDEX_SPAN),
     "posting_gaps_decoded": _index_decoded,
-    "index_build": _index_build,
+    "index_build": _index_build("bitmaps"),
+    "index_build_postings": _index_build("postings"),
     "index_table": _index_table,
     "bool_flat": lambda s, d: boolean_search.search(_stored(s, d, "postings"), "the of AND de OR"),
     "bool_term": _search("the"),
