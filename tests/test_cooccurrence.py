@@ -109,3 +109,23 @@ def test_close_pairs_are_told_apart(spark):
     rows = [("a", y, 1, 1.0 + i * 1e-12, 0.0) for i, y in enumerate("bcd")]
     pmi = spark.createDataFrame(rows, "x string, y string, n long, lift double, pmi double")
     assert [r.y for r in cooccurrence.top_pairs(pmi, 3).collect()] == ["d", "c", "b"]
+
+
+@pytest.mark.parametrize("held", [1 << 22, 7])
+def test_pairs_are_counted_in_tiles_of_bands(spark, monkeypatch, held):
+    """No pair is shuffled: what is shuffled does not grow with the square of a line's words."""
+    monkeypatch.setattr(cooccurrence, "FEW", 1)
+    monkeypatch.setattr(cooccurrence, "BLOCK", 5)
+    monkeypatch.setattr(cooccurrence, "HELD", held)
+    given = texts(150) + [" ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400))]
+    lines = as_lines(spark, given)
+    vocabulary, _ = cooccurrence._vocabulary(lines, 1, None)
+    starts = cooccurrence._bands(vocabulary)
+    assert len(starts) - 1 > 8 and starts == sorted(set(starts)) and starts[-1] == vocabulary.count()
+    tiles = cooccurrence._tiles(lines, vocabulary, starts, None).collect()
+    occurrences = sum(len(first_set(t, None)) for t in given)
+    assert sum(len(r.words) for r in tiles) <= 2 * cooccurrence.BANDS * occurrences
+    want = Counter(p for t in given for p in permutations(first_set(t, None), 2))
+    assert {(r.x, r.y): r.n for r in cooccurrence.cooccur(lines).collect()} == want
+    flat = cooccurrence.flatten_stripes(cooccurrence.pmi_stripes(lines, 2, width=7))
+    assert {(r.x, r.y) for r in flat.collect()} == {p for p, n in want.items() if n >= 2}
