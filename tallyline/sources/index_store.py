@@ -18,37 +18,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.durable import checkpointed, release
 from ..plans.staging import file_system
 
 TERMS_IN_A_FILE = 100_000  # what a file's bloom filter is laid out for
 
 
-def _write(rows: DataFrame, path: str, key: Sequence[str]) -> None:
-    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+def _write(rows: DataFrame, path: str, key: Sequence[str], stored: bool) -> None:
+    """Rows not ``stored`` are stored first: the range partitioner samples them before it deals them out."""
+    table = rows if stored else checkpointed(rows)
+    ordered = table.repartitionByRange(*key).sortWithinPartitions(*key)
     ordered.write.option("parquet.bloom.filter.enabled#term", "true").option(
         "parquet.bloom.filter.expected.ndv#term", str(TERMS_IN_A_FILE)
     ).mode("overwrite").parquet(path)
+    if not stored:
+        release(table)
 
 
 def write_index(
     postings: DataFrame, path: str | None = None, table: str | None = None, key: Sequence[str] = ("term", "docno"),
-    versions: str | None = None,
+    versions: str | None = None, stored: bool = False,
 ) -> str:
     """Writes an index with a column ``term``; returns the path of its files.
 
     With ``path`` an earlier index there is replaced.  With ``table`` a new
     version becomes the table's; ``versions`` is the folder of all versions,
-    needed when the table is new.
+    needed when the table is new.  The postings are read twice; unless they are
+    ``stored`` already, they are stored first.
     """
     if not table:
-        _write(postings, path, key)
+        _write(postings, path, key, stored)
         return path
     spark = postings.sparkSession
     exists = spark.catalog.tableExists(table)
     if exists:
         versions = _location(spark, table).rsplit("/", 1)[0]
     location = f"{versions.rstrip('/')}/version-{uuid.uuid4().hex}"
-    _write(postings, location, key)
+    _write(postings, location, key, stored)
     if exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)

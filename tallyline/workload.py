@@ -206,11 +206,11 @@ def _index_table(spark: SparkSession, sf: str) -> DataFrame:
     read after it.
     """
     table = f"tallyline_index_{uuid.uuid4().hex}"
-    postings = _postings(spark, sf)
+    postings = checkpointed(_postings(spark, sf))
     items = spark.read.parquet(f"{sf}/benchmark.parquet").select((-1 - F.col("item_id")).alias("docno"), "text")
-    write_index(postings, table=table, versions=Staging(spark, "index").folder("versions"))
+    write_index(postings, table=table, versions=Staging(spark, "index").folder("versions"), stored=True)
     first = read_index(spark, table=table)
-    write_index(postings.unionByName(inverted_index.term_freq(items)), table=table)
+    write_index(postings.unionByName(inverted_index.term_freq(items)), table=table, stored=True)
     second = read_index(spark, table=table)
     both = first.select(F.lit(1).alias("version"), "term").unionAll(second.select(F.lit(2).alias("version"), "term"))
     spark.sql(f"DROP TABLE {table}")  # its files stay till the application ends

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators import bitmap_search, boolean_search, inverted_index
+from tallyline.sources import index_store
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +114,37 @@ def test_fetch_and_shorten(spark, docs, postings):
     assert {r.line for r in boolean_search.result_lines(fetched).collect()} == {"301\td a", "900\ta b c d"}
     df = spark.createDataFrame([("x" * 80,), ("x" * 81,)], "text string")
     assert [r[0] for r in df.select(boolean_search.shortened("text")).collect()] == ["x" * 80, "x" * 80 + "..."]
+
+
+def test_gaps_go_on_over_ranges(spark):
+    """Postings are shuffled once, and a list or term cut by ranges continues from the earlier ones."""
+    rows = [("the", d, 1 + d % 3) for d in range(3, 4000)] + [(f"w{d % 700}", d, 1) for d in range(4000)] + [("the", None, 1), ("only", None, 2)]
+    postings = spark.createDataFrame(rows, "term string, docno long, tf int")
+    encoded = inverted_index.encode_gaps(postings, 64)
+    assert encoded._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 0
+    last, place, want = {}, {}, []
+    for term, docno, tf in sorted((r for r in rows if r[1] is not None)):
+        block = docno // 64
+        place[term, block] = place.get((term, block), 0) + 1
+        before = last.get(term, None if term == "the" else 0)  # after a posting without number
+        want.append((term, block, place[term, block], None if before is None else docno - before, tf))
+        last[term] = docno
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r) for r in encoded.collect()), key=key) == sorted(want, key=key)
+    numbered = postings.where("docno IS NOT NULL")
+    back = inverted_index.decode_gaps(inverted_index.encode_gaps(numbered, 64))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(r for r in rows if r[1] is not None)
+
+
+def test_range_partitioner_does_not_count_terms_again(spark, tmp_path):
+    """The index's rows are made once; the sample is taken of stored ones."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"a b c{i % 7}") for i in range(500)], "docno long, text string")
+    index_store.write_index(inverted_index.term_freq(docs).mapInArrow(count, "term string, docno long, tf int"), str(tmp_path / "i"))
+    assert seen.value == 1500  # a, b and c of each
