@@ -191,18 +191,39 @@ def poisson_draws(groups: DataFrame, n: str, key: Column) -> DataFrame:
     return each.withColumn("drawn", draw).drop("_part", "_u")
 
 
-def _resampled(preds: DataFrame, reps: int, seed: int, blocks: int | None) -> DataFrame:
+# How often one document is drawn: k if the uniform is at least the first k of these.
+POISSON_1 = tuple(math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(17))
+
+
+def _document_draws(preds: DataFrame, doc: str, reps: int, seed: int) -> DataFrame:
+    """(rep, score, spam, wrong, drawn): a Poisson(1) draw for every document and repetition, 0 too.
+
+    The draw comes from the md5 of document, repetition and seed.  It is a sum
+    of comparisons, which Spark compiles.
+    """
+    wrong = F.col("pred") != F.col("label")
+    each = preds.select(
+        "score", _spam().alias("spam"), wrong.alias("wrong"), doc, F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")
+    ).withColumn("_u", _uniform(F.concat_ws(":", F.col(doc).cast("string"), F.col("rep").cast("string"), F.lit(str(seed)))))
+    drawn = sum((F.when(F.col("_u") >= step, 1).otherwise(0) for step in POISSON_1), F.lit(0))
+    return each.withColumn("drawn", drawn.cast("bigint")).drop("_u", doc)
+
+
+def _resampled(preds: DataFrame, reps: int, seed: int, blocks: int | None, doc: str | None = None) -> DataFrame:
     """(rep, block, score, s, h, fn, fp): drawn documents per score, of each repetition.
 
     Documents with the same score, label and prediction are counted first, and
-    drawn together.
+    drawn together; with ``doc``, their key, each is drawn by itself.
     """
-    wrong = F.col("pred") != F.col("label")
-    groups = preds.groupBy("score", _spam().alias("spam"), wrong.alias("wrong")).agg(F.count("*").alias("n"))
-    groups = checkpointed(groups)
-    each = groups.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("score", "spam", "wrong", "rep")], F.lit(str(seed)))
-    drawn = poisson_draws(each, "n", key).where("drawn > 0")
+    if doc:
+        drawn = _document_draws(preds, doc, reps, seed)
+    else:
+        wrong = F.col("pred") != F.col("label")
+        groups = preds.groupBy("score", _spam().alias("spam"), wrong.alias("wrong")).agg(F.count("*").alias("n"))
+        groups = checkpointed(groups)
+        each = groups.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+        key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("score", "spam", "wrong", "rep")], F.lit(str(seed)))
+        drawn = poisson_draws(each, "n", key).where("drawn > 0")
 
     def times(condition: str) -> Column:
         return F.sum(F.when(F.expr(condition), F.col("drawn")).otherwise(0))
@@ -211,18 +232,24 @@ def _resampled(preds: DataFrame, reps: int, seed: int, blocks: int | None) -> Da
         times("spam").alias("s"), times("NOT spam").alias("h"),
         times("spam AND wrong").alias("fn"), times("NOT spam AND wrong").alias("fp"),
     )
+    if doc:
+        counted = counted.where("s + h > 0")  # scores that no draw fell on
     return with_score_block(counted, "score", ["rep"], blocks)
 
 
-def roca_ci(preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None) -> DataFrame:
+def roca_ci(
+    preds: DataFrame, reps: int = 100, seed: int = 0, blocks: int | None = None, doc: str | None = None
+) -> DataFrame:
     """(metric, estimate, low, high): 95 % bootstrap intervals of 1-ROCA and LAM, percent.
 
     Poisson bootstrap: every document counts Poisson(1) times in every
     repetition, documents that are alike Poisson(n) times together.  Draws
     depend on the group, repetition and seed only.  The work grows with the
-    distinct groups, not with the documents.
+    distinct groups, not with the documents.  With ``doc``, their key, every
+    document is drawn by itself, and draws depend on document, repetition and
+    seed.
     """
-    counted = _resampled(preds, reps, seed, blocks)
+    counted = _resampled(preds, reps, seed, blocks, doc)
     errors = counted.groupBy("rep").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"))
     sums = _inversions(counted, ["rep"]).join(errors, "rep")
     roca = logit(_inversion_rate(F.col("inversions"), F.col("hams"), F.col("spams")))

@@ -7,7 +7,7 @@ jump-and-missing-mass formula, and retrieval by set operations.
 from __future__ import annotations
 
 from .functions.numeric import RATE_EDGES
-from .operators.evaluation import PARTS, poisson_steps
+from .operators.evaluation import PARTS, POISSON_1, poisson_steps
 from .operators.linear_classifier import ERROR, MAX_DOCS
 from .workload import SHARD_DOCS
 
@@ -187,6 +187,7 @@ MONTHLY = """monthly AS (
 _T3, _T2 = _bigram("3", 3), _bigram("2", 2)
 _EDGES = str(list(RATE_EDGES)) + "::DOUBLE[]"
 _RATE_BUCKET = f"least(len(list_filter({_EDGES}, lambda e: e < {{r}})), {len(RATE_EDGES) - 1})::INTEGER"
+_DRAWS = str([repr(c) for c in POISSON_1]).replace("'", "") + "::DOUBLE[]"
 _TABLES = " ".join(f"WHEN {bit} THEN {poisson_steps(1 << bit)!r}" for bit in range(PARTS + 1))
 _DRAWN = f"""alike AS (SELECT score, label, pred, count(*) AS n FROM preds GROUP BY ALL),
 parts AS (
@@ -428,7 +429,15 @@ points AS (
 logits AS (SELECT kind, bucket, ln(least(rate, 1 - 1e-9) / (1 - least(rate, 1 - 1e-9))) AS l FROM points)
 SELECT kind, bucket, ({_EDGES})[bucket + 1] AS edge, count(*) AS reps, round(1.0 / (1.0 + exp(-avg(l))), 9) AS rate
 FROM logits GROUP BY kind, bucket""",
-    "roca_ci": f"""WITH {LENGTH}, {_DRAWN},
+    "roca_ci": f"""WITH {LENGTH}, drawn AS (
+  SELECT rep, score, label, pred, len(list_filter({_DRAWS}, lambda c: c <= u)) AS n FROM (
+    SELECT range AS rep, score, label, pred,
+      ('0x' || md5(doc_id::VARCHAR || ':' || range::VARCHAR || ':0')[1:13])::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+    FROM preds, range(100))),
+per_score AS (
+  SELECT rep, score, sum(n) FILTER (label = 'spam') AS s, sum(n) FILTER (label = 'ham') AS h,
+    sum(n) FILTER (label = 'spam' AND pred = 'ham') AS fn, sum(n) FILTER (label = 'ham' AND pred = 'spam') AS fp
+  FROM drawn WHERE n > 0 GROUP BY ALL),
 sums AS (SELECT rep, sum(s)::DOUBLE AS s, sum(h)::DOUBLE AS h, coalesce(sum(fn), 0)::DOUBLE AS fn, coalesce(sum(fp), 0)::DOUBLE AS fp
   FROM per_score GROUP BY rep),
 wrong AS (

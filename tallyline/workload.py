@@ -545,6 +545,6 @@ QUERIES: dict[str, Query] = {
     "lam": lambda s, d: _round(evaluation.lam(by_length(s, d)), 9, "lam"),
     "operating_points": lambda s, d: _round(evaluation.operating_points(by_length(s, d)), 9, "rate"),
     "roca_ci": lambda s, d: _round(
-        evaluation.roca_ci(checkpointed(by_length(s, d)), reps=100), 6, "estimate", "low", "high"),
+        evaluation.roca_ci(checkpointed(by_length(s, d)), reps=100, doc="doc_id"), 6, "estimate", "low", "high"),
     "resampled_points": lambda s, d: _round(evaluation.resampled_points(by_length(s, d), reps=100), 9, "rate"),
 }

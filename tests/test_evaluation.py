@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -189,3 +190,20 @@ def test_one_group_with_nearly_all_scores(spark):
     assert not [c for c, kind in counted.dtypes if kind.startswith("array")]
     got = {r.g: r.one_minus_roca for r in ev.one_minus_roca(df, by=["g"], blocks=16).collect()}
     assert got == pytest.approx({g: brute_roca([r[1:] for r in rows if r[0] == g]) for g in ("big", "small")})
+
+
+def test_documents_drawn_by_themselves(spark):
+    """Alike documents are drawn apart: what is drawn follows a plain loop over documents and repetitions."""
+    rows = made(60) + [(100 + i, "spam", 1.0, "ham") for i in range(9)]
+    steps, logits = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(17)]), []
+    for rep in range(20):
+        sample = []
+        for r in rows:
+            u = int(hashlib.md5(f"{r[0]}:{rep}:5".encode()).hexdigest()[:13], 16) / 2**52
+            sample += [r] * int((steps <= u).sum())
+        x = brute_roca(sample) / 100
+        logits.append(math.log(x / (1 - x)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.metric: r for r in ev.roca_ci(df, reps=20, seed=5, doc="doc_id").collect()}["one_minus_roca"]
+    centre = math.log(got.estimate / (100 - got.estimate))
+    assert math.log(got.low / (100 - got.low)) == pytest.approx(centre - 1.96 * np.std(logits, ddof=1))
