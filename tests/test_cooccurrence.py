@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 from itertools import permutations
 
@@ -6,6 +7,7 @@ import pytest
 from test_text import first_set, texts
 
 from tallyline.operators import bigrams, cooccurrence, reconcile
+from tallyline.plans import staging
 
 
 def as_lines(spark, given):
@@ -129,3 +131,57 @@ def test_pairs_are_counted_in_tiles_of_bands(spark, monkeypatch, held):
     assert {(r.x, r.y): r.n for r in cooccurrence.cooccur(lines).collect()} == want
     flat = cooccurrence.flatten_stripes(cooccurrence.pmi_stripes(lines, 2, width=7))
     assert {(r.x, r.y) for r in flat.collect()} == {p for p, n in want.items() if n >= 2}
+
+
+def test_pairs_are_named_in_their_tile(spark):
+    """No pair is shuffled for the names and counts of its words, nor for its place in a stripe."""
+    lines = as_lines(spark, texts(60))
+    for made in (cooccurrence.pmi(lines, 2), cooccurrence.pmi_stripes(lines, 2, width=7)):
+        made.collect()
+        above = made._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+        assert "Exchange" not in above and "Join" not in above
+
+
+@pytest.mark.parametrize("held", [1 << 22, 5])
+def test_rows_of_one_line_are_one_line(spark, monkeypatch, held):
+    """Lines whose key repeats, or is null, are counted with the words of all their rows."""
+    monkeypatch.setattr(cooccurrence, "HELD", held)
+    monkeypatch.setattr(cooccurrence, "FEW", 1)
+    given = [(1, 0, "a b c"), (1, 0, "b d"), (None, 0, "a d"), (None, 0, "c e"), (2, 0, "a b"), (3, 1, None), (3, 1, "e"), (4, 0, "")]
+    lines = spark.createDataFrame(given, "docno long, line_no int, text string")
+    want = Counter()
+    for words in ("abcbd", "adce", "ab", "e"):
+        want.update(permutations(words, 2))
+    stats = {(r.x, r.y): r.n for r in cooccurrence.cooccur(lines).where("x != y").collect()}
+    assert stats == {p: n for p, n in want.items() if p[0] != p[1]}
+    flat = cooccurrence.flatten_stripes(cooccurrence.pmi_stripes(lines, 1, width=2))
+    single = Counter(w for _, _, t in given if t for w in t.split())
+    assert {(r.x, r.y): pytest.approx(r.pmi) for r in flat.collect()} == {
+        (x, y): math.log10(len(given) * n / (single[x] * single[y])) for (x, y), n in want.items()
+    }
+
+
+def test_staging_drops_its_shuffles(spark):
+    """Their files do not wait for the driver's garbage collection; later queries keep what the session says."""
+    before = spark.conf.get(staging.CLEANUP)
+    with staging.shuffles_dropped(spark):
+        assert spark.conf.get(staging.CLEANUP) == "true"
+    assert spark.conf.get(staging.CLEANUP) == before
+    store = staging.Staging(spark, "test")
+    folder = store.folder("plain")
+
+    def files():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return root.getAllFiles().mkString("\n").count("shuffle_")
+
+    shuffled = spark.range(1000).repartition(4, "id")
+    start = files()
+    shuffled.write.parquet(folder)
+    plain = files()
+    assert plain > start
+    kept = store.keep(shuffled)
+    for _ in range(50):
+        if files() <= plain:
+            break
+        time.sleep(0.1)
+    assert files() <= plain and kept.count() == 1000
