@@ -5,10 +5,12 @@ document ends with an end token, which is counted as a token, and begins after
 n - 1 start marks, which are not.
 
 Counting.  Tasks count the distinct n-grams of what they read and send them
-packed, by ranges of the n-gram's 64-bit hash; receivers merge them.  Every
-distinct n-gram then counts once for its last n - 1 words, again packed and by
-ranges, and so on down to words.  On the way come, per context, the sum and
-the number of n-grams seen once, twice, more often; per word, its count too.
+packed, by ranges of the 64-bit hash of their context; receivers merge them.
+Every distinct n-gram then counts once for its last n - 1 words, again packed
+and by ranges, and so on down to words.  On the way come, per context, the sum
+and the number of n-grams seen once, twice, more often; per word, its count
+too.  Contexts are whole in their range, those of one word aside, which are
+added up with the words.
 
 Storing.  The n-grams and contexts of each order and the words are sorted hash
 arrays in the shared folder (see ``shards``); workers map them into memory and
@@ -48,7 +50,7 @@ from .packed import deal, group_starts, part_count, parts_of, split_rows
 from .shards import Table, write_shard
 
 START, END = np.uint64(0x5EED0000000000A1), np.uint64(0x5EED0000000000B2)
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 4_000_000
 
 GRAMS = "part long, cells array<binary>"
 _GRAMS = pa.schema([("part", pa.int64()), ("cells", pa.list_(pa.binary()))])
@@ -58,8 +60,7 @@ _ROWS = pa.schema([
     ("kind", pa.string()), ("part", pa.int64()), ("file", pa.string()), ("cells", pa.list_(pa.binary())),
     *[(f"c{i}", pa.int64()) for i in (1, 2, 3, 4)],
 ])
-_CONTEXT = ["<u8", "<u8", "<u4", "<u4", "<u4"]  # hash, sum, n-grams seen once, twice, more often
-_FILES = pa.schema([("part", pa.int64()), ("file", pa.string())])
+_OF_CONTEXT = ["<i8"] * 4  # sum, n-grams seen once, twice, more often
 _TOTALS = pa.schema([
     ("part", pa.int64()), ("file", pa.string()), ("tokens", pa.int64()), ("types", pa.int64()),
     ("before", pa.int64()), *[(f"c{i}", pa.int64()) for i in (1, 2, 3, 4)],
@@ -103,10 +104,53 @@ def _merge(words: list[np.ndarray], counts: np.ndarray):
     return key[at], [w[at] for w in words], total
 
 
-def _packed_grams(key: np.ndarray, words: list[np.ndarray], counts: np.ndarray, parts: int) -> list:
-    part = parts_of(key, parts)
-    order = np.lexsort((words[0], part))  # runs of one first word pack well
-    return list(split_rows(part[order], [*[w[order] for w in words], counts[order].astype("<u4")]))
+def dealt_by(words: list[np.ndarray], key: np.ndarray) -> np.ndarray:
+    """The hash whose range an n-gram belongs to: its context's, so that a context is whole in its range.
+
+    A context has at most as many n-grams as there are words.  Contexts of one
+    word may be in half of the text; bigrams are dealt by themselves.
+    """
+    return key if len(words) == 2 else gram_hash(words[:-1])
+
+
+def _packed_grams(key: np.ndarray, words: list[np.ndarray], counts: np.ndarray, parts: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(part, cells): the distinct words of the part's n-grams, each word as its place among them, the counts; compressed."""
+    part = parts_of(dealt_by(words, key), parts)
+    order = np.lexsort((*words[::-1], part))  # runs of one first word pack well
+    part, words, counts = part[order], [w[order] for w in words], counts[order]
+    for p in np.unique(part):
+        low, high = np.searchsorted(part, [p, p + 1])
+        known, at = np.unique(np.concatenate([w[low:high] for w in words]), return_inverse=True)
+        places = at.astype(np.min_scalar_type(len(known))).reshape(len(words), -1)
+        # both ascend: differences are small
+        known, places[0] = (np.diff(c, prepend=c.dtype.type(0)) for c in (known, places[0]))
+        yield int(p), [_cell(c) for c in (known, *places, counts[low:high].astype("<u4"))]
+
+
+def _cell(values: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second bytes and so on, compressed; size of a number and length come before."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return bytes([values.itemsize]) + len(planes).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _opened(cell: pa.Scalar) -> np.ndarray:
+    data = cell.as_buffer().to_pybytes()
+    planes = pa.decompress(data[5:], decompressed_size=int.from_bytes(data[1:5], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(data[0], -1).T).view(f"<u{data[0]}").ravel()
+
+
+def _unpacked_grams(held: list[pa.RecordBatch], width: int) -> list[np.ndarray]:
+    """The words and counts of the packed n-grams in the rows of ``held``."""
+    columns: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in range(width)] + [[np.zeros(0, np.uint32)]]
+    for batch in held:
+        cells = batch.column("cells").flatten()
+        for i in range(0, len(cells), width + 2):
+            known, *places, counts = (_opened(cells[j]) for j in range(i, i + width + 2))
+            known, places[0] = (np.cumsum(c, dtype=c.dtype) for c in (known, places[0]))
+            for column, place in zip(columns, places):
+                column.append(known[place])
+            columns[-1].append(counts)
+    return [np.concatenate(c) for c in columns]
 
 
 def _batches(rows: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -128,7 +172,7 @@ def _send_grams(parts: int, order: int) -> Callable:
         words = [np.concatenate(x) for x in zip(*held)]
         held.clear()
         n[0] = 0
-        yield from _batches(_packed_grams(*_merge(words, np.ones(len(words[0]), np.int64)), parts), _GRAMS)
+        yield from _batches(list(_packed_grams(*_merge(words, np.ones(len(words[0]), np.int64)), parts)), _GRAMS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], [0]
@@ -152,18 +196,16 @@ def _store_grams(folder: str, parts: int, width: int, highest: bool) -> Callable
     """Writes the shards of a task's n-grams of ``width`` words; sends on what they add up to."""
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *words, counts = _entries(list(batches), ["<u8"] * width + ["<u4"])
+        *words, counts = _unpacked_grams(list(batches), width)
         if not len(counts):
             return
         key, words, counts = _merge(words, counts.astype(np.int64))
-        part = parts_of(key, parts)
+        part = parts_of(dealt_by(words, key), parts)
         rows = []
         for p in np.unique(part):
-            low, high = np.searchsorted(part, [p, p + 1])
-            name = write_shard(folder, f"grams{width}-{p}", key[low:high], [counts[low:high].astype("<u4")])
-            rows.append(("shard", int(p), name, None, *_counts_of_counts(counts[low:high])))
-        yield from _batches(rows, _ROWS)
-        del key, part
+            here = np.flatnonzero(part == p)  # keys ascend
+            name = write_shard(folder, f"grams{width}-{p}", key[here], [counts[here]])
+            rows.append(("shard", int(p), name, None, *_counts_of_counts(counts[here])))
 
         def sent(kind: str, packed: Iterator) -> Iterator[pa.RecordBatch]:
             yield from _batches([(kind, p, None, cells, None, None, None, None) for p, cells in packed], _ROWS)
@@ -175,10 +217,14 @@ def _store_grams(folder: str, parts: int, width: int, highest: bool) -> Callable
             columns = [np.concatenate(x) for x in ((zero, counts if highest else zero), (zero, zero + 1), *((c, zero) for c in of_context))]
         else:
             context, columns = _sum_words(gram_hash(words[:-1]), of_context)
-            cells = [c.astype(t) for c, t in zip([context, *columns], _CONTEXT)]
-            yield from sent("contexts", split_rows(parts_of(context, parts), cells))
+            part = parts_of(context, parts)
+            for p in np.unique(part):
+                low, high = np.searchsorted(part, [p, p + 1])
+                name = write_shard(folder, f"contexts{width}-{p}", context[low:high], [c[low:high] for c in columns])
+                rows.append(("context", int(p), name, *[None] * 5))
             yield from sent("grams", _packed_grams(*_merge(words[1:], zero + 1), parts))
             word, columns = (words[-1], [counts, *[zero] * 5]) if highest else (None, None)
+        yield from _batches(rows, _ROWS)
         if word is not None:
             word, columns = _sum_words(word, columns)
             yield from sent("words", split_rows(parts_of(word, parts), [word, *[c.astype("<u8") for c in columns]]))
@@ -186,23 +232,6 @@ def _store_grams(folder: str, parts: int, width: int, highest: bool) -> Callable
     return store
 
 
-def _store_contexts(folder: str, parts: int, width: int) -> Callable:
-    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, *columns = _entries(list(batches), _CONTEXT)
-        if not len(key):
-            return
-        key, columns = _sum_words(key, [c.astype(np.int64) for c in columns])
-        part = parts_of(key, parts)
-        rows = []
-        for p in np.unique(part):
-            low, high = np.searchsorted(part, [p, p + 1])
-            name = write_shard(folder, f"contexts{width}-{p}", key[low:high], [c[low:high].astype(t) for c, t in zip(columns, _CONTEXT[1:])])
-            rows.append((int(p), name))
-        yield from _batches(rows, _FILES)
-
-    return store
-
-
 def _sum_words(word: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     order = np.argsort(word, kind="stable")
     heads = group_starts(word[order])
@@ -220,7 +249,7 @@ def _store_words(folder: str, parts: int) -> Callable:
         for p in np.unique(part):
             low, high = np.searchsorted(part, [p, p + 1])
             some = [c[low:high] for c in columns]
-            name = write_shard(folder, f"words-{p}", word[low:high], [c.astype("<i8") for c in some])
+            name = write_shard(folder, f"words-{p}", word[low:high], some)
             count, before = some[:2]
             rows.append((int(p), name, int(count.sum()), int((count > 0).sum()), int(before.sum()), *_counts_of_counts(before)))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TOTALS.types)], schema=_TOTALS)
@@ -273,11 +302,11 @@ class Model:
             else:
                 key, place = np.unique(gram_hash(words[:-1]), return_inverse=True)
                 found = level.contexts.look_up(key)
-            total, ones, twos, more = (x.astype(np.int64) for x in found)
+            total, ones, twos, more = found
             context = np.maximum(total, 1)
             freed = np.where(total > 0, (level.d[1] * ones + level.d[2] * twos + level.d[3] * more) / context, 1.0)
-            key, back = np.unique(gram_hash(words), return_inverse=True)
-            seen = level.grams.look_up(key)[0].astype(np.int64)
+            key, first, back = np.unique(gram_hash(words), return_index=True, return_inverse=True)
+            seen = level.grams.look_up(key, dealt_by(words, gram_hash(words))[first])[0]
             held = np.maximum(seen - level.d[np.minimum(seen, 3)], 0)[back]
             p = held / context[place] + freed[place] * p
         base = (count + 1.0) / (self.tokens + self.types + 1.0)
@@ -299,13 +328,13 @@ def train(docs: DataFrame, staging: Staging, order: int = 2) -> Model:
         def of(kind: str, rows: DataFrame = stored) -> DataFrame:
             return rows.where(F.col("kind") == kind).select("part", "cells")
 
-        shards = stored.where("kind = 'shard'").select("part", "file", "c1", "c2", "c3", "c4").collect()  # a row per range
+        files = stored.where("kind IN ('shard', 'context')").select("kind", "part", "file", "c1", "c2", "c3", "c4").collect()  # two rows per range
+        shards = [r for r in files if r["kind"] == "shard"]
         contexts = None
         if width > 2:
-            files = deal(of("contexts"), parts).mapInArrow(_store_contexts(folder, parts, width), "part long, file string").collect()
-            contexts = Table(folder, {r["part"]: r["file"] for r in files}, parts, _CONTEXT[1:])
+            contexts = Table(folder, {r["part"]: r["file"] for r in files if r["kind"] == "context"}, parts, _OF_CONTEXT)
         d = discounts([sum(r[f"c{i}"] for r in shards) for i in (1, 2, 3, 4)])
-        levels.insert(0, Level(width, Table(folder, {r["part"]: r["file"] for r in shards}, parts, ["<u4"]), contexts, d))
+        levels.insert(0, Level(width, Table(folder, {r["part"]: r["file"] for r in shards}, parts, ["<i8"]), contexts, d))
         sent = deal(of("grams"), parts)
     packed = reduce(DataFrame.unionAll, [s.where("kind = 'words'").select("part", "cells") for s in kept])
     words = deal(packed, parts).mapInArrow(_store_words(folder, parts), TOTALS).collect()

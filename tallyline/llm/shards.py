@@ -1,7 +1,8 @@
 """Sorted hash arrays in a shared folder, memory-mapped by tasks.
 
 A shard is one file per hash range: its number of entries, the sorted hashes,
-then value columns of the same length.  Tasks write shards under a name of
+then value columns of the same length, with a byte for each value; values from
+255 on, or below 0, are listed before the bytes with their places.  Tasks write shards under a name of
 their own, so a repeated or lost task does no harm: only the names that Spark
 returns are used.  A local (mounted) folder is mapped in place; any other
 store's file is first copied to the task's temporary folder, mapped, and
@@ -20,15 +21,22 @@ import numpy as np
 from pyarrow import fs
 
 
+LARGE = 255  # the byte of values listed apart
+
+
 def _local(path: str) -> str | None:
     parsed = urlparse(path)
     return unquote(parsed.path) if parsed.scheme in ("", "file") else None
 
 
 def write_shard(folder: str, name: str, hashes: np.ndarray, columns: list[np.ndarray]) -> str:
-    """The written file's name in ``folder``."""
+    """The written file's name in ``folder``; columns are whole numbers."""
     name = f"{name}-{uuid.uuid4().hex}"
-    data = [np.array([len(hashes)], "<u8"), hashes.astype("<u8", copy=False), *columns]
+    apart = [(c < 0) | (c >= LARGE) for c in columns]
+    large = [np.flatnonzero(a) for a in apart]
+    data = [np.array([len(hashes), *map(len, large)], "<u8"), hashes.astype("<u8", copy=False)]
+    data += [x.astype("<i8", copy=False) for c, at in zip(columns, large) for x in (at, c[at])]
+    data += [np.where(a, LARGE, c).astype(np.uint8) for c, a in zip(columns, apart)]
     local = _local(folder)
     if local is not None:
         os.makedirs(local, exist_ok=True)
@@ -65,28 +73,41 @@ class Table:
     def _shard(self, part: int):
         if part not in self._open:
             raw = _mapped(self.folder, self.names[part])
-            n = int(raw[:8].view("<u8")[0])
-            at, views = 8 + 8 * n, []
-            for kind in self.dtypes:
-                size = np.dtype(kind).itemsize * n
-                views.append(raw[at : at + size].view(kind))
+            at = 8 * (1 + len(self.dtypes))
+            n, *large = raw[:at].view("<u8").tolist()
+
+            def take(size: int, kind: str) -> np.ndarray:
+                nonlocal at
                 at += size
-            self._open[part] = (raw[8 : 8 + 8 * n].view("<u8"), views)
+                return raw[at - size : at].view(kind)
+
+            hashes = take(8 * n, "<u8")
+            listed = [(take(8 * m, "<i8"), take(8 * m, "<i8")) for m in large]
+            self._open[part] = hashes, [(take(n, "u1"), *x) for x in listed]
         return self._open[part]
 
-    def look_up(self, keys: np.ndarray) -> list[np.ndarray]:
-        """Value columns for sorted keys; 0 where a key is missing."""
+    def look_up(self, keys: np.ndarray, dealt_by: np.ndarray | None = None) -> list[np.ndarray]:
+        """Value columns for sorted keys; 0 where a key is missing.
+
+        A key is in the range of its own hash, or of ``dealt_by``.
+        """
         out = [np.zeros(len(keys), kind) for kind in self.dtypes]
-        part = ((keys >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)
-        bounds = np.searchsorted(part, np.arange(self.parts + 1, dtype=np.uint64))
+        by = keys if dealt_by is None else dealt_by
+        part = (((by >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             if int(p) not in self.names:
                 continue
-            low, high = bounds[p], bounds[p + 1]
-            hashes, views = self._shard(int(p))
-            some = keys[low:high]
+            here = order[bounds[p] : bounds[p + 1]]
+            hashes, columns = self._shard(int(p))
+            some = keys[here]
             at = np.minimum(np.searchsorted(hashes, some), len(hashes) - 1)
             hit = hashes[at] == some
-            for values, view in zip(out, views):
-                values[low:high][hit] = view[at[hit]]
+            here, at = here[hit], at[hit]
+            for values, (small, places, large) in zip(out, columns):
+                found = small[at].astype(np.int64)
+                apart = np.flatnonzero(found == LARGE)
+                found[apart] = large[np.searchsorted(places, at[apart])]
+                values[here] = found
         return out

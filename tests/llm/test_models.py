@@ -167,6 +167,40 @@ def test_shards(tmp_path_factory, keys, others, parts):
     assert found.tolist() == [want.get(k, 0) for k in asked.tolist()]
 
 
+def test_shards_keep_large_values_apart(tmp_path):
+    """A small value takes a byte; others are listed, and come back as they were."""
+    folder = f"file://{tmp_path}/shards"
+    keys = np.arange(1, 1001, dtype=np.uint64)
+    values = np.where(keys % 100 == 0, keys.astype(np.int64) << 32, keys.astype(np.int64) % 254)
+    values[:3] = 254, 255, -7
+    name = shards.write_shard(folder, "t", keys, [values, values % 3])
+    table = shards.Table(folder, {0: name}, 1, ["<i8", "u1"])
+    asked = np.arange(0, 1003, dtype=np.uint64)
+    found = table.look_up(asked)
+    assert found[0].tolist() == [0, *values.tolist(), 0, 0] and found[1].tolist() == [0, *(values % 3).tolist(), 0, 0]
+    assert (tmp_path / "shards" / name).stat().st_size < 1000 * 11
+
+
+@pytest.mark.parametrize("width", [2, 3, 4])
+def test_grams_travel_with_their_words_once(width):
+    """Packed n-grams take a few bytes a word and come back whole; a context of several words is in one range."""
+    rng = np.random.default_rng(width)
+    words = [rng.integers(0, 2**64, 300, np.uint64)[rng.integers(0, 300, 20_000)] for _ in range(width)]
+    key, words, counts = language_model._merge(words, np.ones(20_000, np.int64))
+    rows = list(language_model._packed_grams(key, words, counts, 5))
+    assert sum(len(c) for _, cells in rows for c in cells) < len(key) * (8 * width + 4) / 3
+    batch = next(language_model._batches(rows, language_model._GRAMS))
+    *back, n = language_model._unpacked_grams([batch], width)
+    assert sorted(zip(*map(np.ndarray.tolist, back), n.tolist())) == sorted(zip(*map(np.ndarray.tolist, words), counts.tolist()))
+    if width > 2:
+        ranges = {}
+        for p, cells in rows:
+            one = pa.RecordBatch.from_pydict({"part": [p], "cells": [cells]}, schema=language_model._GRAMS)
+            for context in zip(*map(np.ndarray.tolist, language_model._unpacked_grams([one], width)[: width - 1])):
+                ranges.setdefault(context, set()).add(p)
+        assert all(len(r) == 1 for r in ranges.values())
+
+
 def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
 
