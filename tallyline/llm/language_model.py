@@ -51,6 +51,7 @@ from .shards import Table, write_shard
 
 START, END = np.uint64(0x5EED0000000000A1), np.uint64(0x5EED0000000000B2)
 CHUNK_TOKENS = 4_000_000
+HASHED = 1 << 18  # n-grams hashed at a time
 
 GRAMS = "part long, cells array<binary>"
 _GRAMS = pa.schema([("part", pa.int64()), ("cells", pa.list_(pa.binary()))])
@@ -167,23 +168,41 @@ def _entries(held: list[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
     ]
 
 
+def _packed_chunk(words: list[np.ndarray], parts: int) -> Iterator[tuple[int, list[bytes]]]:
+    """``_packed_grams`` of the distinct n-grams among ``words``, merged a part at a time: all n-grams of one lie in its part."""
+    part = np.empty(len(words[0]), np.min_scalar_type(parts))
+    for at in range(0, len(part), HASHED):
+        some = [w[at : at + HASHED] for w in words]
+        part[at : at + HASHED] = parts_of(dealt_by(some, gram_hash(some)), parts)
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        if high > low:
+            some = [w[order[low:high]] for w in words]
+            yield from _packed_grams(*_merge(some, np.ones(high - low, np.int64)), parts)
+
+
 def _send_grams(parts: int, order: int) -> Callable:
-    def flush(held: list, n: list) -> Iterator[pa.RecordBatch]:
-        words = [np.concatenate(x) for x in zip(*held)]
-        held.clear()
-        n[0] = 0
-        yield from _batches(list(_packed_grams(*_merge(words, np.ones(len(words[0]), np.int64)), parts)), _GRAMS)
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        words = []
+        for column in held:
+            words.append(np.concatenate(column))
+            column.clear()
+        yield from _batches(list(_packed_chunk(words, parts)), _GRAMS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], [0]
+        held, n = [[] for _ in range(order)], 0
         for batch in batches:
             for block in W.blocks(batch.column("text"), W.LOWER):
-                held.append(grams(block, order)[0])
-                n[0] += len(held[-1][0])
-                if n[0] >= CHUNK_TOKENS:
-                    yield from flush(held, n)
-        if held:
-            yield from flush(held, n)
+                columns = grams(block, order)[0]
+                for column, some in zip(held, columns):
+                    column.append(some)
+                n += len(columns[0])
+                if n >= CHUNK_TOKENS:
+                    yield from flush(held)
+                    n = 0
+        if n:
+            yield from flush(held)
 
     return send
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import brute
@@ -205,6 +206,21 @@ def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_sent_grams_take_little_more_memory_than_their_words(order):
+    rng = np.random.default_rng(order)
+    tokens = 600_000
+    texts = [" ".join(map(str, rng.integers(0, 100_000, 999).tolist())) for _ in range(tokens // 1000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    tracemalloc.start()
+    sent = list(language_model._send_grams(50, order)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6 + 3 * 8 * order * tokens  # a block of texts, and the words
+    *words, counts = language_model._unpacked_grams(sent, order)
+    assert counts.sum() == tokens and len(set(zip(*map(np.ndarray.tolist, words)))) == len(counts)
+
+
 def test_nearest_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(nearest, "CODE_ROWS", 64)
     monkeypatch.setattr(nearest, "QUERY_ROWS", 3)
