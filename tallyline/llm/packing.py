@@ -41,17 +41,17 @@ from ..plans import Staging
 
 WIDTH, END = 2048, 1
 BLOCK_CHARS = 1 << 20  # texts encoded together
-CACHED_WORDS = 400_000
+CACHED_WORDS = 400_000  # so many new ones and as many older ones at most
 LAYER = 8  # equal lengths are laid in one step into at most this part of a pack's room
 
 # How the tokenizer's file splits text into words, and the end of a word's last piece.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-# Texts whose characters every edition of Unicode classes and lowers alike, and the words of such that are
-# letters and then punctuation.
+# Texts whose characters every edition of Unicode classes and lowers alike, and the punctuation that may follow a
+# word's letters.
 _NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÿ]")
-_LETTERS_MARKS = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, task long, nth long"
 _PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -63,7 +63,8 @@ class Encoder:
     ``last`` tells for each id whether it ends a word (see ``word_ends``).  If
     it is given, each distinct word of a task's plain texts is encoded once:
     its letters, and the punctuation after them, are words of their own to the
-    tokenizer.
+    tokenizer.  When ``CACHED_WORDS`` are known they become the older ones, of
+    which those that occur again move over: frequent words are never forgotten.
     """
 
     def __init__(self, path: str, last: np.ndarray | None, kind: str = "<u4"):
@@ -79,23 +80,40 @@ class Encoder:
         self.ascii.pre_tokenizer = apart
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([apart, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, words: set[str]) -> None:
         cache = self.cache
-        fresh = {w for w in words if w.isalpha()}
-        others = words - fresh
-        marked = [m for m in map(_LETTERS_MARKS.fullmatch, others) if m]
-        fresh.update(m[1] for m in marked if m[1] not in cache)
+        fresh, marked, whole = set(), [], set()
+        for word in words:
+            if word.isalpha():
+                fresh.add(word)
+            elif (letters := word.rstrip(_MARKS)).isalpha():
+                marked.append((word, letters, word[len(letters) :]))
+            else:
+                whole.add(word)
+        parts = {letters for _, letters, _ in marked}
+        parts.update(marks for _, _, marks in marked)
+        parts.difference_update(cache.keys() & parts)
+        parts.difference_update(self._recall(parts))
+        for part in parts:
+            (fresh if part.isalpha() else whole).add(part)
         plain = [w for w in fresh if w.isascii()]
         self._learn_letters(self.ascii, plain)
-        self._learn_letters(self.letters, list(fresh.difference(plain)))
-        whole = {m[2] for m in marked if m[2] not in cache} | others.difference(m[0] for m in marked)
+        self._learn_letters(self.letters, list(fresh.difference(plain)) if len(plain) < len(fresh) else [])
         for word in whole:
             cache[word] = self._bytes(self.whole.encode(word, add_special_tokens=False).ids)
-        cache.update((m[0], cache[m[1]] + cache[m[2]]) for m in marked)
+        for word, letters, marks in marked:
+            cache[word] = cache[letters] + cache[marks]
+
+    def _recall(self, words: set[str]) -> set[str]:
+        """Words among these that were known before; they are known again."""
+        known = self.older.keys() & words
+        self.cache.update((w, self.older[w]) for w in known)
+        return known
 
     def _learn_letters(self, tokenizer, words: list[str]) -> None:
         size = np.dtype(self.kind).itemsize
@@ -118,8 +136,9 @@ class Encoder:
         words = set().union(*(s for s in split if s))
         words.difference_update(self.cache.keys() & words)
         if len(self.cache) + len(words) > CACHED_WORDS:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
             words = set().union(*(s for s in split if s))
+        words.difference_update(self._recall(words))
         self._learn(words)
         known = self.cache.__getitem__
         return [

@@ -89,6 +89,22 @@ def test_encoder_equals_the_whole_text(spark):
     assert packing.word_ends(BYTE) is None
 
 
+def test_frequent_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 60)
+    learned = Counter()
+    learn = packing.Encoder._learn_letters
+    monkeypatch.setattr(packing.Encoder, "_learn_letters", lambda self, by, words: (learned.update(words), learn(self, by, words))[1])
+    tokenizer = Tokenizer.from_file(WORD)
+    encoder = packing.Encoder(WORD, packing.word_ends(WORD))
+    letters = "abcdefghij"
+    for i in range(30):
+        text = " ".join(["the", "often, caf\u00e9 Stem!", *(f"rare{letters[i // 10]}{letters[i % 10]}{x}" for x in letters)])
+        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode([text]) == [want]
+        assert len(encoder.cache) <= 60 and len(encoder.older) <= 60
+    assert len(learned) == 304 and set(learned.values()) == {1}
+
+
 @pytest.mark.parametrize("width", [2048, 100])
 def test_packing(spark, width):
     docs = documents(spark)
