@@ -55,3 +55,32 @@ def group_starts(sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(0, np.int64)
     return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1])
+
+
+def ascending(keys: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers from 0 on: their upper bits are sorted with their places below them."""
+    keys = keys.astype(np.uint64, copy=False)
+    bits = np.uint64(max(len(keys) - 1, 0).bit_length())
+    exact = not len(keys) or int(keys.max()) < 1 << (64 - int(bits))
+    packed = (keys if exact else keys >> bits) << bits
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    packed &= (np.uint64(1) << bits) - np.uint64(1)
+    order = packed.view(np.int64)
+    if not exact:
+        moved = keys[order]
+        if (moved[1:] < moved[:-1]).any():
+            order = order[np.argsort(moved, kind="stable")]
+    return order
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place among them of each value."""
+    order = ascending(values)
+    moved = values[order]
+    heads = group_starts(moved)
+    first = np.zeros(len(values), np.int64)
+    first[heads[1:]] = 1
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(first)
+    return moved[heads], place

@@ -202,6 +202,52 @@ def test_grams_travel_with_their_words_once(width):
         assert all(len(r) == 1 for r in ranges.values())
 
 
+def test_rare_words_are_sent_as_numbers_and_stored_in_groups(tmp_path):
+    """Texts full of rare words: 8 bytes a word were sent, and 9 bytes stored for an n-gram."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60_000, 999).tolist()) for _ in range(100)]
+    batch, parts, folder = pa.RecordBatch.from_pydict({"text": texts}), 4, f"file://{tmp_path}/model"
+    rows = [r for b in language_model._store_vocabulary(folder, parts)(language_model._send_words(parts)(iter([batch]))) for r in b.to_pylist()]
+    table = shards.Table(folder, {r["part"]: r["file"] for r in rows}, parts, [])
+    vocabulary = language_model.Vocabulary(table, {r["part"]: r["words"] for r in rows})
+    assert vocabulary.bounds[-1] == len(set(" ".join(texts).split())) + 2
+    sent = list(language_model._send_grams(parts, 3, vocabulary)(iter([batch])))
+    grams = sum(len(c) for b in sent for cells in b.column("cells").to_pylist() for c in cells)
+    assert grams < 8 * 100_000
+    stored = [r for b in language_model._store_grams(folder, parts, 3, True, vocabulary)(iter(sent)) for r in b.to_pylist()]
+    size = {kind: sum((tmp_path / "model" / r["file"]).stat().st_size for r in stored if r["kind"] == kind) for kind in ("shard", "context")}
+    assert size["shard"] < 5 * 100_000 and size["context"] < 12 * 100_000
+
+
+@given(st.dictionaries(st.integers(0, 2**64 - 1), st.dictionaries(st.integers(0, 2**33), st.integers(0, 300), min_size=1, max_size=9), max_size=90), st.integers(1, 4))
+@settings(max_examples=30, deadline=None)
+def test_members_of_groups(tmp_path_factory, groups, parts):
+    folder = f"file://{tmp_path_factory.mktemp('members')}"
+    keys = np.array(sorted(groups), np.uint64)
+    part = packed.parts_of(keys, parts)
+    names, place, offset = {}, np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    for p, here in shards.by_part(part, parts):
+        some = [sorted(groups[int(k)].items()) for k in keys[here]]
+        first = np.cumsum([0, *map(len, some)])[:-1]
+        flat = np.array([m for g in some for m in g], np.int64).reshape(-1, 2)
+        names[p], offset[here] = shards.write_members(folder, "m", first, flat[:, 0].astype(np.uint64), flat[:, 1])
+        place[here] = np.arange(len(here))
+    asked = [(i, m) for i, k in enumerate(keys.tolist()) for near in groups[k] for m in (near, near + 1)]
+    at, member = np.array(asked, np.int64).reshape(-1, 2).T
+    size = np.array([len(groups[k]) for k in keys.tolist()], np.int64)
+    found = shards.Members(folder, names, parts).look_up(part[at], place[at], offset[at], size[at], member.astype(np.uint64))
+    assert found.tolist() == [groups[int(keys[i])].get(m, 0) for i, m in asked]
+
+
+@given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 5) | st.integers(2**64 - 9, 2**64 - 1), max_size=60))
+@settings(deadline=None)
+def test_order_by_upper_bits_and_place(values):
+    values = np.array(values, np.uint64)
+    assert packed.ascending(values).tolist() == np.argsort(values, kind="stable").tolist()
+    known, place = packed.distinct(values)
+    assert known.tolist() == sorted(set(values.tolist())) and (known[place] == values).all()
+
+
 def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
 
