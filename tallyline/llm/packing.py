@@ -29,7 +29,7 @@ import json
 import os
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +38,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans import Staging
+from . import words as W
+from .packed import distinct
 
 WIDTH, END = 2048, 1
-BLOCK_CHARS = 1 << 20  # texts encoded together
+BLOCK_CHARS = 1 << 21  # texts encoded together
 CACHED_WORDS = 400_000  # so many new ones and as many older ones at most
 LAYER = 8  # equal lengths are laid in one step into at most this part of a pack's room
 
@@ -48,10 +50,8 @@ LAYER = 8  # equal lengths are laid in one step into at most this part of a pack
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-# Texts whose characters every edition of Unicode classes and lowers alike, and the punctuation that may follow a
-# word's letters.
-_NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÿ]")
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Texts whose characters every edition of Unicode classes and lowers alike.
+_NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]")
 
 _PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, task long, nth long"
 _PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -63,8 +63,9 @@ class Encoder:
     ``last`` tells for each id whether it ends a word (see ``word_ends``).  If
     it is given, each distinct word of a task's plain texts is encoded once:
     its letters, and the punctuation after them, are words of their own to the
-    tokenizer.  When ``CACHED_WORDS`` are known they become the older ones, of
-    which those that occur again move over: frequent words are never forgotten.
+    tokenizer.  Words are told apart by their 64-bit hashes.  When
+    ``CACHED_WORDS`` are known they become the older ones, of which those that
+    occur again move over: frequent words are never forgotten.
     """
 
     def __init__(self, path: str, last: np.ndarray | None, kind: str = "<u4"):
@@ -79,74 +80,100 @@ class Encoder:
         apart = pre_tokenizers.Split(" ", "removed")
         self.ascii.pre_tokenizer = apart
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([apart, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.cache: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        cache = self.cache
-        fresh, marked, whole = set(), [], set()
-        for word in words:
-            if word.isalpha():
-                fresh.add(word)
-            elif (letters := word.rstrip(_MARKS)).isalpha():
-                marked.append((word, letters, word[len(letters) :]))
-            else:
-                whole.add(word)
-        parts = {letters for _, letters, _ in marked}
-        parts.update(marks for _, _, marks in marked)
-        parts.difference_update(cache.keys() & parts)
-        parts.difference_update(self._recall(parts))
-        for part in parts:
-            (fresh if part.isalpha() else whole).add(part)
-        plain = [w for w in fresh if w.isascii()]
-        self._learn_letters(self.ascii, plain)
-        self._learn_letters(self.letters, list(fresh.difference(plain)) if len(plain) < len(fresh) else [])
-        for word in whole:
-            cache[word] = self._bytes(self.whole.encode(word, add_special_tokens=False).ids)
-        for word, letters, marks in marked:
-            cache[word] = cache[letters] + cache[marks]
-
-    def _recall(self, words: set[str]) -> set[str]:
-        """Words among these that were known before; they are known again."""
-        known = self.older.keys() & words
-        self.cache.update((w, self.older[w]) for w in known)
-        return known
-
-    def _learn_letters(self, tokenizer, words: list[str]) -> None:
-        size = np.dtype(self.kind).itemsize
+    def _learn(self, words: list[str]) -> list[bytes]:
+        ids: dict[str, bytes] = {}
+        alone = [w for w in words if w.isalpha()]
+        for tokenizer, plain in ((self.ascii, True), (self.letters, False)):
+            letters = [w for w in alone if w.isascii() == plain]
+            ids.update(zip(letters, self._learn_letters(tokenizer, letters), strict=True))
+        return [ids[w] if w in ids else self._bytes(self.whole.encode(w, add_special_tokens=False).ids) for w in words]
+
+    def _learn_letters(self, tokenizer, words: list[str]) -> list[bytes]:
+        size, found = np.dtype(self.kind).itemsize, []
         for k in range(0, len(words), 20_000):
             groups = [words[i : i + 100] for i in range(k, min(k + 20_000, len(words)), 100)]
-            for group, done in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            for done in tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False):
                 ids = np.array(done.ids, self.kind)
                 ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
                 data = ids.tobytes()
-                self.cache.update(zip(group, [data[b:e] for b, e in zip([0, *ends], ends)], strict=True))
+                found += [data[b:e] for b, e in zip([0, *ends], ends)]
+        return found
 
-    def _words(self, text: str) -> list[str] | None:
+    def _plain(self, text: str) -> str | None:
+        """The lowered text, if its words can be encoded one by one."""
         if self.last is None or _NOT_PLAIN.search(text):
             return None
         lowered = text.lower()
-        return None if any(s in lowered for s in self.special) else lowered.split()
+        return None if any(s in lowered for s in self.special) else lowered
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._words(t) for t in texts]
-        words = set().union(*(s for s in split if s))
-        words.difference_update(self.cache.keys() & words)
-        if len(self.cache) + len(words) > CACHED_WORDS:
+    def _of_words(self, hashes: list[int], word: Callable[[int], str]) -> list[bytes]:
+        """The ids of distinct words; ``word`` tells the one at a place."""
+        found = list(map(self.cache.get, hashes))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.cache) + len(fresh) > CACHED_WORDS:
             self.cache, self.older = {}, self.cache
-            words = set().union(*(s for s in split if s))
-        words.difference_update(self._recall(words))
-        self._learn(words)
-        known = self.cache.__getitem__
+            fresh = range(len(hashes))
+        new = []
+        for i in fresh:
+            if (ids := self.older.get(hashes[i])) is None:
+                new.append(i)
+            else:
+                found[i] = self.cache[hashes[i]] = ids
+        for i, ids in zip(new, self._learn([word(i) for i in new]), strict=True):
+            found[i] = self.cache[hashes[i]] = ids
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [self._plain(t) for t in texts]
+        some = [p for p in plain if p is not None]
+        text, starts, ends, hashes, first = _apart(W.Block(range(len(some)), some, classes=W.MARKS_APART))
+        known, at = distinct(hashes)
+        one = np.empty(len(known), np.int64)
+        one[at] = np.arange(len(at))
+        starts, ends = starts[one].tolist(), ends[one].tolist()
+        ids = self._of_words(known.tolist(), lambda i: text[starts[i] : ends[i]].decode())
+        size = np.dtype(self.kind).itemsize
+        flat = np.frombuffer(b"".join(ids), self.kind) if ids else np.array([], self.kind)
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // size
+        begin = np.cumsum(length) - length
+        counts = length[at]
+        stop = np.concatenate([[0], np.cumsum(counts)])
+        data = flat[np.repeat(begin[at] - stop[:-1], counts) + np.arange(stop[-1])].tobytes()
+        cuts = (stop[first] * size).tolist()
+        done = iter([data[b:e] for b, e in zip(cuts[:-1], cuts[1:])])
         return [
-            self._bytes(self.whole.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(known, s))
-            for t, s in zip(texts, split)
+            self._bytes(self.whole.encode(t, add_special_tokens=False).ids) if p is None else next(done)
+            for t, p in zip(texts, plain)
         ]
 
 
+def _apart(block: W.Block) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, starts, ends, hashes, first of each row) of the block's words.
+
+    Marks that follow a word's only other characters are a word of their own;
+    any other word with marks in it is whole.
+    """
+    starts, ends, hashes = block.starts, block.ends, block.hashes
+    head = np.ones(len(starts), bool)
+    head[1:] = starts[1:] != ends[:-1]
+    at = np.flatnonzero(head)
+    size = np.diff(at, append=len(starts))
+    marks = W.MARKS_APART[np.frombuffer(block.data, np.uint8)[starts[at]]] == 2 if len(at) else np.zeros(0, bool)
+    whole = (size > 2) | (size == 2) & marks
+    mixed = at[whole]
+    ends[mixed] = ends[mixed + size[whole] - 1]
+    hashes[mixed] = W.hash_spans(block.data, starts[mixed], ends[mixed], 0)
+    keep = head | ~np.repeat(whole, size)
+    first = np.concatenate([[0], np.cumsum(keep)])[block.first]
+    return block.data, starts[keep], ends[keep], hashes[keep], first
+
+
 def word_ends(path: str) -> np.ndarray | None:
     """For each id whether it ends a word, if a tokenizer's file encodes words between blanks independently."""
     from tokenizers import Tokenizer

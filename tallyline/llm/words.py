@@ -47,7 +47,7 @@ def spans(data: np.ndarray, classes: np.ndarray = _WORDS) -> tuple[np.ndarray, n
     return np.flatnonzero(edge & (kind[1:] > 0)), np.flatnonzero(edge & (kind[:-1] > 0))
 
 
-def _hash_spans(data: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+def hash_spans(data: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     padded = np.frombuffer(data + b"\0" * 8, dtype=np.uint8)
     eight = np.ndarray((len(padded) - 7,), dtype="<u8", buffer=padded, strides=(1,))
     lengths = ends - starts
@@ -83,7 +83,7 @@ class Block:
         starts, ends, hashes = [], [], []
         for low, high in _pieces(data):
             s, e = spans(np.frombuffer(data, dtype=np.uint8, count=high - low, offset=low), classes)
-            hashes.append(_hash_spans(data[low:high], s, e, seed))
+            hashes.append(hash_spans(data[low:high], s, e, seed))
             starts.append(s + low)
             ends.append(e + low)
         self.starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)

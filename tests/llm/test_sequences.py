@@ -89,6 +89,17 @@ def test_encoder_equals_the_whole_text(spark):
     assert packing.word_ends(BYTE) is None
 
 
+def test_words_with_marks_are_known_by_their_letters():
+    last = packing.word_ends(WORD)
+    encoder = packing.Encoder(WORD, last)
+    words, marks = [f"word{chr(97 + i)}" for i in range(20)], ".,;:!?)%$#"
+    odd = ["foo\u00d7. a\u00f7! x", "don't it's dogs' s 'tis rock'n'roll", "(foo) a-b a.b. 12. a1, ...", "\u00c9t\u00e9, \u00e9t\u00e9. \u00fc\u00ff!", "", " \n"]
+    texts = [" ".join(w + m * n for w in words for m in marks for n in (1, 2)), *odd]
+    want = [np.array(encoder.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts[:1]) == want[:1] and len(encoder.cache) == 20 + 2 * 10  # 400 words
+    assert encoder.encode(texts) == want
+
+
 def test_frequent_words_are_encoded_once(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 60)
     learned = Counter()
