@@ -17,6 +17,11 @@ codes once; that is a stated query set against all rows.  In it, the
 bound reaches the k-th best of those scores.  Exact cosines are in double
 precision, component after component.
 
+Blocks of queries and of codes are files of the shared folder.  Neither is
+copied for the blocks of the other: a task is told the numbers of a block of
+queries and of up to ``BLOCKS_AT_ONCE`` blocks of codes, reads them one after
+the other, and returns the k best of each query.
+
 Equal vectors are one index entry with their k + 1 smallest ids: more cannot
 be among the k nearest, as ties go to smaller ids.
 
@@ -36,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans import Staging
+from ..plans.blocks import read_group, write_groups
 
 EPSILON = 4.5
 ROTATIONS = 8
@@ -44,8 +50,10 @@ FIRST = 32
 CODE_ROWS = 8192
 QUERY_ROWS = 512
 QUERIES_AT_ONCE = 64
+BLOCKS_AT_ONCE = 64
+TASKS = 10_000
 
-CODES = "dim int, key binary, ids array<long>, code binary, correction array<double>"
+DIM = "int(octet_length(key) div 8)"
 
 
 def rotation(dim: int, seed: int = 0) -> np.ndarray:
@@ -110,12 +118,12 @@ def _as_keys(keep: int) -> Callable:
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(dim, block, key, ids) with code and correction; rows come by dim."""
     for batch in batches:
-        keys = batch.column("key").to_pylist()
-        sizes = np.array([len(k) // 8 for k in keys])
-        for dim in np.unique(sizes):
-            at = np.flatnonzero(sizes == dim)
-            x = _matrix([keys[i] for i in at])
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims):
+            some = batch.take(pa.array(np.flatnonzero(dims == dim)))
+            x = _matrix(some.column("key").to_pylist())
             x = x / np.abs(x).max(axis=1, keepdims=True)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             packed, own = [], []
@@ -125,18 +133,22 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own.append(np.abs(turned).sum(axis=1) / np.sqrt(dim))
             codes = np.concatenate(packed, axis=1)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(at), dim), pa.int32()), batch.column("key").take(pa.array(at)),
-                batch.column("ids").take(pa.array(at)), pa.array([c.tobytes() for c in codes], pa.binary()),
-                pa.array(list(np.stack(own, axis=1)), pa.list_(pa.float64())),
-            ], names=["dim", "key", "ids", "code", "correction"])
+                *some.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(list(np.stack(own, axis=1)), pa.list_(pa.float64())),
+            ], names=[*some.schema.names, "code", "correction"])
 
 
-def build_index(vectors: DataFrame, k: int, id_col: str, vector_col: str, staging: Staging) -> DataFrame:
-    """(dim, key, ids, code, correction): an entry per distinct vector."""
+def build_index(vectors: DataFrame, k: int, id_col: str, vector_col: str, staging: Staging, folder: str) -> dict[tuple[int, ...], str]:
+    """Files of (key, ids, code, correction) by (dim, block): an entry per distinct vector, about CODE_ROWS a block."""
     pairs = _usable(vectors, id_col, vector_col).mapInArrow(_as_keys(k + 1), "key binary, ids array<long>")
     smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)
-    distinct = pairs.groupBy("key").agg(smallest.alias("ids"))
-    return staging.keep(distinct.mapInArrow(_encode, CODES), "codes")
+    stored = staging.keep(pairs.groupBy("key").agg(smallest.alias("ids")), "vectors")
+    distinct = stored.withColumn("dim", F.expr(DIM))
+    n = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row per length
+    many = F.create_map(*[F.lit(int(x)) for d, c in n.items() for x in (d, -(-c // CODE_ROWS))])[F.col("dim")] if n else F.lit(1)
+    dealt = distinct.select("dim", F.pmod(F.xxhash64("key"), many).alias("block"), "key", "ids")
+    files = write_groups(dealt, ["dim", "block"], folder, _encode)
+    staging.drop(stored)
+    return files
 
 
 def _words(packed: np.ndarray) -> np.ndarray:
@@ -209,35 +221,74 @@ def _reached(cosines: Cosines, guess: np.ndarray, first_query: int, need: int) -
     return np.partition(scores, first - need, axis=1)[:, first - need]
 
 
-def _search(k: int, epsilon: float) -> Callable:
-    """Rows hold one query block and one code block each."""
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and elements of a column of lists."""
+    return column.value_lengths().to_numpy(), column.flatten().to_numpy()
+
+
+def _block_best(query_ids: np.ndarray, queries: np.ndarray, block: pa.RecordBatch, k: int, epsilon: float):
+    """(query_ids, vec_ids, scores): the k best of each query in a block of codes."""
+    vectors = _matrix(block.column("key").to_pylist())
+    codes = np.frombuffer(b"".join(block.column("code").to_pylist()), np.uint8).reshape(len(vectors), -1)
+    correction = _ids(block.column("correction"))[1].reshape(len(vectors), -1)
+    sizes, flat = _ids(block.column("ids"))
+    starts, cosines = np.cumsum(sizes) - sizes, Cosines(queries, vectors)
+    for low in range(0, len(queries), QUERIES_AT_ONCE):
+        guess, bound = estimates(queries[low : low + QUERIES_AT_ONCE], codes, correction, epsilon)
+        least = _reached(cosines, guess, low, k + 1)
+        qi, vi = np.nonzero(guess + bound >= least[:, None])
+        qi += low
+        score = cosines(qi, vi)
+        # the ids of each vector that was scored
+        many = sizes[vi]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        vec = flat[np.repeat(starts[vi], many) + within]
+        q, score = np.repeat(query_ids[qi], many), np.repeat(score, many)
+        other = q != vec
+        yield _top(q[other], vec[other], score[other], k)
+
+
+def _single(query_ids, vec_ids, scores):
+    """A repeated id with different vectors counts by its nearest one."""
+    order = np.lexsort((-scores, vec_ids, query_ids))
+    q, v = query_ids[order], vec_ids[order]
+    first = order[np.concatenate([[True], (q[1:] != q[:-1]) | (v[1:] != v[:-1])])[: len(q)]]
+    return query_ids[first], vec_ids[first], scores[first]
+
+
+class _Plan:
+    """Which block of queries meets which blocks of codes in a task, by the task's number."""
+
+    def __init__(self, queries: dict[tuple[int, ...], str], codes: dict[tuple[int, ...], str], tasks: int):
+        self.files = []  # of each length of vectors those of the queries, and ranges of those of the codes
+        for dim in sorted({d for d, _ in queries} & {d for d, _ in codes}):
+            asked, blocks = ([files[x] for x in sorted(files) if x[0] == dim] for files in (queries, codes))
+            size = max(1, min(BLOCKS_AT_ONCE, len(blocks) * len(asked) // tasks))
+            self.files.append((asked, [blocks[i : i + size] for i in range(0, len(blocks), size)]))
+        self.ends = np.cumsum([len(asked) * len(ranges) for asked, ranges in self.files])
+        self.total = int(self.ends[-1]) if len(self.ends) else 0
+
+    def __getitem__(self, task: int) -> tuple[str, list[str]]:
+        at = int(np.searchsorted(self.ends, task, side="right"))
+        asked, ranges = self.files[at]
+        group, span = divmod(task - (int(self.ends[at - 1]) if at else 0), len(ranges))
+        return asked[group], ranges[span]
+
+
+def _search(plan: _Plan, folder: str, k: int, epsilon: float) -> Callable:
+    """Rows hold the numbers of tasks."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                value = lambda name: batch.column(name)[r].as_py()
-                dim = value("dim")
-                queries, vectors = (_matrix(value(c)).reshape(-1, dim) for c in ("query_keys", "keys"))
-                codes = np.frombuffer(b"".join(value("codes")), np.uint8).reshape(len(vectors), -1)
-                correction, cosines = np.array(value("corrections")), Cosines(queries, vectors)
-                ids, query_ids = value("ids"), np.array(value("query_ids"), np.int64)
-                sizes = np.array([len(x) for x in ids])
-                starts, flat = np.cumsum(sizes) - sizes, np.array([i for x in ids for i in x], np.int64)
-                for low in range(0, len(queries), QUERIES_AT_ONCE):
-                    some = queries[low : low + QUERIES_AT_ONCE]
-                    guess, bound = estimates(some, codes, correction, epsilon)
-                    least = _reached(cosines, guess, low, k + 1)
-                    qi, vi = np.nonzero(guess + bound >= least[:, None])
-                    qi += low
-                    score = cosines(qi, vi)
-                    # the ids of each vector that was scored
-                    many = sizes[vi]
-                    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    vec = flat[np.repeat(starts[vi], many) + within]
-                    q, score = np.repeat(query_ids[qi], many), np.repeat(score, many)
-                    other = q != vec
-                    found = _top(q[other], vec[other], score[other], k)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, _FOUND.types)], schema=_FOUND)
+            for task in batch.column("id").to_pylist():
+                asked, blocks = plan[task]
+                asked = read_group(folder, asked)
+                query_ids, queries = asked.column("query_id").to_numpy(), _matrix(asked.column("key").to_pylist())
+                best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+                for block in blocks:
+                    found = [best, *_block_best(query_ids, queries, read_group(folder, block), k, epsilon)]
+                    best = _top(*_single(*map(np.concatenate, zip(*found))), k)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(best, _FOUND.types)], schema=_FOUND)
 
     return search
 
@@ -247,30 +298,19 @@ def nearest(
     epsilon: float = EPSILON,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors of each query row."""
-    staging = Staging(vectors.sparkSession, "nearest")
-    index = build_index(vectors, k, id_col, vector_col, staging)
+    spark = vectors.sparkSession
+    staging = Staging(spark, "nearest")
+    folder = staging.folder("blocks")
+    codes = build_index(vectors, k, id_col, vector_col, staging, folder)
     asked = _usable(vectors.where(is_query), id_col, vector_col).mapInArrow(_as_keys(1 << 30), "key binary, ids array<long>")
     asked = staging.keep(asked.select(F.explode("ids").alias("query_id"), "key").distinct(), "queries")
-    n = {r["dim"]: r["n"] for r in index.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row per length
-    blocks = F.create_map(*[F.lit(int(x)) for d, c in n.items() for x in (d, -(-c // CODE_ROWS))]) if n else F.create_map(F.lit(0), F.lit(1))
-    many = F.coalesce(F.try_element_at(blocks, F.col("dim")), F.lit(1))
-    coded = index.withColumn("block", F.pmod(F.xxhash64("key"), many).cast("int"))
-    coded = coded.groupBy("dim", "block").agg(
-        F.collect_list(F.struct("key", "ids", "code", "correction")).alias("e")  # about CODE_ROWS entries
-    ).select(
-        "dim", "block", F.col("e.key").alias("keys"), F.col("e.ids").alias("ids"),
-        F.col("e.code").alias("codes"), F.col("e.correction").alias("corrections"),
-    )
-    n_queries = asked.count()
-    groups = max(1, -(-n_queries // QUERY_ROWS))
-    dim = F.floor(F.octet_length("key") / 8).cast("int")
-    queries = asked.withColumn("dim", dim).groupBy("dim", F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("group")).agg(
-        F.collect_list(F.struct("query_id", "key")).alias("e")  # about QUERY_ROWS entries
-    ).select(
-        "dim", F.col("e.query_id").alias("query_ids"), F.col("e.key").alias("query_keys"),
-        F.explode(F.sequence(F.lit(0), many - 1)).alias("block"),
-    )
-    found = queries.join(coded, ["dim", "block"]).repartition(F.xxhash64("dim", "block", "query_ids")).mapInArrow(_search(k, epsilon), FOUND)
+    groups = max(1, -(-asked.count() // QUERY_ROWS))
+    dealt = asked.select(F.expr(DIM).alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("group"), "query_id", "key")
+    queries = write_groups(dealt, ["dim", "group"], folder)  # about QUERY_ROWS entries
+    staging.drop(asked)
+    plan = _Plan(queries, codes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = spark.range(0, plan.total, 1, max(1, min(plan.total, TASKS)))
+    found = tasks.mapInArrow(_search(plan, folder, k, epsilon), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     # a repeated id with different vectors counts by its nearest one
     single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -1,16 +1,18 @@
-"""Packed rows of numbers in a shared folder, for tasks that read them out of order.
+"""Packed rows in a shared folder, for tasks that read them out of order.
 
-A block is one file: the lengths of its rows, then their numbers.  Tasks write
-blocks under names of their own, so a repeated or lost task does no harm; only
-the names that Spark returns are used.  A mounted folder's files are mapped
-into memory, those of another store are read through its own reader.
+A block is one file: the lengths of its rows, then their numbers.  A group of
+rows of other types is one file too, an Arrow stream.  Tasks write files under
+names of their own, so a repeated or lost task does no harm; only the names
+that Spark returns are used.  A mounted folder's files are mapped into memory,
+those of another store are read through its own reader.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -19,6 +21,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import shuffles_dropped
+
 
 def _mounted(folder: str) -> str | None:
     parsed = urlparse(folder)
@@ -98,3 +102,51 @@ class Blocks:
             self._open[block] = np.concatenate([[0], np.cumsum(data[1 : n + 1])]), data[n + 1 :]
         ends, numbers = self._open[block]
         return numbers[ends[place] : ends[place + 1]]
+
+
+def _group_writer(folder: str, by: Sequence[str], make: Callable | None):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one group come together."""
+        group, held, done = (), [], []
+
+        def end_group() -> None:
+            if held:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    for rows in held:
+                        out.write_batch(rows)
+                done.append((*group, _write(folder, memoryview(sink.getvalue()))))
+                held.clear()
+
+        for batch in make(batches) if make else batches:
+            if not batch.num_rows:
+                continue
+            keys, rows = np.stack([batch.column(c).to_numpy() for c in by]), batch.drop_columns(by)
+            for low, high in pairwise([0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]):
+                if group != (here := tuple(keys[:, low].tolist())):
+                    end_group()
+                    group = here
+                held.append(rows.slice(low, high - low))
+        end_group()
+        types = [pa.int64()] * len(by) + [pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(types)], names=[*by, "file"])
+
+    return write
+
+
+def write_groups(rows: DataFrame, by: Sequence[str], folder: str, make: Callable | None = None) -> dict[tuple[int, ...], str]:
+    """Stores each group of rows, which one task holds at a time; the files by the whole numbers that tell the groups apart.
+
+    ``make`` may change the rows, as in mapInArrow, once they are dealt.  The
+    driver sees a name per group.
+    """
+    by = list(by)
+    dealt = rows.repartition(*by).sortWithinPartitions(*by)
+    with shuffles_dropped(rows.sparkSession):
+        written = dealt.mapInArrow(_group_writer(folder, by, make), ", ".join([*(f"{c} long" for c in by), "file string"])).collect()
+    return {tuple(r[:-1]): r["file"] for r in written}
+
+
+def read_group(folder: str, file: str) -> pa.RecordBatch:
+    """The rows of a group, without what told it apart."""
+    return pa.ipc.open_stream(pa.py_buffer(_read(folder, file))).read_all().combine_chunks().to_batches()[0]

@@ -289,6 +289,42 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_copies_neither_queries_nor_codes(spark, monkeypatch):
+    """No block of queries is broadcast or shuffled for the blocks of codes that it meets, nor the other way round."""
+    monkeypatch.setattr(nearest, "CODE_ROWS", 16)
+    monkeypatch.setattr(nearest, "QUERY_ROWS", 4)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 8))
+    x[200:] = x[:100]  # more ids of the same vectors
+    rows = [(i % 290, v) for i, v in enumerate(x.tolist())]  # and ids that come again with another vector
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    result = nearest.nearest(df, F.col("vec_id") % 7 == 0, k=3)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in result.collect()}
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    want = {}
+    for q in sorted({i for i, _ in rows if i % 7 == 0}):
+        best = {}
+        for v in (v for i, v in rows if i == q):
+            for i, y in rows:
+                if i != q:
+                    best[i] = max(best.get(i, -2.0), cosine(v, y))
+        for rank, (score, i) in enumerate(sorted((-s, i) for i, s in best.items())[:3]):
+            want[q, rank + 1] = (i, -score)
+    assert got.keys() == want.keys()
+    assert all(got[at][0] == i and got[at][1] == pytest.approx(s, abs=1e-12) for at, (i, s) in want.items())
+
+
+@pytest.mark.parametrize("asked, blocks, tasks", [(1, 1, 8), (3, 200, 8), (40, 5, 8), (40, 500, 8), (5, 7, 1000)])
+def test_every_block_of_queries_meets_every_block_of_codes_once(asked, blocks, tasks):
+    queries = {(d, i): f"q{d}-{i}" for d in (2, 3) for i in range(asked)} | {(9, 0): "alone"}
+    codes = {(d, i): f"c{d}-{i}" for d in (2, 3, 4) for i in range(blocks)}
+    plan = nearest._Plan(queries, codes, tasks)
+    met = [(q, c) for q, some in (plan[t] for t in range(plan.total)) for c in some]
+    assert sorted(met) == sorted((f"q{d}-{i}", f"c{d}-{j}") for d in (2, 3) for i in range(asked) for j in range(blocks))
+    assert max(len(plan[t][1]) for t in range(plan.total)) <= nearest.BLOCKS_AT_ONCE
+
+
 def test_recall_on_the_given_table(spark):
     df = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
     rows = {r.vec_id: list(map(float, r.embedding)) for r in df.collect()}

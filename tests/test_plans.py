@@ -8,7 +8,7 @@ from tallyline.plans import (
     Staging, checkpointed, checkpointed_by, explode_counts, explode_once, first_of_each, release, running_before, salted_join,
     shared_folder, to_stripes, with_positions, with_score_block,
 )
-from tallyline.plans.blocks import Blocks, write_blocks
+from tallyline.plans.blocks import Blocks, read_group, write_blocks, write_groups
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -100,6 +100,18 @@ def test_blocks(spark):
     assert [blocks.row(i // 8, i % 8).tolist() for i, _ in rows] == [x or [] for _, x in rows]
 
 
+def test_groups_are_files(spark):
+    folder = Staging(spark, "test").folder("groups")
+    df = spark.range(100).selectExpr("id % 3 as a", "id % 5 as b", "id", "array(string(id)) as words")
+    files = write_groups(df.repartition(4), ["a", "b"], folder)
+    assert len(files) == 15
+    for (a, b), file in files.items():
+        got = read_group(folder, file).to_pylist()
+        assert sorted(r["id"] for r in got) == [i for i in range(100) if (i % 3, i % 5) == (a, b)]
+        assert all(r == {"id": r["id"], "words": [str(r["id"])]} for r in got)
+    assert write_groups(df.limit(0), ["a", "b"], folder) == {}
+
+
 def test_bucketed_tables_keep_the_layout(spark):
     df = checkpointed_by(spark.range(100).withColumn("k", F.col("id") % 7), ["k"])
     plan = df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
