@@ -1,13 +1,15 @@
+import json
 import math
 import time
 from collections import Counter
-from itertools import permutations
+from itertools import batched, permutations
 
+import numpy as np
 import pytest
 from test_text import first_set, texts
 
 from tallyline.operators import bigrams, cooccurrence, reconcile
-from tallyline.plans import staging
+from tallyline.plans import blocks, staging
 
 
 def as_lines(spark, given):
@@ -133,6 +135,40 @@ def test_pairs_are_counted_in_tiles_of_bands(spark, monkeypatch, held):
     assert {(r.x, r.y) for r in flat.collect()} == {p for p, n in want.items() if n >= 2}
 
 
+def test_words_are_stored_once_however_many_bands(spark, monkeypatch):
+    """Tiles read their bands' words from files: nothing is shuffled for them, and more bands hold no more words."""
+    monkeypatch.setattr(cooccurrence, "FEW", 1)
+    monkeypatch.setattr(cooccurrence, "BLOCK", 3)
+    monkeypatch.setattr(cooccurrence, "UNIT", 20)
+    monkeypatch.setattr(cooccurrence, "FILE", 1500)
+    monkeypatch.setattr(cooccurrence, "NAMES", 4)
+    given = texts(150)
+    lines = as_lines(spark, given)
+    vocabulary, _ = cooccurrence._vocabulary(lines, 2, None)
+    single = Counter(w for t in given for w in first_set(t, None))
+    for tile in (1 << 26, 40):
+        monkeypatch.setattr(cooccurrence, "TILE", tile)
+        starts = cooccurrence._bands(vocabulary)
+        tiles = cooccurrence._tiles(lines, vocabulary, starts, None)
+        assert "Exchange" not in tiles._jdf.queryExecution().executedPlan().toString()
+        rows = tiles.collect()
+        bands = len(starts) - 1
+        assert sorted(tuple(r.words) for r in rows) == sorted((*starts[g : g + 2], *starts[h : h + 2]) for g in range(bands) for h in range(g, bands))
+        listing = json.loads(blocks.read_file(rows[0].folder, rows[0].listing).tobytes())
+        stored, units = 0, 0
+        for file in listing["files"]:
+            for part in blocks.read_parts(rows[0].folder, file, range(bands)):
+                for cells in batched(cooccurrence._cells(part), 3):
+                    units += 1
+                    stored += int(cooccurrence._unpacked(cells[1], int(np.frombuffer(cells[0], "<i8")[0])).sum())
+        assert stored == sum(n for n in single.values() if n >= 2)
+        assert units > bands * len(listing["files"]) > bands
+        got = {(r.x, r.y): r.n for r in cooccurrence.cooccur(lines, 2).collect()}
+        pairs = Counter(p for t in given for p in permutations(first_set(t, None), 2))
+        assert got == {p: n for p, n in pairs.items() if n >= 2}
+    assert bands > 10
+
+
 def test_pairs_are_named_in_their_tile(spark):
     """No pair is shuffled for the names and counts of its words, nor for its place in a stripe."""
     lines = as_lines(spark, texts(60))

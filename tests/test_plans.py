@@ -8,7 +8,7 @@ from tallyline.plans import (
     Staging, checkpointed, checkpointed_by, explode_counts, explode_once, first_of_each, release, running_before, salted_join,
     shared_folder, to_stripes, with_positions, with_score_block,
 )
-from tallyline.plans.blocks import Blocks, read_group, write_blocks, write_groups
+from tallyline.plans.blocks import Blocks, read_group, read_parts, write_blocks, write_groups, write_parts
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -112,6 +112,14 @@ def test_groups_are_files(spark):
     assert write_groups(df.limit(0), ["a", "b"], folder) == {}
 
 
+def test_parts_of_a_file(spark):
+    folder = Staging(spark, "test").folder("parts")
+    parts = [b"one", b"", b"\0" * 5000, b"end"]
+    file = write_parts(folder, parts)
+    assert read_parts(folder, file, [2, 0]) == [parts[2], parts[0]]
+    assert read_parts(folder, file, range(4)) == parts
+
+
 def test_bucketed_tables_keep_the_layout(spark):
     df = checkpointed_by(spark.range(100).withColumn("k", F.col("id") % 7), ["k"])
     plan = df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
