@@ -3,6 +3,7 @@ import math
 import time
 from collections import Counter
 from itertools import batched, permutations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -230,3 +231,22 @@ def test_reconcile_of_stored_tables(spark):
     stored = reconcile.reconcile(a, b, ["k"], "v", store=True)
     assert Counter(stored.collect()) == Counter(reconcile.reconcile(a, b, ["k"], "v").collect())
     assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reconcile_compares_a_part_of_the_keys_at_a_time(spark, monkeypatch):
+    """Of keys of two types as well; each part of the sides is gone once it is compared."""
+    sizes = []
+    drop = staging.Staging.drop_partition
+
+    def dropped(store, table, *part):
+        drop(store, table, *part)
+        sizes.append(sum(f.stat().st_size for f in Path(store.root.removeprefix("file:")).glob("*-[ab]/*/*.parquet")))
+
+    monkeypatch.setattr(staging.Staging, "drop_partition", dropped)
+    a = spark.createDataFrame([(i if i % 9 else None, i % 4, float(i % 7)) for i in range(400)], "k int, j int, v double")
+    b = spark.createDataFrame([(float(i) if i % 9 else -0.0, i % 4, float(i % 5)) for i in range(-2, 300)], "k double, j int, v double")
+    a = a.unionAll(spark.createDataFrame([(0, 1, 1.0)], a.schema))
+    stored = reconcile.reconcile(a, b, ["k", "j"], "v", store=True)
+    plain = reconcile.reconcile(a, b, ["k", "j"], "v")
+    assert stored.schema == plain.schema and Counter(stored.collect()) == Counter(plain.collect())
+    assert len(sizes) == 2 * reconcile.TURNS and sizes == sorted(sizes, reverse=True) and sizes[0] > sizes[-1] == 0
